@@ -3,7 +3,7 @@
 Each query takes ``(spark, sf_dir)`` and returns a DataFrame; the matching
 SQL (DuckDB dialect) computes the same rows independently, usually the way
 the original pipeline wrote it (self-join, global ``row_number``, EXCEPT ALL).
-Load timestamps are fixed or left out of the compared output.
+Load timestamps are fixed and left out of the compared output.
 """
 
 from __future__ import annotations
@@ -13,10 +13,14 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwatch.operators import dml
 from shelfwatch.plans import observations as O
 from shelfwatch.plans import reports, variation, warehouse as W
+from shelfwatch.session import scratch_path
+from shelfwatch.sources import tables as T
 
 LOAD_TS = _dt.datetime(2024, 1, 1, 6, 0, 0)
+EXISTING_BEFORE, INCOMING_FROM = "1999-01-01", "1998-01-01"
 
 
 def _obs(spark: SparkSession, sf: str) -> DataFrame:
@@ -27,8 +31,16 @@ def _fresh(spark: SparkSession, sf: str) -> W.Warehouse:
     return W.initial_load(_obs(spark, sf), LOAD_TS)
 
 
+def _incremental(spark: SparkSession, sf: str):
+    """(existing warehouse, incoming batch) for the incremental-load cases."""
+    existing, incoming = O.split_batches(_obs(spark, sf), EXISTING_BEFORE, INCOMING_FROM)
+    return W.initial_load(existing, LOAD_TS), incoming
+
+
 # --- SQL building blocks ----------------------------------------------------------
 
+CATEGORIA_SQL = r"regexp_extract(categories, '^\[''([^'']*)''', 1)"
+
 OBS_SQL = """obs AS (
   SELECT CAST(l.l_partkey AS VARCHAR) AS product_id,
          l.l_extendedprice AS price,
@@ -43,25 +55,69 @@ OBS_SQL = """obs AS (
          CAST(l.l_shipdate AS DATE) AS date
   FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey)"""
 
-# Initial load: dates and products numbered from 1 in date / product_id order.
-WAREHOUSE_SQL = OBS_SQL + """,
-date_dim AS (
+
+def latest_sql(name: str, src: str) -> str:
+    return f"""{name} AS (
+  SELECT product_id, product, units, brand, categories, date, {CATEGORIA_SQL} AS categoria FROM (
+    SELECT *, row_number() OVER (PARTITION BY product_id
+                                 ORDER BY date DESC, product, units, brand, categories) AS rn
+    FROM {src} WHERE product_id IS NOT NULL) x WHERE rn = 1)"""
+
+
+def wh_sql(p: str, src: str, product_filter: str = "TRUE") -> str:
+    """CTEs of an initial warehouse load from observation CTE ``src``, names
+    prefixed with ``p``; ids numbered from 1 in date / product_id order."""
+    return f"""{p}date_dim AS (
   SELECT CAST(row_number() OVER (ORDER BY date) AS INTEGER) AS id_date, date,
          CAST(year(date) AS INTEGER) AS year
-  FROM (SELECT DISTINCT date FROM obs WHERE date IS NOT NULL) d),
-latest AS (
-  SELECT product_id, product, units, brand, categories, date FROM (
-    SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY date DESC, product, units, brand, categories) AS rn
-    FROM obs WHERE product_id IS NOT NULL) x WHERE rn = 1),
-product_dim AS (
+  FROM (SELECT DISTINCT date FROM {src} WHERE date IS NOT NULL) d),
+{latest_sql(p + "latest", src)},
+{p}product_dim AS (
   SELECT CAST(row_number() OVER (ORDER BY product_id) AS INTEGER) AS id_producto,
-         product, brand, categories, product_id, date,
-         regexp_extract(categories, '^\\[''([^'']*)''', 1) AS categoria, units
-  FROM latest),
-fact AS (
+         product, brand, categories, product_id, date, categoria, units
+  FROM {p}latest WHERE {product_filter}),
+{p}fact AS (
+  SELECT pd.id_producto, dd.id_date, o.price, o.unit_price, o.discount, dd.year
+  FROM {src} o LEFT JOIN {p}product_dim pd ON pd.product_id = o.product_id
+               LEFT JOIN {p}date_dim dd ON dd.date = o.date)"""
+
+
+WAREHOUSE_SQL = OBS_SQL + ",\n" + wh_sql("", "obs")
+
+# Incremental case: the warehouse holds dates before 1999; the batch starts in 1998.
+INCREMENTAL_SQL = OBS_SQL + f""",
+existing_obs AS (SELECT * FROM obs WHERE date < DATE '{EXISTING_BEFORE}'),
+incoming AS (SELECT * FROM obs WHERE date >= DATE '{INCOMING_FROM}'),
+""" + wh_sql("e_", "existing_obs") + """,
+new_dates AS (
+  SELECT date FROM (SELECT DISTINCT date FROM incoming) n
+  EXCEPT ALL SELECT DISTINCT date FROM e_date_dim),
+dd1 AS (
+  SELECT id_date, date, year FROM e_date_dim
+  UNION ALL
+  SELECT CAST((SELECT coalesce(max(id_date), 0) FROM e_date_dim) + row_number() OVER (ORDER BY date) AS INTEGER),
+         date, CAST(year(date) AS INTEGER) FROM new_dates),
+""" + latest_sql("in_latest", "incoming") + """,
+pd_upd AS (
+  SELECT e.id_producto,
+         CASE WHEN n.product_id IS NULL THEN e.product ELSE n.product END AS product,
+         CASE WHEN n.product_id IS NULL THEN e.brand ELSE n.brand END AS brand,
+         CASE WHEN n.product_id IS NULL THEN e.categories ELSE n.categories END AS categories,
+         e.product_id,
+         CASE WHEN n.product_id IS NULL THEN e.date ELSE n.date END AS date,
+         CASE WHEN n.product_id IS NULL THEN e.categoria ELSE n.categoria END AS categoria,
+         CASE WHEN n.product_id IS NULL THEN e.units ELSE n.units END AS units
+  FROM e_product_dim e LEFT JOIN in_latest n ON n.product_id = e.product_id),
+pd_ins AS (
+  SELECT CAST((SELECT coalesce(max(id_producto), 0) FROM e_product_dim)
+              + row_number() OVER (ORDER BY product_id) AS INTEGER) AS id_producto,
+         product, brand, categories, product_id, date, categoria, units
+  FROM in_latest n WHERE NOT EXISTS (SELECT 1 FROM e_product_dim e WHERE e.product_id = n.product_id)),
+pd1 AS (SELECT * FROM pd_upd UNION ALL SELECT * FROM pd_ins),
+batch_fact AS (
   SELECT pd.id_producto, dd.id_date, o.price, o.unit_price, o.discount, dd.year
-  FROM obs o LEFT JOIN product_dim pd ON pd.product_id = o.product_id
-             LEFT JOIN date_dim dd ON dd.date = o.date)"""
+  FROM incoming o LEFT JOIN pd1 pd ON pd.product_id = o.product_id
+                  LEFT JOIN dd1 dd ON dd.date = o.date)"""
 
 VARIATION_SQL = WAREHOUSE_SQL + """,
 tablon AS (
@@ -80,7 +136,29 @@ variacion AS (
   FROM ordered o1 LEFT JOIN ordered o2 ON o1.id_producto = o2.id_producto AND o1.num = o2.num + 1)"""
 
 
-# --- queries ------------------------------------------------------------------------
+def index_sql(fact: str) -> str:
+    return f"""daily AS (
+  SELECT id_date,
+         CAST(sum(CAST(floor(price * 100 + 0.5) AS BIGINT)) AS DOUBLE) / CAST(100 AS DOUBLE) AS sum_price,
+         CAST(sum(CAST(floor(unit_price * 100 + 0.5) AS BIGINT)) AS DOUBLE) / CAST(100 AS DOUBLE) AS sum_unit_price,
+         count(id_producto) AS num_products
+  FROM {fact} GROUP BY id_date),
+pond AS (
+  SELECT *, CASE WHEN num_products = 0 THEN NULL ELSE sum_price / num_products END AS sum_price_ponderado,
+            CASE WHEN num_products = 0 THEN NULL ELSE sum_unit_price / num_products END AS sum_unit_price_ponderado
+  FROM daily),
+b AS (SELECT min(sum_price_ponderado) lo_p, max(sum_price_ponderado) hi_p,
+             min(sum_unit_price_ponderado) lo_u, max(sum_unit_price_ponderado) hi_u FROM pond)
+SELECT id_date, sum_price, sum_unit_price, num_products, sum_price_ponderado, sum_unit_price_ponderado,
+       CASE WHEN hi_p - lo_p = 0 THEN NULL ELSE (sum_price_ponderado - lo_p) / (hi_p - lo_p) END AS sum_price_norm,
+       CASE WHEN hi_u - lo_u = 0 THEN NULL ELSE (sum_unit_price_ponderado - lo_u) / (hi_u - lo_u) END AS sum_unit_price_norm
+FROM pond, b"""
+
+
+FACT_COLS = "id_producto, id_date, price, unit_price, discount, year"
+
+# --- queries: warehouse and variation ----------------------------------------------
+
 
 def q_price_variation(spark, sf):
     wh = _fresh(spark, sf)
@@ -94,34 +172,109 @@ def q_price_variation_latest(spark, sf):
 
 
 def q_price_index_daily(spark, sf):
+    return _fresh(spark, sf).index.drop("ts_load")
+
+
+def q_price_index_with_missing_keys(spark, sf):
+    """Facts looked up against a product dimension lacking the ECONOMY
+    products: their facts keep a null product key, count in the sums but
+    not in ``num_products``."""
+    obs = _obs(spark, sf)
+    wh = W.initial_load(obs, LOAD_TS)
+    partial_dim = wh.product_dim.where(F.col("units") != "ECONOMY")
+    fact = W.build_fact(obs, partial_dim, wh.date_dim, LOAD_TS)
+    return W.daily_price_index(fact, LOAD_TS).drop("ts_load")
+
+
+def q_date_dim_new(spark, sf):
+    wh0, incoming = _incremental(spark, sf)
+    return W.update_date_dim(incoming, wh0.date_dim, LOAD_TS).drop("ts_load")
+
+
+def q_product_latest(spark, sf):
+    return W.latest_products(_obs(spark, sf))
+
+
+def q_product_dim_upsert(spark, sf):
+    wh0, incoming = _incremental(spark, sf)
+    return W.update_product_dim(incoming, wh0.product_dim, LOAD_TS).drop("ts_load")
+
+
+def q_product_dim_changed(spark, sf):
+    wh0, incoming = _incremental(spark, sf)
+    return W.changed_products(incoming, wh0.product_dim, LOAD_TS).drop("ts_load")
+
+
+def _updated_dims(wh0: W.Warehouse, incoming: DataFrame):
+    return (W.update_product_dim(incoming, wh0.product_dim, LOAD_TS),
+            W.update_date_dim(incoming, wh0.date_dim, LOAD_TS))
+
+
+def q_price_fact_new(spark, sf):
+    wh0, incoming = _incremental(spark, sf)
+    pd1, dd1 = _updated_dims(wh0, incoming)
+    return W.new_facts(incoming, pd1, dd1, wh0.fact, LOAD_TS).drop("ts_load")
+
+
+def q_fact_reload_partition(spark, sf):
+    """Store the existing facts partitioned by year, reload the batch's years
+    by dynamic partition overwrite, read the table back."""
+    wh0, incoming = _incremental(spark, sf)
+    pd1, dd1 = _updated_dims(wh0, incoming)
+    path = scratch_path(spark, "fact")
+    T.write_table(wh0.fact, path, "overwrite", partition_by=["year"], skip_empty=False)
+    batch = W.build_fact(incoming, pd1, dd1, LOAD_TS)
+    T.overwrite_partitions(batch, path, ["year"])
+    return spark.read.parquet(path).drop("ts_load")
+
+
+def q_delete_where(spark, sf):
+    return dml.delete_where(_obs(spark, sf), F.col("discount") == 0.0)
+
+
+def q_update_where(spark, sf):
+    return dml.update_where(_obs(spark, sf), F.col("brand") == "Brand#13", {"discount": 0.25})
+
+
+def q_product_history(spark, sf):
     wh = _fresh(spark, sf)
-    return wh.index.drop("ts_load")
+    return reports.product_history(wh.fact, wh.date_dim, wh.product_dim,
+                                   F.col("product") == "red widget")
 
 
-INDEX_SQL_TAIL = """,
-daily AS (
-  SELECT id_date,
-         CAST(sum(CAST(floor(price * 100 + 0.5) AS BIGINT)) AS DOUBLE) / CAST(100 AS DOUBLE) AS sum_price,
-         CAST(sum(CAST(floor(unit_price * 100 + 0.5) AS BIGINT)) AS DOUBLE) / CAST(100 AS DOUBLE) AS sum_unit_price,
-         count(id_producto) AS num_products
-  FROM fact GROUP BY id_date),
-pond AS (
-  SELECT *, CASE WHEN num_products = 0 THEN NULL ELSE sum_price / num_products END AS sum_price_ponderado,
-            CASE WHEN num_products = 0 THEN NULL ELSE sum_unit_price / num_products END AS sum_unit_price_ponderado
-  FROM daily),
-b AS (SELECT min(sum_price_ponderado) lo_p, max(sum_price_ponderado) hi_p,
-             min(sum_unit_price_ponderado) lo_u, max(sum_unit_price_ponderado) hi_u FROM pond)
-SELECT id_date, sum_price, sum_unit_price, num_products, sum_price_ponderado, sum_unit_price_ponderado,
-       CASE WHEN hi_p - lo_p = 0 THEN NULL ELSE (sum_price_ponderado - lo_p) / (hi_p - lo_p) END AS sum_price_norm,
-       CASE WHEN hi_u - lo_u = 0 THEN NULL ELSE (sum_unit_price_ponderado - lo_u) / (hi_u - lo_u) END AS sum_unit_price_norm
-FROM pond, b"""
+def q_coverage_by_date(spark, sf):
+    return reports.coverage_by_date(_obs(spark, sf))
+
+
+def q_coverage_by_month(spark, sf):
+    return reports.coverage_by_month(_obs(spark, sf))
+
+
+def q_coverage_by_year(spark, sf):
+    return reports.coverage_by_year(_obs(spark, sf))
+
 
 QUERIES = {
     "price_variation": q_price_variation,
     "price_variation_latest": q_price_variation_latest,
     "price_index_daily": q_price_index_daily,
+    "price_index_with_missing_keys": q_price_index_with_missing_keys,
+    "date_dim_new": q_date_dim_new,
+    "product_latest": q_product_latest,
+    "product_dim_upsert": q_product_dim_upsert,
+    "product_dim_changed": q_product_dim_changed,
+    "price_fact_new": q_price_fact_new,
+    "fact_reload_partition": q_fact_reload_partition,
+    "delete_where": q_delete_where,
+    "update_where": q_update_where,
+    "product_history": q_product_history,
+    "coverage_by_date": q_coverage_by_date,
+    "coverage_by_month": q_coverage_by_month,
+    "coverage_by_year": q_coverage_by_year,
 }
 
+OBS_COLS = "product_id, price, product, brand, unit_price, units, categories, discount, date"
+
 ORACLE = {
     "price_variation": "WITH " + VARIATION_SQL + "\nSELECT * FROM variacion ORDER BY id_producto, num",
     "price_variation_latest": "WITH " + VARIATION_SQL + """
@@ -129,5 +282,45 @@ SELECT * FROM variacion
 WHERE date = (SELECT max(date) FROM variacion)
   AND variacion IS NOT NULL AND variacion != 0
 ORDER BY id_producto, num""",
-    "price_index_daily": "WITH " + WAREHOUSE_SQL + INDEX_SQL_TAIL,
+    "price_index_daily": "WITH " + WAREHOUSE_SQL + ",\n" + index_sql("fact"),
+    "price_index_with_missing_keys": "WITH " + OBS_SQL + ",\n" + wh_sql("", "obs", "units != 'ECONOMY'")
+    + ",\n" + index_sql("fact"),
+    "date_dim_new": "WITH " + INCREMENTAL_SQL + "\nSELECT * FROM dd1",
+    "product_latest": "WITH " + OBS_SQL + ",\n" + latest_sql("l", "obs") + "\nSELECT * FROM l",
+    "product_dim_upsert": "WITH " + INCREMENTAL_SQL + "\nSELECT * FROM pd1",
+    "product_dim_changed": "WITH " + INCREMENTAL_SQL + """
+SELECT n.product_id, n.product, n.units, n.brand, n.categories, n.categoria, n.date, e.id_producto
+FROM in_latest n JOIN e_product_dim e ON e.product_id = n.product_id
+EXCEPT ALL
+SELECT product_id, product, units, brand, categories, categoria, date, id_producto FROM e_product_dim""",
+    "price_fact_new": "WITH " + INCREMENTAL_SQL + f"""
+SELECT {FACT_COLS} FROM batch_fact
+EXCEPT ALL
+SELECT {FACT_COLS} FROM e_fact WHERE year IN (SELECT DISTINCT year FROM batch_fact)""",
+    "fact_reload_partition": "WITH " + INCREMENTAL_SQL + f"""
+SELECT {FACT_COLS} FROM e_fact
+WHERE NOT EXISTS (SELECT 1 FROM batch_fact b WHERE b.year = e_fact.year)
+UNION ALL
+SELECT {FACT_COLS} FROM batch_fact""",
+    "delete_where": "WITH " + OBS_SQL + f"\nSELECT {OBS_COLS} FROM obs WHERE NOT coalesce(discount = 0.0, false)",
+    "update_where": "WITH " + OBS_SQL + """
+SELECT product_id, price, product, brand, unit_price, units, categories,
+       CASE WHEN coalesce(brand = 'Brand#13', false) THEN CAST(0.25 AS DOUBLE) ELSE discount END AS discount,
+       date
+FROM obs""",
+    "product_history": "WITH " + WAREHOUSE_SQL + """
+SELECT f.id_producto, f.price, dd.date, pd.product
+FROM fact f JOIN product_dim pd ON pd.id_producto = f.id_producto
+            JOIN date_dim dd ON dd.id_date = f.id_date
+WHERE pd.product = 'red widget'
+ORDER BY dd.date, f.id_producto, f.price""",
+    "coverage_by_date": "WITH " + OBS_SQL + """
+SELECT date, count(DISTINCT product_id) AS n_products, count(*) AS n_obs
+FROM obs WHERE date IS NOT NULL GROUP BY date ORDER BY date""",
+    "coverage_by_month": "WITH " + OBS_SQL + """
+SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, count(*) AS n_obs
+FROM obs GROUP BY 1, 2 ORDER BY 1 DESC NULLS LAST, 2 DESC NULLS LAST""",
+    "coverage_by_year": "WITH " + OBS_SQL + """
+SELECT CAST(year(date) AS INTEGER) AS year, count(*) AS n_obs
+FROM obs GROUP BY 1 ORDER BY 1 DESC NULLS LAST""",
 }
