@@ -324,3 +324,223 @@ FROM obs GROUP BY 1, 2 ORDER BY 1 DESC NULLS LAST, 2 DESC NULLS LAST""",
 SELECT CAST(year(date) AS INTEGER) AS year, count(*) AS n_obs
 FROM obs GROUP BY 1 ORDER BY 1 DESC NULLS LAST""",
 }
+
+
+# --- quality and statistics ---------------------------------------------------------
+
+from shelfwatch.operators import quality as Qy, stats as St  # noqa: E402
+from shelfwatch.plans import migration  # noqa: E402
+
+DIGITS = 6
+
+
+def _round_all(df: DataFrame, cols, digits: int = DIGITS) -> DataFrame:
+    return df.select(*[F.round(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def q_duplicates_by_key(spark, sf):
+    return Qy.duplicate_keys(_obs(spark, sf), ["product_id", "date"])
+
+
+def q_duplicate_rows(spark, sf):
+    return Qy.rows_with_duplicate_keys(_obs(spark, sf), ["product_id", "date"])
+
+
+def q_profile_nulls(spark, sf):
+    return Qy.profile_columns(_obs(spark, sf))
+
+
+def q_describe_numeric(spark, sf):
+    return St.describe_numeric(_obs(spark, sf), ["price", "unit_price", "discount"], digits=DIGITS,
+                              decimal_scale=2)
+
+
+def q_describe_mixed(spark, sf):
+    return Qy.describe_categorical(_obs(spark, sf), ["product_id", "product", "brand", "units", "categories"])
+
+
+def q_quantiles_iqr(spark, sf):
+    f = St.iqr_fences(_obs(spark, sf), "unit_price")
+    return _round_all(f, [c for c in f.columns if c != "n"])
+
+
+def q_outliers_far(spark, sf):
+    return St.outliers_above(_obs(spark, sf), "unit_price")
+
+
+def q_boxplot_whiskers(spark, sf):
+    return _round_all(St.boxplot_whiskers(_obs(spark, sf), "unit_price"), ["q1", "median", "q3"])
+
+
+def q_trimmed_describe(spark, sf):
+    return St.describe_numeric(St.trimmed(_obs(spark, sf), "unit_price"), ["unit_price"], digits=DIGITS,
+                              decimal_scale=2)
+
+
+def q_histogram_obs_per_product(spark, sf):
+    per = _obs(spark, sf).groupBy("product_id").agg(F.count(F.lit(1)).alias("n_obs"))
+    return St.histogram(per, "n_obs", 10)
+
+
+def q_density_price(spark, sf):
+    d = St.density(_obs(spark, sf), "price", 1000)
+    return d.select("i", F.round("x", DIGITS).alias("x"), F.round("density", 15).alias("density"))
+
+
+def q_normality_price(spark, sf):
+    obs = _obs(spark, sf)
+    return St.normality_test(St.trimmed(obs, "unit_price"), "unit_price", digits=DIGITS)
+
+
+def q_ids_concat(spark, sf):
+    return Qy.ids_concat(_obs(spark, sf), "date", "product_id")
+
+
+def q_migration_cleanup(spark, sf):
+    return migration.clean_history(_obs(spark, sf), LOAD_TS).drop("ts_load")
+
+
+QUERIES.update({
+    "duplicates_by_key": q_duplicates_by_key,
+    "duplicate_rows": q_duplicate_rows,
+    "profile_nulls": q_profile_nulls,
+    "describe_numeric": q_describe_numeric,
+    "describe_mixed": q_describe_mixed,
+    "quantiles_iqr": q_quantiles_iqr,
+    "outliers_far": q_outliers_far,
+    "boxplot_whiskers": q_boxplot_whiskers,
+    "trimmed_describe": q_trimmed_describe,
+    "histogram_obs_per_product": q_histogram_obs_per_product,
+    "density_price": q_density_price,
+    "normality_price": q_normality_price,
+    "ids_concat": q_ids_concat,
+    "migration_cleanup": q_migration_cleanup,
+})
+
+
+def _describe_sql(src: str, cols) -> str:
+    parts = []
+    for c in cols:
+        # mean of cent values, rounded half up to 6 decimals in integer arithmetic
+        mean = (f"CAST((20000 * sum(CAST(round({c} * 100) AS BIGINT)) + count({c})) // (2 * count({c})) AS DOUBLE)"
+                " / CAST(1000000 AS DOUBLE)")
+        parts.append(f"""SELECT '{c}' AS "column", count({c}) AS count, {mean} AS mean,
+       round(stddev_samp({c}), {DIGITS}) AS std, min({c}) AS min,
+       round(quantile_cont({c}, 0.25), {DIGITS}) AS q25, round(quantile_cont({c}, 0.5), {DIGITS}) AS q50,
+       round(quantile_cont({c}, 0.75), {DIGITS}) AS q75, max({c}) AS max FROM {src}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+FENCES_SQL = """fences AS (
+  SELECT count(unit_price) AS n, quantile_cont(unit_price, 0.25) AS q1, quantile_cont(unit_price, 0.5) AS median,
+         quantile_cont(unit_price, 0.75) AS q3
+  FROM obs WHERE unit_price IS NOT NULL),
+f2 AS (SELECT *, q3 - q1 AS iqr, q3 + 3.0 * (q3 - q1) AS far_out,
+              q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM fences)"""
+
+_PROFILE_TYPES = [("product_id", "string"), ("price", "double"), ("product", "string"), ("brand", "string"),
+                  ("unit_price", "double"), ("units", "string"), ("categories", "string"),
+                  ("discount", "double"), ("date", "date")]
+_MIXED = ["product_id", "product", "brand", "units", "categories"]
+
+NORMALITY_SQL = OBS_SQL + ",\n" + FENCES_SQL + """,
+t AS (SELECT unit_price AS v FROM obs, f2 WHERE unit_price <= far_out),
+mu AS (SELECT CAST(count(v) AS DOUBLE) AS n, avg(v) AS mu FROM t),
+mom AS (SELECT n, avg(power(v - mu, 2)) AS m2, avg(power(v - mu, 3)) AS m3, avg(power(v - mu, 4)) AS m4
+        FROM t, mu GROUP BY n),
+g AS (SELECT n, m3 / power(m2, 1.5) AS g1, m4 / (m2 * m2) AS b2 FROM mom),
+sk AS (SELECT *, g1 * sqrt(((n + 1) * (n + 3)) / (6.0 * (n - 2))) AS y0,
+              (3.0 * (n * n + 27 * n - 70) * (n + 1) * (n + 3)) / ((n - 2.0) * (n + 5) * (n + 7) * (n + 9)) AS beta2
+       FROM g),
+sk2 AS (SELECT *, -1 + sqrt(2 * (beta2 - 1)) AS w2 FROM sk),
+sk3 AS (SELECT *, 1 / sqrt(0.5 * ln(w2)) AS delta, sqrt(2.0 / (w2 - 1)) AS alpha,
+               CASE WHEN y0 = 0 THEN 1.0 ELSE y0 END AS y FROM sk2),
+ku AS (SELECT *, delta * ln(y / alpha + sqrt(power(y / alpha, 2) + 1)) AS z_skew,
+              3.0 * (n - 1) / (n + 1) AS e,
+              24.0 * n * (n - 2) * (n - 3) / ((n + 1) * (n + 1.0) * (n + 3) * (n + 5)) AS varb2,
+              6.0 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9))
+                * sqrt((6.0 * (n + 3) * (n + 5)) / (n * (n - 2) * (n - 3))) AS sb1
+       FROM sk3),
+ku2 AS (SELECT *, (b2 - e) / sqrt(varb2) AS xk,
+               6.0 + 8.0 / sb1 * (2.0 / sb1 + sqrt(1 + 4.0 / power(sb1, 2))) AS a FROM ku),
+ku3 AS (SELECT *, 1 - 2 / (9.0 * a) AS term1, 1 + xk * sqrt(2 / (a - 4.0)) AS denom FROM ku2),
+ku4 AS (SELECT *, CASE WHEN denom = 0 THEN 'NaN'::DOUBLE
+                       ELSE sign(denom) * power((1 - 2.0 / a) / abs(denom), 1 / 3.0) END AS term2 FROM ku3),
+res AS (SELECT CAST(n AS BIGINT) AS n, g1 AS skew, b2 AS kurtosis, z_skew,
+               (term1 - term2) / sqrt(2 / (9.0 * a)) AS z_kurt FROM ku4)
+SELECT n, round(skew, 6) AS skew, round(kurtosis, 6) AS kurtosis, round(z_skew, 6) AS z_skew,
+       round(z_kurt, 6) AS z_kurt, round(power(z_skew, 2) + power(z_kurt, 2), 6) AS k2,
+       round(exp(-(power(z_skew, 2) + power(z_kurt, 2)) / 2), 6) AS p_value
+FROM res"""
+
+ORACLE.update({
+    "duplicates_by_key": "WITH " + OBS_SQL + """
+SELECT product_id, date, count(*) AS n FROM obs
+WHERE product_id IS NOT NULL AND date IS NOT NULL GROUP BY product_id, date HAVING count(*) >= 2""",
+    "duplicate_rows": "WITH " + OBS_SQL + f""",
+d AS (SELECT product_id, date FROM obs WHERE product_id IS NOT NULL AND date IS NOT NULL
+      GROUP BY product_id, date HAVING count(*) >= 2)
+SELECT {OBS_COLS} FROM obs o
+WHERE EXISTS (SELECT 1 FROM d WHERE d.product_id = o.product_id AND d.date = o.date)
+ORDER BY product_id, date""",
+    "profile_nulls": "WITH " + OBS_SQL + "\n" + "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS "column", '{t}' AS dtype, count(*) AS n_rows, count({c}) AS n_non_null,
+       count(*) - count({c}) AS n_null FROM obs""" for c, t in _PROFILE_TYPES),
+    "describe_numeric": "WITH " + OBS_SQL + "\n" + _describe_sql("obs", ["price", "unit_price", "discount"]),
+    "describe_mixed": "WITH " + OBS_SQL + """,
+pairs AS (""" + "\nUNION ALL\n".join(f"SELECT '{c}' AS col, CAST({c} AS VARCHAR) AS value FROM obs" for c in _MIXED) + """),
+counts AS (SELECT col, value, count(*) AS cnt FROM pairs WHERE value IS NOT NULL GROUP BY col, value),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY col ORDER BY cnt DESC, value) AS rn FROM counts)
+SELECT col AS "column", CAST(sum(cnt) AS BIGINT) AS count, count(*) AS "unique",
+       max(CASE WHEN rn = 1 THEN value END) AS top, max(CASE WHEN rn = 1 THEN cnt END) AS freq
+FROM ranked GROUP BY col""",
+    "quantiles_iqr": "WITH " + OBS_SQL + ",\n" + FENCES_SQL + """
+SELECT n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, round(iqr, 6) AS iqr,
+       round(far_out, 6) AS far_out, round(lower_fence, 6) AS lower_fence, round(upper_fence, 6) AS upper_fence
+FROM f2""",
+    "outliers_far": "WITH " + OBS_SQL + ",\n" + FENCES_SQL + f"""
+SELECT {OBS_COLS} FROM obs, f2 WHERE unit_price > far_out ORDER BY unit_price""",
+    "boxplot_whiskers": "WITH " + OBS_SQL + ",\n" + FENCES_SQL + """
+SELECT round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+       min(CASE WHEN unit_price >= lower_fence THEN unit_price END) AS whisker_low,
+       max(CASE WHEN unit_price <= upper_fence THEN unit_price END) AS whisker_high,
+       count(CASE WHEN unit_price < lower_fence THEN 1 END) AS n_below,
+       count(CASE WHEN unit_price > upper_fence THEN 1 END) AS n_above
+FROM obs, f2 WHERE unit_price IS NOT NULL GROUP BY q1, median, q3""",
+    "trimmed_describe": "WITH " + OBS_SQL + ",\n" + FENCES_SQL + """,
+t AS (SELECT obs.* FROM obs, f2 WHERE unit_price <= far_out)
+""" + _describe_sql("t", ["unit_price"]),
+    "histogram_obs_per_product": "WITH " + OBS_SQL + """,
+c AS (SELECT product_id, CAST(count(*) AS DOUBLE) AS v FROM obs GROUP BY product_id),
+mm AS (SELECT min(v) AS lo0, max(v) AS hi0 FROM c),
+p AS (SELECT CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo,
+             CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM mm),
+p2 AS (SELECT lo, hi, (hi - lo) / CAST(10 AS DOUBLE) AS step FROM p),
+b0 AS (SELECT v, lo, hi, step, least(greatest(CAST(floor((v - lo) / step) AS BIGINT), 0), 9) AS b0 FROM c, p2),
+b1 AS (SELECT *, CASE WHEN v < (CASE WHEN b0 = 10 THEN hi ELSE b0 * step + lo END) THEN b0 - 1 ELSE b0 END AS b1 FROM b0),
+b2 AS (SELECT CASE WHEN b1 < 9 AND v >= (CASE WHEN b1 + 1 = 10 THEN hi ELSE (b1 + 1) * step + lo END)
+                   THEN b1 + 1 ELSE b1 END AS bin FROM b1),
+cnt AS (SELECT bin, count(*) AS n FROM b2 GROUP BY bin),
+grid AS (SELECT CAST(i AS BIGINT) AS bin, lo, hi, step FROM generate_series(0, 9) t(i), p2)
+SELECT CAST(g.bin AS INTEGER) AS bin,
+       CASE WHEN g.bin = 10 THEN hi ELSE g.bin * step + lo END AS lower,
+       CASE WHEN g.bin + 1 = 10 THEN hi ELSE (g.bin + 1) * step + lo END AS upper,
+       coalesce(cnt.n, 0) AS n
+FROM grid g LEFT JOIN cnt ON cnt.bin = g.bin""",
+    "density_price": "WITH " + OBS_SQL + """,
+vals AS (SELECT price AS v FROM obs WHERE price IS NOT NULL),
+st AS (SELECT count(*) AS n, stddev_samp(v) AS sd, min(v) AS mn, max(v) AS mx FROM vals),
+p AS (SELECT n, sd * pow(CAST(n AS DOUBLE), -0.2) AS bw, mn - (mx - mn) * 0.5 AS lo, mx + (mx - mn) * 0.5 AS hi FROM st),
+g AS (SELECT CAST(i AS INTEGER) AS i,
+             CASE WHEN i = 999 THEN hi ELSE i * ((hi - lo) / CAST(999 AS DOUBLE)) + lo END AS x
+      FROM generate_series(0, 999) t(i), p)
+SELECT g.i, round(g.x, 6) AS x,
+       round(sum(exp(-0.5 * ((g.x - vals.v) / p.bw) * ((g.x - vals.v) / p.bw))) / (p.n * p.bw * sqrt(2 * pi())), 15) AS density
+FROM g, vals, p GROUP BY g.i, g.x, p.n, p.bw""",
+    "normality_price": "WITH " + NORMALITY_SQL,
+    "ids_concat": "WITH " + OBS_SQL + """
+SELECT date, string_agg(DISTINCT product_id, ',' ORDER BY product_id) AS ids
+FROM obs WHERE product_id IS NOT NULL GROUP BY date""",
+    "migration_cleanup": "WITH " + OBS_SQL + f"""
+SELECT DISTINCT {OBS_COLS} FROM obs WHERE product IS NOT NULL AND price IS NOT NULL""",
+})
