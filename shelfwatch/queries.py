@@ -544,3 +544,192 @@ FROM obs WHERE product_id IS NOT NULL GROUP BY date""",
     "migration_cleanup": "WITH " + OBS_SQL + f"""
 SELECT DISTINCT {OBS_COLS} FROM obs WHERE product IS NOT NULL AND price IS NOT NULL""",
 })
+
+
+# --- pages, files, export, streaming ------------------------------------------------
+
+from shelfwatch.functions import text as tx  # noqa: E402
+from shelfwatch.operators.keys import with_global_rank  # noqa: E402
+from shelfwatch.plans import capture, etl  # noqa: E402
+from shelfwatch.sources import export as X, pages as Pg, snapshots as Sn  # noqa: E402
+from shelfwatch.streaming.ingest import ingest_pages  # noqa: E402
+
+RUN_DATE = "2024-01-01"
+
+
+def _pages(spark, sf):
+    return O.read_table(spark, sf, "pages")
+
+
+def q_page_product_fields(spark, sf):
+    return Pg.extract_fields(_pages(spark, sf), Pg.GENERIC_RULES, run_date=RUN_DATE)
+
+
+def q_page_rejects(spark, sf):
+    _, bad = capture.capture_products(_pages(spark, sf), Pg.GENERIC_RULES, run_date=RUN_DATE, load_ts=LOAD_TS)
+    return bad.drop("ts_load")
+
+
+def q_page_list(spark, sf):
+    return capture.queue_from_links(Pg.page_links(_pages(spark, sf)), only_products=False)
+
+
+def q_url_ids(spark, sf):
+    return _pages(spark, sf).select("page_id", "url", tx.url_last_segment("url").alias("product_id"),
+                                    tx.url_digits_tail("url").alias("product_id_digits"),
+                                    tx.is_product_url("url").alias("is_product_url"))
+
+
+def q_export_decimal_comma(spark, sf):
+    return X.decimal_comma(_fresh(spark, sf).fact.drop("ts_load"), 2)
+
+
+def q_csv_snapshot_roundtrip(spark, sf):
+    """Write the observations as monthly snapshot folders of ``;`` CSV, read
+    them back by header name."""
+    path = scratch_path(spark, "snapshots")
+    Sn.write_snapshots(_obs(spark, sf), path, F.date_format("date", "yyyyMM"))
+    return Sn.read_snapshots(spark, path, "*.csv", strip=True)
+
+
+def q_ingest_available_now(spark, sf):
+    """Pages split into files by id range, ingested by the file stream in
+    one-file micro-batches; records and rejects read back."""
+    src = scratch_path(spark, "pages-in")
+    _pages(spark, sf).repartitionByRange(4, "page_id").write.parquet(src)
+    rec, rej, ck = (scratch_path(spark, n) for n in ("records", "rejects", "ingest-ckpt"))
+    ingest_pages(spark, src, rec, rej, ck, RUN_DATE, Pg.GENERIC_RULES, 1, LOAD_TS)
+    # a second run with the same checkpoint finds nothing new
+    ingest_pages(spark, src, rec, rej, ck, RUN_DATE, Pg.GENERIC_RULES, 1, LOAD_TS)
+    cols = ["page_id", *capture.RECORD_COLS]
+    out = []
+    for path, reason in ((rec, False), (rej, True)):
+        try:
+            df = spark.read.parquet(path)
+        except Exception:  # noqa: BLE001  (nothing was written)
+            continue
+        df = df.select(*cols, F.col("reject_reason") if reason else F.lit(None).cast("string").alias("reject_reason"))
+        out.append(df)
+    res = out[0]
+    for d in out[1:]:
+        res = res.unionByName(d)
+    return res.drop("ts_load")
+
+
+def q_warehouse_reload_idempotent(spark, sf):
+    """Snapshots on storage → load job twice (the second run adds nothing) →
+    stored fact table; also exports the warehouse as decimal-comma CSV."""
+    snaps, base, out = (scratch_path(spark, n) for n in ("wh-snap", "wh", "wh-export"))
+    Sn.write_snapshots(_obs(spark, sf), snaps, F.date_format("date", "yyyy"))
+    etl.create_warehouse(spark, base)
+    etl.run(spark, snaps, base, out, LOAD_TS)
+    etl.run(spark, snaps, base, None, LOAD_TS)
+    return etl.open_warehouse(spark, base).fact.drop("ts_load")
+
+
+QUERIES.update({
+    "page_product_fields": q_page_product_fields,
+    "page_rejects": q_page_rejects,
+    "page_list": q_page_list,
+    "url_ids": q_url_ids,
+    "export_decimal_comma": q_export_decimal_comma,
+    "csv_snapshot_roundtrip": q_csv_snapshot_roundtrip,
+    "ingest_available_now": q_ingest_available_now,
+    "warehouse_reload_idempotent": q_warehouse_reload_idempotent,
+})
+
+
+def _lit(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _sql_html_text(x: str) -> str:
+    c = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+                    ("&nbsp;", " "), ("&#160;", " "), ("&euro;", "€"), ("&#8364;", "€"), ("&amp;", "&")):
+        c = f"replace({c}, {_lit(ent)}, {_lit(ch)})"
+    return c
+
+
+def _sql_trim_all(x: str) -> str:
+    return f"regexp_replace({x}, {_lit(r'^[\s\p{Z}]+|[\s\p{Z}]+$')}, '', 'g')"
+
+
+def _sql_clean(x: str) -> str:
+    return _sql_trim_all(f"replace(regexp_replace({x}, {_lit(r'[\r\n\t]')}, '', 'g'), ',', '.')")
+
+
+def _sql_elements(html: str, rule) -> str:
+    scope = html
+    if len(rule) > 2 and rule[2]:
+        scope = f"coalesce(regexp_extract_all({html}, {_lit(tx.element_pattern(rule[2]))}, 1)[1], '')"
+    return f"list_transform(regexp_extract_all({scope}, {_lit(tx.element_pattern(rule[0], rule[1]))}, 1), lambda x: {_sql_html_text('x')})"
+
+
+def _sql_first(html: str, rule) -> str:
+    return f"({_sql_elements(html, rule)})[1]"
+
+
+def _sql_price(x: str) -> str:
+    m = f"regexp_replace(nullif(regexp_extract({x}, {_lit(tx.PRICE_PATTERN)}, 0), ''), '\\.', '', 'g')"
+    return f"TRY_CAST(replace({m}, ',', '.') AS DOUBLE)"
+
+
+def _sql_quote(x: str) -> str:
+    return (f"CASE WHEN contains({x}, '''') AND NOT contains({x}, '\"') THEN '\"' || {x} || '\"' "
+            f"ELSE '''' || replace(replace({x}, '\\', '\\\\'), '''', '\\''') || '''' END")
+
+
+def _fields_sql(rules) -> str:
+    title = _sql_first("html", rules.title)
+    unit = _sql_first("html", rules.unit_price)
+    crumbs = f"list_transform({_sql_elements('html', rules.categories)}, lambda y: {_sql_clean('y')})"
+    return f"""fields AS (
+  SELECT page_id, url,
+         nullif(string_split(regexp_replace(url, '[?#].*$', ''), '/')[-1], '') AS product_id,
+         {_sql_clean(title)} AS product,
+         regexp_extract_all({_sql_clean(title)}, {_lit(tx.BRAND_PATTERN)})[2] AS brand,
+         {_sql_price(_sql_first('html', rules.price))} AS price,
+         CASE WHEN len({crumbs}) > 0 THEN
+           '[' || array_to_string(list_transform({crumbs}, lambda z: {_sql_quote('z')}), ', ') || ']' END AS categories,
+         {_sql_price(unit)} AS unit_price,
+         nullif({_sql_trim_all(f"regexp_extract({unit}, {_lit(tx.UNIT_LABEL_PATTERN)}, 0)")}, '') AS units,
+         TRY_CAST(nullif(regexp_extract({_sql_first('html', rules.discount)}, {_lit(tx.DISCOUNT_PATTERN)}, 1), '')
+                  AS DOUBLE) AS discount,
+         DATE '{RUN_DATE}' AS date
+  FROM pages)"""
+
+
+REJECT_SQL = """nullif(concat_ws(',', CASE WHEN price IS NULL THEN 'price' END, CASE WHEN product IS NULL THEN 'product' END,
+       CASE WHEN brand IS NULL THEN 'brand' END, CASE WHEN unit_price IS NULL THEN 'unit_price' END,
+       CASE WHEN units IS NULL THEN 'units' END), '')"""
+RECORD_SQL = "page_id, product, product_id, brand, price, categories, unit_price, units, discount, date"
+LINKS_SQL = f"""links AS (
+  SELECT page_id, unnest(l) AS href, unnest(range(len(l))) AS pos
+  FROM (SELECT page_id, regexp_extract_all(html, {_lit(Pg.LINK_PATTERN)}, 1) AS l FROM pages) t)"""
+
+ORACLE.update({
+    "page_product_fields": "WITH " + _fields_sql(Pg.GENERIC_RULES) + "\nSELECT * FROM fields",
+    "page_rejects": "WITH " + _fields_sql(Pg.GENERIC_RULES) + f"""
+SELECT {RECORD_SQL}, {REJECT_SQL} AS reject_reason FROM fields WHERE {REJECT_SQL} IS NOT NULL""",
+    "page_list": "WITH " + LINKS_SQL + """
+SELECT nullif(regexp_extract(href, '\\d.*', 0), '') AS id_producto, href AS url_product,
+       row_number() OVER (ORDER BY page_id, pos) - 1 AS "index"
+FROM links""",
+    "url_ids": """SELECT page_id, url,
+       nullif(string_split(regexp_replace(url, '[?#].*$', ''), '/')[-1], '') AS product_id,
+       nullif(regexp_extract(url, '\\d.*', 0), '') AS product_id_digits,
+       coalesce(regexp_matches(url, '.+/p/\\d+'), false) AS is_product_url
+FROM pages""",
+    "export_decimal_comma": "WITH " + WAREHOUSE_SQL + """
+SELECT id_producto, id_date,
+       replace(CAST(CAST(price AS DECIMAL(38,2)) AS VARCHAR), '.', ',') AS price,
+       replace(CAST(CAST(unit_price AS DECIMAL(38,2)) AS VARCHAR), '.', ',') AS unit_price,
+       replace(CAST(CAST(discount AS DECIMAL(38,2)) AS VARCHAR), '.', ',') AS discount,
+       year
+FROM fact""",
+    "csv_snapshot_roundtrip": "WITH " + OBS_SQL + f"\nSELECT {OBS_COLS} FROM obs",
+    "ingest_available_now": "WITH " + _fields_sql(Pg.GENERIC_RULES) + f"""
+SELECT {RECORD_SQL}, {REJECT_SQL} AS reject_reason FROM fields""",
+    "warehouse_reload_idempotent": "WITH " + WAREHOUSE_SQL + f"\nSELECT {FACT_COLS} FROM fact",
+})
