@@ -27,7 +27,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount")
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    # Product attributes are derived on the product side (one row per part)
+    # before the join, not once per observation.
+    part = read_table(spark, sf_dir, "part").select(
+        "p_partkey", F.col("p_name").alias("product"), F.col("p_brand").alias("brand"),
+        F.col("p_type").alias("units"),
+        encode_list(F.array(F.col("p_type"), F.col("p_name"))).alias("categories"))
     # No broadcast hint: part grows with the data; the planner broadcasts it
     # only under spark.sql.autoBroadcastJoinThreshold (AQE re-checks at runtime).
     j = li.join(part, li.l_partkey == part.p_partkey)
@@ -37,11 +42,9 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_extendedprice").alias("price"),
-        F.col("p_name").alias("product"),
-        F.col("p_brand").alias("brand"),
+        "product", "brand",
         (unit_cents / F.lit(100.0)).alias("unit_price"),
-        F.col("p_type").alias("units"),
-        encode_list(F.array(F.col("p_type"), F.col("p_name"))).alias("categories"),
+        "units", "categories",
         (F.col("l_discount") + F.lit(0.0)).alias("discount"),
         F.col("l_shipdate").cast("date").alias("date"),
     )

@@ -19,6 +19,7 @@ from shelfwatch.functions.text import first_category
 from shelfwatch.operators import dml
 from shelfwatch.operators.keys import assign_ids, last_id
 from shelfwatch.operators.latest import latest_per_key
+from shelfwatch.session import scratch_path
 
 PRODUCT_ATTRS = ["product", "units", "brand", "categories", "categoria", "date"]
 
@@ -149,9 +150,22 @@ class Warehouse:
                    empty(spark, schemas.PRICE_FACT), empty(spark, schemas.PRICE_INDEX))
 
 
-def initial_load(dataset: DataFrame, load_ts=None) -> Warehouse:
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a parquet table in the session's shared checkpoint
+    folder and return it read back: the lineage is cut, ids assigned in it stay
+    fixed for every later reader, a lost executor re-reads the stored files
+    instead of recomputing, and later scans prune columns. One pass (a reliable
+    ``checkpoint()`` of an uncached plan computes it twice)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def initial_load(dataset: DataFrame, load_ts=None, stage: bool = True) -> Warehouse:
     """First load into an empty warehouse: ids numbered from 1, no comparisons
-    against stored rows."""
+    against stored rows. With ``stage`` the dimensions are materialised
+    (``materialize``) before the fact looks them up, as a loader writing them
+    to tables would."""
     ts = _ts(load_ts)
     dates = dataset.select("date").distinct().where(F.col("date").isNotNull())
     date_dim = dml.conform(assign_ids(dates.withColumn("year", F.year("date")).withColumn("ts_load", ts),
@@ -159,6 +173,8 @@ def initial_load(dataset: DataFrame, load_ts=None) -> Warehouse:
     prods = latest_products(dataset).where(F.col("product_id").isNotNull()).withColumn("ts_load", ts)
     product_dim = dml.conform(assign_ids(prods, "id_producto", ["product_id"]),
                               empty(dataset.sparkSession, schemas.PRODUCT_DIM))
+    if stage:
+        date_dim, product_dim = materialize(date_dim, "date_dim"), materialize(product_dim, "product_dim")
     fact = build_fact(dataset, product_dim, date_dim, load_ts)
     return Warehouse(date_dim, product_dim, fact, daily_price_index(fact, load_ts))
 

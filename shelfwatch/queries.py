@@ -206,8 +206,8 @@ def q_product_dim_changed(spark, sf):
 
 
 def _updated_dims(wh0: W.Warehouse, incoming: DataFrame):
-    return (W.update_product_dim(incoming, wh0.product_dim, LOAD_TS),
-            W.update_date_dim(incoming, wh0.date_dim, LOAD_TS))
+    return (W.materialize(W.update_product_dim(incoming, wh0.product_dim, LOAD_TS)),
+            W.materialize(W.update_date_dim(incoming, wh0.date_dim, LOAD_TS)))
 
 
 def q_price_fact_new(spark, sf):
