@@ -34,7 +34,9 @@ def export_csv(df: DataFrame, path: str, sep: str = ";", decimal: str = ",", hea
     out = decimal_comma(df, decimals) if decimal == "," else df
     if single_file:
         out = out.coalesce(1)
-    out.write.mode(mode).option("header", header).option("sep", sep).csv(path)
+    (out.write.mode(mode).option("header", header).option("sep", sep)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
 
 
 def export_tables(tables: dict[str, DataFrame], base: str, **kw) -> dict[str, str]:

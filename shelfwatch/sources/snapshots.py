@@ -63,7 +63,10 @@ def write_snapshots(df: DataFrame, path: str, folder_col=None, sep: str = ";",
         (F.col(folder_col) if isinstance(folder_col, str) else folder_col)
     out = df.select(*[F.col(c) for c in header], folder.alias("snapshot"))
     (out.repartition("snapshot").write.mode(mode).partitionBy("snapshot")
-     .option("header", True).option("sep", sep).csv(path))
+     .option("header", True).option("sep", sep)
+     # the writer trims values by default; snapshots keep them as captured
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[Sequence], schema: StructType = schemas.PRODUCT_RECORD) -> DataFrame:
