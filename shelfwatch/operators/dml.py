@@ -25,10 +25,31 @@ def _ts(load_ts) -> Column:
     return load_ts if isinstance(load_ts, Column) else F.lit(load_ts).cast("timestamp")
 
 
-def bag_diff(batch: DataFrame, existing: DataFrame) -> DataFrame:
+def bag_diff(batch: DataFrame, existing: DataFrame, chunk: int = 100_000) -> DataFrame:
     """Rows of ``batch`` not matched one-for-one in ``existing`` (EXCEPT ALL:
-    multiplicity kept, nulls equal)."""
-    return batch.exceptAll(existing.select(*batch.columns))
+    multiplicity kept, nulls equal).
+
+    Both sides are first counted per distinct row (map-side partial
+    aggregation), so many copies of one row cost one row per task. The
+    surplus copies are regenerated in chunks of at most ``chunk`` rows hashed
+    over tasks: a row repeated a billion times is not emitted by one task
+    (Spark's own EXCEPT ALL replicates each distinct row in a single task)."""
+    cols = batch.columns
+    a = batch.groupBy(*cols).agg(F.count(F.lit(1)).alias("_na"))
+    b = existing.select(*cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("_nb"))
+    cond = None
+    for c in cols:
+        e = a[c].eqNullSafe(b[c])
+        cond = e if cond is None else cond & e
+    j = a.join(b, cond, "left").select(*[a[c] for c in cols],
+                                       (a["_na"] - F.coalesce(b["_nb"], F.lit(0))).alias("_n"))
+    surplus = j.where(F.col("_n") > 0)
+    chunks = surplus.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                      F.floor((F.col("_n") - 1) / chunk).cast("bigint"))).alias("_ch"))
+    spread = chunks.repartition(*cols, "_ch")
+    lo = F.col("_ch") * chunk + 1
+    hi = F.least(F.col("_n"), (F.col("_ch") + 1) * chunk)
+    return spread.select(*cols, F.explode(F.sequence(lo, hi)).alias("_k")).drop("_k")
 
 
 def set_diff(batch: DataFrame, existing: DataFrame) -> DataFrame:
@@ -120,7 +141,7 @@ def changed_rows(batch: DataFrame, target: DataFrame, cols: Sequence[str],
                  ts_col: str | None = "ts_load", load_ts=None) -> DataFrame:
     """Rows of ``batch`` (restricted to ``cols``) not present as such in
     ``target``: the change detector, EXCEPT ALL semantics."""
-    out = batch.select(*cols).exceptAll(target.select(*cols))
+    out = bag_diff(batch.select(*cols), target.select(*cols))
     return out.withColumn(ts_col, _ts(load_ts)) if ts_col else out
 
 
@@ -167,7 +188,7 @@ def append_unseen(target: DataFrame, batch: DataFrame, key=None,
         out = not_in_target(batch, target, key)
     else:
         cols = list(compare_cols or batch.columns)
-        out = batch.select(*cols).exceptAll(target.select(*cols))
+        out = bag_diff(batch.select(*cols), target.select(*cols))
     return out.withColumn(ts_col, _ts(load_ts)) if ts_col else out
 
 

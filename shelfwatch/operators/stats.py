@@ -3,8 +3,9 @@ histogram, Gaussian density estimate and the D'Agostino–Pearson normality test
 
 Exact quantiles never gather the values of a column in one task (Spark's
 ``percentile`` keeps a value→count map per group, merged in one task): the
-values are range-sorted, ranked in parallel (``keys.with_global_rank``), and
-only the rows at the needed ranks are kept. ``approx=True`` switches to
+distinct values with their counts are range-sorted and given cumulative
+counts in parallel (``value_ranks``), and only the values holding the needed
+ranks are kept. ``approx=True`` switches to
 ``percentile_approx`` (one pass, bounded memory) for very large inputs.
 """
 
@@ -15,11 +16,9 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwatch.operators.keys import with_global_rank
-
 
 def _pname(p: float) -> str:
     s = f"{p * 100:g}".replace(".", "_")
@@ -41,18 +40,17 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], approx: bool = Fa
         return vals.agg(F.count(F.lit(1)).alias("n"), qs.alias("_q")).select(
             "n", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
     n = vals.select(F.count(F.lit(1))).scalar()
-    ranked = with_global_rank(vals, ["v"], "r")
+    ranked = value_ranks(vals, "v")
     spots = []
     for p in probs:
         h = (n - F.lit(1)).cast("double") * F.lit(float(p))
-        lo = F.floor(h) + 1
-        hi = F.ceil(h) + 1
-        spots.append((h, lo, hi))
+        spots.append((h, F.floor(h) + 1, F.ceil(h) + 1))
     # Rank tests are projected before the aggregate: aggregate arguments may
-    # not hold the (rank-derived) scalar subqueries themselves.
+    # not hold the scalar subqueries themselves.
+    first, last = F.col("_cum") - F.col("_c") + 1, F.col("_cum")
     flags = []
     for i, (_, lo, hi) in enumerate(spots):
-        flags += [(F.col("r") == lo).alias(f"_lo{i}"), (F.col("r") == hi).alias(f"_hi{i}")]
+        flags += [((first <= lo) & (lo <= last)).alias(f"_lo{i}"), ((first <= hi) & (hi <= last)).alias(f"_hi{i}")]
     marked = ranked.select("v", *flags)
     any_flag = F.lit(False)
     for i in range(len(spots)):
@@ -70,6 +68,27 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], approx: bool = Fa
     return got.select(*out)
 
 
+def value_ranks(vals: DataFrame, col: str) -> DataFrame:
+    """Distinct values of ``col`` with their count ``_c`` and the cumulative
+    count ``_cum`` in ascending order: the value holds ranks
+    ``_cum - _c + 1 … _cum``. Identical values collapse map-side before the
+    range sort, so a value held by a third of the rows is one row; running
+    counts come from a window inside each range partition plus one offset
+    per partition (a table bounded by the partition count)."""
+    vc = vals.groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
+    tagged = (vc.orderBy(F.col(col).asc_nulls_last())
+              .withColumn("_m", F.monotonically_increasing_id())
+              .select(col, "_c", F.shiftright("_m", 33).alias("_p"),
+                      F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)).alias("_i")))
+    w = Window.partitionBy("_p").orderBy("_i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = tagged.select(col, "_c", "_p", F.sum("_c").over(w).alias("_cs"))
+    per = tagged.groupBy("_p").agg(F.sum("_c").alias("_n"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offs = per.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (local.join(F.broadcast(offs), "_p")
+            .select(col, "_c", (F.col("_off") + F.col("_cs")).alias("_cum")))
+
+
 def iqr_fences(df: DataFrame, col: str, far: float = 3.0, near: float = 1.5,
                approx: bool = False) -> DataFrame:
     """One row: q1, median, q3, iqr, the far-out threshold ``q3 + far·iqr`` and

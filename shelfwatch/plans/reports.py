@@ -12,7 +12,7 @@ def product_history(fact: DataFrame, date_dim: DataFrame, product_dim: DataFrame
     (a predicate on product-dimension columns, e.g. ``col('product') == 'x'``),
     in date order."""
     prod = product_dim.where(where).select("id_producto", "product")
-    dates = F.broadcast(date_dim.select("id_date", "date"))  # one row per calendar day
+    dates = date_dim.select("id_date", "date")
     return (fact.select("id_producto", "id_date", "price")
             .join(prod, "id_producto").join(dates, "id_date")
             .select("id_producto", "price", "date", "product")

@@ -3,22 +3,25 @@
 Star join (fact ⋈ product ⋈ date) → sequence number per product by date →
 previous unit price, difference and rounded percent change. The original
 query pairs each row with its predecessor by a self-join on ``num = num + 1``;
-``lag`` over the same window gives the same pairs with one shuffle and no join.
+the sequence operator gives the same pairs without a join and without
+sending a product's rows to one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwatch.functions.numeric import pct_change_2dp
+from shelfwatch.operators.sequence import CHUNK, sequence_with_previous
 
 
 def price_table(fact: DataFrame, product_dim: DataFrame, date_dim: DataFrame) -> DataFrame:
-    """(id_producto, product, date, unit_price): fact with both dimensions."""
+    """(id_producto, product, date, unit_price): fact with both dimensions.
+    No broadcast hints: staged dimensions carry file statistics, so the
+    planner broadcasts them only under the size threshold (AQE re-checks)."""
     prod = product_dim.select("id_producto", "product")
-    # One row per calendar day: bounded by the date range, not by data volume.
-    dates = F.broadcast(date_dim.select("id_date", "date"))
+    dates = date_dim.select("id_date", "date")
     return (fact.select("id_producto", "id_date", "unit_price")
             .join(prod, "id_producto").join(dates, "id_date")
             .select("id_producto", "product", "date", "unit_price"))
@@ -26,20 +29,18 @@ def price_table(fact: DataFrame, product_dim: DataFrame, date_dim: DataFrame) ->
 
 def price_variation(fact: DataFrame, product_dim: DataFrame, date_dim: DataFrame,
                     latest_only: bool = False, changes_only: bool = False,
-                    ordered: bool = True) -> DataFrame:
+                    ordered: bool = True, chunk: int = CHUNK) -> DataFrame:
     """Columns: id_producto, product, date, unit_price, num, num2 (previous
     num), variacion (difference), por_variacion (percent, 2-decimal ratio).
 
     ``latest_only`` keeps the last date present; ``changes_only`` keeps rows
     with a non-null, non-zero difference. Same-day rows are ordered by unit
-    price, so the numbering is repeatable."""
+    price, so the numbering is repeatable. The sequence is computed without a
+    per-product window (``operators.sequence``), so a hot product is spread."""
     t = price_table(fact, product_dim, date_dim)
-    w = Window.partitionBy("id_producto").orderBy("date", "unit_price", "product")
-    prev = F.lag("unit_price").over(w)
-    num = F.row_number().over(w)
-    out = t.select("id_producto", "product", "date", "unit_price",
-                   num.alias("num"), prev.alias("_prev"))
-    out = out.select("id_producto", "product", "date", "unit_price", "num",
+    seq = sequence_with_previous(t, "id_producto", ["date", "unit_price", "product"], "unit_price",
+                                 "num", "_prev", chunk, sort_output=ordered)
+    out = seq.select("id_producto", "product", "date", "unit_price", F.col("num").cast("int").alias("num"),
                      F.when(F.col("num") > 1, F.col("num") - 1).cast("int").alias("num2"),
                      (F.col("unit_price") - F.col("_prev")).alias("variacion"),
                      pct_change_2dp("unit_price", "_prev").alias("por_variacion"))
@@ -48,4 +49,4 @@ def price_variation(fact: DataFrame, product_dim: DataFrame, date_dim: DataFrame
         out = out.where(F.col("date") == last_day)
     if changes_only:
         out = out.where(F.col("variacion").isNotNull() & (F.col("variacion") != 0))
-    return out.orderBy("id_producto", "num") if ordered else out
+    return out  # with ``ordered`` the sequence step already emits (id_producto, num) order

@@ -81,8 +81,9 @@ def lookup_keys(dataset: DataFrame, product_dim: DataFrame, date_dim: DataFrame)
     (they still count in sums, not in ``count(id_producto)``)."""
     prod = latest_per_key(product_dim.select("product_id", "date", "id_producto"),
                           ["product_id"], ["date"]).select("product_id", "id_producto")
-    # One row per calendar day: bounded by the date range, not by data volume.
-    dates = F.broadcast(date_dim.select("date", "id_date", "year"))
+    # No hint: the planner broadcasts the date dimension (one row per day)
+    # from its size estimate; AQE re-plans with runtime sizes otherwise.
+    dates = date_dim.select("date", "id_date", "year")
     return (dataset.join(prod, "product_id", "left")
             .join(dates, "date", "left")
             .select("price", "unit_price", "discount", "id_producto", "id_date", "year"))
