@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwatch.session import stage_table
+
 
 def _pname(p: float) -> str:
     s = f"{p * 100:g}".replace(".", "_")
@@ -107,10 +109,14 @@ def outliers_above(df: DataFrame, col: str, far: float = 3.0, approx: bool = Fal
     return df.where(F.col(col) > thr).orderBy(col, *[c for c in df.columns if c != col])
 
 
-def trimmed(df: DataFrame, col: str, far: float = 3.0, approx: bool = False) -> DataFrame:
-    """Rows whose ``col`` is at most ``q3 + far·iqr`` (the cleaned series)."""
+def trimmed(df: DataFrame, col: str, far: float = 3.0, approx: bool = False,
+            stage: bool = False) -> DataFrame:
+    """Rows whose ``col`` is at most ``q3 + far·iqr`` (the cleaned series).
+    ``stage`` stores the result in the checkpoint folder, so further
+    statistics on it do not re-derive the threshold."""
     thr = iqr_fences(df, col, far, approx=approx).select("far_out").scalar()
-    return df.where(F.col(col) <= thr)
+    out = df.where(F.col(col) <= thr)
+    return stage_table(out, "trimmed") if stage else out
 
 
 def boxplot_whiskers(df: DataFrame, col: str, whis: float = 1.5, approx: bool = False) -> DataFrame:
@@ -144,15 +150,15 @@ def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int | None = No
             F.avg(F.col(c).cast(f"decimal(28,{decimal_scale})")).cast("double")
         base = df.agg(F.count(v).alias("count"), mean.alias("mean"), F.stddev_samp(v).alias("std"),
                       F.min(v).alias("min"), F.max(v).alias("max"))
-        q = quantiles(df, c, [0.25, 0.5, 0.75], approx)
-        row = base.select(
+        q = quantiles(df, c, [0.25, 0.5, 0.75], approx).drop("n")
+        # two one-row results combined without a join: union, then max per column
+        one = base.unionByName(q, allowMissingColumns=True).agg(
+            *[F.max(x).alias(x) for x in ["count", "mean", "std", "min", "max", "q25", "q50", "q75"]])
+        row = one.select(
             F.lit(c).alias("column"), "count",
-            _r(F.col("mean"), digits).alias("mean"), _r(F.col("std"), digits).alias("std"),
-            "min",
-            _r(q.select("q25").scalar(), digits).alias("q25"),
-            _r(q.select("q50").scalar(), digits).alias("q50"),
-            _r(q.select("q75").scalar(), digits).alias("q75"),
-            "max")
+            _r(F.col("mean"), digits).alias("mean"), _r(F.col("std"), digits).alias("std"), "min",
+            _r(F.col("q25"), digits).alias("q25"), _r(F.col("q50"), digits).alias("q50"),
+            _r(F.col("q75"), digits).alias("q75"), "max")
         parts.append(row)
     out = parts[0]
     for p in parts[1:]:

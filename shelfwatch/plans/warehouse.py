@@ -19,7 +19,7 @@ from shelfwatch.functions.text import first_category
 from shelfwatch.operators import dml
 from shelfwatch.operators.keys import assign_ids, last_id
 from shelfwatch.operators.latest import latest_per_key
-from shelfwatch.session import scratch_path
+from shelfwatch.session import stage_table
 
 PRODUCT_ATTRS = ["product", "units", "brand", "categories", "categoria", "date"]
 
@@ -152,14 +152,8 @@ class Warehouse:
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` as a parquet table in the session's shared checkpoint
-    folder and return it read back: the lineage is cut, ids assigned in it stay
-    fixed for every later reader, a lost executor re-reads the stored files
-    instead of recomputing, and later scans prune columns. One pass (a reliable
-    ``checkpoint()`` of an uncached plan computes it twice)."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Stage ``df`` as a table in the shared checkpoint folder (``session.stage_table``)."""
+    return stage_table(df, name)
 
 
 def initial_load(dataset: DataFrame, load_ts=None, stage: bool = True) -> Warehouse:

@@ -57,3 +57,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for a staged table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/shelfwatch-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage_table(df, name: str = "stage"):
+    """Write ``df`` as a parquet table under the shared checkpoint folder and
+    return it read back: lineage is cut, values computed once stay fixed for
+    every later reader (ids, thresholds), a lost executor re-reads files
+    instead of recomputing, and later scans prune columns. One pass over the
+    input (a reliable ``checkpoint()`` of an uncached plan computes it twice)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -2,7 +2,7 @@
 
 Writes are guarded by ``isEmpty()`` (one row fetched) instead of ``count()``
 (a full pass). Replacing a table that the new content was computed from goes
-through ``checkpoint()`` in the shared checkpoint folder first, which cuts the
+a table staged in the shared checkpoint folder first, which cuts the
 lineage to the old files.
 """
 
@@ -59,8 +59,9 @@ def write_table(df: DataFrame, target: str, mode: str = "append",
 
 def replace_table(df: DataFrame, target: str, partition_by: Sequence[str] | None = None) -> None:
     """Overwrite ``target`` with ``df`` even when ``df`` was computed from it:
-    the content is first checkpointed to the shared folder."""
-    staged = df.checkpoint(eager=True)
+    the content is first staged in the shared checkpoint folder (one pass)."""
+    from shelfwatch.session import stage_table
+    staged = stage_table(df, "replace")
     write_table(staged, target, "overwrite", partition_by, skip_empty=False)
 
 
