@@ -35,60 +35,79 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], approx: bool = Fa
               accuracy: int = 10000) -> DataFrame:
     """One row: ``n`` and one column per probability (``q25``, ``q50``…),
     linear interpolation between closest ranks (``(n-1)·p``), nulls ignored."""
-    vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    names = [_pname(p) for p in probs]
     if approx:
+        vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
         qs = F.percentile_approx("v", list(probs), accuracy)
         return vals.agg(F.count(F.lit(1)).alias("n"), qs.alias("_q")).select(
-            "n", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    n = vals.select(F.count(F.lit(1))).scalar()
-    ranked = value_ranks(vals, "v")
-    spots = []
-    for p in probs:
-        h = (n - F.lit(1)).cast("double") * F.lit(float(p))
-        spots.append((h, F.floor(h) + 1, F.ceil(h) + 1))
-    # Rank tests are projected before the aggregate: aggregate arguments may
-    # not hold the scalar subqueries themselves.
-    first, last = F.col("_cum") - F.col("_c") + 1, F.col("_cum")
-    flags = []
-    for i, (_, lo, hi) in enumerate(spots):
+            "n", *[F.col("_q")[i].alias(_pname(p)) for i, p in enumerate(probs)])
+    return column_quantiles(df, [col], probs).drop("column")
+
+
+def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles of several columns in one ranking pass: one row per
+    column with ``column``, ``n`` and one field per probability.
+
+    The columns are unpivoted to (column, v); distinct pairs are counted
+    map-side, range-sorted once and given cumulative counts
+    (``value_ranks``); each column's first rank comes from a table with one
+    row per column. Only the values holding the wanted ranks are kept."""
+    names = [_pname(p) for p in probs]
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
+                                         for c in cols])).alias("_e")).select("_e.column", "_e.v")
+    long = long.where(F.col("v").isNotNull())
+    ranked = value_ranks(long, "v", "column")
+    # One row per column (bounded by the number of columns): its count and the
+    # rows of the columns sorted before it. Taken from the per-column totals,
+    # not from the ranked rows, so the ranking runs once.
+    totals = long.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy(F.col("column").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    span = totals.select("column", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_s"))
+    r = ranked.join(F.broadcast(span), "column")
+    first, last = F.col("_cum") - F.col("_s") - F.col("_c") + 1, F.col("_cum") - F.col("_s")
+    flags, hs = [], []
+    for i, p in enumerate(probs):
+        h = (F.col("n") - 1).cast("double") * F.lit(float(p))
+        lo, hi = F.floor(h) + 1, F.ceil(h) + 1
         flags += [((first <= lo) & (lo <= last)).alias(f"_lo{i}"), ((first <= hi) & (hi <= last)).alias(f"_hi{i}")]
-    marked = ranked.select("v", *flags)
+        hs.append(h)
+    marked = r.select("column", "n", "v", *flags)
     any_flag = F.lit(False)
-    for i in range(len(spots)):
+    for i in range(len(probs)):
         any_flag = any_flag | F.col(f"_lo{i}") | F.col(f"_hi{i}")
-    picked = marked.where(any_flag)
     aggs = []
     for i, name in enumerate(names):
         aggs.append(F.max(F.when(F.col(f"_lo{i}"), F.col("v"))).alias(f"{name}_lo"))
         aggs.append(F.max(F.when(F.col(f"_hi{i}"), F.col("v"))).alias(f"{name}_hi"))
-    got = picked.agg(*aggs)
-    out = [n.alias("n")]
-    for name, (h, _, _) in zip(names, spots):
+    got = marked.where(any_flag).groupBy("column", "n").agg(*aggs)
+    out = [F.col("column"), F.col("n")]
+    for name, p in zip(names, probs):
+        h = (F.col("n") - 1).cast("double") * F.lit(float(p))
         lo_v, hi_v = F.col(f"{name}_lo"), F.col(f"{name}_hi")
         out.append((lo_v + (hi_v - lo_v) * (h - F.floor(h))).alias(name))
     return got.select(*out)
 
 
-def value_ranks(vals: DataFrame, col: str) -> DataFrame:
-    """Distinct values of ``col`` with their count ``_c`` and the cumulative
-    count ``_cum`` in ascending order: the value holds ranks
-    ``_cum - _c + 1 … _cum``. Identical values collapse map-side before the
-    range sort, so a value held by a third of the rows is one row; running
-    counts come from a window inside each range partition plus one offset
-    per partition (a table bounded by the partition count)."""
-    vc = vals.groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
-    tagged = (vc.orderBy(F.col(col).asc_nulls_last())
+def value_ranks(vals: DataFrame, col: str, group: str | None = None) -> DataFrame:
+    """Distinct values of ``col`` (per ``group`` if given) with their count
+    ``_c`` and the cumulative count ``_cum`` in ascending (group, value)
+    order: the value holds ranks ``_cum - _c + 1 … _cum`` of the whole sorted
+    input. Identical values collapse map-side before the range sort, so a
+    value held by a third of the rows is one row; running counts come from a
+    window inside each range partition plus one offset per partition (a
+    table bounded by the partition count)."""
+    keys = [group, col] if group else [col]
+    vc = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
+    tagged = (vc.orderBy(*[F.col(k).asc_nulls_last() for k in keys])
               .withColumn("_m", F.monotonically_increasing_id())
-              .select(col, "_c", F.shiftright("_m", 33).alias("_p"),
+              .select(*keys, "_c", F.shiftright("_m", 33).alias("_p"),
                       F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)).alias("_i")))
     w = Window.partitionBy("_p").orderBy("_i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = tagged.select(col, "_c", "_p", F.sum("_c").over(w).alias("_cs"))
+    local = tagged.select(*keys, "_c", "_p", F.sum("_c").over(w).alias("_cs"))
     per = tagged.groupBy("_p").agg(F.sum("_c").alias("_n"))
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offs = per.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     return (local.join(F.broadcast(offs), "_p")
-            .select(col, "_c", (F.col("_off") + F.col("_cs")).alias("_cum")))
+            .select(*keys, "_c", (F.col("_off") + F.col("_cs")).alias("_cum")))
 
 
 def iqr_fences(df: DataFrame, col: str, far: float = 3.0, near: float = 1.5,
@@ -103,6 +122,13 @@ def iqr_fences(df: DataFrame, col: str, far: float = 3.0, near: float = 1.5,
                     (F.col("q75") + F.lit(near) * iqr).alias("upper_fence"))
 
 
+def staged_fences(df: DataFrame, col: str, far: float = 3.0, near: float = 1.5,
+                  approx: bool = False) -> DataFrame:
+    """``iqr_fences`` computed once and stored (one row) in the checkpoint
+    folder, so several thresholds read it without re-ranking the column."""
+    return stage_table(iqr_fences(df, col, far, near, approx), "fences")
+
+
 def outliers_above(df: DataFrame, col: str, far: float = 3.0, approx: bool = False) -> DataFrame:
     """Rows whose ``col`` exceeds ``q3 + far·iqr``, sorted by ``col``."""
     thr = iqr_fences(df, col, far, approx=approx).select("far_out").scalar()
@@ -122,7 +148,7 @@ def trimmed(df: DataFrame, col: str, far: float = 3.0, approx: bool = False,
 def boxplot_whiskers(df: DataFrame, col: str, whis: float = 1.5, approx: bool = False) -> DataFrame:
     """One row: the box (q1, median, q3) and the whiskers — the furthest data
     points within ``whis·iqr`` of the box — plus counts beyond each whisker."""
-    f = iqr_fences(df, col, near=whis, approx=approx)
+    f = staged_fences(df, col, near=whis, approx=approx)
     lo, hi = f.select("lower_fence").scalar(), f.select("upper_fence").scalar()
     v = F.col(col)
     marked = df.where(v.isNotNull()).select(v.alias("v"), (v >= lo).alias("in_lo"), (v <= hi).alias("in_hi"))
@@ -131,39 +157,48 @@ def boxplot_whiskers(df: DataFrame, col: str, whis: float = 1.5, approx: bool =
         F.max(F.when(F.col("in_hi"), F.col("v"))).alias("whisker_high"),
         F.count(F.when(~F.col("in_lo"), 1)).alias("n_below"),
         F.count(F.when(~F.col("in_hi"), 1)).alias("n_above"))
-    return w.select(f.select("q1").scalar().alias("q1"), f.select("median").scalar().alias("median"),
-                    f.select("q3").scalar().alias("q3"), "whisker_low", "whisker_high", "n_below", "n_above")
+    # two one-row results combined without a join: union, then max per column
+    box = f.select("q1", "median", "q3")
+    cols = ["q1", "median", "q3", "whisker_low", "whisker_high", "n_below", "n_above"]
+    return box.unionByName(w, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in cols])
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int | None = None,
                      approx: bool = False, decimal_scale: int | None = None) -> DataFrame:
     """Long-format summary: column, count, mean, std (sample), min, q25, q50,
-    q75, max — one row per column.
+    q75, max — one row per column, from one aggregation pass and one ranking
+    pass over all columns.
 
     With ``decimal_scale`` (e.g. 2 for money) the mean is computed in exact
     decimal arithmetic (scale + 4 digits, half up), so it does not depend on
     summation order."""
-    parts = []
-    for c in cols:
+    cols = list(cols)
+    aggs = []
+    for i, c in enumerate(cols):
         v = F.col(c).cast("double")
         mean = F.avg(v) if decimal_scale is None else \
             F.avg(F.col(c).cast(f"decimal(28,{decimal_scale})")).cast("double")
-        base = df.agg(F.count(v).alias("count"), mean.alias("mean"), F.stddev_samp(v).alias("std"),
-                      F.min(v).alias("min"), F.max(v).alias("max"))
-        q = quantiles(df, c, [0.25, 0.5, 0.75], approx).drop("n")
-        # two one-row results combined without a join: union, then max per column
-        one = base.unionByName(q, allowMissingColumns=True).agg(
-            *[F.max(x).alias(x) for x in ["count", "mean", "std", "min", "max", "q25", "q50", "q75"]])
-        row = one.select(
-            F.lit(c).alias("column"), "count",
-            _r(F.col("mean"), digits).alias("mean"), _r(F.col("std"), digits).alias("std"), "min",
-            _r(F.col("q25"), digits).alias("q25"), _r(F.col("q50"), digits).alias("q50"),
-            _r(F.col("q75"), digits).alias("q75"), "max")
-        parts.append(row)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        aggs += [F.count(v).alias(f"count_{i}"), mean.alias(f"mean_{i}"), F.stddev_samp(v).alias(f"std_{i}"),
+                 F.min(v).alias(f"min_{i}"), F.max(v).alias(f"max_{i}")]
+    one = df.agg(*aggs)
+    stack = ", ".join(f"'{c}', count_{i}, mean_{i}, std_{i}, min_{i}, max_{i}" for i, c in enumerate(cols))
+    base = one.selectExpr(f"stack({len(cols)}, {stack}) AS (column, count, mean, std, min, max)")
+    if approx:
+        parts = [quantiles(df, c, [0.25, 0.5, 0.75], approx=True).select(F.lit(c).alias("column"), "q25", "q50", "q75")
+                 for c in cols]
+        q = parts[0]
+        for p in parts[1:]:
+            q = q.unionByName(p)
+    else:
+        q = column_quantiles(df, cols, [0.25, 0.5, 0.75]).drop("n")
+    # per-column rows combined without a join: union, then max per column
+    names = ["count", "mean", "std", "min", "max", "q25", "q50", "q75"]
+    both = base.unionByName(q, allowMissingColumns=True).groupBy("column").agg(
+        *[F.max(x).alias(x) for x in names])
+    return both.select("column", "count", _r(F.col("mean"), digits).alias("mean"),
+                       _r(F.col("std"), digits).alias("std"), "min",
+                       _r(F.col("q25"), digits).alias("q25"), _r(F.col("q50"), digits).alias("q50"),
+                       _r(F.col("q75"), digits).alias("q75"), "max")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
