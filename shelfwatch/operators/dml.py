@@ -129,11 +129,13 @@ def insert_new(target: DataFrame, batch: DataFrame, key, id_col: str | None = No
 
 def upsert(target: DataFrame, source: DataFrame, key, set_cols: Sequence[str],
            id_col: str | None = None, order_cols: Sequence | None = None,
-           ts_col: str | None = "ts_load", load_ts=None, only_changed: bool = False) -> DataFrame:
+           ts_col: str | None = "ts_load", load_ts=None, only_changed: bool = False,
+           start: Column | int | None = None) -> DataFrame:
     """Update matched keys (``merge_update``) and insert the rest
-    (``insert_new``); the new content of the target table."""
+    (``insert_new``, ids after ``start`` or the largest id); the new content
+    of the target table."""
     updated = merge_update(target, source, key, set_cols, ts_col, load_ts, only_changed)
-    inserted = insert_new(target, source, key, id_col, order_cols, None, ts_col, load_ts)
+    inserted = insert_new(target, source, key, id_col, order_cols, start, ts_col, load_ts)
     return updated.unionByName(inserted)
 
 

@@ -9,22 +9,36 @@ on the same files appends nothing.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwatch import schemas
+from shelfwatch.operators import dml
+from shelfwatch.operators.keys import advance_seq, last_seq
 from shelfwatch.plans import warehouse as W
+from shelfwatch.session import stage_table
 from shelfwatch.sources import export as X
 from shelfwatch.sources import tables as T
 from shelfwatch.sources.snapshots import read_snapshots
 
 
+# Dimensions whose surrogate ids are handed out from the sequence table.
+SEQUENCED = ["date_dim", "producto_dim"]
+
+
 def table_paths(base: str) -> dict[str, str]:
     return {name: f"{base.rstrip('/')}/{name}" for name in schemas.WAREHOUSE}
 
 
-def create_warehouse(spark: SparkSession, base: str) -> dict[str, str]:
-    """Empty warehouse tables (schema only); the fact is partitioned by year."""
-    return T.create_tables(spark, base, schemas.WAREHOUSE, schemas.PARTITIONING)
+def create_warehouse(spark: SparkSession, base: str, load_ts=None) -> dict[str, str]:
+    """Empty warehouse tables (schema only; the fact partitioned by year) and
+    the sequence table seeded with one row per dimension at id 0."""
+    paths = T.create_tables(spark, base, schemas.WAREHOUSE, schemas.PARTITIONING)
+    ts = load_ts if load_ts is not None else _dt.datetime.now()
+    seeded = dml.insert_rows(spark, W.empty(spark, schemas.SEQUENCES), [(name, 0, ts) for name in SEQUENCED])
+    T.write_table(seeded, paths["sequences_cfg"], "overwrite")
+    return paths
 
 
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -41,14 +55,21 @@ def open_warehouse(spark: SparkSession, base: str) -> W.Warehouse:
 
 def load_dataset(spark: SparkSession, dataset: DataFrame, base: str, load_ts=None) -> dict[str, bool]:
     """Load one snapshot DataFrame into the warehouse at ``base``; returns
-    which tables received rows."""
+    which tables received rows. New ids continue from the sequence table,
+    which is advanced after each dimension is written."""
     p = table_paths(base)
+    seqs = lambda: _read(spark, p["sequences_cfg"], schemas.SEQUENCES)
     wh = open_warehouse(spark, base)
-    wrote = {"date_dim": T.write_table(W.new_dates(dataset, wh.date_dim, load_ts), p["date_dim"], "append")}
+    dates = W.new_dates(dataset, wh.date_dim, load_ts, start=last_seq(seqs(), "date_dim"))
+    wrote = {"date_dim": T.write_table(dates, p["date_dim"], "append")}
     wh = open_warehouse(spark, base)
-    T.replace_table(W.update_product_dim(dataset, wh.product_dim, load_ts, only_changed=True),
+    T.replace_table(W.update_product_dim(dataset, wh.product_dim, load_ts, only_changed=True,
+                                         start=last_seq(seqs(), "producto_dim")),
                     p["producto_dim"])
     wh = open_warehouse(spark, base)
+    seq = advance_seq(advance_seq(seqs(), "date_dim", wh.date_dim, "id_date", load_ts),
+                      "producto_dim", wh.product_dim, "id_producto", load_ts)
+    T.replace_table(seq, p["sequences_cfg"])
     facts = W.new_facts(dataset, wh.product_dim, wh.date_dim, wh.fact, load_ts)
     wrote["producto_dia_fact"] = T.write_table(facts, p["producto_dia_fact"], "append", partition_by=["year"])
     wh = open_warehouse(spark, base)
@@ -56,6 +77,10 @@ def load_dataset(spark: SparkSession, dataset: DataFrame, base: str, load_ts=Non
     return wrote
 
 
+def sequences(spark: SparkSession, base: str) -> DataFrame:
+    return _read(spark, table_paths(base)["sequences_cfg"], schemas.SEQUENCES)
+
+
 def export_warehouse(spark: SparkSession, base: str, export_dir: str) -> dict[str, str]:
     wh = open_warehouse(spark, base)
     return X.export_tables({"date_dim": wh.date_dim, "producto_dim": wh.product_dim,
@@ -65,8 +90,10 @@ def export_warehouse(spark: SparkSession, base: str, export_dir: str) -> dict[st
 
 def run(spark: SparkSession, snapshot_dir: str, base: str, export_dir: str | None = None,
         load_ts=None, pattern: str = "*.csv") -> dict[str, bool]:
-    """Read every snapshot under ``snapshot_dir``, load, optionally export."""
-    dataset = read_snapshots(spark, snapshot_dir, pattern)
+    """Read every snapshot under ``snapshot_dir``, load, optionally export.
+    The text files are parsed once into a staged parquet table that the three
+    load steps read."""
+    dataset = stage_table(read_snapshots(spark, snapshot_dir, pattern), "snapshot")
     wrote = load_dataset(spark, dataset, base, load_ts)
     if export_dir:
         export_warehouse(spark, base, export_dir)

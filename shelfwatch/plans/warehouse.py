@@ -34,12 +34,15 @@ def empty(spark: SparkSession, schema) -> DataFrame:
 
 # --- date dimension -----------------------------------------------------------
 
-def new_dates(dataset: DataFrame, date_dim: DataFrame, load_ts=None) -> DataFrame:
+def new_dates(dataset: DataFrame, date_dim: DataFrame, load_ts=None, start=None) -> DataFrame:
     """Dates of the batch not yet in the dimension, with year, load time and
-    consecutive ids after the largest existing id (date order)."""
-    fresh = dml.bag_diff(dataset.select("date").distinct(), date_dim.select("date").distinct())
+    consecutive ids (date order) after ``start`` (the last id handed out, e.g.
+    ``keys.last_seq``) or, by default, the largest existing id."""
+    # both sides are sets, so EXCEPT ALL is a plain (null-safe) anti-join here
+    fresh = dml.set_diff(dataset.select("date").distinct(), date_dim.select("date"))
     fresh = fresh.withColumn("year", F.year("date")).withColumn("ts_load", _ts(load_ts))
-    ids = assign_ids(fresh, "id_date", ["date"], start=last_id(date_dim, "id_date"))
+    first = start if start is not None else last_id(date_dim, "id_date")
+    ids = assign_ids(fresh, "id_date", ["date"], start=first)
     return dml.conform(ids, date_dim)
 
 
@@ -58,12 +61,13 @@ def latest_products(dataset: DataFrame) -> DataFrame:
 
 
 def update_product_dim(dataset: DataFrame, product_dim: DataFrame, load_ts=None,
-                       only_changed: bool = False) -> DataFrame:
+                       only_changed: bool = False, start=None) -> DataFrame:
     """New content of the product dimension: matched products take the latest
-    attributes (id kept), unseen products get the next ids (product_id order)."""
+    attributes (id kept), unseen products get the next ids (product_id order)
+    after ``start`` or the largest existing id."""
     return dml.upsert(product_dim, latest_products(dataset), "product_id", PRODUCT_ATTRS,
                       id_col="id_producto", order_cols=["product_id"], load_ts=load_ts,
-                      only_changed=only_changed)
+                      only_changed=only_changed, start=start)
 
 
 def changed_products(dataset: DataFrame, product_dim: DataFrame, load_ts=None) -> DataFrame:

@@ -637,15 +637,25 @@ def q_ingest_available_now(spark, sf):
     return res.drop("ts_load")
 
 
+def _etl_run(spark, sf):
+    """Snapshots on storage → load job twice (the second run adds nothing),
+    with a decimal-comma CSV export; loaded once per session and input."""
+    def build():
+        snaps, base, out = (scratch_path(spark, n) for n in ("wh-snap", "wh", "wh-export"))
+        Sn.write_snapshots(_obs(spark, sf), snaps, F.date_format("date", "yyyy"))
+        etl.create_warehouse(spark, base, LOAD_TS)
+        etl.run(spark, snaps, base, out, LOAD_TS)
+        etl.run(spark, snaps, base, None, LOAD_TS)
+        return base
+    return _loaded(spark, sf, "etl", build)
+
+
 def q_warehouse_reload_idempotent(spark, sf):
-    """Snapshots on storage → load job twice (the second run adds nothing) →
-    stored fact table; also exports the warehouse as decimal-comma CSV."""
-    snaps, base, out = (scratch_path(spark, n) for n in ("wh-snap", "wh", "wh-export"))
-    Sn.write_snapshots(_obs(spark, sf), snaps, F.date_format("date", "yyyy"))
-    etl.create_warehouse(spark, base)
-    etl.run(spark, snaps, base, out, LOAD_TS)
-    etl.run(spark, snaps, base, None, LOAD_TS)
-    return etl.open_warehouse(spark, base).fact.drop("ts_load")
+    return etl.open_warehouse(spark, _etl_run(spark, sf)).fact.drop("ts_load")
+
+
+def q_sequences_after_load(spark, sf):
+    return etl.sequences(spark, _etl_run(spark, sf)).drop("ts_load")
 
 
 QUERIES.update({
@@ -657,6 +667,7 @@ QUERIES.update({
     "csv_snapshot_roundtrip": q_csv_snapshot_roundtrip,
     "ingest_available_now": q_ingest_available_now,
     "warehouse_reload_idempotent": q_warehouse_reload_idempotent,
+    "sequences_after_load": q_sequences_after_load,
 })
 
 
@@ -753,4 +764,8 @@ FROM fact""",
     "ingest_available_now": "WITH " + _fields_sql(Pg.GENERIC_RULES) + f"""
 SELECT {RECORD_SQL}, {REJECT_SQL} AS reject_reason FROM fields""",
     "warehouse_reload_idempotent": "WITH " + WAREHOUSE_SQL + f"\nSELECT {FACT_COLS} FROM fact",
+    "sequences_after_load": "WITH " + WAREHOUSE_SQL + """
+SELECT 'date_dim' AS table_name, CAST(coalesce(max(id_date), 0) AS BIGINT) AS id FROM date_dim
+UNION ALL
+SELECT 'producto_dim' AS table_name, CAST(coalesce(max(id_producto), 0) AS BIGINT) AS id FROM product_dim""",
 })

@@ -29,6 +29,8 @@ def test_load_job_twice_adds_nothing(spark, sf_small, tmp_path):
     assert ids == list(range(1, len(ids) + 1))
     idx = wh2.index.agg(F.min("sum_price_norm").alias("lo"), F.max("sum_price_norm").alias("hi")).first()
     assert (idx.lo, idx.hi) == (0.0, 1.0)
+    seq = {r.table_name: r.id for r in etl.sequences(spark, base).collect()}
+    assert seq == {"date_dim": counts[0], "producto_dim": counts[1]}
 
 
 def test_incremental_load_matches_full_load(spark, sf_small):
