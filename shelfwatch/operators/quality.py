@@ -88,3 +88,11 @@ def first_value(df: DataFrame, col: str, where: Column | None = None) -> Column:
     """Scalar lookup: largest value of ``col`` among rows matching ``where``."""
     d = df.where(where) if where is not None else df
     return d.select(F.max(col)).scalar()
+
+
+def preview(df: DataFrame, n: int = 10, order_cols: Sequence[str] | None = None) -> DataFrame:
+    """First ``n`` rows in a total order (``order_cols``, then every other
+    column as tie-break): a distributed top-k (each task keeps ``n`` rows)."""
+    order = list(order_cols or [])
+    order += [c for c in df.columns if c not in order]
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)

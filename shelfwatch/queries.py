@@ -263,6 +263,13 @@ def q_product_history(spark, sf):
                                    F.col("product") == "red widget")
 
 
+def q_history_preview(spark, sf):
+    """The first ten rows of the product price history (the notebook's
+    ``show(10)``): a top-k report, the limit is the feature."""
+    from shelfwatch.operators.quality import preview
+    return preview(q_product_history(spark, sf), 10, ["date", "id_producto", "price"])
+
+
 def q_coverage_by_date(spark, sf):
     return reports.coverage_by_date(_obs(spark, sf))
 
@@ -289,6 +296,7 @@ QUERIES = {
     "delete_where": q_delete_where,
     "update_where": q_update_where,
     "product_history": q_product_history,
+    "history_preview": q_history_preview,
     "coverage_by_date": q_coverage_by_date,
     "coverage_by_month": q_coverage_by_month,
     "coverage_by_year": q_coverage_by_year,
@@ -335,6 +343,13 @@ FROM fact f JOIN product_dim pd ON pd.id_producto = f.id_producto
             JOIN date_dim dd ON dd.id_date = f.id_date
 WHERE pd.product = 'red widget'
 ORDER BY dd.date, f.id_producto, f.price""",
+    "history_preview": "WITH " + WAREHOUSE_SQL + """
+SELECT f.id_producto, f.price, dd.date, pd.product
+FROM fact f JOIN product_dim pd ON pd.id_producto = f.id_producto
+            JOIN date_dim dd ON dd.id_date = f.id_date
+WHERE pd.product = 'red widget'
+ORDER BY dd.date, f.id_producto, f.price, pd.product
+LIMIT 10""",
     "coverage_by_date": "WITH " + OBS_SQL + """
 SELECT date, count(DISTINCT product_id) AS n_products, count(*) AS n_obs
 FROM obs WHERE date IS NOT NULL GROUP BY date ORDER BY date""",

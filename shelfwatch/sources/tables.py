@@ -65,6 +65,16 @@ def replace_table(df: DataFrame, target: str, partition_by: Sequence[str] | None
     write_table(staged, target, "overwrite", partition_by, skip_empty=False)
 
 
+def backup_table(spark: SparkSession, source: str, target_base: str, day=None) -> str:
+    """Copy a table under a dated name (``<target_base>_<yyyymmdd>``); returns
+    the new path. Executors copy the files' rows; nothing goes to the driver."""
+    import datetime as _dt
+    tag = (day or _dt.date.today()).strftime("%Y%m%d")
+    target = f"{target_base}_{tag}"
+    write_table(raw_table(spark, source), target, "errorifexists", skip_empty=False)
+    return target
+
+
 def overwrite_partitions(df: DataFrame, target: str, partition_by: Sequence[str]) -> None:
     """Reload by partition: partitions present in ``df`` are replaced, all
     others kept (dynamic partition overwrite; the session default is static,

@@ -101,3 +101,10 @@ def test_decimal_comma_export(spark, tmp_path):
     X.export_csv(df, out, single_file=True)
     text = "".join(open(os.path.join(out, f), encoding="utf-8").read() for f in os.listdir(out) if f.endswith(".csv"))
     assert text.splitlines() == ["id;price;big", "1;2,60;10000000,50"]
+
+
+def test_backup_table_under_dated_name(spark, tmp_path):
+    src = str(tmp_path / "producto_dim")
+    T.write_table(spark.createDataFrame([(1, "a")], "id int, k string"), src, "overwrite")
+    out = T.backup_table(spark, src, str(tmp_path / "producto_dim"), dt.date(2023, 9, 14))
+    assert out.endswith("producto_dim_20230914") and spark.read.parquet(out).count() == 1

@@ -115,3 +115,8 @@ def test_duplicates_and_ids_concat(spark):
     assert Qy.ids_concat(df, "d", "p").first().ids == "1,2"
     ok, bad = Qy.completeness_split(df, ["p"])
     assert (ok.count(), bad.first().reject_reason) == (3, "p")
+
+
+def test_preview_is_top_k_in_total_order(spark):
+    df = spark.createDataFrame([(3, "c"), (1, "b"), (1, "a"), (None, "z")], "k int, v string")
+    assert [tuple(r) for r in Qy.preview(df, 3, ["k"]).collect()] == [(1, "a"), (1, "b"), (3, "c")]
