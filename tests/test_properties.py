@@ -20,7 +20,7 @@ rows_st = st.lists(st.tuples(st.sampled_from([1, 2, 2, 2, None]), st.integers(0,
 @given(rows=rows_st, chunk=st.sampled_from([1, 2, 1000]))
 def test_sequence_equals_window(spark, rows, chunk):
     df = spark.createDataFrame(rows, "k int, d int, v double").repartition(3)
-    got = sequence_with_previous(df, "k", ["d", "v"], "v", chunk=chunk)
+    got = sequence_with_previous(df, "k", ["d", "v"], "v", chunk=chunk, hot_key_rows=None)
     w = Window.partitionBy("k").orderBy(F.col("d").asc_nulls_last(), F.col("v").asc_nulls_last())
     want = df.select("*", F.row_number().over(w).cast("bigint").alias("num"), F.lag("v").over(w).alias("prev"))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

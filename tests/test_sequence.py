@@ -22,7 +22,8 @@ def test_matches_window_with_hot_key_and_hot_group(spark, chunk, sort_output):
     df = base.unionByName(hot_group).unionByName(nulls)
     spark.conf.set("spark.sql.shuffle.partitions", "13")
     try:
-        got = sequence_with_previous(df, "k", ["d", "v"], "v", chunk=chunk, sort_output=sort_output)
+        got = sequence_with_previous(df, "k", ["d", "v"], "v", chunk=chunk, sort_output=sort_output,
+                                     hot_key_rows=None if chunk < 100_000 else 100)
         want = window_form(df, "k", ["d", "v"], "v")
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
         if sort_output:
@@ -30,3 +31,12 @@ def test_matches_window_with_hot_key_and_hot_group(spark, chunk, sort_output):
             assert keys == sorted(keys)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_guard_picks_plan_and_results_agree(spark):
+    df = spark.range(0, 500, 1, 4).select((F.col("id") % 3).alias("k"), (F.col("id") % 17).alias("d"),
+                                          (F.col("id") % 5).cast("double").alias("v"))
+    window = sequence_with_previous(df, "k", ["d", "v"], "v", hot_key_rows=10_000)
+    spread = sequence_with_previous(df, "k", ["d", "v"], "v", hot_key_rows=10)
+    assert "Window" in window._jdf.queryExecution().executedPlan().toString()
+    assert window.exceptAll(spread).count() == 0 and spread.exceptAll(window).count() == 0
