@@ -39,7 +39,8 @@ def new_dates(dataset: DataFrame, date_dim: DataFrame, load_ts=None, start=None)
     consecutive ids (date order) after ``start`` (the last id handed out, e.g.
     ``keys.last_seq``) or, by default, the largest existing id."""
     # both sides are sets, so EXCEPT ALL is a plain (null-safe) anti-join here
-    fresh = dml.set_diff(dataset.select("date").distinct(), date_dim.select("date"))
+    fresh = dml.set_diff(dataset.select("date").where(F.col("date").isNotNull()).distinct(),
+                         date_dim.select("date"))
     fresh = fresh.withColumn("year", F.year("date")).withColumn("ts_load", _ts(load_ts))
     first = start if start is not None else last_id(date_dim, "id_date")
     ids = assign_ids(fresh, "id_date", ["date"], start=first)
@@ -55,7 +56,8 @@ def update_date_dim(dataset: DataFrame, date_dim: DataFrame, load_ts=None) -> Da
 def latest_products(dataset: DataFrame) -> DataFrame:
     """Latest version of every product in the batch plus its first category."""
     cols = ["product_id", "product", "units", "brand", "categories", "date"]
-    latest = latest_per_key(dataset.select(*cols), ["product_id"], ["date"])
+    # a record without product id cannot become a dimension member
+    latest = latest_per_key(dataset.select(*cols).where(F.col("product_id").isNotNull()), ["product_id"], ["date"])
     return latest.withColumn("categoria", first_category("categories")).select(
         "product_id", "product", "units", "brand", "categories", "categoria", "date")
 
@@ -169,7 +171,7 @@ def initial_load(dataset: DataFrame, load_ts=None, stage: bool = True) -> Wareho
     dates = dataset.select("date").distinct().where(F.col("date").isNotNull())
     date_dim = dml.conform(assign_ids(dates.withColumn("year", F.year("date")).withColumn("ts_load", ts),
                                       "id_date", ["date"]), empty(dataset.sparkSession, schemas.DATE_DIM))
-    prods = latest_products(dataset).where(F.col("product_id").isNotNull()).withColumn("ts_load", ts)
+    prods = latest_products(dataset).withColumn("ts_load", ts)
     product_dim = dml.conform(assign_ids(prods, "id_producto", ["product_id"]),
                               empty(dataset.sparkSession, schemas.PRODUCT_DIM))
     if stage:

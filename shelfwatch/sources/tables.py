@@ -57,12 +57,23 @@ def write_table(df: DataFrame, target: str, mode: str = "append",
     return True
 
 
-def replace_table(df: DataFrame, target: str, partition_by: Sequence[str] | None = None) -> None:
+def replace_table(df: DataFrame, target: str, partition_by: Sequence[str] | None = None,
+                  attempts: int = 3) -> str:
     """Overwrite ``target`` with ``df`` even when ``df`` was computed from it:
-    the content is first staged in the shared checkpoint folder (one pass)."""
+    the content is first staged in the shared checkpoint folder (one pass).
+    The staged copy no longer depends on the target, so a failed overwrite is
+    retried from it; its path is returned (it stays until the folder is
+    cleaned, as a recovery copy)."""
     from shelfwatch.session import stage_table
     staged = stage_table(df, "replace")
-    write_table(staged, target, "overwrite", partition_by, skip_empty=False)
+    for attempt in range(attempts):
+        try:
+            write_table(staged, target, "overwrite", partition_by, skip_empty=False)
+            break
+        except Exception:  # noqa: BLE001
+            if attempt == attempts - 1:
+                raise
+    return staged.inputFiles()[0].rsplit("/", 1)[0] if staged.inputFiles() else ""
 
 
 def backup_table(spark: SparkSession, source: str, target_base: str, day=None) -> str:
