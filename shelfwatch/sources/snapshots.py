@@ -1,5 +1,5 @@
 """Daily snapshot files: ``;``-separated CSV with a header, one file per
-capture run, one folder per day (``<yyyymmdd>/<yyyymmdd>_<hhmm>_dia.csv``).
+capture run, one folder per day (``<yyyymmdd>/<yyyymmdd>_<hhmm>_prices.csv``).
 
 Columns are bound by header name, never by position: every file is read
 with an all-text schema in the expected header order and

@@ -16,11 +16,11 @@ ROWS = ("10398;2.6;Caramelos masticables de frutas ;Sugus;17.33;€/KILO);"
 
 @pytest.fixture()
 def snapdir(tmp_path):
-    for day, name, text in (("20230826", "20230826_0828_dia.csv", HEADER + ROWS),
-                            ("20230826", "20230826_0839_dia.csv", HEADER + ROWS),
-                            ("20230902", "20230902_0858_dia.csv",
+    for day, name, text in (("20230826", "20230826_0828_prices.csv", HEADER + ROWS),
+                            ("20230826", "20230826_0839_prices.csv", HEADER + ROWS),
+                            ("20230902", "20230902_0858_prices.csv",
                              HEADER + "18013;7.99;Aceite de oliva virgen extra ;Carbonell;10.65;€/LITRO);['Aceites'];;2023-09-02\n"),
-                            ("20230911", "20230911_1958_dia.csv", "\n")):
+                            ("20230911", "20230911_1958_prices.csv", "\n")):
         d = tmp_path / day
         d.mkdir(exist_ok=True)
         (d / name).write_text(text, encoding="utf-8")
@@ -28,32 +28,32 @@ def snapdir(tmp_path):
 
 
 def test_read_snapshots_by_header_name(spark, snapdir):
-    df = Sn.read_snapshots(spark, snapdir, "*_dia.csv", with_source=True)
+    df = Sn.read_snapshots(spark, snapdir, "*_prices.csv", with_source=True)
     assert df.count() == 5                                   # two identical captures, one empty file
     r = df.where("product_id = '10789P4'").first()           # non-numeric id stays text
     assert (r.price, r.unit_price, r.discount, r.date) == (4.5, 1.36, None, dt.date(2023, 8, 26))
     assert r.product == "Loción corporal hidratante" and r.units == "€/100 ML.)"
     first = df.where("product_id = '10398'").first()
     assert first.product.endswith(" ")                        # trailing space kept unless strip=True
-    assert Sn.read_snapshots(spark, snapdir, "*_dia.csv", strip=True).where(
+    assert Sn.read_snapshots(spark, snapdir, "*_prices.csv", strip=True).where(
         "product_id = '10398'").first().product == "Caramelos masticables de frutas"
 
 
 def test_header_in_other_order_fails_loudly(spark, tmp_path):
-    (tmp_path / "x_dia.csv").write_text("price;product_id;product;brand;unit_price;units;categories;discount;date\n"
+    (tmp_path / "x_prices.csv").write_text("price;product_id;product;brand;unit_price;units;categories;discount;date\n"
                                         "1.0;7;a;b;1.0;u;[];;2023-01-01\n")
     with pytest.raises(Exception):
-        Sn.read_snapshots(spark, str(tmp_path), "*_dia.csv").collect()
+        Sn.read_snapshots(spark, str(tmp_path), "*_prices.csv").collect()
 
 
 def test_bad_numbers_become_null_under_ansi(spark, tmp_path):
-    (tmp_path / "y_dia.csv").write_text(HEADER + "1;20%;a;b;x;u;[];;not-a-date\n")
-    r = Sn.read_snapshots(spark, str(tmp_path), "*_dia.csv").first()
+    (tmp_path / "y_prices.csv").write_text(HEADER + "1;20%;a;b;x;u;[];;not-a-date\n")
+    r = Sn.read_snapshots(spark, str(tmp_path), "*_prices.csv").first()
     assert (r.price, r.unit_price, r.date) == (None, None, None)
 
 
 def test_write_snapshots_round_trip(spark, snapdir, tmp_path):
-    df = Sn.read_snapshots(spark, snapdir, "*_dia.csv")
+    df = Sn.read_snapshots(spark, snapdir, "*_prices.csv")
     out = str(tmp_path / "out")
     Sn.write_snapshots(df, out)
     assert sorted(d for d in os.listdir(out) if d.startswith("snapshot=")) == [
