@@ -26,7 +26,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     """A ``local[cores]`` session for tests and benches (never used on a cluster)."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", os.environ.get("SHELFWATCH_DRIVER_MEMORY", "8g")))
+               .config("spark.driver.memory", os.environ.get("SHELFWATCH_DRIVER_MEMORY", "16g")))
     for k, v in SESSION_DEFAULTS.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
