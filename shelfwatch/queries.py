@@ -408,8 +408,14 @@ def q_boxplot_whiskers(spark, sf):
     return _round_all(St.boxplot_whiskers(_obs(spark, sf), "unit_price"), ["q1", "median", "q3"])
 
 
+def _trimmed(spark, sf):
+    """The cleaned series (rows at most q3 + 3·IQR of unit price), staged once
+    per session: the outlier report describes it and tests it for normality."""
+    return _loaded(spark, sf, "trimmed", lambda: St.trimmed(_obs(spark, sf), "unit_price", stage=True))
+
+
 def q_trimmed_describe(spark, sf):
-    return St.describe_numeric(St.trimmed(_obs(spark, sf), "unit_price", stage=True), ["unit_price"], digits=DIGITS,
+    return St.describe_numeric(_trimmed(spark, sf), ["unit_price"], digits=DIGITS,
                               decimal_scale=2)
 
 
@@ -424,8 +430,7 @@ def q_density_price(spark, sf):
 
 
 def q_normality_price(spark, sf):
-    obs = _obs(spark, sf)
-    return St.normality_test(St.trimmed(obs, "unit_price", stage=True), "unit_price", digits=DIGITS)
+    return St.normality_test(_trimmed(spark, sf), "unit_price", digits=DIGITS)
 
 
 def q_ids_concat(spark, sf):
