@@ -32,7 +32,7 @@ def pct_change_2dp(cur, prev) -> Column:
     Prices are money with two decimals; the ratio is taken on decimal(20,2)
     (scale-18 quotient), so halves like 2.01/2.00 round up consistently.
     Null when prev is 0 or null."""
-    c = _c(cur).cast("decimal(20,2)")
-    p = _c(prev).cast("decimal(20,2)")
+    c = _c(cur).try_cast("decimal(20,2)")   # out-of-range -> null, not an ANSI error
+    p = _c(prev).try_cast("decimal(20,2)")
     ratio = F.try_divide(c, p)
     return ((F.round(ratio, 2) - F.lit(1)) * F.lit(100)).cast("double")

@@ -72,9 +72,9 @@ def test_url_ids(spark):
 
 
 def test_pct_change_rounds_half_up_exactly(spark):
-    df = spark.createDataFrame([(2.01, 2.00), (1.0, 3.0), (5.0, 0.0), (5.0, None)], "a double, b double")
+    df = spark.createDataFrame([(2.01, 2.00), (1.0, 3.0), (5.0, 0.0), (5.0, None), (1e30, 1.0)], "a double, b double")
     out = [r.p for r in df.select(nm.pct_change_2dp("a", "b").alias("p")).collect()]
-    assert out == [1.0, -67.0, None, None]   # 1.005 -> 1.01 -> +1 %
+    assert out == [1.0, -67.0, None, None, None]   # 1.005 -> 1.01 -> +1 %; overflow -> null
 
 
 def test_money_sum_is_exact(spark):
