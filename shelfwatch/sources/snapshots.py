@@ -27,10 +27,13 @@ SNAPSHOT_HEADER = ["product_id", "price", "product", "brand", "unit_price", "uni
 
 def read_snapshots(spark: SparkSession, path: str, pattern: str = "*.csv", sep: str = ";",
                    header: Sequence[str] = SNAPSHOT_HEADER, schema: StructType = schemas.SNAPSHOT,
-                   with_source: bool = False, strip: bool = False) -> DataFrame:
+                   with_source: bool = False, strip: bool = False,
+                   with_capture_time: bool = False) -> DataFrame:
     """All snapshot files under ``path`` (recursively) as one typed DataFrame
     in ``schema``'s column order. ``strip`` trims all whitespace from text;
-    ``with_source`` adds the file path."""
+    ``with_source`` adds the file path; ``with_capture_time`` adds
+    ``capture_ts`` parsed from a ``<yyyymmdd>_<hhmm>_…`` file name (null when
+    the name does not follow it), which tells two captures of a day apart."""
     text_schema = StructType()
     for c in header:
         text_schema = text_schema.add(c, StringType())
@@ -52,6 +55,9 @@ def read_snapshots(spark: SparkSession, path: str, pattern: str = "*.csv", sep:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
     if with_source:
         out.append(F.col("_metadata.file_path").alias("source_file"))
+    if with_capture_time:
+        stamp = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d{8}_\d{4})_", 1)
+        out.append(F.try_to_timestamp(F.nullif(stamp, F.lit("")), F.lit("yyyyMMdd_HHmm")).alias("capture_ts"))
     return raw.select(*out)
 
 

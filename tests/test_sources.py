@@ -108,3 +108,9 @@ def test_backup_table_under_dated_name(spark, tmp_path):
     T.write_table(spark.createDataFrame([(1, "a")], "id int, k string"), src, "overwrite")
     out = T.backup_table(spark, src, str(tmp_path / "producto_dim"), dt.date(2023, 9, 14))
     assert out.endswith("producto_dim_20230914") and spark.read.parquet(out).count() == 1
+
+
+def test_capture_time_from_file_name(spark, snapdir):
+    df = Sn.read_snapshots(spark, snapdir, "*_prices.csv", with_capture_time=True)
+    got = sorted({(r.product_id, r.capture_ts) for r in df.where("product_id = '10398'").collect()})
+    assert got == [("10398", dt.datetime(2023, 8, 26, 8, 28)), ("10398", dt.datetime(2023, 8, 26, 8, 39))]
