@@ -129,15 +129,39 @@ def element_pattern(tag: str, css_class: str | None = None) -> str:
         rf"(?is)<{tag}{attrs}>(.*?)</{tag}\s*>"
 
 
+_NUM_ENTITY = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+_NUM_ENTITY_BODY = r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+
+
+def decode_numeric_entities(col) -> Column:
+    """Decode ``&#NNN;`` / ``&#xHH;`` to the character (via UTF-32 bytes of
+    the code point); invalid code points stay as written. The text is split
+    at the entities and joined back with the decoded characters."""
+    c = _c(col)
+    parts = F.split(c, _NUM_ENTITY, -1)
+    bodies = F.regexp_extract_all(c, F.lit(_NUM_ENTITY_BODY), 1)
+
+    def to_char(b):
+        is_hex = F.lower(F.substring(b, 1, 1)) == "x"
+        code = F.when(is_hex, F.conv(F.substring(b, 2, 10), 16, 10)).otherwise(b).try_cast("int")
+        valid = (code.isNotNull() & (code > 0) & (code <= 0x10FFFF)
+                 & ~((code >= 0xD800) & (code <= 0xDFFF)))
+        ch = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(valid, ch).otherwise(F.concat(F.lit("&#"), b, F.lit(";")))
+
+    joined = F.array_join(F.zip_with(parts, F.transform(bodies, to_char),
+                                     lambda p, ch: F.concat(p, F.coalesce(ch, F.lit("")))), "")
+    return F.when(F.instr(c, "&#") > 0, joined).otherwise(c)
+
+
 def decode_entities(col) -> Column:
-    """Decode the common named/numeric entities; ``&amp;`` last so that
-    ``&amp;lt;`` becomes ``&lt;``."""
+    """Decode the common named entities and all numeric ones; ``&amp;`` last
+    so that ``&amp;lt;`` becomes ``&lt;`` and ``&amp;#39;`` stays ``&#39;``."""
     c = _c(col)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                    ("&apos;", "'"), ("&nbsp;", " "), ("&#160;", " "),
-                    ("&euro;", "€"), ("&#8364;", "€"), ("&amp;", "&")):
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
+                    ("&nbsp;", "\u00a0"), ("&euro;", "€")):
         c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    return F.replace(decode_numeric_entities(c), F.lit("&amp;"), F.lit("&"))
 
 
 def html_text(col) -> Column:

@@ -698,7 +698,8 @@ def _lit(pattern: str) -> str:
 def _sql_html_text(x: str) -> str:
     c = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
     for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-                    ("&nbsp;", " "), ("&#160;", " "), ("&euro;", "€"), ("&#8364;", "€"), ("&amp;", "&")):
+                    ("&nbsp;", "\u00a0"), ("&#160;", "\u00a0"), ("&euro;", "€"), ("&#8364;", "€"),
+                    ("&amp;", "&")):
         c = f"replace({c}, {_lit(ent)}, {_lit(ch)})"
     return c
 

@@ -80,3 +80,15 @@ def test_pct_change_rounds_half_up_exactly(spark):
 def test_money_sum_is_exact(spark):
     df = spark.createDataFrame([(0.1,)] * 10 + [(0.2,)] * 10, "x double")
     assert df.agg(nm.money_sum("x").alias("s")).first().s == 3.0
+
+
+def test_html_entities_named_and_numeric(spark):
+    cases = {
+        "caf&#233; cr&#xE8;me &amp; t&#39;": "café crème & t'",
+        "&amp;#39; and &amp;lt;": "&#39; and &lt;",
+        "&#128512;&#0;": "\U0001F600&#0;",
+        "plain": "plain",
+        None: None,
+    }
+    for text, want in cases.items():
+        assert one(spark, tx.decode_entities, text) == want, text
