@@ -114,3 +114,11 @@ def test_capture_time_from_file_name(spark, snapdir):
     df = Sn.read_snapshots(spark, snapdir, "*_prices.csv", with_capture_time=True)
     got = sorted({(r.product_id, r.capture_ts) for r in df.where("product_id = '10398'").collect()})
     assert got == [("10398", dt.datetime(2023, 8, 26, 8, 28)), ("10398", dt.datetime(2023, 8, 26, 8, 39))]
+
+
+def test_catalogue_inspection(spark):
+    spark.createDataFrame([(1,)], "x int").createOrReplaceTempView("sw_probe_view")
+    names = {r.name for r in T.catalog_tables(spark).collect()}
+    assert "sw_probe_view" in names
+    T.create_schema(spark, "sw_probe_db")
+    assert "sw_probe_db" in {d.name for d in spark.catalog.listDatabases()}
