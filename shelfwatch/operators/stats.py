@@ -206,24 +206,31 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     listed: bin, lower, upper, n. Bin membership follows the edges exactly."""
     v = F.col(col).cast("double")
     vals = df.select(v.alias("v")).where(F.col("v").isNotNull())
-    mm = vals.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    lo0, hi0 = mm.select("lo").scalar(), mm.select("hi").scalar()
-    lo = F.when(lo0 == hi0, lo0 - 0.5).otherwise(lo0)
-    hi = F.when(lo0 == hi0, hi0 + 0.5).otherwise(hi0)
-    step = (hi - lo) / F.lit(float(bins))
-    x = F.col("v")
+    mm = vals.agg(F.min("v").alias("lo0"), F.max("v").alias("hi0"))
+
+    def bounds(lo0, hi0):
+        lo = F.when(lo0 == hi0, lo0 - 0.5).otherwise(lo0)
+        hi = F.when(lo0 == hi0, hi0 + 0.5).otherwise(hi0)
+        return lo.alias("_lo"), hi.alias("_hi")
 
     def edge(i):
-        return F.when(i == bins, hi).otherwise(i * step + lo)
+        step = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
+        return F.when(i == bins, F.col("_hi")).otherwise(i * step + F.col("_lo"))
 
-    b0 = F.least(F.greatest(F.floor((x - lo) / step), F.lit(0)), F.lit(bins - 1))
-    counted = (vals.withColumn("b0", b0)
+    # the bounds enter the rows once, as columns (one scalar subquery)
+    lo0, hi0 = mm.select("lo0").scalar(), mm.select("hi0").scalar()
+    x = F.col("v")
+    step = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
+    b0 = F.least(F.greatest(F.floor((x - F.col("_lo")) / step), F.lit(0)), F.lit(bins - 1))
+    counted = (vals.select("v", *bounds(lo0, hi0))
+               .withColumn("b0", b0)
                .withColumn("b1", F.when(x < edge(F.col("b0")), F.col("b0") - 1).otherwise(F.col("b0")))
                .withColumn("bin", F.when((F.col("b1") < bins - 1) & (x >= edge(F.col("b1") + 1)),
                                          F.col("b1") + 1).otherwise(F.col("b1")).cast("int"))
                .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
     # The bin table has ``bins`` rows, derived from the one-row min/max.
-    grid = mm.select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    grid = mm.select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
+                     *bounds(F.col("lo0"), F.col("hi0")))
     return (grid.join(counted, "bin", "left")
             .select(F.col("bin").cast("int").alias("bin"),
                     edge(F.col("bin")).alias("lower"), edge(F.col("bin") + 1).alias("upper"),
