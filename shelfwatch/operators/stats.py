@@ -250,8 +250,8 @@ def _kde_partials(points: int):
             if pdf.empty:
                 continue
             if meta is None:
-                meta = (float(pdf["lo"].iat[0]), float(pdf["hi"].iat[0]), float(pdf["bw"].iat[0]))
-                lo, hi, _ = meta
+                meta = tuple(float(pdf[c].iat[0]) for c in ("lo", "hi", "bw", "n"))
+                lo, hi, _, _ = meta
                 grid = np.linspace(lo, hi, points)
                 acc = np.zeros(points)
             bw = meta[2]
@@ -265,7 +265,9 @@ def _kde_partials(points: int):
                 np.exp(z, out=z)
                 acc += z @ w[s:s + 2048]
         if acc is not None:
-            yield pd.DataFrame({"i": np.arange(points, dtype=np.int32), "s": acc})
+            lo, hi, bw, n = meta
+            yield pd.DataFrame({"i": np.arange(points, dtype=np.int32), "s": acc,
+                                "lo": lo, "hi": hi, "bw": bw, "n": n})
     return run
 
 
@@ -291,13 +293,14 @@ def density(df: DataFrame, col: str, points: int = 1000) -> DataFrame:
     cores = max(1, df.sparkSession.sparkContext.defaultParallelism)
     weighted = (vals.groupBy("v").agg(F.count(F.lit(1)).cast("double").alias("w"))
                 .repartition(cores, "v")
-                .select("v", "w", lo.alias("lo"), hi.alias("hi"), bw.alias("bw")))
-    partial = weighted.mapInPandas(_kde_partials(points), "i int, s double")
-    sums = partial.groupBy("i").agg(F.sum("s").alias("s"))
-    step = (hi - lo) / F.lit(float(points - 1))
-    x = F.when(F.col("i") == points - 1, hi).otherwise(F.col("i") * step + lo)
+                .select("v", "w", lo.alias("lo"), hi.alias("hi"), bw.alias("bw"), n.cast("double").alias("n")))
+    partial = weighted.mapInPandas(_kde_partials(points), "i int, s double, lo double, hi double, bw double, n double")
+    # the grid parameters travel with the partial sums (equal in every row)
+    sums = partial.groupBy("i").agg(F.sum("s").alias("s"), *[F.max(c).alias(c) for c in ("lo", "hi", "bw", "n")])
+    step = (F.col("hi") - F.col("lo")) / F.lit(float(points - 1))
+    x = F.when(F.col("i") == points - 1, F.col("hi")).otherwise(F.col("i") * step + F.col("lo"))
     return sums.select("i", x.alias("x"),
-                       (F.col("s") / (n.cast("double") * bw * F.lit(_SQRT_2PI))).alias("density"))
+                       (F.col("s") / (F.col("n") * F.col("bw") * F.lit(_SQRT_2PI))).alias("density"))
 
 
 # --- D'Agostino–Pearson K² ---------------------------------------------------------
