@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwatch.llm import chat, curriculum, kdshards, simhash
+from shelfwatch.llm import chat, curriculum, decontam, kdshards, langid, licenses, phrases, simhash, toxicity
 from shelfwatch.llm.common import read
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of the benchmark, and how closely."""
+    out = decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "item_id", "edits", "item_chars", "similarity")
+
+
 def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of near-equal bytes."""
     out = kdshards.kd_shards(read(spark, sf_dir, "documents"), shards=16)
@@ -16,6 +22,17 @@ def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; learned from the labels of two folds of three."""
+    out = toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted", F.size("offending").cast("long").alias("n_offending"))
+
+
+def op5_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and their likeness."""
+    return phrases.edit_study(read(spark, sf_dir, "documents"))
+
+
 def op6_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document, with the time of its first copy, in training order."""
     out = curriculum.curriculum(read(spark, sf_dir, "documents"))
@@ -23,6 +40,15 @@ def op6_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
             .orderBy(F.col("position").asc_nulls_last(), "doc_id"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices of every document."""
+    out = licenses.scan_licenses(read(spark, sf_dir, "documents"))
+    names = lambda *cols: F.array_join(F.array_sort(F.array_distinct(F.concat(*[F.col(f"{c}.label") for c in cols]))), ",")
+    return out.select("doc_id", "n_words", F.size("base_hits").cast("long").alias("n_base"),
+                      F.array_min("base_hits.first").alias("first_word"), F.array_max("base_hits.first").alias("last_word"),
+                      names("base_hits").alias("base_labels"), names("base_hits", "spans").alias("labels"), "score")
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one that holds control strings, formatted and read back."""
     own = "<|im_end|><|im_start|>assistant ok"
@@ -36,6 +62,11 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned from three folds of four."""
+    return langid.languages(read(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     out = simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
@@ -43,9 +74,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_kd_shards": op2_kd_shards,
+    "op4_toxicity": op4_toxicity,
+    "op5_phrases": op5_phrases,
     "op6_curriculum": op6_curriculum,
+    "op7_licenses": op7_licenses,
     "op8_chat_format": op8_chat_format,
+    "op9_language": op9_language,
     "op10_simhash": op10_simhash,
 }
 

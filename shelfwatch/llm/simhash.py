@@ -13,13 +13,11 @@ from shelfwatch.session import stage_table
 
 BITS = 64
 SEED = 42
-#: the bytes that end words; everything else belongs to a word
-_SPACES = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 
 
 def simhash(text: str | None, shingle: int = 4) -> int:
     """Unsigned 64-bit fingerprint of one text; 0 for null and for texts without words."""
-    words = [w for w in (text or "").encode("utf-8", "surrogatepass").translate(LOWER_AZ).translate(_SPACES).split(b" ") if w]
+    words = (text or "").encode().translate(LOWER_AZ).split()  # bytes split at exactly the six spaces of the word rule
     if not words:
         return 0
     joined = b" ".join(words)
