@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwatch.llm import chat, curriculum, decontam, kdshards, langid, licenses, phrases, simhash, toxicity
+from shelfwatch.llm import chat, curriculum, decontam, kdshards, langid, licenses, phrases, simhash, suffixes, toxicity
 from shelfwatch.llm.common import read
 
 
@@ -22,6 +22,12 @@ def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the bytes of 400-byte strings that also start elsewhere; all copies go."""
+    out = suffixes.repeated_spans(read(spark, sf_dir, "documents"), min_len=400, keep="none")
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; learned from the labels of two folds of three."""
     out = toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -76,6 +82,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_kd_shards": op2_kd_shards,
+    "op3_suffixes": op3_suffixes,
     "op4_toxicity": op4_toxicity,
     "op5_phrases": op5_phrases,
     "op6_curriculum": op6_curriculum,
