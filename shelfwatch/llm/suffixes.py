@@ -3,8 +3,9 @@
 Sorting all suffixes of a corpus by a shuffle would move it hundreds of times
 over. Every window of ``min_len`` bytes holds an anchor, the least hash among
 its ``gram``-byte strings, and equal windows hold the same anchor at the same
-place. So only suffixes around anchors that occur more than once meet: those
-that start at the anchor are sorted, and the order of the suffixes that start
+place. Anchors that occur more than once are looked at again with what all
+windows share that hold them in their first or in their last part. Only
+suffixes around what is repeated there meet: those that start there are sorted, and the order of the suffixes that start
 one byte further left is induced from it, byte by byte, with their common
 prefixes. A window has an earlier copy (longest previous factor of min_len or
 more) if the run of suffixes that share min_len bytes with it holds an earlier
@@ -76,8 +77,8 @@ def _anchors(h: np.ndarray, w: int) -> np.ndarray:
     return at[np.concatenate(([True], at[1:] != at[:-1]))]
 
 
-def anchors_of(b: bytes, min_len: int, gram: int, hasher: Hasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchors of a text: places, hashes of their grams, hashes of all that any window around them holds."""
+def anchors_of(b: bytes, min_len: int, gram: int, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
+    """Anchors of a text: places and hashes of their grams."""
     n = len(b)
     found = []
     for s in range(0, n - min_len + 1, PIECE):  # the windows that start in this piece
@@ -89,22 +90,37 @@ def anchors_of(b: bytes, min_len: int, gram: int, hasher: Hasher) -> tuple[np.nd
         windows = min(PIECE, n - min_len + 1 - s)
         h = hasher.all(gram)
         at = _anchors(h[first:first + windows + min_len - gram], min_len - gram + 1) + first
-        lo, hi = np.maximum(at - (min_len - gram), -base), at + min_len
-        lo, hi = np.maximum(lo, 0), np.minimum(hi, n - base)
-        found.append((at + base, h[at], _mix(hasher.some(lo, hi) + (at - lo).astype(_U))))
+        found.append((at + base, h[at]))
     if not found:
-        z = np.zeros(0, _U)
-        return z.astype(np.int64), z, z
-    at, kg, cls = (np.concatenate(c) for c in zip(*found))
+        return np.zeros(0, np.int64), np.zeros(0, _U)
+    at, kg = (np.concatenate(c) for c in zip(*found))
     at, keep = np.unique(at, return_index=True)
-    return at, kg[keep], cls[keep]
+    return at, kg[keep]
+
+
+def halves_of(b: bytes, at: np.ndarray, min_len: int, gram: int, hasher: Hasher) -> list[tuple[np.ndarray, ...]]:
+    """For the windows that hold an anchor in their first and in their last part: the
+    start of what they all share, its hash, and the hash of all that they hold."""
+    n, side = len(b), min_len - gram
+    half = side // 2
+    out = []
+    for near in np.split(at, np.flatnonzero(np.diff(at // PIECE)) + 1) if len(at) else []:
+        base = max(0, int(near[0]) - min_len)
+        hasher.load(np.frombuffer(b[base:int(near[-1]) + 2 * min_len], np.uint8))
+        for k, (back, core, steps) in enumerate(((0, min_len - half, half), (half + 1, gram + half + 1, side - half - 1))):
+            q = near - back
+            q = q[(q >= 0) & (q + core <= n)]
+            lo, hi = np.maximum(q - steps, 0), np.minimum(q + min_len, n)
+            out.append((q, np.full(len(q), steps), _mix(hasher.some(q - base, q + core - base) + _U(k)),
+                        _mix(hasher.some(lo - base, hi - base) + (q - lo).astype(_U))))
+    return out
 
 
 def repeats_in_block(group: np.ndarray, rank: np.ndarray, left: np.ndarray, texts: list[bytes], min_len: int, gram: int,
                      first_stays: bool) -> np.ndarray:
     """Which windows around anchors are repeated: (offset of the anchor in the window, member) -> bool.
 
-    Members of a group bear the same gram at ``left`` in their texts; ``rank``
+    Members of a group share ``gram`` bytes at ``left`` in their texts; ``rank``
     orders members by position in the corpus. With ``first_stays`` the window
     of least rank among equal ones isn't marked.
     """
@@ -235,58 +251,68 @@ def repeated_spans(docs: DataFrame, min_len: int = MIN_LEN, gram: int = GRAM, ke
     def find(batches):
         hasher = Hasher()
         for ids, th, texts in batches:
-            n, cols = [], []
-            for t in texts:
-                got = anchors_of(t.encode("utf-8", "surrogatepass"), min_len, gram, hasher)
-                n.append(len(got[0]))
-                cols.append(got)
-            at, kg, cls = (np.concatenate(c) for c in zip(*cols))
-            who = np.repeat(np.arange(len(ids)), n).tolist()
-            yield [[ids[i] for i in who], [th[i] for i in who], at.astype(np.int32), kg.view(np.int64), cls.view(np.int64)]
-
-    anchors = stage_table(map_rows(base.where(F.octet_length("text") >= min_len), "doc_id bigint, th bigint, pos int, kg bigint, cls bigint", find), "anchors")
-    often = anchors.groupBy("kg").agg(F.count("*").alias("n")).where("n > 1").select("kg")
-    shared = stage_table(anchors.join(often, "kg", "left_semi"), "shared")
-    classes = shared.groupBy("kg", "cls").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "th", "pos")).alias("rep"))
+            got = [anchors_of(t.encode("utf-8", "surrogatepass"), min_len, gram, hasher) for t in texts]
+            who = np.repeat(np.arange(len(ids)), [len(at) for at, _ in got]).tolist()
+            at, kg = (np.concatenate(c) for c in zip(*got))
+            yield [[ids[i] for i in who], [th[i] for i in who], at.astype(np.int32), kg.view(np.int64)]
+
+    def halve(batches):
+        hasher = Hasher()
+        for ids, th, texts, ats in batches:
+            out = []
+            for i, h, t, at in zip(ids, th, texts, ats):
+                for q, steps, kg, cls in halves_of(t.encode("utf-8", "surrogatepass"), np.sort(np.array(at, np.int64)), min_len, gram, hasher):
+                    out += zip([i] * len(q), [h] * len(q), q.tolist(), steps.tolist(), kg.view(np.int64).tolist(), cls.view(np.int64).tolist())
+            if out:
+                yield [list(c) for c in zip(*out)]
+
+    def same_row(d="_d", t="_t"):
+        return F.col("doc_id").eqNullSafe(F.col(d)) & (F.col("th") == F.col(t))
+
+    anchors = stage_table(map_rows(base.where(F.octet_length("text") >= min_len), "doc_id bigint, th bigint, pos int, kg bigint", find), "anchors")
+    often = stage_table(anchors.groupBy("kg").agg(F.count("*").alias("n")).where("n > 1").select("kg"), "often")
+    shared = (anchors.join(often, "kg", "left_semi").groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_t"))
+              .agg(F.collect_set("pos").alias("ats")))
+    # every document that shares an anchor, with its text; equal rows stay, they count as copies
+    cand = stage_table(base.join(shared, same_row()).drop("_d", "_t"), "candidates")
+    parts_of = stage_table(map_rows(cand, "doc_id bigint, th bigint, pos int, steps int, kg bigint, cls bigint", halve), "halves")
+    classes = parts_of.groupBy("kg", "cls").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "th", "pos")).alias("rep"))
     classes = stage_table(classes, "classes")
-    kinds = classes.groupBy("kg").agg(F.count("*").alias("kinds"))
-    told = classes.join(kinds, "kg").select("kg", "cls", "copies", "rep", "kinds")
+    kinds = stage_table(classes.groupBy("kg").agg(F.count("*").alias("kinds"), F.sum("copies").alias("n")).where("n > 1").select("kg", "kinds"), "kinds")
+    told = classes.join(kinds, "kg")
     here = F.struct("doc_id", "th", "pos")
-    marks = (shared.join(told, ["kg", "cls"])
-             .withColumn("lead", here.eqNullSafe(F.col("rep")))
-             .withColumn("full", (F.col("copies") > 1) & (~F.col("lead") if first_stays else F.lit(True)))
-             .withColumn("ask", (F.col("kinds") > 1) & F.col("lead"))
-             .where("full OR ask")
-             .withColumn("parts", F.ceil(F.col("kinds") / group).cast("int"))
-             .groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_t"))
-             .agg(F.collect_set(F.struct("pos", "kg", "full", "ask", "parts")).alias("marks")))
-    cand = base.join(marks, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t"))).drop("_d", "_t")
-    cand = stage_table(cand, "candidates")  # every document that shares an anchor, with its text
+    marks = stage_table(
+        parts_of.join(told, ["kg", "cls"])
+        .withColumn("lead", here.eqNullSafe(F.col("rep")))
+        .withColumn("full", (F.col("copies") > 1) & (~F.col("lead") if first_stays else F.lit(True)))
+        .withColumn("ask", (F.col("kinds") > 1) & F.col("lead"))
+        .where("full OR ask").withColumn("parts", F.ceil(F.col("kinds") / group).cast("int"))
+        .select("doc_id", "th", "pos", "steps", "kg", "full", "ask", "parts").distinct(), "marks")
+    asks = marks.where("ask").groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).agg(
+        F.collect_list(F.struct("pos", "steps", "kg", "parts")).alias("asks"))
 
     def cut(batches):
-        for ids, th, texts, all_marks in batches:
+        for ids, th, texts, all_asks in batches:
             out = []
-            for i, h, t, ms in zip(ids, th, texts, all_marks):
+            for i, h, t, ms in zip(ids, th, texts, all_asks):
                 b = t.encode("utf-8", "surrogatepass")
                 for m in ms:
-                    if m["ask"]:
-                        p, n = m["pos"], m["parts"]
-                        lo = max(0, p - side)
-                        out.append((i, h, p, m["kg"], hash((i, p)) % n if n > 1 else 0, n, p - lo, b[lo:p + min_len]))
-            if out:
-                yield [list(c) for c in zip(*out)]
+                    p, n = m["pos"], m["parts"]
+                    lo = max(0, p - m["steps"])
+                    out.append((i, h, p, m["kg"], hash((i, p)) % n if n > 1 else 0, n, p - lo, b[lo:p + min_len]))
+            yield [list(c) for c in zip(*out)]
 
-    contexts = map_rows(cand.select("doc_id", "th", "text", "marks"), "doc_id bigint, th bigint, pos int, kg bigint, part int, parts int, left int, bytes binary", cut)
+    contexts = map_rows(cand.select("doc_id", "th", "text").join(asks, same_row()).select("doc_id", "th", "text", "asks"),
+                        "doc_id bigint, th bigint, pos int, kg bigint, part int, parts int, left int, bytes binary", cut)
     contexts = contexts.repartition("kg", "part").sortWithinPartitions("kg", "part")
-    pieces = stage_table(_find(contexts, min_len, gram, first_stays), "pieces")
+    pieces = stage_table(_find(contexts, min_len, min_len - side // 2, first_stays), "pieces")
     windows = pieces.where("wh IS NOT NULL")
     window_kinds = windows.groupBy("kg", "off", "wh").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "first")).alias("least")).where("n > 1")
     across = windows.join(window_kinds, ["kg", "off", "wh"])
     if first_stays:
         across = across.where(~F.struct("doc_id", "th", "first").eqNullSafe(F.col("least")))
-    whole = (cand.select("doc_id", "th", F.octet_length("text").alias("n"), F.explode("marks").alias("m")).where("m.full")
-             .select("doc_id", "th", F.greatest(F.col("m.pos") - side, F.lit(0)).cast("long").alias("first"),
-                     F.least(F.col("m.pos") + min_len, F.col("n")).cast("long").alias("end")))
+    whole = marks.where("full").select("doc_id", "th", F.greatest(F.col("pos") - F.col("steps"), F.lit(0)).cast("long").alias("first"),
+                                       (F.col("pos") + min_len).cast("long").alias("end"))
     ranges = pieces.where("wh IS NULL").select("doc_id", "th", "first", "end").unionAll(whole) \
         .unionAll(across.select("doc_id", "th", "first", "end"))
     ranges = ranges.groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).agg(F.collect_set(F.struct("first", "end")).alias("ranges"))
@@ -299,7 +325,7 @@ def repeated_spans(docs: DataFrame, min_len: int = MIN_LEN, gram: int = GRAM, ke
             for t, rs in zip(texts, all_ranges):
                 b = t.encode("utf-8", "surrogatepass")
                 spans = []
-                for a, z in sorted((r["first"], r["end"]) for r in rs):
+                for a, z in sorted((r["first"], min(r["end"], len(b))) for r in rs):
                     if spans and a <= spans[-1]["end"]:
                         spans[-1]["end"] = max(spans[-1]["end"], z)
                     else:
