@@ -19,6 +19,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: rows that are Python objects at a time
+ROWS_AT_ONCE = 1024
+
+
 def map_rows(df: DataFrame, schema: str, work: Callable[[Iterator[list[list]]], Iterator[list[list]]]) -> DataFrame:
     """``mapInArrow`` over column lists: ``work`` gets an iterator of batches (one
     Python list per column of ``df``) and yields column lists of ``schema``."""
@@ -27,7 +31,8 @@ def map_rows(df: DataFrame, schema: str, work: Callable[[Iterator[list[list]]],
     arrow = to_arrow_schema(spark_schema)
 
     def run(batches):
-        lists = ([c.to_pylist() for c in b.columns] for b in batches)
+        parts = (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE))
+        lists = ([c.to_pylist() for c in b.columns] for b in parts)
         for out in work(lists):
             if len(out[0]):
                 yield pa.RecordBatch.from_arrays(
