@@ -11,6 +11,8 @@ from shelfwatch.session import stage_table
 
 SIMILARITY = 0.8  # 1 - edits / characters of the item
 REPEATS = 3
+#: a window with an equal key is a candidate if its first bytes, at most so many, are within LOCAL_EDITS of them in edits
+LOCAL, LOCAL_EDITS = 64, 0.3
 #: steps of the walk per window class, and how many of them a key samples
 CLASSES = ((8, 8), (32, 12), (128, 20))
 MAP_BITS = 24  # of the two bit maps that go to all tasks: 2 MB each, whatever the size of the benchmark
@@ -117,10 +119,10 @@ def _in_map(bit_map: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def item_keys(items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(item_id, pair)`` hashes of word pairs and ``(item_id, key)`` of windows of the items."""
+    """``pair`` hashes of the items' word pairs, and ``(item_id, key, piece)`` of their windows with the bytes that begin them."""
     def work(batches):
         for ids, texts in batches:
-            who, pairs, keys = [], [], []
+            who, pairs, keys, pieces = [], [], [], []
             for i, t in zip(ids, texts):
                 b = normal(t)
                 classes = item_classes(len(b))
@@ -135,18 +137,19 @@ def item_keys(items: DataFrame) -> tuple[DataFrame, DataFrame]:
                     who += [i] * len(keep)
                     pairs += h.view(np.int64)[keep].tolist()
                     keys += key.tolist()
-            yield [who, pairs, keys]
+                    pieces += [b[p:p + LOCAL] for p in at[keep].tolist()]
+            yield [who, pairs, keys, pieces]
 
-    found = stage_table(map_rows(items, "item_id bigint, pair bigint, key bigint", work), "items")
-    return found.select("item_id", "pair").distinct(), found.select("item_id", "key").distinct()
+    found = stage_table(map_rows(items, "item_id bigint, pair bigint, key bigint, piece binary", work), "items")
+    return found.select("pair").distinct(), found.select("item_id", "key", "piece").distinct()
 
 
 def regions(docs: DataFrame, pair_map: np.ndarray, key_map: np.ndarray, reach: int) -> DataFrame:
-    """Parts of documents that hold windows with a key of some item: ``doc_id, first, region, keys``.
+    """Parts of documents that hold windows with a key of some item: ``doc_id, first, region, hits``.
 
     Windows start at every word whose pair with the next word occurs in some
     item. ``reach`` bytes are taken along on either side; ``first`` is the byte
-    offset in the normalised text.
+    offset in the normalised text. ``hits`` are the keys with the bytes that follow.
     """
     def hits(a):
         at, h = word_pairs(a)
@@ -165,7 +168,8 @@ def regions(docs: DataFrame, pair_map: np.ndarray, key_map: np.ndarray, reach: i
         at, keys = at[order], keys[order]
         for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) > reach) + 1):
             first, end = max(0, int(at[part[0]]) - reach), int(at[part[-1]]) + reach
-            out.append((doc_id, first, b[first:end].decode("utf-8", "ignore"), np.unique(keys[part]).tolist()))
+            out.append((doc_id, first, b[first:end].decode("utf-8", "ignore"),
+                        [{"key": k, "local": b[p:p + LOCAL * 5 // 4]} for p, k in zip(at[part].tolist(), keys[part].tolist())]))
 
     def work(batches):
         for ids, texts in batches:
@@ -205,7 +209,7 @@ def regions(docs: DataFrame, pair_map: np.ndarray, key_map: np.ndarray, reach: i
             if out:
                 yield [list(c) for c in zip(*out)]
 
-    return map_rows(docs.select("doc_id", "text"), "doc_id bigint, first bigint, region string, keys array<bigint>", work)
+    return map_rows(docs.select("doc_id", "text"), "doc_id bigint, first bigint, region string, hits array<struct<key:bigint,local:binary>>", work)
 
 
 def best_match(item: str, text: str) -> tuple[int, int]:
@@ -247,20 +251,38 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
     ``docs(doc_id, text)``, ``items(item_id, text)``. A document holds an item
     if some part of its text (in lower case, runs of spaces as one) is within
     (1 - similarity) x the item's characters in edits of it. Candidates come
-    from equal LSH keys of windows at all words; each is verified by exact edit
-    distance, so all rows are right, and recall is probabilistic: an item has a
+    from equal LSH keys of windows at all words whose first bytes are alike too;
+    each is verified by exact edit distance, so all rows are right, and recall is probabilistic: an item has a
     key per word and repeat, of which one has to survive. Items of fewer than 8
     bytes or of one word match nothing, nor do null and empty texts. One row
     per document and item with the fewest edits; repeated rows count once.
     ``first`` is a byte offset of the matched region in the normalised text.
     """
     pairs, keys = item_keys(items.select("item_id", "text"))
-    pair_map, key_map = _bit_map(pairs.select(F.col("pair").alias("h")).distinct()), _bit_map(keys.select(F.col("key").alias("h")).distinct())
+    pair_map, key_map = _bit_map(pairs.select(F.col("pair").alias("h"))), _bit_map(keys.select(F.col("key").alias("h")).distinct())
     longest = items.agg(F.max(F.octet_length(F.lower("text")))).first()[0] or 0
     reach = int(longest * (2 - similarity)) + 16
     parts = stage_table(regions(docs, pair_map, key_map, reach), "regions").withColumn("rid", F.xxhash64("region"))
-    cand = (parts.select("doc_id", "first", "rid", F.explode("keys").alias("key")).join(keys, "key")
-            .select(F.col("doc_id").alias("_d"), F.col("first").alias("_f"), F.col("rid").alias("_r"), "item_id").distinct())
+    hits = (parts.select("doc_id", "first", "rid", F.explode("hits").alias("hit"))
+            .select("doc_id", "first", "rid", F.col("hit.key").alias("key"), F.col("hit.local").alias("local"))
+            .join(keys, "key").select("doc_id", "first", "rid", "item_id", "local", "piece"))
+
+    def near(batches):
+        known: dict[tuple[bytes, bytes], bool] = {}
+        for ids, first, rid, item_ids, local, piece in batches:
+            if len(known) > 100_000:
+                known.clear()
+            out = set()
+            for row in zip(ids, first, rid, item_ids, local, piece):
+                ok = known.get(row[4:])
+                if ok is None:
+                    ok = known[row[4:]] = best_match(row[5].decode("latin-1"), row[4].decode("latin-1"))[0] <= LOCAL_EDITS * len(row[5])
+                if ok:
+                    out.add(row[:4])
+            if out:
+                yield [list(c) for c in zip(*out)]
+
+    cand = map_rows(hits, "_d bigint, _f bigint, _r bigint, item_id bigint", near).distinct()
     both = (cand.join(parts, F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_f") == F.col("first")) & (F.col("_r") == F.col("rid")))
             .join(items.select("item_id", F.col("text").alias("item")).distinct(), "item_id")
             .select("doc_id", "first", "region", "item_id", "item"))
