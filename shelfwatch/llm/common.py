@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from shelfwatch.session import stage_table
+
 # Spaces of the word rules: space, tab, newline, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 LOWER_AZ = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -41,6 +43,17 @@ def map_rows(df: DataFrame, schema: str, work: Callable[[Iterator[list[list]]],
     return df.mapInArrow(run, spark_schema)
 
 
+def stage_mapped(df: DataFrame, name: str) -> DataFrame:
+    """``stage_table`` with Arrow batches of ROWS_AT_ONCE rows, so that tasks hold few texts at a time."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = conf.get(key)
+    conf.set(key, str(ROWS_AT_ONCE))
+    try:
+        return stage_table(df, name)
+    finally:
+        conf.set(key, usual)
+
+
 def before_sums(df: DataFrame, key: str, bucket: str, order: list[Column], value: Column, out: str) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the rows of the same ``key`` that come earlier in ``order``.
 

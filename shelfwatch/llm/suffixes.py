@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwatch.llm.common import map_rows
+from shelfwatch.llm.common import map_rows, stage_mapped
 from shelfwatch.session import stage_table
 
 MIN_LEN = 400
@@ -246,7 +246,9 @@ def repeated_spans(docs: DataFrame, min_len: int = MIN_LEN, gram: int = GRAM, ke
     first_stays = keep == "first"
     side = min_len - gram
     text = F.coalesce("text", F.lit(""))
-    base = docs.select("doc_id", F.xxhash64(text).alias("th"), text.alias("text"))
+    # (doc_id, th) names a row; doc_id is not null from here on, a null one is in th
+    low = F.lit(-(1 << 63)).cast("long")
+    base = docs.select(F.coalesce("doc_id", low).alias("doc_id"), F.xxhash64(F.col("doc_id").isNull(), text).alias("th"), text.alias("text"))
 
     def find(batches):
         hasher = Hasher()
@@ -266,16 +268,13 @@ def repeated_spans(docs: DataFrame, min_len: int = MIN_LEN, gram: int = GRAM, ke
             if out:
                 yield [list(c) for c in zip(*out)]
 
-    def same_row(d="_d", t="_t"):
-        return F.col("doc_id").eqNullSafe(F.col(d)) & (F.col("th") == F.col(t))
-
-    anchors = stage_table(map_rows(base.where(F.octet_length("text") >= min_len), "doc_id bigint, th bigint, pos int, kg bigint", find), "anchors")
+    anchors = stage_mapped(map_rows(base.where(F.octet_length("text") >= min_len), "doc_id bigint, th bigint, pos int, kg bigint", find), "anchors")
     often = stage_table(anchors.groupBy("kg").agg(F.count("*").alias("n")).where("n > 1").select("kg"), "often")
-    shared = (anchors.join(often, "kg", "left_semi").groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_t"))
+    shared = (anchors.join(often, "kg", "left_semi").groupBy("doc_id", "th")
               .agg(F.collect_set("pos").alias("ats")))
     # every document that shares an anchor, with its text; equal rows stay, they count as copies
-    cand = stage_table(base.join(shared, same_row()).drop("_d", "_t"), "candidates")
-    parts_of = stage_table(map_rows(cand, "doc_id bigint, th bigint, pos int, steps int, kg bigint, cls bigint", halve), "halves")
+    cand = stage_table(base.join(shared, ["doc_id", "th"]), "candidates")
+    parts_of = stage_mapped(map_rows(cand.select("doc_id", "th", "text", "ats"), "doc_id bigint, th bigint, pos int, steps int, kg bigint, cls bigint", halve), "halves")
     classes = parts_of.groupBy("kg", "cls").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "th", "pos")).alias("rep"))
     classes = stage_table(classes, "classes")
     kinds = stage_table(classes.groupBy("kg").agg(F.count("*").alias("kinds"), F.sum("copies").alias("n")).where("n > 1").select("kg", "kinds"), "kinds")
@@ -288,7 +287,7 @@ def repeated_spans(docs: DataFrame, min_len: int = MIN_LEN, gram: int = GRAM, ke
         .withColumn("ask", (F.col("kinds") > 1) & F.col("lead"))
         .where("full OR ask").withColumn("parts", F.ceil(F.col("kinds") / group).cast("int"))
         .select("doc_id", "th", "pos", "steps", "kg", "full", "ask", "parts").distinct(), "marks")
-    asks = marks.where("ask").groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).agg(
+    asks = marks.where("ask").groupBy("doc_id", "th").agg(
         F.collect_list(F.struct("pos", "steps", "kg", "parts")).alias("asks"))
 
     def cut(batches):
@@ -302,10 +301,10 @@ def repeated_spans(docs: DataFrame, min_len: int = MIN_LEN, gram: int = GRAM, ke
                     out.append((i, h, p, m["kg"], hash((i, p)) % n if n > 1 else 0, n, p - lo, b[lo:p + min_len]))
             yield [list(c) for c in zip(*out)]
 
-    contexts = map_rows(cand.select("doc_id", "th", "text").join(asks, same_row()).select("doc_id", "th", "text", "asks"),
+    contexts = map_rows(cand.select("doc_id", "th", "text").join(asks, ["doc_id", "th"]).select("doc_id", "th", "text", "asks"),
                         "doc_id bigint, th bigint, pos int, kg bigint, part int, parts int, left int, bytes binary", cut)
     contexts = contexts.repartition("kg", "part").sortWithinPartitions("kg", "part")
-    pieces = stage_table(_find(contexts, min_len, min_len - side // 2, first_stays), "pieces")
+    pieces = stage_mapped(_find(contexts, min_len, min_len - side // 2, first_stays), "pieces")
     windows = pieces.where("wh IS NOT NULL")
     window_kinds = windows.groupBy("kg", "off", "wh").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "first")).alias("least")).where("n > 1")
     across = windows.join(window_kinds, ["kg", "off", "wh"])
@@ -315,9 +314,8 @@ def repeated_spans(docs: DataFrame, min_len: int = MIN_LEN, gram: int = GRAM, ke
                                        (F.col("pos") + min_len).cast("long").alias("end"))
     ranges = pieces.where("wh IS NULL").select("doc_id", "th", "first", "end").unionAll(whole) \
         .unionAll(across.select("doc_id", "th", "first", "end"))
-    ranges = ranges.groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).agg(F.collect_set(F.struct("first", "end")).alias("ranges"))
-    hit = cand.select("doc_id", "th", "text").dropDuplicates(["doc_id", "th"]).join(
-        ranges, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t"))).select("doc_id", "th", "text", "ranges")
+    ranges = ranges.groupBy("doc_id", "th").agg(F.collect_set(F.struct("first", "end")).alias("ranges"))
+    hit = cand.select("doc_id", "th", "text").join(ranges, ["doc_id", "th"]).select("doc_id", "th", "text", "ranges")
 
     def remove(batches):
         for ids, th, texts, all_ranges in batches:
@@ -335,10 +333,11 @@ def repeated_spans(docs: DataFrame, min_len: int = MIN_LEN, gram: int = GRAM, ke
                 spans_of.append(spans)
             yield [ids, th, spans_of, [hashlib.sha256(k).hexdigest() for k in kept_of], kept_of if with_text else [None] * len(ids)]
 
-    done = map_rows(hit, "_d bigint, _t bigint, spans array<struct<first:bigint,end:bigint>>, sha string, bytes_left binary", remove)
+    done = stage_mapped(map_rows(hit, "doc_id bigint, th bigint, spans array<struct<first:bigint,end:bigint>>, sha string, bytes_left binary",
+                                 remove), "removed").dropDuplicates(["doc_id", "th"])  # of equal rows
     all_docs = base.select("doc_id", "th", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("own_sha"),
                            *([F.col("text")] if with_text else []))
-    out = all_docs.join(done, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")), "left")
+    out = all_docs.join(done, ["doc_id", "th"], "left").withColumn("doc_id", F.when(F.col("doc_id") != low, F.col("doc_id")))
     spans = F.coalesce("spans", F.array().cast("array<struct<first:bigint,end:bigint>>"))
     return out.select("doc_id", "n_bytes",
                       F.aggregate(spans, F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["first"]).alias("n_removed"),
