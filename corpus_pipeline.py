@@ -27,9 +27,14 @@ from shelfwatch.session import scratch_path
 SHARDS = 16
 
 
+def restored(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The documents' own columns again, which operators return as ``keep_<name>``."""
+    return df.select(*[F.col(f"keep_{c}").alias(c) if f"keep_{c}" in df.columns else F.col(c) for c in columns])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs, *toxicity.train(docs, read(spark, sf_dir, "labels")), keep=docs.columns)
-    return scored.where(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+    return restored(scored.where(scored["score"] < toxicity.THRESHOLD), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,12 +47,13 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mixed = curriculum.curriculum(docs, keep=docs.columns)
-    return curriculum.training_order(mixed).select(*docs.columns)
+    return restored(curriculum.training_order(mixed), docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     placed = kdshards.kd_shards(docs, shards=SHARDS, keep=docs.columns)
-    return placed.select(*docs.columns, "shard", "slot")
+    own = [c for c in docs.columns if c not in ("shard", "slot")]  # new shards take the place of old ones
+    return placed.select(*[F.col(f"keep_{c}").alias(c) for c in own], "shard", "slot")
 
 
 STAGES = [

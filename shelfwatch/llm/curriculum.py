@@ -43,7 +43,8 @@ def source_targets(sizes: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
 
 def curriculum(docs: DataFrame, keep: list[str] | None = None, schedule: dict | None = None,
                max_epochs: int = MAX_EPOCHS, bucket_digits: int = 3) -> DataFrame:
-    """One row per document: ``doc_id, size, source_size, target, copies, taken, positions`` and the ``keep`` columns.
+    """One row per document: ``doc_id, size, source_size, target, copies, taken, positions``,
+    and the columns named in ``keep`` as ``keep_<name>``.
 
     Within its source a document has a fixed hashed place; a source that needs
     several epochs passes its documents again in the same order. The demand of
@@ -88,7 +89,7 @@ def curriculum(docs: DataFrame, keep: list[str] | None = None, schedule: dict |
     positions = F.when(F.col("copies") > 0, F.transform(F.sequence(F.lit(0), F.col("copies") - 1), position)) \
         .otherwise(F.array().cast("array<double>"))
     return laid.select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"),
-                       positions.alias("positions"), *[F.col(f"keep_{c}").alias(c) for c in keep if c != "doc_id"])
+                       positions.alias("positions"), *[f"keep_{c}" for c in keep])
 
 
 def training_order(mixed: DataFrame) -> DataFrame:

@@ -307,4 +307,4 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
 def decontaminate(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that hold no item."""
     bad = contaminated(docs.select("doc_id", "text"), items, similarity).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad")), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")

@@ -27,7 +27,8 @@ DIMENSIONS = {
 
 def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None, keep: list[str] | None = None,
               dimensions: dict | None = None, slot_bits: int = 9) -> DataFrame:
-    """``doc_id, size, text_crc32, shard, slot`` and the ``keep`` columns for every row of ``docs(doc_id, text, source, lang)``.
+    """``doc_id, size, text_crc32, shard, slot`` for every row of ``docs(doc_id, text, source, lang)``,
+    and the columns named in ``keep`` as ``keep_<name>``.
 
     The corpus is one node with as many leaves as asked for (``shards``, or the
     total over ``target_bytes``). Level by level each node is cut along the
@@ -45,7 +46,7 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     """
     spark = docs.sparkSession
     dims = dimensions or DIMENSIONS
-    keep = [c for c in keep or [] if c != "doc_id"]
+    keep = keep or []
     base = docs.select(
         "doc_id", *[F.col(c).alias(f"keep_{c}") for c in keep], "source", "lang",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
@@ -55,7 +56,7 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     edges = base.agg(F.sum("size").alias("total"), *[g(f"d_{n}").alias(f"{g.__name__}_{n}") for n in dims for g in (F.min, F.max)]).first()
     if edges["total"] is None:
         return base.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"),
-                           *[F.col(f"keep_{c}").alias(c) for c in keep])
+                           *[f"keep_{c}" for c in keep])
     if shards is None:
         shards = max(1, -(-edges["total"] // target_bytes))
     low32 = F.col("h").bitwiseAND(F.lit(0xFFFFFFFF))
@@ -79,7 +80,7 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     placed = cur.withColumn("bucket", F.shiftright("h", 64 - slot_bits).cast("int"))
     placed = before_sums(placed, "node", "bucket", [F.col("h"), F.col("doc_id"), F.col("text_crc32")], F.lit(1).cast("long"), "slot")
     return placed.select("doc_id", "size", "text_crc32", F.col("node").alias("shard"), "slot",
-                         *[F.col(f"keep_{c}").alias(c) for c in keep])
+                         *[f"keep_{c}" for c in keep])
 
 
 def _key(dims: list[str]) -> Column:

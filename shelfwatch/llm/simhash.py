@@ -110,4 +110,4 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """
     found = near_duplicates(docs, shingle, max_bits)
     drop = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_drop")).distinct()
-    return docs.join(drop, docs["doc_id"].eqNullSafe(F.col("_drop")), "left_anti")
+    return docs.join(drop, docs["doc_id"].eqNullSafe(drop["_drop"]), "left_anti")

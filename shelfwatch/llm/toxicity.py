@@ -24,6 +24,7 @@ MAX_TRAIN = 6000
 MAX_FEATURES = 1 << 16
 MIN_DOCS = 4
 CACHE = 200_000
+UNTRAINED = -30.0  # bias when no toxic document is known: every score is 0
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"[^\W_]+")
 
@@ -43,10 +44,13 @@ def word_features(w: str) -> list[str]:
 
 
 def fit(texts: list[str], labels: list[int], rounds: int = 160) -> tuple[dict[str, float], float]:
-    """Feature weights and bias that maximise the likelihood of document labels under the noisy-or."""
+    """Feature weights and bias that maximise the likelihood of document labels under the noisy-or.
+
+    Weights are not negative: as a clean sentence can't make up for a toxic one,
+    harmless words can't make up for an offending word of their sentence.
+    """
     if not texts or len(set(labels)) < 2:
-        p = min(max(sum(labels) / max(len(labels), 1), 0.001), 0.999)
-        return {}, math.log(p / (1 - p))
+        return {}, 4.0 if sum(labels) else UNTRAINED
     index: dict[str, int] = {}
     words: dict[str, list[int]] = {}
     seen: list[int] = []  # documents that have a feature
@@ -98,7 +102,7 @@ def fit(texts: list[str], labels: list[int], rounds: int = 160) -> tuple[dict[st
         mom = 0.9 * mom + 0.1 * grad
         var = 0.99 * var + 0.01 * grad * grad
         move = 0.15 * (mom / (1 - 0.9 ** step)) / (np.sqrt(var / (1 - 0.99 ** step)) + 1e-8)
-        w += move[:-1]
+        w = np.maximum(w + move[:-1], 0.0)
         b += move[-1]
     names = {i: n for n, i in index.items()}
     return {names[k]: float(x) for k, x in zip(kept.tolist(), w) if abs(x) > 1e-3}, float(b)
@@ -130,7 +134,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> tup
     # sorted, so that a rerun sums in the same order
     one = rows.select("text", "toxic", "doc_id").repartition(1).sortWithinPartitions("doc_id", "text").select("text", "toxic")
     model = {r["feature"]: r["weight"] for r in map_rows(one, "feature string, weight double", fit_all).collect()}
-    bias = model.pop("", -4.0)
+    bias = model.pop("", UNTRAINED)
     return model, bias
 
 
@@ -158,7 +162,7 @@ class Scorer:
                 z += self.word(w) if x is None else x
             if z > -2 and len(bag) > 1:  # only here does it matter that two words may share a feature
                 z = self.bias + sum([heavy(f, 0.0) for f in {f for w in bag for f in word_features(w)}])
-            if z > -30:
+            if z > UNTRAINED:
                 total += math.log1p(math.exp(z)) if z < 30 else z
                 if z >= 0 and 1 / (1 + math.exp(-z)) >= locate:
                     spans.append({"first": m.start(), "end": m.end(), "score": 1 / (1 + math.exp(-z))})
@@ -168,20 +172,20 @@ class Scorer:
 
 
 def score(docs: DataFrame, model: dict[str, float], bias: float, keep: list[str] | None = None) -> DataFrame:
-    """``doc_id, score, offending`` and the ``keep`` columns; null and empty texts have no sentence and score 0."""
-    keep = [c for c in keep or [] if c not in ("doc_id", "text")]
-    cols = ["doc_id", "text", *keep]
-    kinds = dict(docs.dtypes)
+    """``doc_id, text, score, offending``; null and empty texts have no sentence and score 0.
+
+    Further columns named in ``keep`` come out as ``keep_<name>``.
+    """
+    cells = docs.select("doc_id", "text", *[F.col(c).alias(f"keep_{c}") for c in keep or [] if c not in ("doc_id", "text")])
 
     def work(batches):
         scorer = Scorer(model, bias)
-        for cells in batches:
-            found = [scorer.score(t) for t in cells[1]]
-            yield [*cells, [x for x, _ in found], [x for _, x in found]]
+        for columns in batches:
+            found = [scorer.score(t) for t in columns[1]]
+            yield [*columns, [x for x, _ in found], [x for _, x in found]]
 
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in cols)
-    out = map_rows(docs.select(*cols), schema + ", score double, offending array<struct<first:int,end:int,score:double>>", work)
-    return out if keep else out.drop("text")
+    schema = ", ".join(f"`{c}` {kind}" for c, kind in cells.dtypes)
+    return map_rows(cells, schema + ", score double, offending array<struct<first:int,end:int,score:double>>", work)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
