@@ -16,9 +16,10 @@ def money_cents(col) -> Column:
 
 
 def money_sum(col) -> Column:
-    """Exact sum of a money column: added as bigint cents, so the result does
-    not depend on partitioning or row order (a double sum would)."""
-    return F.sum(money_cents(col)) / F.lit(100.0)
+    """Exact sum of a money column with up to ten decimal digits, added as
+    decimals, so the result does not depend on partitioning or row order (a
+    double sum would) and prices with more than two digits keep them."""
+    return F.sum(_c(col).try_cast("decimal(28,10)")).cast("double")
 
 
 def safe_div(num, den) -> Column:
@@ -27,12 +28,10 @@ def safe_div(num, den) -> Column:
 
 
 def pct_change_2dp(cur, prev) -> Column:
-    """``(round(cur / prev, 2) - 1) * 100`` in exact decimal arithmetic, half up.
-
-    Prices are money with two decimals; the ratio is taken on decimal(20,2)
-    (scale-18 quotient), so halves like 2.01/2.00 round up consistently.
-    Null when prev is 0 or null."""
-    c = _c(cur).try_cast("decimal(20,2)")   # out-of-range -> null, not an ANSI error
-    p = _c(prev).try_cast("decimal(20,2)")
-    ratio = F.try_divide(c, p)
+    """``(round(cur / prev, 2) - 1) * 100``, the ratio of the raw values rounded half up.
+
+    The ratio is taken as it prints (decimal(38,18)), so halves like 2.01/2.00
+    round up consistently. Null when prev is 0 or null, or the ratio has more
+    than 20 integer digits."""
+    ratio = F.try_divide(_c(cur).cast("double"), _c(prev).cast("double")).try_cast("decimal(38,18)")
     return ((F.round(ratio, 2) - F.lit(1)) * F.lit(100)).cast("double")

@@ -5,9 +5,10 @@ task (``Exchange SinglePartition``). Here the rows are range-partitioned and
 sorted by the order key (the same distributed sort ``ORDER BY`` uses); each
 row's position inside its partition comes from ``monotonically_increasing_id``
 and a per-partition offset comes from a table with one row per partition
-(bounded by the partition count, not by the data). Both reads of the sorted
-data share one shuffle, so the numbering is consistent; a lost executor
-recomputes the same partition in the same order because the order is total.
+(bounded by the partition count, not by the data). The sorted rows are written
+once to the shared checkpoint folder with their partition and position; counts
+and numbers both come from the written rows, so they agree whatever the
+optimiser reuses, and a lost executor reads the same files.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwatch.session import stage_table
+
 _POS_BITS = 33  # monotonically_increasing_id = partition << 33 | position
 
 
@@ -36,7 +39,9 @@ def with_global_rank(df: DataFrame, order_cols: Sequence, rank_col: str = "rank"
     tagged = (df.orderBy(*_order_exprs(df, order_cols))
               .withColumn("_sw_mono", F.monotonically_increasing_id())
               .withColumn("_sw_part", F.shiftright("_sw_mono", _POS_BITS))
-              .withColumn("_sw_pos", F.col("_sw_mono").bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
+              .withColumn("_sw_pos", F.col("_sw_mono").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
+              .drop("_sw_mono"))
+    tagged = stage_table(tagged, "rank")
     counts = tagged.groupBy("_sw_part").agg(F.count(F.lit(1)).alias("_sw_n"))
     # One row per partition: a single-task window here is bounded by the
     # number of partitions, independent of the data volume.

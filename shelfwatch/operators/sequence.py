@@ -15,12 +15,8 @@ make one task sort a third of the data. Here:
    over tasks by hashing (group, chunk), so even one hot group of identical
    rows is generated by many tasks.
 
-Identical rows are interchangeable, so the result is deterministic.
-
-``sequence_with_previous`` first measures the largest key (one partial
-aggregation); when it is small enough for one task, the plain window plan is
-used instead (one shuffle), the same way a broadcast is taken only behind a
-size check.
+Identical rows are interchangeable, so the result is deterministic. The sorted
+groups are written once (step 2), so every later step sees the same partitions.
 """
 
 from __future__ import annotations
@@ -30,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwatch.session import stage_table
+
 _POS_BITS = 33
 CHUNK = 100_000
 
@@ -38,43 +36,9 @@ def _asc(c: str) -> Column:
     return F.col(c).asc_nulls_last()
 
 
-# A key with at most this many rows is sorted by one task without trouble.
-HOT_KEY_ROWS = 5_000_000
-
-
-def largest_group(df: DataFrame, key: str) -> int:
-    """Rows of the most frequent ``key`` value: one partial aggregation, one
-    number to the driver."""
-    top = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return int(top or 0)
-
-
 def sequence_with_previous(df: DataFrame, key: str, order_cols: Sequence[str], value_col: str,
                            num_col: str = "num", prev_col: str = "prev", chunk: int = CHUNK,
-                           sort_output: bool = False, hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
-    """Guarded entry point: when no key holds more than ``hot_key_rows``
-    rows (checked with one partial aggregation), a plain per-key window is
-    safe and needs one shuffle; otherwise (or with ``hot_key_rows=None``) the
-    skew-proof plan below runs. Same result either way."""
-    if hot_key_rows is not None and largest_group(df, key) <= hot_key_rows:
-        return _sequence_by_window(df, key, order_cols, value_col, num_col, prev_col, sort_output)
-    return sequence_spread(df, key, order_cols, value_col, num_col, prev_col, chunk, sort_output)
-
-
-def _sequence_by_window(df: DataFrame, key: str, order_cols: Sequence[str], value_col: str,
-                        num_col: str, prev_col: str, sort_output: bool) -> DataFrame:
-    cols = df.columns
-    order_cols = list(order_cols)
-    rest = [c for c in cols if c != key and c not in order_cols]
-    w = Window.partitionBy(key).orderBy(*[_asc(c) for c in order_cols + rest])
-    out = df.select(*cols, F.row_number().over(w).cast("bigint").alias(num_col),
-                    F.lag(value_col).over(w).alias(prev_col))
-    return out.orderBy(_asc(key), num_col) if sort_output else out
-
-
-def sequence_spread(df: DataFrame, key: str, order_cols: Sequence[str], value_col: str,
-                    num_col: str = "num", prev_col: str = "prev", chunk: int = CHUNK,
-                    sort_output: bool = False) -> DataFrame:
+                           sort_output: bool = False) -> DataFrame:
     """``df`` plus ``num_col`` (1-based position within ``key`` following
     ``order_cols`` ascending, nulls last, remaining columns as tie-break) and
     ``prev_col`` (``value_col`` of the row before within the key, null for
@@ -93,6 +57,7 @@ def sequence_spread(df: DataFrame, key: str, order_cols: Sequence[str], value_co
               .withColumn("_m", F.monotonically_increasing_id())
               .select(*cols, "_c", F.shiftright("_m", _POS_BITS).alias("_p"),
                       F.col("_m").bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_i")))
+    tagged = stage_table(tagged, "sequence")
 
     w = Window.partitionBy("_p").orderBy("_i")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -101,6 +101,7 @@ def value_ranks(vals: DataFrame, col: str, group: str | None = None) -> DataFram
               .withColumn("_m", F.monotonically_increasing_id())
               .select(*keys, "_c", F.shiftright("_m", 33).alias("_p"),
                       F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)).alias("_i")))
+    tagged = stage_table(tagged, "ranks")  # both reads below see the same partitions
     w = Window.partitionBy("_p").orderBy("_i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = tagged.select(*keys, "_c", "_p", F.sum("_c").over(w).alias("_cs"))
     per = tagged.groupBy("_p").agg(F.sum("_c").alias("_n"))

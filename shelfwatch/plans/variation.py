@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwatch.functions.numeric import pct_change_2dp
-from shelfwatch.operators.sequence import CHUNK, HOT_KEY_ROWS, sequence_with_previous
+from shelfwatch.operators.sequence import CHUNK, sequence_with_previous
 
 
 def price_table(fact: DataFrame, product_dim: DataFrame, date_dim: DataFrame) -> DataFrame:
@@ -29,18 +29,17 @@ def price_table(fact: DataFrame, product_dim: DataFrame, date_dim: DataFrame) ->
 
 def price_variation(fact: DataFrame, product_dim: DataFrame, date_dim: DataFrame,
                     latest_only: bool = False, changes_only: bool = False,
-                    ordered: bool = True, chunk: int = CHUNK, hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+                    ordered: bool = True, chunk: int = CHUNK) -> DataFrame:
     """Columns: id_producto, product, date, unit_price, num, num2 (previous
     num), variacion (difference), por_variacion (percent, 2-decimal ratio).
 
     ``latest_only`` keeps the last date present; ``changes_only`` keeps rows
     with a non-null, non-zero difference. Same-day rows are ordered by unit
-    price, so the numbering is repeatable. A product holding more than
-    ``hot_key_rows`` rows switches the sequence to the skew-proof plan of
-    ``operators.sequence`` (no per-product window)."""
+    price, so the numbering is repeatable. There is no per-product window
+    (``operators.sequence``), so a product may hold any share of the rows."""
     t = price_table(fact, product_dim, date_dim)
     seq = sequence_with_previous(t, "id_producto", ["date", "unit_price", "product"], "unit_price",
-                                 "num", "_prev", chunk, sort_output=ordered, hot_key_rows=hot_key_rows)
+                                 "num", "_prev", chunk, sort_output=ordered)
     out = seq.select("id_producto", "product", "date", "unit_price", F.col("num").cast("int").alias("num"),
                      F.when(F.col("num") > 1, F.col("num") - 1).cast("int").alias("num2"),
                      (F.col("unit_price") - F.col("_prev")).alias("variacion"),

@@ -101,9 +101,9 @@ def new_facts(dataset: DataFrame, product_dim: DataFrame, date_dim: DataFrame,
     loader; ``key`` switches to a keyed anti-join). Only stored years that
     occur in the batch are compared (partition pruning on ``year``)."""
     batch = lookup_keys(dataset, product_dim, date_dim)
-    years = batch.select("year").distinct()
-    # Years of the batch: a handful of rows.
-    stored = fact.join(F.broadcast(years), "year", "left_semi")
+    years = batch.select(F.col("year").alias("_y")).distinct()
+    # Years of the batch: a handful of rows. Facts without a date are compared too.
+    stored = fact.join(F.broadcast(years), fact["year"].eqNullSafe(years["_y"]), "left_semi")
     rows = dml.append_unseen(stored, batch, key=key, load_ts=load_ts,
                              compare_cols=["price", "unit_price", "discount", "id_producto", "id_date", "year"])
     return dml.conform(rows, fact)
@@ -120,7 +120,7 @@ def build_fact(dataset: DataFrame, product_dim: DataFrame, date_dim: DataFrame,
 def daily_price_index(fact: DataFrame, load_ts=None) -> DataFrame:
     """Per day: price totals, number of products (non-null keys), average per
     product, and min-max scaling of the averages over all days (null when all
-    days are equal). Money sums are exact (cents)."""
+    days are equal). Money sums are exact."""
     daily = (fact.groupBy("id_date")
              .agg(money_sum("price").alias("sum_price"),
                   money_sum("unit_price").alias("sum_unit_price"),

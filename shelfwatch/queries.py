@@ -13,7 +13,11 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from shelfwatch import schemas
 from shelfwatch.operators import dml
+from shelfwatch.operators.sequence import sequence_with_previous
 from shelfwatch.plans import observations as O
 from shelfwatch.plans import reports, variation, warehouse as W
 from shelfwatch.session import scratch_path, stage_table
@@ -139,28 +143,32 @@ batch_fact AS (
   FROM incoming o LEFT JOIN pd1 pd ON pd.product_id = o.product_id
                   LEFT JOIN dd1 dd ON dd.date = o.date)"""
 
-VARIATION_SQL = WAREHOUSE_SQL + """,
-tablon AS (
-  SELECT f.id_producto, pd.product, dd.date, f.unit_price
-  FROM fact f JOIN product_dim pd ON pd.id_producto = f.id_producto
-              JOIN date_dim dd ON dd.id_date = f.id_date),
-ordered AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY id_producto ORDER BY date, unit_price, product) AS INTEGER) AS num
-  FROM tablon),
+def variation_sql(unit_price: str = "f.unit_price") -> str:
+    """CTE ``variacion``: each observation with the one before it (window functions);
+    the ratio is rounded half up as it prints."""
+    return WAREHOUSE_SQL + f""",
+priced AS (
+  SELECT f.id_producto, pd.product, dd.date, {unit_price} AS unit_price
+  FROM fact f JOIN product_dim pd ON pd.id_producto = f.id_producto JOIN date_dim dd ON dd.id_date = f.id_date),
+placed AS (
+  SELECT *, row_number() OVER w AS place, lag(unit_price) OVER w AS earlier
+  FROM priced WINDOW w AS (PARTITION BY id_producto ORDER BY date, unit_price, product)),
 variacion AS (
-  SELECT o1.id_producto, o1.product, o1.date, o1.unit_price, o1.num, o2.num AS num2,
-         o1.unit_price - o2.unit_price AS variacion,
-         CASE WHEN round(o2.unit_price * 100) = 0 THEN NULL ELSE
-           CAST((200 * CAST(round(o1.unit_price * 100) AS BIGINT) + CAST(round(o2.unit_price * 100) AS BIGINT))
-                // (2 * CAST(round(o2.unit_price * 100) AS BIGINT)) - 100 AS DOUBLE) END AS por_variacion
-  FROM ordered o1 LEFT JOIN ordered o2 ON o1.id_producto = o2.id_producto AND o1.num = o2.num + 1)"""
+  SELECT id_producto, product, date, unit_price, CAST(place AS INTEGER) AS num,
+         CASE WHEN place > 1 THEN CAST(place - 1 AS INTEGER) END AS num2, unit_price - earlier AS variacion,
+         CASE WHEN earlier <> 0 THEN
+           CAST((round(CAST(CAST(unit_price / earlier AS VARCHAR) AS DECIMAL(38, 18)), 2) - 1) * 100 AS DOUBLE) END AS por_variacion
+  FROM placed)"""
+
+
+VARIATION_SQL = variation_sql()
 
 
 def index_sql(fact: str) -> str:
     return f"""daily AS (
   SELECT id_date,
-         CAST(sum(CAST(floor(price * 100 + 0.5) AS BIGINT)) AS DOUBLE) / CAST(100 AS DOUBLE) AS sum_price,
-         CAST(sum(CAST(floor(unit_price * 100 + 0.5) AS BIGINT)) AS DOUBLE) / CAST(100 AS DOUBLE) AS sum_unit_price,
+         CAST(CAST(sum(CAST(CAST(price AS VARCHAR) AS DECIMAL(28, 10))) AS VARCHAR) AS DOUBLE) AS sum_price,
+         CAST(CAST(sum(CAST(CAST(unit_price AS VARCHAR) AS DECIMAL(28, 10))) AS VARCHAR) AS DOUBLE) AS sum_unit_price,
          count(id_producto) AS num_products
   FROM {fact} GROUP BY id_date),
 pond AS (
@@ -590,10 +598,9 @@ SELECT DISTINCT {OBS_COLS} FROM obs WHERE product IS NOT NULL AND price IS NOT N
 # --- pages, files, export, streaming ------------------------------------------------
 
 from shelfwatch.functions import text as tx  # noqa: E402
-from shelfwatch.operators.keys import with_global_rank  # noqa: E402
 from shelfwatch.plans import capture, etl  # noqa: E402
 from shelfwatch.sources import export as X, pages as Pg, snapshots as Sn  # noqa: E402
-from shelfwatch.streaming.ingest import ingest_pages  # noqa: E402
+from shelfwatch.streaming.ingest import ingest_pages, ingested  # noqa: E402
 
 RUN_DATE = "2024-01-01"
 
@@ -642,19 +649,15 @@ def q_ingest_available_now(spark, sf):
     ingest_pages(spark, src, rec, rej, ck, RUN_DATE, Pg.GENERIC_RULES, 1, LOAD_TS)
     # a second run with the same checkpoint finds nothing new
     ingest_pages(spark, src, rec, rej, ck, RUN_DATE, Pg.GENERIC_RULES, 1, LOAD_TS)
-    cols = ["page_id", *capture.RECORD_COLS]
-    out = []
-    for path, reason in ((rec, False), (rej, True)):
-        try:
-            df = spark.read.parquet(path)
-        except Exception:  # noqa: BLE001  (nothing was written)
-            continue
-        df = df.select(*cols, F.col("reject_reason") if reason else F.lit(None).cast("string").alias("reject_reason"))
-        out.append(df)
-    res = out[0]
-    for d in out[1:]:
-        res = res.unionByName(d)
-    return res.drop("ts_load")
+    return _ingested(spark, rec, rej)
+
+
+def _ingested(spark, rec, rej):
+    """Records and rejects read back, rejects with their reason."""
+    record = StructType([StructField("page_id", LongType()), *schemas.PRODUCT_RECORD.fields])
+    reject = StructType([*record.fields, StructField("reject_reason", StringType())])
+    ok = ingested(spark, rec, record).withColumn("reject_reason", F.lit(None).cast("string"))
+    return ok.unionByName(ingested(spark, rej, reject)).drop("ts_load")
 
 
 def _etl_run(spark, sf):
@@ -790,3 +793,176 @@ SELECT 'date_dim' AS table_name, CAST(coalesce(max(id_date), 0) AS BIGINT) AS id
 UNION ALL
 SELECT 'producto_dim' AS table_name, CAST(coalesce(max(id_producto), 0) AS BIGINT) AS id FROM product_dim""",
 })
+
+
+# --- inputs that the tables as given don't hold -----------------------------------------
+# Three and more decimals, missing dates, unseen products, null and repeated rows,
+# product pages that pass, several file layouts, replays.
+
+
+def q_price_variation_fine(spark, sf):
+    """Prices with more than two decimals: an eighth of the unit price."""
+    wh = _fresh(spark, sf)
+    return variation.price_variation(wh.fact.withColumn("unit_price", F.col("unit_price") / 8), wh.product_dim, wh.date_dim)
+
+
+def q_price_index_fine(spark, sf):
+    fact = _fresh(spark, sf).fact
+    return W.daily_price_index(fact.withColumns({c: F.col(c) / 8 for c in ("price", "unit_price")}), LOAD_TS).drop("ts_load")
+
+
+def q_export_full_precision(spark, sf):
+    fact = _fresh(spark, sf).fact.drop("ts_load")
+    return X.decimal_comma(fact.withColumns({c: F.col(c) / 128 for c in ("price", "unit_price")}))
+
+
+def q_fact_reload_null_dates(spark, sf):
+    """A batch with undated rows, loaded twice: the second load adds nothing."""
+    wh = _fresh(spark, sf)
+    batch = _obs(spark, sf).withColumn("date", F.when(F.col("product_id").cast("int") % 10 != 0, F.col("date")))
+    once = stage_table(W.build_fact(batch, wh.product_dim, wh.date_dim, LOAD_TS), "once")
+    again = W.new_facts(batch, wh.product_dim, wh.date_dim, once, LOAD_TS)
+    return once.unionByName(again).drop("ts_load")
+
+
+def q_sequence_hot_key(spark, sf):
+    """One key holds a third of the rows."""
+    rows = O.read_table(spark, sf, "lineitem").select(
+        F.when(F.col("l_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_partkey")).cast("bigint").alias("k"),
+        F.col("l_shipdate").cast("date").alias("d"), F.col("l_extendedprice").alias("v"))
+    return sequence_with_previous(rows, "k", ["d", "v"], "v")
+
+
+def q_product_dim_insert(spark, sf):
+    """A dimension that lacks every fifth product: those are inserted after the last id."""
+    existing, incoming = O.split_batches(_obs(spark, sf), EXISTING_BEFORE, INCOMING_FROM)
+    known = W.initial_load(existing.where(F.col("product_id").cast("int") % 5 != 0), LOAD_TS)
+    return W.update_product_dim(incoming, known.product_dim, LOAD_TS).drop("ts_load")
+
+
+def _dirty(spark, sf):
+    obs, n = _obs(spark, sf), F.col("product_id").cast("int")
+    dirty = obs.withColumn("product", F.when(n % 7 != 0, F.col("product"))).withColumn("price", F.when(n % 11 != 0, F.col("price")))
+    return dirty.unionByName(dirty.where(n % 13 == 0))
+
+
+def q_migration_cleanup_dirty(spark, sf):
+    return migration.clean_history(_dirty(spark, sf), LOAD_TS).drop("ts_load")
+
+
+def q_profile_nulls_dirty(spark, sf):
+    return Qy.profile_columns(_dirty(spark, sf))
+
+
+def q_snapshot_two_layouts(spark, sf):
+    """Odd months in the capture job's layout, even months in the loader's, read together."""
+    path, obs = scratch_path(spark, "layouts"), _obs(spark, sf)
+    month = F.date_format("date", "yyyyMM")
+    odd = F.month("date") % 2 == 1
+    Sn.write_snapshots(obs.where(odd), f"{path}/capture", month)
+    Sn.write_snapshots(obs.where(~odd).withColumn("ts_load", F.lit(LOAD_TS).cast("timestamp")), f"{path}/loader", month, header=Sn.LOADED_HEADER)
+    return Sn.read_snapshots(spark, path, "*.csv", strip=True)
+
+
+def _shop_pages(spark, sf):
+    """A product page per part: every fourth title has one capitalised word, every fifth page no price."""
+    k = F.col("p_partkey")
+    text = lambda c, d: F.replace(c.cast(f"decimal(12,{d})").cast("string"), F.lit("."), F.lit(","))
+    title = F.when(k % 4 == 0, F.concat(F.upper(F.substring("p_name", 1, 1)), F.substring(F.col("p_name"), F.lit(2), F.length("p_name")))).otherwise(F.initcap("p_name"))
+    html = F.concat(F.lit('<h1 class="big product-title">'), title, F.lit("</h1>"),
+                    F.when(k % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("<p class='buy-box__active-price'>"), text(F.col("p_retailprice"), 2), F.lit(" €</p>"))),
+                    F.lit('<p class="buy-box__price-per-unit">('), text(F.col("p_retailprice") / 8, 3), F.lit(' €/KILO)</p>'),
+                    F.lit('<span class="breadcrumb-item__link">All, together</span><span class="breadcrumb-item__link">'), F.col("p_type"), F.lit("</span>"),
+                    F.when(k % 3 == 0, F.concat(F.lit('<span class="product_details_promotion_description">Save '), F.col("p_size").cast("string"), F.lit("% today</span>"))).otherwise(F.lit("")))
+    return O.read_table(spark, sf, "part").select(k.cast("bigint").alias("page_id"), F.concat(F.lit("https://shop.example/all/p/"), k.cast("string")).alias("url"), html.alias("html"))
+
+
+def q_shop_page_records(spark, sf):
+    ok, bad = capture.capture_products(_shop_pages(spark, sf), Pg.SHOP_RULES, run_date=RUN_DATE, load_ts=LOAD_TS)
+    return ok.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(bad).drop("ts_load")
+
+
+def q_ingest_replay(spark, sf):
+    """Shop pages with repeated and missing page ids, ingested twice with new checkpoints."""
+    pages = _shop_pages(spark, sf)
+    pages = pages.unionByName(pages.where("page_id % 10 = 1")).withColumn("page_id", F.when(F.col("page_id") % 9 != 0, F.col("page_id")))
+    src, rec, rej = (scratch_path(spark, n) for n in ("pages-in", "records", "rejects"))
+    pages.repartitionByRange(3, "url").write.parquet(src)
+    for n in ("ck1", "ck2"):
+        ingest_pages(spark, src, rec, rej, scratch_path(spark, n), RUN_DATE, Pg.SHOP_RULES, 1, LOAD_TS)
+    return _ingested(spark, rec, rej)
+
+
+def q_sitemap_queue(spark, sf):
+    """Work queue from sitemaps of a hundred entries, every third of which is no product."""
+    k = F.col("p_partkey")
+    url = F.concat(F.lit("https://shop.example/"), F.when(k % 3 == 0, F.lit("help/")).otherwise(F.lit("all/p/")), k.cast("string"))
+    part = O.read_table(spark, sf, "part").select(F.floor(k / 100).alias("doc"), F.struct(k, F.concat(F.lit("<url><loc> "), url, F.lit(" </loc></url>")).alias("x")).alias("e"))
+    maps = part.groupBy("doc").agg(F.concat(F.lit("<urlset>"), F.array_join(F.transform(F.array_sort(F.collect_list("e")), lambda e: e["x"]), ""), F.lit("</urlset>")).alias("xml"))
+    return capture.queue_from_sitemap(maps, "xml", "doc")
+
+
+QUERIES.update({
+    "price_variation_fine": q_price_variation_fine,
+    "price_index_fine": q_price_index_fine,
+    "export_full_precision": q_export_full_precision,
+    "fact_reload_null_dates": q_fact_reload_null_dates,
+    "sequence_hot_key": q_sequence_hot_key,
+    "product_dim_insert": q_product_dim_insert,
+    "migration_cleanup_dirty": q_migration_cleanup_dirty,
+    "profile_nulls_dirty": q_profile_nulls_dirty,
+    "snapshot_two_layouts": q_snapshot_two_layouts,
+    "shop_page_records": q_shop_page_records,
+    "ingest_replay": q_ingest_replay,
+    "sitemap_queue": q_sitemap_queue,
+})
+
+DIRTY_SQL = OBS_SQL.replace("obs AS (", "clean AS (") + """,
+dirty AS (
+  SELECT product_id, CASE WHEN CAST(product_id AS INTEGER) % 11 <> 0 THEN price END AS price,
+         CASE WHEN CAST(product_id AS INTEGER) % 7 <> 0 THEN product END AS product,
+         brand, unit_price, units, categories, discount, date FROM clean),
+obs AS (SELECT * FROM dirty UNION ALL SELECT * FROM dirty WHERE CAST(product_id AS INTEGER) % 13 = 0)"""
+
+# The fields of the pages, from the columns that the pages were made of.
+SHOP_SQL = f"""shop AS (
+  SELECT p_partkey AS k, CAST(p_partkey AS BIGINT) AS page_id, CAST(p_partkey AS VARCHAR) AS product_id,
+         upper(p_name[1]) || p_name[2:instr(p_name, ' ')] ||
+           CASE WHEN p_partkey % 4 = 0 THEN p_name[instr(p_name, ' ') + 1] ELSE upper(p_name[instr(p_name, ' ') + 1]) END ||
+           p_name[instr(p_name, ' ') + 2:] AS product,
+         CASE WHEN p_partkey % 4 <> 0 THEN upper(p_name[instr(p_name, ' ') + 1]) || p_name[instr(p_name, ' ') + 2:] END AS brand,
+         CASE WHEN p_partkey % 5 <> 0 THEN CAST(CAST(CAST(p_retailprice AS VARCHAR) AS DECIMAL(12, 2)) AS DOUBLE) END AS price,
+         '[''All. together'', ''' || p_type || ''']' AS categories,
+         CAST(CAST(CAST(p_retailprice / 8 AS VARCHAR) AS DECIMAL(12, 3)) AS DOUBLE) AS unit_price,
+         '€/KILO)' AS units, CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size AS DOUBLE) END AS discount, DATE '{RUN_DATE}' AS date,
+         nullif(concat_ws(',', CASE WHEN p_partkey % 5 = 0 THEN 'price' END, CASE WHEN p_partkey % 4 = 0 THEN 'brand' END), '') AS reject_reason
+  FROM part)"""
+SHOP_COLS = "product, product_id, brand, price, categories, unit_price, units, discount, date, reject_reason"
+
+ORACLE.update({
+    "price_variation_fine": "WITH " + variation_sql("f.unit_price / 8") + "\nSELECT * FROM variacion",
+    "price_index_fine": "WITH " + WAREHOUSE_SQL + ",\nfine AS (SELECT id_producto, id_date, price / 8 AS price, unit_price / 8 AS unit_price FROM fact),\n" + index_sql("fine"),
+    "export_full_precision": "WITH " + WAREHOUSE_SQL + """
+SELECT id_producto, id_date, replace(CAST(price / 128 AS VARCHAR), '.', ',') AS price,
+       replace(CAST(unit_price / 128 AS VARCHAR), '.', ',') AS unit_price, replace(CAST(discount AS VARCHAR), '.', ',') AS discount, year FROM fact""",
+    "fact_reload_null_dates": "WITH " + WAREHOUSE_SQL + """,
+undated AS (SELECT * REPLACE (CASE WHEN CAST(product_id AS INTEGER) % 10 <> 0 THEN date END AS date) FROM obs)
+SELECT pd.id_producto, dd.id_date, o.price, o.unit_price, o.discount, dd.year
+FROM undated o LEFT JOIN product_dim pd ON pd.product_id = o.product_id LEFT JOIN date_dim dd ON dd.date = o.date""",
+    "sequence_hot_key": """
+WITH r AS (SELECT CAST(CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_partkey END AS BIGINT) AS k, CAST(l_shipdate AS DATE) AS d, l_extendedprice AS v FROM lineitem)
+SELECT *, row_number() OVER w AS num, lag(v) OVER w AS prev FROM r WINDOW w AS (PARTITION BY k ORDER BY d, v)""",
+    "product_dim_insert": "WITH " + INCREMENTAL_SQL.replace(
+        f"date < DATE '{EXISTING_BEFORE}'", f"date < DATE '{EXISTING_BEFORE}' AND CAST(product_id AS INTEGER) % 5 <> 0") + "\nSELECT * FROM pd1",
+    "migration_cleanup_dirty": ORACLE["migration_cleanup"].replace(OBS_SQL, DIRTY_SQL),
+    "profile_nulls_dirty": ORACLE["profile_nulls"].replace(OBS_SQL, DIRTY_SQL),
+    "snapshot_two_layouts": ORACLE["csv_snapshot_roundtrip"],
+    "shop_page_records": "WITH " + SHOP_SQL + f"\nSELECT page_id, {SHOP_COLS} FROM shop",
+    "ingest_replay": "WITH " + SHOP_SQL + f"""
+SELECT CASE WHEN page_id % 9 <> 0 THEN page_id END AS page_id, {SHOP_COLS} FROM shop
+UNION ALL SELECT NULL, {SHOP_COLS} FROM shop WHERE page_id % 9 = 0 AND page_id % 10 = 1""",
+    "sitemap_queue": """
+SELECT CAST(p_partkey AS VARCHAR) AS id_producto, 'https://shop.example/all/p/' || p_partkey AS url_product,
+       row_number() OVER (ORDER BY p_partkey) - 1 AS index
+FROM part WHERE p_partkey % 3 <> 0""",
+})

@@ -6,21 +6,27 @@ driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
 
-def decimal_comma(df: DataFrame, decimals: int | None = 2) -> DataFrame:
-    """Every floating/decimal column as text with a decimal comma.
+def _plain(c: Column) -> Column:
+    """All digits of a number in plain notation (exponents stay from 1e26 on)."""
+    txt, size = c.cast("string"), F.abs(c)
+    wide = F.when(size < 1, c.try_cast("decimal(38,37)").cast("string")).otherwise(c.try_cast("decimal(38,12)").cast("string"))
+    # plain text without the zeros that end it, but one
+    return F.when(txt.contains("E"), F.coalesce(F.regexp_replace(wide, r"(\.\d+?)0+$", "$1"), txt)).otherwise(txt)
 
-    With ``decimals`` the numbers are written with that many digits (half up,
-    plain notation); with ``None`` Spark's shortest text form is used."""
+
+def decimal_comma(df: DataFrame, decimals: int | None = None) -> DataFrame:
+    """Every floating/decimal column as text with a decimal comma, in plain
+    notation: all its digits, or with ``decimals`` that many (half up)."""
     out = []
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, (DoubleType, FloatType, DecimalType)):
-            txt = c.cast(f"decimal(38,{decimals})").cast("string") if decimals is not None else c.cast("string")
+            txt = c.cast(f"decimal(38,{decimals})").cast("string") if decimals is not None else _plain(c)
             out.append(F.replace(txt, F.lit("."), F.lit(",")).alias(f.name))
         else:
             out.append(c)
@@ -28,7 +34,7 @@ def decimal_comma(df: DataFrame, decimals: int | None = 2) -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ";", decimal: str = ",", header: bool = True,
-               decimals: int | None = 2, mode: str = "overwrite", single_file: bool = False) -> None:
+               decimals: int | None = None, mode: str = "overwrite", single_file: bool = False) -> None:
     """Write ``df`` as CSV. ``single_file`` coalesces to one task: use it only
     for small tables (dimensions, daily index)."""
     out = decimal_comma(df, decimals) if decimal == "," else df

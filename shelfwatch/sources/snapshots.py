@@ -1,12 +1,11 @@
 """Daily snapshot files: ``;``-separated CSV with a header, one file per
 capture run, one folder per day (``<yyyymmdd>/<yyyymmdd>_<hhmm>_prices.csv``).
 
-Columns are bound by header name, never by position: every file is read
-with an all-text schema in the expected header order and
-``enforceSchema=false``, so a file whose header differs fails loudly instead
-of shifting values into the wrong columns. Values are then converted with
-``try_cast`` (ANSI-safe: a bad number becomes null, it does not stop the job).
-Files holding only a newline are tolerated.
+Columns are bound by header name, never by position: each file's own header row
+says where a column stands, so files of different layouts (the capture job's and
+the loader's) are read together. A file with rows but no header fails loudly.
+Values are converted with ``try_cast`` (ANSI-safe: a bad number becomes null, it
+does not stop the job). Files holding only a newline are tolerated.
 """
 
 from __future__ import annotations
@@ -25,50 +24,64 @@ SNAPSHOT_HEADER = ["product_id", "price", "product", "brand", "unit_price", "uni
                    "discount", "date"]
 
 
+# Header of the files as the loader declares them.
+LOADED_HEADER = [f.name for f in schemas.SNAPSHOT_LOADED.fields]
+MAX_COLUMNS = 32
+
+
 def read_snapshots(spark: SparkSession, path: str, pattern: str = "*.csv", sep: str = ";",
-                   header: Sequence[str] = SNAPSHOT_HEADER, schema: StructType = schemas.SNAPSHOT,
-                   with_source: bool = False, strip: bool = False,
-                   with_capture_time: bool = False) -> DataFrame:
+                   schema: StructType = schemas.SNAPSHOT, with_source: bool = False, strip: bool = False,
+                   with_capture_time: bool = False, marks: Sequence[str] = ("product_id", "price")) -> DataFrame:
     """All snapshot files under ``path`` (recursively) as one typed DataFrame
-    in ``schema``'s column order. ``strip`` trims all whitespace from text;
-    ``with_source`` adds the file path; ``with_capture_time`` adds
-    ``capture_ts`` parsed from a ``<yyyymmdd>_<hhmm>_…`` file name (null when
-    the name does not follow it), which tells two captures of a day apart."""
+    in ``schema``'s column order; a column that a file lacks is null. A row
+    that holds the names ``marks`` is its file's header. ``strip`` trims all
+    whitespace from text; ``with_source`` adds the file path;
+    ``with_capture_time`` adds ``capture_ts`` parsed from a
+    ``<yyyymmdd>_<hhmm>_…`` file name (null when the name does not follow it),
+    which tells two captures of a day apart."""
     text_schema = StructType()
-    for c in header:
-        text_schema = text_schema.add(c, StringType())
-    raw = (spark.read.schema(text_schema)
-           .option("header", True).option("sep", sep).option("enforceSchema", False)
-           .option("encoding", "UTF-8").option("mode", "PERMISSIVE")
-           .option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-           .csv(path))
-    types = {f.name: f.dataType for f in schema.fields}
+    for i in range(MAX_COLUMNS):
+        text_schema = text_schema.add(f"c{i}", StringType())
+    lines = (spark.read.schema(text_schema)
+             .option("header", False).option("sep", sep).option("encoding", "UTF-8").option("mode", "PERMISSIVE")
+             .option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+             .csv(path)
+             .select(F.array(*text_schema.names).alias("cells"), F.col("_metadata.file_path").alias("file_path"),
+                     F.col("_metadata.file_name").alias("file_name")))
+    is_header = F.lit(True)
+    for m in marks:
+        is_header = is_header & F.coalesce(F.array_contains("cells", m), F.lit(False))
+    # one row per file
+    headers = lines.where(is_header).groupBy(F.col("file_path").alias("_file")).agg(F.first("cells").alias("names"))
+    rows = lines.where(~is_header & F.exists("cells", lambda c: c.isNotNull()))
+    raw = rows.join(headers, F.col("file_path") == F.col("_file"), "left")
+    raw = raw.withColumn("names", F.when(F.col("names").isNull(), F.raise_error(
+        F.concat(F.lit("no header row in "), F.col("file_path"))).cast("array<string>")).otherwise(F.col("names")))
     out = []
     for f in schema.fields:
-        if f.name in header:
-            c = F.col(f.name)
-            if isinstance(f.dataType, StringType):
-                out.append((trim_all(c) if strip else c).alias(f.name))
-            else:
-                out.append(c.try_cast(types[f.name]).alias(f.name))
+        at = F.array_position(F.transform("names", lambda n: F.trim(n)), f.name).cast("int")
+        c = F.when(at > 0, F.get("cells", at - 1))
+        if isinstance(f.dataType, StringType):
+            out.append((trim_all(c) if strip else c).alias(f.name))
         else:
-            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+            out.append(c.try_cast(f.dataType).alias(f.name))
     if with_source:
-        out.append(F.col("_metadata.file_path").alias("source_file"))
+        out.append(F.col("file_path").alias("source_file"))
     if with_capture_time:
-        stamp = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d{8}_\d{4})_", 1)
+        stamp = F.regexp_extract(F.col("file_name"), r"^(\d{8}_\d{4})_", 1)
         out.append(F.try_to_timestamp(F.nullif(stamp, F.lit("")), F.lit("yyyyMMdd_HHmm")).alias("capture_ts"))
     return raw.select(*out)
 
 
 def write_snapshots(df: DataFrame, path: str, folder_col=None, sep: str = ";",
-                    header: Sequence[str] = SNAPSHOT_HEADER, mode: str = "overwrite") -> None:
+                    header: Sequence[str] = SNAPSHOT_HEADER, mode: str = "overwrite", files: int = 8) -> None:
     """Write snapshot rows as ``;`` CSV with header, one folder per value of
-    ``folder_col`` (default: the capture day, ``yyyyMMdd``), one file per folder."""
+    ``folder_col`` (default: the capture day, ``yyyyMMdd``), up to ``files``
+    files per folder, so a large folder is written by that many tasks."""
     folder = F.date_format("date", "yyyyMMdd") if folder_col is None else \
         (F.col(folder_col) if isinstance(folder_col, str) else folder_col)
     out = df.select(*[F.col(c) for c in header], folder.alias("snapshot"))
-    (out.repartition("snapshot").write.mode(mode).partitionBy("snapshot")
+    (out.repartition("snapshot", F.pmod(F.xxhash64(*header), F.lit(files))).write.mode(mode).partitionBy("snapshot")
      .option("header", True).option("sep", sep)
      # the writer trims values by default; snapshots keep them as captured
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)

@@ -42,8 +42,11 @@ def write_table(df: DataFrame, target: str, mode: str = "append",
 
     With ``id_column`` consecutive ids are added after the largest id of
     ``existing`` (or 0). Returns whether something was written."""
-    if skip_empty and df.isEmpty():
-        return False
+    if skip_empty:
+        from shelfwatch.session import stage_table
+        df = stage_table(df, "write")  # worked out once: for the test and for the write
+        if df.isEmpty():
+            return False
     if id_column is not None:
         start = last_id(existing, id_column) if existing is not None else 0
         df = assign_ids(df, id_column, id_order, start=start)

@@ -6,51 +6,64 @@ stream with a checkpoint processes each file once, in micro-batches of
 the backlog is done. A stopped run continues where the checkpoint says;
 a full reload starts over with a fresh checkpoint folder.
 
-Each micro-batch extracts the product fields and appends accepted records and
-rejects to two parquet tables partitioned by run date. The append is keyed on
-``page_id`` within the run date (anti-join against that partition only), so a
-micro-batch replayed after a failure adds nothing twice: effectively once.
+Each micro-batch extracts the product fields and writes accepted records and
+rejects to two parquet tables partitioned by run date and source file. A
+micro-batch replaces the partitions of the files it holds (dynamic partition
+overwrite), so a file replayed after a failure, or by a full reload with a new
+checkpoint, adds nothing twice, whatever its page ids, and nothing that was
+stored is read back. ``ingested`` reads such a table with one row per page.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from shelfwatch.plans.capture import capture_products
 from shelfwatch.sources.pages import PAGE_SCHEMA, SHOP_RULES, PageRules
 
 
-def _existing(spark: SparkSession, path: str, day) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path).where(F.col("date") == F.lit(day).cast("date")).select("page_id")
-    except Exception:  # noqa: BLE001  (no table yet)
-        return None
+def _replace_files(df: DataFrame, path: str) -> None:
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date", "source_file").parquet(path))
 
 
-def _keyed_append(df: DataFrame, path: str, day) -> None:
-    seen = _existing(df.sparkSession, path, day)
-    new = df if seen is None else df.join(seen, "page_id", "left_anti")
-    new.write.mode("append").partitionBy("date").parquet(path)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def ingested(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Rows of a table written by ``ingest_pages``: a page id that came in
+    several times on a run date counts once (the first source file by name,
+    then the least row); rows without a page id are all kept. Empty if nothing was written."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(StructType([*schema.fields, StructField("source_file", StringType())])).parquet(path)
+    cols = schema.fieldNames()
+    known = rows.where("page_id IS NOT NULL").groupBy("date", "page_id").agg(
+        F.min(F.struct("source_file", *[c for c in cols if c not in ("date", "page_id")])).alias("r"))
+    return known.select("date", "page_id", "r.*").select(*cols).unionByName(rows.where("page_id IS NULL").select(*cols))
 
 
 def ingest_pages(spark: SparkSession, source_dir: str, records_path: str, rejects_path: str,
                  checkpoint_dir: str, run_date, rules: PageRules = SHOP_RULES,
-                 max_files_per_trigger: int = 1, load_ts=None) -> int:
+                 max_files_per_trigger: int = 16, load_ts=None) -> int:
     """Process every page file not yet seen by ``checkpoint_dir``; returns the
     number of micro-batches run. A full reload uses a new ``checkpoint_dir``
     (checkpoints are never deleted here)."""
     stream = (spark.readStream.schema(PAGE_SCHEMA)
               .option("maxFilesPerTrigger", max_files_per_trigger)
-              .parquet(source_dir))
+              .parquet(source_dir).select("*", F.col("_metadata.file_name").alias("source_file")))
     batches = []
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         batch.persist()  # parsed twice (records, rejects): read the files once
         try:
-            ok, bad = capture_products(batch, rules, run_date=run_date, load_ts=load_ts)
-            _keyed_append(ok, records_path, run_date)
-            _keyed_append(bad, rejects_path, run_date)
+            ok, bad = capture_products(batch, rules, run_date=run_date, load_ts=load_ts, keep_cols=("page_id", "source_file"))
+            _replace_files(ok, records_path)
+            _replace_files(bad, rejects_path)
         finally:
             batch.unpersist()
         batches.append(epoch_id)

@@ -23,12 +23,12 @@ def target(spark):
 
 def test_merge_test_from_notebook(spark, target):
     # incoming B (brand and category changed) and C
-    src = spark.createDataFrame([("B", "YES_BRAND", "YES_CATEGORIA"), ("C", "bc", "cc")],
+    src = spark.createDataFrame([("B", "new maker", "new group"), ("C", "bc", "cc")],
                                 "product_id string, brand string, categoria string")
     out = dml.upsert(target, src, "product_id", ["brand", "categoria"], id_col="id", load_ts=TS1)
     assert rows(out, "id", "product_id", "brand", "categoria", "ts_load") == [
         (1, "A", "ba", "ca", TS0),
-        (2, "B", "YES_BRAND", "YES_CATEGORIA", TS1),
+        (2, "B", "new maker", "new group", TS1),
         (3, "C", "bc", "cc", TS1)]
 
 

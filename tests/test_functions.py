@@ -60,11 +60,11 @@ def test_unit_label_and_discount(spark):
 
 
 def test_url_ids(spark):
-    url = "https://shop.example/agua-refrescos/cola/p/258603"
-    assert one(spark, tx.url_last_segment, url) == "258603"
+    url = "https://shop.example/drinks/lemonade/p/740512"
+    assert one(spark, tx.url_last_segment, url) == "740512"
     assert one(spark, tx.url_last_segment, "http://x.example/en/825?page=2#top") == "825"
     assert one(spark, tx.url_last_segment, "http://x.example/en/853/") is None
-    assert one(spark, tx.url_digits_tail, url) == "258603"
+    assert one(spark, tx.url_digits_tail, url) == "740512"
     # an earlier digit makes the two rules differ
     assert one(spark, tx.url_digits_tail, "https://shop2.example/p/12") == "2.example/p/12"
     assert one(spark, tx.is_product_url, url) is True
@@ -92,3 +92,10 @@ def test_html_entities_named_and_numeric(spark):
     }
     for text, want in cases.items():
         assert one(spark, tx.decode_entities, text) == want, text
+
+
+def test_money_with_more_than_two_decimals_keeps_them(spark):
+    df = spark.createDataFrame([(0.125,), (0.125,), (None,)], "x double")
+    assert df.agg(nm.money_sum("x").alias("s")).first().s == 0.25
+    pairs = spark.createDataFrame([(0.125, 0.124), (0.004, 0.002), (2.01, 2.0), (1.0, 0.0), (1.0, None)], "a double, b double")
+    assert [r.p for r in pairs.select(nm.pct_change_2dp("a", "b").alias("p")).collect()] == [1.0, 100.0, 1.0, None, None]

@@ -1,9 +1,12 @@
 """Surrogate keys and latest row per key."""
 
+import pytest
 from pyspark.sql import functions as F, Window
 
 from shelfwatch.operators.keys import assign_ids, last_id, with_global_rank
 from shelfwatch.operators.latest import latest_per_key
+from shelfwatch.operators.sequence import sequence_with_previous
+from shelfwatch.operators.stats import quantiles
 
 
 def test_global_rank_equals_row_number_over_many_partitions(spark):
@@ -36,3 +39,22 @@ def test_latest_per_key_picks_latest_and_breaks_ties(spark):
         "product_id string, date string, name string").withColumn("date", F.col("date").cast("date"))
     got = {r.product_id: (str(r.date), r.name) for r in latest_per_key(df, ["product_id"], ["date"]).collect()}
     assert got == {"p1": ("2023-09-02", "new"), "p2": ("2023-09-02", "b"), "p3": ("2023-01-01", "x")}
+
+
+@pytest.mark.parametrize(("reuse", "aqe"), [("true", "true"), ("false", "true"), ("false", "false")])
+def test_ids_do_not_rest_on_exchange_reuse(spark, reuse, aqe):
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    try:
+        df = spark.range(0, 20_000, 1, 7).select((F.col("id") * 7919 % 20_011).alias("k"), F.lit(1.0).alias("v"))
+        ids = sorted(r.i for r in assign_ids(df, "i", ["k"]).select("i").collect())
+        seq = sequence_with_previous(df.withColumn("k", F.col("k") % 5), "k", ["v"], "v")
+        rows = seq.groupBy("k").agg(F.count("*").alias("n"), F.countDistinct("num").alias("m"), F.max("num").alias("x")).collect()
+        q = quantiles(df.withColumn("v", F.col("k").cast("double")), "v", [0.25, 0.5]).first()
+        w = df.agg(F.expr("percentile(k, array(0.25, 0.5))")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert ids == list(range(1, 20_001))
+    assert all(r.n == r.m == r.x for r in rows)
+    assert [q.q25, q.q50] == w

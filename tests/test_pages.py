@@ -6,25 +6,25 @@ from shelfwatch.plans import capture
 from shelfwatch.sources import pages as Pg
 
 FULL = """<html><body>
-<h1 class="product-title">Aceite de oliva virgen extra Carbonell</h1>
-<p class="buy-box__active-price">7,99 €</p>
-<p class="buy-box__price-per-unit">(10,65 €/LITRO)</p>
-<span class="breadcrumb-item__link">Aceites, salsas y especias</span>
-<span class="breadcrumb-item__link">Aceites</span>
+<h1 class="product-title">Queso curado de oveja Montalba</h1>
+<p class="buy-box__active-price">6,45 €</p>
+<p class="buy-box__price-per-unit">(12,90 €/PIEZA)</p>
+<span class="breadcrumb-item__link">Quesos, embutidos y fiambres</span>
+<span class="breadcrumb-item__link">Quesos</span>
 <span class="product_details_promotion_description">Ahorra 20% en la 2ª unidad</span>
 </body></html>"""
 
 PAGES = [
-    (1, "https://shop.example/aceites/p/18013", FULL),
-    (2, "https://shop.example/x/p/2", FULL.replace('<p class="buy-box__active-price">7,99 €</p>', "")),
-    (3, "https://shop.example/x/p/3", FULL.replace("Aceite de oliva virgen extra Carbonell", "Caramelos")),
-    (4, "https://shop.example/x/p/4", FULL.replace("Carbonell", "Nestlé")),
-    (5, "https://shop.example/x/p/5", FULL.replace("7,99 €", "1.234,56 €")),
-    (6, "https://shop.example/x/p/6", FULL.replace('<span class="breadcrumb-item__link">Aceites</span>', "")
-        .replace('<span class="breadcrumb-item__link">Aceites, salsas y especias</span>', "")),
+    (1, "https://shop.example/quesos/p/55021", FULL),
+    (2, "https://shop.example/x/p/2", FULL.replace('<p class="buy-box__active-price">6,45 €</p>', "")),
+    (3, "https://shop.example/x/p/3", FULL.replace("Queso curado de oveja Montalba", "Caramelos")),
+    (4, "https://shop.example/x/p/4", FULL.replace("Montalba", "Nestlé")),
+    (5, "https://shop.example/x/p/5", FULL.replace("6,45 €", "1.234,56 €")),
+    (6, "https://shop.example/x/p/6", FULL.replace('<span class="breadcrumb-item__link">Quesos</span>', "")
+        .replace('<span class="breadcrumb-item__link">Quesos, embutidos y fiambres</span>', "")),
     (7, "https://shop.example/x/p/7", FULL.replace("Ahorra 20% en la 2ª unidad", "2x1")),
-    (8, "https://shop.example/x/p/8", FULL.replace("Aceite de oliva virgen extra Carbonell",
-                                                   "Aceite, de oliva\n  Carbonell &amp; Hijos")),
+    (8, "https://shop.example/x/p/8", FULL.replace("Queso curado de oveja Montalba",
+                                                   "Queso, de oveja\n  Montalba &amp; Hijos")),
     (9, "https://shop.example/x/p/9", FULL.replace('class="product-title"', 'class="h1 product-title big"')),
 ]
 
@@ -37,9 +37,9 @@ def fields(spark):
 def test_complete_page(spark):
     r = fields(spark)[1]
     assert (r.product_id, r.product, r.brand, r.price, r.unit_price, r.units, r.discount, r.date) == (
-        "18013", "Aceite de oliva virgen extra Carbonell", "Carbonell", 7.99, 10.65, "€/LITRO)", 20.0,
+        "55021", "Queso curado de oveja Montalba", "Montalba", 6.45, 12.9, "€/PIEZA)", 20.0,
         dt.date(2024, 1, 1))
-    assert r.categories == "['Aceites. salsas y especias', 'Aceites']"
+    assert r.categories == "['Quesos. embutidos y fiambres', 'Quesos']"
 
 
 def test_edge_pages(spark):
@@ -50,8 +50,8 @@ def test_edge_pages(spark):
     assert f[5].price == 234.56                      # historical rule on thousands
     assert f[6].categories is None
     assert f[7].discount is None
-    assert (f[8].product, f[8].brand) == ("Aceite. de oliva  Carbonell & Hijos", "Carbonell")
-    assert f[9].product == "Aceite de oliva virgen extra Carbonell"
+    assert (f[8].product, f[8].brand) == ("Queso. de oveja  Montalba & Hijos", "Montalba")
+    assert f[9].product == "Queso curado de oveja Montalba"
 
 
 def test_capture_splits_incomplete_records(spark):
@@ -63,10 +63,10 @@ def test_capture_splits_incomplete_records(spark):
 
 
 def test_work_queue_from_sitemap(spark):
-    xml = ("<urlset><url><loc>https://shop.example/cola/p/258603</loc></url>"
+    xml = ("<urlset><url><loc>https://shop.example/tonic/p/740512</loc></url>"
            "<url><loc> https://shop.example/help </loc></url>"
            "<url><loc>https://shop.example/agua/p/1001</loc></url></urlset>")
     q = capture.queue_from_sitemap(spark.createDataFrame([(xml,)], "xml string")).orderBy("index").collect()
-    assert [tuple(r) for r in q] == [("258603", "https://shop.example/cola/p/258603", 0),
+    assert [tuple(r) for r in q] == [("740512", "https://shop.example/tonic/p/740512", 0),
                                      ("1001", "https://shop.example/agua/p/1001", 1)]
     assert capture.pending(capture.queue_from_sitemap(spark.createDataFrame([(xml,)], "xml string")), 0).count() == 1

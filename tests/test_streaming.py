@@ -11,7 +11,7 @@ def test_ingest_once_and_resume(spark, tmp_path):
     src, rec, rej, ck = (str(tmp_path / n) for n in ("in", "rec", "rej", "ck"))
     df = spark.createDataFrame(PAGES, Pg.PAGE_SCHEMA)
     df.where("page_id <= 5").repartition(3).write.parquet(src)
-    n = ingest_pages(spark, src, rec, rej, ck, "2024-01-01", Pg.SHOP_RULES)
+    n = ingest_pages(spark, src, rec, rej, ck, "2024-01-01", Pg.SHOP_RULES, 1)
     assert n == 3
     assert ingest_pages(spark, src, rec, rej, ck, "2024-01-01", Pg.SHOP_RULES) == 0   # nothing new
     df.where("page_id > 5").write.mode("append").parquet(src)
@@ -22,4 +22,4 @@ def test_ingest_once_and_resume(spark, tmp_path):
     # a new checkpoint (full reload) replays every file; keyed appends add nothing twice
     ingest_pages(spark, src, rec, rej, str(tmp_path / "ck2"), "2024-01-01", Pg.SHOP_RULES)
     assert spark.read.parquet(rec).count() == 7
-    assert got.where(F.col("date") == "2024-01-01").count() == 7
+    assert spark.read.parquet(rec).where(F.col("date") == "2024-01-01").count() == 7
