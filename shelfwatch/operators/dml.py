@@ -29,21 +29,17 @@ def bag_diff(batch: DataFrame, existing: DataFrame, chunk: int = 100_000) -> Dat
     """Rows of ``batch`` not matched one-for-one in ``existing`` (EXCEPT ALL:
     multiplicity kept, nulls equal).
 
-    Both sides are first counted per distinct row (map-side partial
-    aggregation), so many copies of one row cost one row per task. The
-    surplus copies are regenerated in chunks of at most ``chunk`` rows hashed
-    over tasks: a row repeated a billion times is not emitted by one task
-    (Spark's own EXCEPT ALL replicates each distinct row in a single task)."""
+    Both sides are counted together (+1 and -1) in one aggregation with map-side
+    partial sums, so many copies of one row cost one row per task and nulls
+    group as equal. The surplus copies are regenerated in chunks of at most
+    ``chunk`` rows hashed over tasks: a row repeated a billion times is not
+    emitted by one task (Spark's own EXCEPT ALL replicates each distinct row in
+    a single task)."""
     cols = batch.columns
-    a = batch.groupBy(*cols).agg(F.count(F.lit(1)).alias("_na"))
-    b = existing.select(*cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("_nb"))
-    cond = None
-    for c in cols:
-        e = a[c].eqNullSafe(b[c])
-        cond = e if cond is None else cond & e
-    j = a.join(b, cond, "left").select(*[a[c] for c in cols],
-                                       (a["_na"] - F.coalesce(b["_nb"], F.lit(0))).alias("_n"))
-    surplus = j.where(F.col("_n") > 0)
+    both = batch.withColumn("_w", F.lit(1).cast("bigint")).unionAll(existing.select(*cols, F.lit(-1).cast("bigint").alias("_w")))
+    counts = both.groupBy(*cols).agg(F.sum("_w").alias("_n"))
+    # the union may have widened a type; rows that are left come from the batch
+    surplus = counts.where(F.col("_n") > 0).select(*[F.col(c).cast(t).alias(c) for c, t in batch.dtypes], "_n")
     chunks = surplus.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                       F.floor((F.col("_n") - 1) / chunk).cast("bigint"))).alias("_ch"))
     spread = chunks.repartition(*cols, "_ch")

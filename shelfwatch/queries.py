@@ -966,3 +966,13 @@ SELECT CAST(p_partkey AS VARCHAR) AS id_producto, 'https://shop.example/all/p/'
        row_number() OVER (ORDER BY p_partkey) - 1 AS index
 FROM part WHERE p_partkey % 3 <> 0""",
 })
+
+
+#: inputs that several queries share, staged once per application and folder
+STAGED = {
+    "warehouse": _fresh,
+    "incremental": _incremental,
+    "updated_dims": lambda spark, sf: _updated_dims(spark, sf, *_incremental(spark, sf)),
+    "trimmed": _trimmed,
+    "load_job": _etl_run,
+}
