@@ -6,8 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwatch.llm.common import map_rows
-from shelfwatch.session import stage_table
+from shelfwatch.llm.common import map_rows, stage_mapped
 
 SIMILARITY = 0.8  # 1 - edits / characters of the item
 REPEATS = 3
@@ -140,7 +139,7 @@ def item_keys(items: DataFrame) -> tuple[DataFrame, DataFrame]:
                     pieces += [b[p:p + LOCAL] for p in at[keep].tolist()]
             yield [who, pairs, keys, pieces]
 
-    found = stage_table(map_rows(items, "item_id bigint, pair bigint, key bigint, piece binary", work), "items")
+    found = stage_mapped(map_rows(items, "item_id bigint, pair bigint, key bigint, piece binary", work), "items")
     return found.select("pair").distinct(), found.select("item_id", "key", "piece").distinct()
 
 
@@ -262,7 +261,7 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
     pair_map, key_map = _bit_map(pairs.select(F.col("pair").alias("h"))), _bit_map(keys.select(F.col("key").alias("h")).distinct())
     longest = items.agg(F.max(F.octet_length(F.lower("text")))).first()[0] or 0
     reach = int(longest * (2 - similarity)) + 16
-    parts = stage_table(regions(docs, pair_map, key_map, reach), "regions").withColumn("rid", F.xxhash64("region"))
+    parts = stage_mapped(regions(docs, pair_map, key_map, reach), "regions").withColumn("rid", F.xxhash64("region"))
     hits = (parts.select("doc_id", "first", "rid", F.explode("hits").alias("hit"))
             .select("doc_id", "first", "rid", F.col("hit.key").alias("key"), F.col("hit.local").alias("local"))
             .join(keys, "key").select("doc_id", "first", "rid", "item_id", "local", "piece"))

@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwatch.llm.common import LOWER_AZ, map_rows
+from shelfwatch.llm.common import LOWER_AZ, map_rows, stage_mapped
 from shelfwatch.llm.components import connected_components
 from shelfwatch.session import stage_table
 
@@ -94,7 +94,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Dat
     links but never name a component unless all of it is null. Repeated rows
     come out repeatedly; further columns are ignored.
     """
-    fps = stage_table(fingerprints(docs, shingle), "fps")
+    fps = stage_mapped(fingerprints(docs, shingle), "fps")
     reps = stage_table(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "reps")
     roots = connected_components(links(reps, max_bits)).toDF("fp", "root")
     named = reps.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
