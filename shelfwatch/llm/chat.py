@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,36 @@ def _bytes(c: Column) -> Column:
     return F.octet_length(c).cast("long")
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often a function over an array inside ``use`` looks at it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _loss_spans(steps: Column) -> Column:
+    """(first, end) of the steps (loss, gap, len) under the mask.
+
+    An array that grows by one element is copied each time, so steps are taken
+    in about as many runs as a run has steps, which begin at known offsets.
+    """
+    span = "array<struct<first:bigint,end:bigint>>"
+    width = F.ceil(F.sqrt(F.size(steps))).cast("int")
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / width).cast("int")),
+                       lambda k: F.slice(steps, k * width + 1, width))
+    zero = F.lit(0).cast("long")
+
+    def offsets(parts):
+        sums = F.transform(parts, lambda p: F.aggregate(p, zero, lambda n, s: n + s["gap"] + s["len"]))
+        return F.aggregate(sums, F.array(zero), lambda at, n: F.array_append(at, F.element_at(at, -1) + n))
+
+    def step(acc, s):
+        first = acc["at"] + s["gap"]
+        return F.struct((first + s["len"]).alias("at"), F.when(s["loss"], F.array_append(acc["spans"], F.struct(
+            first.alias("first"), (first + s["len"]).alias("end")))).otherwise(acc["spans"]).alias("spans"))
+
+    return _let(runs, lambda parts: _let(offsets(parts), lambda at: F.flatten(F.transform(parts, lambda p, k: F.aggregate(
+        p, F.struct(at[k].alias("at"), F.array().cast(span).alias("spans")), step)["spans"]))))
+
+
 def format_chats(turns: DataFrame) -> DataFrame:
     """One row per conversation of ``turns(conv_id, turn, role, text)``: ``conv_id, formatted, loss_spans``.
 
@@ -53,15 +85,7 @@ def format_chats(turns: DataFrame) -> DataFrame:
     steps = F.flatten(F.transform("blocks", lambda b, k: F.transform(b["texts"], lambda t, j: F.struct(
         (b["role"] == "assistant").alias("loss"), _bytes(t).alias("len"),
         F.when(j > 0, F.lit(len(SEP))).when(k > 0, _bytes(b["head"]) + len(END) + 1).otherwise(_bytes(b["head"])).cast("long").alias("gap")))))
-    spans = F.aggregate(
-        steps,
-        F.struct(F.lit(0).cast("long").alias("at"),
-                 F.array().cast("array<struct<first:bigint,end:bigint>>").alias("spans")),
-        lambda acc, s: F.struct(
-            (acc["at"] + s["gap"] + s["len"]).alias("at"),
-            F.when(s["loss"], F.array_append(acc["spans"], F.struct(
-                (acc["at"] + s["gap"]).alias("first"), (acc["at"] + s["gap"] + s["len"]).alias("end"))))
-            .otherwise(acc["spans"]).alias("spans")))["spans"]
+    spans = _let(steps, _loss_spans)
     return chats.select("conv_id", F.array_join(body, "").alias("formatted"), spans.alias("loss_spans"))
 
 
@@ -75,8 +99,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
                     r"<\|im_sep\|>").alias("texts")))
     turns = F.flatten(F.transform(blocks, lambda b: F.transform(
         b["texts"], lambda t: F.struct(b["role"].alias("role"), unescape(t).alias("text")))))
-    raw = F.encode("formatted", "utf-8")
     # each text is unescaped by itself: its neighbours don't stand beside it in the output
-    loss = F.array_join(F.transform("loss_spans", lambda s: unescape(F.decode(
-        F.substring(raw, (s["first"] + 1).cast("int"), (s["end"] - s["first"]).cast("int")), "utf-8"))), "")
+    loss = _let(F.encode("formatted", "utf-8"), lambda raw: F.array_join(F.transform("loss_spans", lambda s: unescape(F.decode(
+        F.substring(raw, (s["first"] + 1).cast("int"), (s["end"] - s["first"]).cast("int")), "utf-8"))), ""))
     return formatted.withColumn("turns", turns).withColumn("loss_text", loss)

@@ -184,6 +184,17 @@ def test_chat_round_trip(spark):
         assert back[c]["formatted"].count("<|im_start|>") == blocks == back[c]["formatted"].count("<|im_end|>")
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 5000])
+def test_chat_spans_of_a_long_conversation(spark, n):
+    rng = random.Random(n)
+    rows = [(1, t, rng.choice(["user", "assistant"]), "é<|" * rng.randint(0, 3) + str(t)) for t in range(n)]
+    got = chat.read_back(chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).first()
+    raw, cuts = got["formatted"].encode(), [(s["first"], s["end"]) for s in got["loss_spans"]]
+    said = [x for *_, r, x in rows if r == "assistant"]
+    assert [raw[a:z].decode().replace("<\\|", "<|") for a, z in cuts] == said
+    assert got["loss_text"] == "".join(said)
+
+
 # --- licences -------------------------------------------------------------------------
 
 def test_licence_places_against_brute_force():
