@@ -2,10 +2,10 @@
 histogram, Gaussian density estimate and the D'Agostino–Pearson normality test.
 
 Exact quantiles never gather the values of a column in one task (Spark's
-``percentile`` keeps a value→count map per group, merged in one task): the
-distinct values with their counts are range-sorted and given cumulative
-counts in parallel (``value_ranks``), and only the values holding the needed
-ranks are kept. ``approx=True`` switches to
+``percentile`` keeps a value→count map per group, merged in one task): each
+quantile is bracketed by approximate ones, and only the values inside the
+brackets are range-sorted and given cumulative counts in parallel
+(``value_ranks``). ``approx=True`` switches to
 ``percentile_approx`` (one pass, bounded memory) for very large inputs.
 """
 
@@ -43,25 +43,59 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], approx: bool = Fa
     return column_quantiles(df, [col], probs).drop("column")
 
 
-def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact quantiles of several columns in one ranking pass: one row per
-    column with ``column``, ``n`` and one field per probability.
+#: relative error of the approximate quantiles that bracket the exact ones, and errors taken on either side
+ACCURACY, MARGIN = 10_000, 8
+
 
-    The columns are unpivoted to (column, v); distinct pairs are counted
-    map-side, range-sorted once and given cumulative counts
-    (``value_ranks``); each column's first rank comes from a table with one
-    row per column. Only the values holding the wanted ranks are kept."""
+def _brackets(long: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """One row per column of ``long(column, v)``: ``n`` and, per probability i, values ``_from<i>`` and ``_to<i>``
+    between which its quantile lies.
+
+    An approximate quantile misses its rank by at most n/ACCURACY, so those at
+    MARGIN errors below and above enclose both closest ranks once an error is
+    a row or more; with fewer rows the bracket is the whole column."""
+    off = MARGIN / ACCURACY
+    wanted = [x for p in probs for x in (max(0.0, p - off), min(1.0, p + off))]
+    got = long.groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("_min"), F.max("v").alias("_max"),
+                                     F.percentile_approx("v", wanted, ACCURACY).alias("_q"))
+    few = F.col("n") <= ACCURACY
+    out = []
+    for i, p in enumerate(probs):
+        out += [F.when(few | F.lit(p <= off), F.col("_min")).otherwise(F.col("_q")[2 * i]).alias(f"_from{i}"),
+                F.when(few | F.lit(p >= 1 - off), F.col("_max")).otherwise(F.col("_q")[2 * i + 1]).alias(f"_to{i}")]
+    return got.select("column", "n", *out)
+
+
+def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles of several columns: one row per column with ``column``,
+    ``n`` and one field per probability.
+
+    A first pass brackets each quantile between two approximate ones
+    (``_brackets``). In the second pass a value outside all brackets takes the
+    place of the nearest bracket edge below it (the lowest edge if there is
+    none), which leaves the ranks inside brackets as they are; so nearly all
+    rows collapse map-side, and only the values inside brackets are shuffled,
+    sorted and given cumulative counts (``value_ranks``). Only the values
+    holding the wanted ranks are kept."""
     names = [_pname(p) for p in probs]
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
                                          for c in cols])).alias("_e")).select("_e.column", "_e.v")
     long = long.where(F.col("v").isNotNull())
-    ranked = value_ranks(long, "v", "column")
+    found = stage_table(_brackets(long, probs), "brackets")
+    edges = [(F.col(f"_from{i}"), F.col(f"_to{i}")) for i in range(len(probs))]
+    v = F.col("v")
+    inside, below, lowest = F.lit(False), F.lit(None).cast("double"), F.lit(None).cast("double")
+    for lo, hi in edges:  # greatest and least skip nulls
+        inside = inside | v.between(lo, hi)
+        below = F.greatest(below, F.when(hi < v, hi))
+        lowest = F.least(lowest, lo)
+    narrowed = long.join(F.broadcast(found.drop("n")), "column").select(
+        "column", F.when(inside, v).otherwise(F.coalesce(below, lowest)).alias("v"))
+    ranked = value_ranks(narrowed, "v", "column")
     # One row per column (bounded by the number of columns): its count and the
-    # rows of the columns sorted before it. Taken from the per-column totals,
-    # not from the ranked rows, so the ranking runs once.
-    totals = long.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
+    # rows of the columns sorted before it.
     before = Window.orderBy(F.col("column").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    span = totals.select("column", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_s"))
+    span = found.select("column", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_s"))
     r = ranked.join(F.broadcast(span), "column")
     first, last = F.col("_cum") - F.col("_s") - F.col("_c") + 1, F.col("_cum") - F.col("_s")
     flags, hs = [], []

@@ -28,6 +28,18 @@ def test_exact_quantiles_match_numpy(vdf, values):
         assert got[name] == pytest.approx(w, rel=1e-12)
 
 
+def test_exact_quantiles_of_columns_longer_than_the_sketch(spark):
+    n, ps = 60_000, [0.0003, 0.25, 0.2501, 0.5, 0.9, 0.9998]
+    rng = np.random.default_rng(5)
+    cols = {"a": rng.normal(size=n), "b": np.where(rng.random(n) < 0.4, 7.0, np.round(rng.lognormal(2, 1, n), 1)),
+            "c": np.sort(rng.random(n))}
+    df = spark.createDataFrame(list(zip(*[c.tolist() for c in cols.values()])), "a double, b double, c double").repartition(9)
+    got = {r["column"]: r for r in St.column_quantiles(df, list(cols), ps).collect()}
+    for name, x in cols.items():
+        assert got[name]["n"] == n
+        assert [got[name][St._pname(p)] for p in ps] == pytest.approx(np.percentile(x, [100 * p for p in ps]), rel=1e-12)
+
+
 def test_approx_quantiles_close(vdf, values):
     got = St.quantiles(vdf, "v", [0.5], approx=True).first()
     assert abs(got.q50 - np.median(values)) / np.median(values) < 0.02
