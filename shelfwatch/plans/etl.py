@@ -1,10 +1,10 @@
 """The load job: snapshot files → warehouse tables (parquet) → CSV export.
 
 Order matters: dates, then products, then facts (which look up both
-dimensions), then the daily index over all facts. New dates and facts are
-appended; the product dimension (updated in place by key) is replaced through
-a checkpoint in the shared folder; the index is recomputed. Re-running the job
-on the same files appends nothing.
+dimensions), with the daily index. New dates and facts are appended; the
+product dimension (updated in place by key) is replaced through a checkpoint
+in the shared folder; of the index the days with new facts are summed again.
+Re-running the job on the same files appends nothing.
 """
 
 from __future__ import annotations
@@ -70,10 +70,12 @@ def load_dataset(spark: SparkSession, dataset: DataFrame, base: str, load_ts=Non
     seq = advance_seq(advance_seq(seqs(), "date_dim", wh.date_dim, "id_date", load_ts),
                       "producto_dim", wh.product_dim, "id_producto", load_ts)
     T.replace_table(seq, p["sequences_cfg"])
-    facts = W.new_facts(dataset, wh.product_dim, wh.date_dim, wh.fact, load_ts)
-    wrote["producto_dia_fact"] = T.write_table(facts, p["producto_dia_fact"], "append", partition_by=["year"])
-    wh = open_warehouse(spark, base)
-    T.replace_table(W.daily_price_index(wh.fact, load_ts), p["precio_dia_agg_norm_fact"])
+    facts = stage_table(W.new_facts(dataset, wh.product_dim, wh.date_dim, wh.fact, load_ts), "facts")
+    wrote["producto_dia_fact"] = not facts.isEmpty()
+    if wrote["producto_dia_fact"]:
+        # the index first: if the job ends before the facts are stored, a rerun finds them new and sums their days again
+        T.replace_table(W.updated_price_index(wh.index, wh.fact, facts, load_ts), p["precio_dia_agg_norm_fact"])
+        T.write_table(facts, p["producto_dia_fact"], "append", partition_by=["year"], skip_empty=False)
     return wrote
 
 

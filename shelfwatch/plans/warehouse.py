@@ -117,16 +117,39 @@ def build_fact(dataset: DataFrame, product_dim: DataFrame, date_dim: DataFrame,
 
 # --- daily index ----------------------------------------------------------------
 
+def daily_totals(fact: DataFrame) -> DataFrame:
+    """Per day: price totals (exact sums), number of products (non-null keys) and averages per product."""
+    return (fact.groupBy("id_date")
+            .agg(money_sum("price").alias("sum_price"),
+                 money_sum("unit_price").alias("sum_unit_price"),
+                 F.count("id_producto").alias("num_products"))
+            .withColumn("sum_price_ponderado", safe_div("sum_price", "num_products"))
+            .withColumn("sum_unit_price_ponderado", safe_div("sum_unit_price", "num_products")))
+
+
 def daily_price_index(fact: DataFrame, load_ts=None) -> DataFrame:
-    """Per day: price totals, number of products (non-null keys), average per
-    product, and min-max scaling of the averages over all days (null when all
-    days are equal). Money sums are exact."""
-    daily = (fact.groupBy("id_date")
-             .agg(money_sum("price").alias("sum_price"),
-                  money_sum("unit_price").alias("sum_unit_price"),
-                  F.count("id_producto").alias("num_products"))
-             .withColumn("sum_price_ponderado", safe_div("sum_price", "num_products"))
-             .withColumn("sum_unit_price_ponderado", safe_div("sum_unit_price", "num_products")))
+    """Per day: totals and averages (``daily_totals``), and min-max scaling of
+    the averages over all days (null when all days are equal)."""
+    return scaled_index(daily_totals(fact), load_ts)
+
+
+def updated_price_index(index: DataFrame, fact: DataFrame, new_facts: DataFrame, load_ts=None) -> DataFrame:
+    """The index of ``fact`` and ``new_facts`` together, where ``index`` is that
+    of ``fact``: only days with new facts are summed again, from the stored
+    years they lie in; then all days are scaled anew. Days that ``index``
+    already counts with their new facts come out the same."""
+    cols = ["id_date", "id_producto", "price", "unit_price"]
+    days = new_facts.select(F.col("id_date").alias("_d")).distinct()
+    years = new_facts.select(F.col("year").alias("_y")).distinct()  # a handful of rows
+    stored = (fact.join(F.broadcast(years), fact["year"].eqNullSafe(years["_y"]), "left_semi")
+              .join(days, F.col("id_date").eqNullSafe(F.col("_d")), "left_semi"))
+    untouched = index.join(days, index["id_date"].eqNullSafe(days["_d"]), "left_anti")
+    totals = daily_totals(stored.select(*cols).unionByName(new_facts.select(*cols)))
+    return scaled_index(totals.unionByName(untouched.select(*totals.columns)), load_ts)
+
+
+def scaled_index(daily: DataFrame, load_ts=None) -> DataFrame:
+    """The index rows of daily totals."""
     # Global min/max of the daily averages: one-row scalar subqueries over the
     # (one row per day) aggregate.
     bounds = daily.agg(F.min("sum_price_ponderado").alias("lo_p"), F.max("sum_price_ponderado").alias("hi_p"),

@@ -51,15 +51,17 @@ def read_snapshots(spark: SparkSession, path: str, pattern: str = "*.csv", sep:
     is_header = F.lit(True)
     for m in marks:
         is_header = is_header & F.coalesce(F.array_contains("cells", m), F.lit(False))
-    # one row per file
+    # one row per file: where its columns stand
     headers = lines.where(is_header).groupBy(F.col("file_path").alias("_file")).agg(F.first("cells").alias("names"))
+    places = headers.select("_file", F.transform("names", lambda n: F.trim(n)).alias("names")).select(
+        "_file", *[F.array_position("names", f.name).cast("int").alias(f"_at{i}") for i, f in enumerate(schema.fields)])
     rows = lines.where(~is_header & F.exists("cells", lambda c: c.isNotNull()))
-    raw = rows.join(headers, F.col("file_path") == F.col("_file"), "left")
-    raw = raw.withColumn("names", F.when(F.col("names").isNull(), F.raise_error(
-        F.concat(F.lit("no header row in "), F.col("file_path"))).cast("array<string>")).otherwise(F.col("names")))
+    raw = rows.join(places, F.col("file_path") == F.col("_file"), "left")
+    raw = raw.withColumn("cells", F.when(F.col("_file").isNull(), F.raise_error(
+        F.concat(F.lit("no header row in "), F.col("file_path"))).cast("array<string>")).otherwise(F.col("cells")))
     out = []
-    for f in schema.fields:
-        at = F.array_position(F.transform("names", lambda n: F.trim(n)), f.name).cast("int")
+    for i, f in enumerate(schema.fields):
+        at = F.col(f"_at{i}")
         c = F.when(at > 0, F.get("cells", at - 1))
         if isinstance(f.dataType, StringType):
             out.append((trim_all(c) if strip else c).alias(f.name))

@@ -48,6 +48,20 @@ def test_incremental_load_matches_full_load(spark, sf_small):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_index_of_batches_equals_the_index_of_all_facts(spark, tmp_path, sf_small):
+    base = f"file://{tmp_path}/wh"
+    etl.create_warehouse(spark, base)
+    obs = O.observations(spark, sf_small).withColumn("price", F.col("price") / 8)
+    undated = obs.limit(3).withColumn("date", F.lit(None).cast("date"))  # facts without a date, in both batches
+    for batch in (obs.where("date < '1996-07-01'").unionByName(undated.limit(1)),
+                  obs.where("date >= '1996-06-01'").unionByName(undated), obs):
+        etl.load_dataset(spark, batch, base, TS)
+    wh = etl.open_warehouse(spark, base)
+    want = W.daily_price_index(wh.fact, TS)
+    assert wh.fact.count() >= obs.count() and want.count() == wh.index.count()
+    assert wh.index.exceptAll(want).count() == 0 and want.exceptAll(wh.index).count() == 0
+
+
 def test_lag_equals_self_join(spark, sf_small):
     wh = W.initial_load(O.observations(spark, sf_small), TS)
     v = V.price_variation(wh.fact, wh.product_dim, wh.date_dim, ordered=False)
