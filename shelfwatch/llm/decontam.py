@@ -1,4 +1,13 @@
-"""Benchmark decontamination by CGK embedding and bit-sampling LSH (operator 1)."""
+"""Benchmark decontamination by CGK embedding and bit-sampling LSH (operator 1).
+
+Candidates come from two families of windows. CGK walks start at words whose
+pair with the next word occurs in an item. At one edit in five characters few
+walks stay in step for a whole window, so these alone find what is copied with
+few edits. The other family starts at every character, of items and documents:
+runs of four characters, as many as the item's length allows for the target
+recall, with none or one character (SHAPES) between two of them on either side,
+which steps over one edit of any kind as a walk that falls into step again does.
+"""
 
 from __future__ import annotations
 
@@ -6,20 +15,28 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwatch.llm.common import map_rows, stage_mapped
+from shelfwatch.llm.common import map_rows
 
 SIMILARITY = 0.8  # 1 - edits / characters of the item
 REPEATS = 3
-#: a window with an equal key is a candidate if its first bytes, at most so many, are within LOCAL_EDITS of them in edits
-LOCAL, LOCAL_EDITS = 64, 0.3
+#: recall of run windows at edits spread at random up to the verified similarity; sets how many runs an item's windows have
+TARGET = 0.95
+RUN = 4
+#: windows of one, two and three runs: places of the four-character strings that a key hashes. The last but one takes
+#: edits six characters apart, the last (two runs of six) such as are further apart
+SHAPES = (((0,),), ((0, 4), (0, 5)), ((0, 4, 8), (0, 4, 9), (0, 5, 9), (0, 5, 10), (0, 5, 11), (0, 2, 7, 9)))
+MOST_RUNS, REACH = len(SHAPES), max(max(s) for shapes in SHAPES for s in shapes) + RUN
 #: steps of the walk per window class, and how many of them a key samples
 CLASSES = ((8, 8), (32, 12), (128, 20))
-MAP_BITS = 24  # of the two bit maps that go to all tasks: 2 MB each, whatever the size of the benchmark
+MAP_BITS = 22
+SLICE = 1 << 18  # bytes of items that a pass over the documents looks for
 PIECE = 1 << 20
+BATCH = 1 << 12
 LOOK = 4096
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
+_MIXERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)
 
 
 def normal(text: str | None) -> bytes:
@@ -99,116 +116,261 @@ def item_classes(n_bytes: int) -> list[int]:
     return fitting[1:] or fitting or ([0] if n_bytes >= CLASSES[0][0] else [])
 
 
-def _bit_map(hashes: DataFrame) -> np.ndarray:
-    """Bit map of a hash column ``h``: two bits per hash; 2^MAP_BITS bits, however many hashes there are."""
-    bits = hashes.select(F.explode(F.array(F.col("h"), F.shiftrightunsigned("h", 32))).alias("h")) \
-        .select(F.col("h").bitwiseAND(F.lit((1 << MAP_BITS) - 1)).alias("bit"))
-    words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit").bitwiseAND(F.lit(63)).cast("int"))).alias("w")).collect()
-    out = np.zeros(1 << (MAP_BITS - 6), np.int64)
-    for r in words:
-        out[r["word"]] = r["w"]
-    return out.view(_U)
-
-
-def _in_map(bit_map: np.ndarray, h: np.ndarray) -> np.ndarray:
-    mask = _U((1 << MAP_BITS) - 1)
-    a, b = h & mask, (h >> _U(32)) & mask
-    return ((bit_map[a >> _U(6)] >> (a & _U(63))) & (bit_map[b >> _U(6)] >> (b & _U(63))) & _U(1)).astype(bool)
-
-
-def item_keys(items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``pair`` hashes of the items' word pairs, and ``(item_id, key, piece)`` of their windows with the bytes that begin them."""
-    def work(batches):
-        for ids, texts in batches:
-            who, pairs, keys, pieces = [], [], [], []
-            for i, t in zip(ids, texts):
-                b = normal(t)
-                classes = item_classes(len(b))
-                if not classes:
-                    continue
-                a = np.frombuffer(b + b"\0", np.uint8)
-                at, h = word_pairs(a)
-                room = len(b) - at
-                found = window_keys(a, at, room) if len(at) else []
-                own = [x for k, x in enumerate(found) if k % len(CLASSES) in classes]
-                for keep, key in own:
-                    who += [i] * len(keep)
-                    pairs += h.view(np.int64)[keep].tolist()
-                    keys += key.tolist()
-                    pieces += [b[p:p + LOCAL] for p in at[keep].tolist()]
-            yield [who, pairs, keys, pieces]
-
-    found = stage_mapped(map_rows(items, "item_id bigint, pair bigint, key bigint, piece binary", work), "items")
-    return found.select("pair").distinct(), found.select("item_id", "key", "piece").distinct()
-
-
-def regions(docs: DataFrame, pair_map: np.ndarray, key_map: np.ndarray, reach: int) -> DataFrame:
-    """Parts of documents that hold windows with a key of some item: ``doc_id, first, region, hits``.
-
-    Windows start at every word whose pair with the next word occurs in some
-    item. ``reach`` bytes are taken along on either side; ``first`` is the byte
-    offset in the normalised text. ``hits`` are the keys with the bytes that follow.
-    """
-    def hits(a):
-        at, h = word_pairs(a)
-        at = at[_in_map(pair_map, h)]
-        if not len(at):
-            return at, np.zeros(0, np.int64)
-        where, found = [], []
-        for keep, key in window_keys(a, at, None):
-            ok = _in_map(key_map, key.view(_U))
-            where.append(at[keep[ok]])
-            found.append(key[ok])
-        return np.concatenate(where), np.concatenate(found)
-
-    def cut(doc_id, b, at, keys, out):
-        order = np.argsort(at, kind="stable")
-        at, keys = at[order], keys[order]
-        for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) > reach) + 1):
-            first, end = max(0, int(at[part[0]]) - reach), int(at[part[-1]]) + reach
-            out.append((doc_id, first, b[first:end].decode("utf-8", "ignore"),
-                        [{"key": k, "local": b[p:p + LOCAL * 5 // 4]} for p, k in zip(at[part].tolist(), keys[part].tolist())]))
-
-    def work(batches):
-        for ids, texts in batches:
-            out, held, size = [], [], 0
-
-            def flush():
-                a = np.frombuffer(b"".join([b + b"\0" for _, b in held]), np.uint8)
-                at, keys = hits(a)
-                if len(at):
-                    starts = np.cumsum([0, *[len(b) + 1 for _, b in held]])
-                    doc = np.searchsorted(starts, at, side="right") - 1
-                    for k in np.unique(doc).tolist():
-                        cut(*held[k], at[doc == k] - starts[k], keys[doc == k], out)
-                held.clear()
-
-            for i, t in zip(ids, texts):
-                b = normal(t)
-                if len(b) > PIECE:  # a very long text goes piece by piece; a piece sees the start of the next
-                    ats, keys = [], []
-                    for s in range(0, len(b), PIECE):
-                        a = np.frombuffer(b[max(0, s - 1):s + PIECE + LOOK] + b"\0", np.uint8)
-                        at, key = hits(a)
-                        at = at + max(0, s - 1)
-                        mine = (at >= s) & (at < s + PIECE) & ((at == s) <= (s == 0 or b[s - 1] == 32))
-                        ats.append(at[mine])
-                        keys.append(key[mine])
-                    if sum(map(len, ats)):
-                        cut(i, b, np.concatenate(ats), np.concatenate(keys), out)
-                    continue
-                held.append((i, b))
-                size += len(b)
-                if size > PIECE:
-                    flush()
-                    size = 0
-            if held:
-                flush()
-            if out:
-                yield [list(c) for c in zip(*out)]
-
-    return map_rows(docs.select("doc_id", "text"), "doc_id bigint, first bigint, region string, hits array<struct<key:bigint,local:binary>>", work)
+def folded(text: str) -> np.ndarray:
+    """A byte per character: ASCII as it is, all others hashed to 128..255; 0 is left for the ends of texts."""
+    a = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    if len(a) and a.max() > 127:
+        a = np.where(a < 128, a, np.uint32(128) + (a * np.uint32(0x9E3779B1) >> np.uint32(25)))
+    return np.maximum(a.astype(np.uint8), 1)
+
+
+def run_keys(a: np.ndarray, runs: int):
+    """Keys of the windows of ``runs`` runs at every character, for each shape: (characters, keys).
+    ``a`` goes on for REACH bytes behind the last key."""
+    n = len(a) - REACH
+    b = a.astype(np.uint32)
+    g = b[:-3] | b[1:-2] << np.uint32(8) | b[2:-1] << np.uint32(16) | b[3:] << np.uint32(24)
+    parts = [g * np.uint32(m) for m, _ in zip(_MIXERS, max(SHAPES[runs - 1], key=len))]
+    for shape in SHAPES[runs - 1]:
+        key = parts[0][:n]
+        for part, at in zip(parts[1:], shape[1:]):
+            key = key + part[at:at + n]
+        yield shape[-1] + RUN, key
+
+
+def run_recall(chars: int, runs: int, similarity: float, trials: int = 400) -> float:
+    """Share of items of so many characters that keep a window of ``runs`` runs under the most edits that the
+    similarity allows: substitutions, deletions and insertions at random places, drawn here."""
+    rng = np.random.default_rng(chars * 8 + runs)
+    edits = int((1 - similarity) * chars + 1e-9)
+    hurt = np.argsort(rng.random((trials, chars)), axis=1)[:, :edits]
+    kind = np.zeros((trials, chars), np.int8)
+    np.put_along_axis(kind, hurt, rng.integers(1, 4, (trials, edits), dtype=np.int8), axis=1)
+    lost, before = (kind == 1) | (kind == 2), kind == 3  # ``before``: a character was put in before this one
+    room = chars - RUN + 1
+    if room < 1:
+        return 0.0
+    whole = ~lost[:, :room]
+    for i in range(1, RUN):
+        whole = whole & ~lost[:, i:i + room] & ~before[:, i:i + room]
+    good = whole
+    for _ in range(runs - 1):
+        ahead = np.zeros((trials, room + RUN + 2), bool)
+        ahead[:, :room] = good
+        put = np.zeros((trials, room + RUN + 2), bool)
+        put[:, :chars] = before[:, :room + RUN + 2]
+        # next to each other (one character put in at most), or one character apart in the item and at most one in the text
+        good = whole & (ahead[:, RUN:RUN + room] | ahead[:, RUN + 1:RUN + 1 + room] & ~put[:, RUN:RUN + room] & ~put[:, RUN + 1:RUN + 1 + room])
+    return float(good.any(axis=1).mean())
+
+
+_LEAST: dict[tuple[float, int], int] = {}
+
+
+def least_chars(similarity: float, runs: int) -> int:
+    """Characters from which on windows of ``runs`` runs reach TARGET (an item with fewer gets fewer runs)."""
+    if runs == 1:
+        return RUN
+    if (similarity, runs) in _LEAST:
+        return _LEAST[similarity, runs]
+    lo, hi = runs * RUN, 2048
+    while lo < hi:
+        mid = (lo + hi) // 2
+        lo, hi = (lo, mid) if run_recall(mid, runs, similarity) >= TARGET else (mid + 1, hi)
+    _LEAST[similarity, runs] = lo
+    return lo
+
+
+def runs_of(chars: int, similarity: float) -> int:
+    return max([r for r in range(1, MOST_RUNS + 1) if chars >= least_chars(similarity, r)], default=0)
+
+
+class Table:
+    """Keys and the places that bear them, behind two maps of some bits of the keys."""
+
+    def __init__(self, keys: np.ndarray, places: np.ndarray):
+        order = np.lexsort((places, keys))
+        keys, places = keys[order], places[order]
+        new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (places[1:] != places[:-1])))[:len(keys)]
+        self.places = places[new]
+        self.keys, self.first, self.count = np.unique(keys[new], return_index=True, return_counts=True)
+        self.map, self.second = np.zeros(1 << MAP_BITS, bool), np.zeros(1 << (MAP_BITS - 1), bool)
+        self.map[self._bit(self.keys)] = True
+        self.second[self._bit(self.keys * self.keys.dtype.type(_MIXERS[0]), 1)] = True
+
+    @staticmethod
+    def _bit(keys: np.ndarray, less: int = 0) -> np.ndarray:
+        return keys >> keys.dtype.type(keys.dtype.itemsize * 8 - MAP_BITS + less)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(index into ``keys``, place) of all equal keys."""
+        if not len(self.keys):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        there = np.flatnonzero(self.map[self._bit(keys)])
+        there = there[self.second[self._bit(keys[there] * keys.dtype.type(_MIXERS[0]), 1)]]
+        some = keys[there]
+        k = np.minimum(np.searchsorted(self.keys, some), len(self.keys) - 1)
+        same = self.keys[k] == some
+        there, k = there[same], k[same]
+        n = self.count[k]
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return np.repeat(there, n), self.places[np.repeat(self.first[k], n) + inside]
+
+
+class Bench:
+    """Some items, with the keys of their windows and the bit vectors that their alignments need."""
+
+    def __init__(self, rows: list[tuple[int | None, str | None]], similarity: float):
+        self.ids, self.texts = [], []
+        for i, t in rows:
+            b = normal(t)
+            t = b.decode("utf-8", "surrogatepass")
+            if len(b) >= CLASSES[0][0] and len(t) >= RUN:
+                self.ids.append(i)
+                self.texts.append(t)
+        pieces = [folded(t) for t in self.texts]
+        self.chars = np.array([len(t) for t in self.texts], np.int64)
+        self.start = np.cumsum([0, *(self.chars + 1)])[:-1].astype(np.int64)
+        self.edits = np.floor((1 - similarity) * self.chars + 1e-9).astype(np.int64)
+        self.owner = np.repeat(np.arange(len(pieces)), self.chars + 1)
+        runs = [([], []) for _ in range(MOST_RUNS)]
+        walk_keys, walk_places = [], []
+        for a, t, start in zip(pieces, self.texts, self.start.tolist()):
+            n = runs_of(len(a), similarity)
+            for size, keys in run_keys(np.concatenate((a, np.zeros(REACH, np.uint8))), n):
+                fits = max(0, len(a) - size + 1)
+                runs[n - 1][0].append(keys[:fits])
+                runs[n - 1][1].append(np.arange(fits) + start)
+            classes = item_classes(len(t.encode("utf-8", "surrogatepass")))
+            closed = np.append(a, np.uint8(0))
+            at, pairs = word_pairs(closed)
+            if len(at):
+                for k, (keep, keys) in enumerate(window_keys(closed, at, len(a) - at)):
+                    if k % len(CLASSES) in classes:
+                        walk_keys.append((keys.view(_U), pairs[keep]))
+                        walk_places.append(at[keep] + start)
+        self.runs = [Table(np.concatenate([np.zeros(0, np.uint32), *k]), np.concatenate([np.zeros(0, np.int64), *p])) for k, p in runs]
+        self.walks = Table(np.concatenate([np.zeros(0, _U), *[k for k, _ in walk_keys]]), np.concatenate([np.zeros(0, np.int64), *walk_places]))
+        pairs = np.concatenate([np.zeros(0, _U), *[p for _, p in walk_keys]])
+        self.pairs = Table(pairs, np.zeros(len(pairs), np.int64))
+        # bit vectors of the items and of the items backwards, a word more than they need, one after the other
+        letters = np.unique(np.concatenate([np.zeros(1, np.uint8), *pieces]))
+        self.letter = np.zeros(256, np.int64)  # 0 stands for all that no item has
+        self.letter[letters] = np.arange(len(letters))
+        self.words = (self.chars + 63) // 64 + 1
+        sizes = self.words * len(letters)
+        self.base = (np.cumsum(sizes) - sizes).astype(np.int64)
+        self.vectors = [np.zeros(int(sizes.sum()), _U) for _ in range(2)]
+        for a, base, w in zip(pieces, self.base.tolist(), self.words.tolist()):
+            for way, x in zip(self.vectors, (a, a[::-1])):
+                j = np.arange(len(x))
+                np.bitwise_or.at(way, base + self.letter[x] * w + (j >> 6), _U(1) << (j & 63).astype(_U))
+
+    def hits(self, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Characters of ``a`` and of the items where windows are alike."""
+        found = []
+        closed, part = np.concatenate((a, np.zeros(REACH, np.uint8))), PIECE >> 3
+        for s in range(0, len(a), part):
+            for n, table in enumerate(self.runs, 1):
+                for _, keys in run_keys(closed[s:s + part + REACH], n) if len(table.keys) else ():
+                    at, place = table.find(keys)
+                    found.append((at + s, place))
+        for s in range(0, len(a) if len(self.walks.keys) else 0, PIECE):
+            first = max(0, s - 1)
+            part = a[first:s + PIECE + LOOK]
+            at, pairs = word_pairs(part)
+            mine = (at + first >= s) & (at + first < s + PIECE) & ((at + first > s) | (s == 0) | np.isin(part[0], (0, 32)))
+            at = at[mine]
+            at = at[self.pairs.find(pairs[mine])[0]]
+            if len(at):
+                for keep, keys in window_keys(part, at, None):
+                    k, place = self.walks.find(keys.view(_U))
+                    found.append((at[keep][k] + first, place))
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at, place = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((at, at - place))
+        at, place = at[order], place[order]
+        # windows less than a run apart on a diagonal: an alignment through the later goes through the first too
+        first = np.concatenate(([True], (np.diff(at - place) != 0) | (np.diff(at) > RUN)))[:len(at)]
+        return at[first], place[first]
+
+    def fewest(self, letters, at, item, offset, rows, budget, back: bool) -> np.ndarray:
+        """Fewest edits that turn ``rows`` characters of the item from ``offset`` on into a string that starts at ``at``.
+
+        With ``back`` all goes to the left from there. Columns of the edit
+        matrix are bit vectors in words; alignments of a batch go on together.
+        """
+        out = rows.copy()
+        width = (rows + 63) // 64
+        order = np.lexsort((rows + budget, width))
+        vectors, step = self.vectors[back], -1 if back else 1
+        for n in np.unique(width[width > 0]).tolist():
+            own = order[width[order] == n]
+            for s in range(0, len(own), BATCH):
+                k = own[s:s + BATCH]
+                start = offset[k] if not back else self.chars[item[k]] - offset[k]
+                shift = (start & 63).astype(_U)
+                rest = _U(63) - shift
+                words, base = self.words[item[k]], self.base[item[k]] + (start >> 6)
+                last = words - 1 - (start >> 6)  # the item's last word is 0, and so are all behind it
+                up = [np.full(len(k), ~_U(0)) for _ in range(n)]
+                down = [np.zeros(len(k), _U) for _ in range(n)]
+                bit = ((rows[k] - 1) & 63).astype(_U)
+                cost, best = rows[k].copy(), rows[k].copy()
+                p = at[k] - back
+                ahead_by = [np.minimum(w + 1, last) for w in range(n)]
+                for _ in range(int((rows[k] + budget[k]).max())):
+                    row = base + letters.take(p, mode="clip") * words
+                    p += step
+                    rise_in, fall_in = _U(1), _U(0)
+                    here = vectors.take(row)
+                    for w in range(n):
+                        ahead = vectors.take(row + ahead_by[w])
+                        eq = here >> shift | ahead << _U(1) << rest
+                        here = ahead
+                        u, d = up[w], down[w]
+                        xv = eq | d
+                        if w:
+                            eq |= fall_in
+                        xh = (((eq & u) + u) ^ u) | eq
+                        rise, fall = d | ~(xh | u), u & xh
+                        if w == n - 1:
+                            cost += ((rise >> bit & _U(1)) - (fall >> bit & _U(1))).view(np.int64)
+                            np.minimum(best, cost, out=best)
+                            rise, fall = rise << _U(1) | rise_in, fall << _U(1) | fall_in
+                        else:
+                            carry = rise >> _U(63), fall >> _U(63)
+                            rise, fall = rise << _U(1) | rise_in, fall << _U(1) | fall_in
+                            rise_in, fall_in = carry
+                        up[w], down[w] = fall | ~(xv | rise), rise & xv
+                out[k] = best
+        return out
+
+    def aligned(self, a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hits of which one side can be aligned within the item's edits: places in ``a``, items and places in them.
+
+        No hit that an alignment within the edits goes through is lost: the cost
+        of a part of an item is never above that of the whole. Alignments may
+        run into the next text and take other letters for equal (``folded``).
+        """
+        at, place = self.hits(a)
+        item = self.owner[place]
+        place = place - self.start[item]
+        letters = np.concatenate((self.letter[a], [0]))
+        budget = self.edits[item]
+
+        def cost(k, most, back):
+            side = place[k] if back else self.chars[item[k]] - place[k]
+            return self.fewest(letters, at[k], item[k], place[k], np.minimum(side, most), budget[k], back)
+
+        left = place > self.chars[item] // 2  # the longer side first, and of it no more than tells chance from a copy
+        kept = []
+        for back in (False, True):
+            k = np.flatnonzero(left == back)
+            kept.append(k[cost(k, (budget[k] * 11 // 5 + 63) // 64 * 64, back) <= budget[k]])
+        k = np.concatenate(kept)
+        return at[k], item[k], place[k]
 
 
 def best_match(item: str, text: str) -> tuple[int, int]:
@@ -244,60 +406,81 @@ def best_match(item: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def _found(docs: DataFrame, bench: Bench, similarity: float) -> DataFrame:
+    """All places of documents that hold an item of ``bench``."""
+    shared = docs.sparkSession.sparkContext.broadcast(bench)
+
+    def places(held, b):
+        known: dict[tuple[int, str], tuple[int, int]] = {}
+        parts = [folded(t) for _, t in held]
+        a = np.concatenate([x for p in parts for x in (p, np.zeros(1, np.uint8))])
+        ends = np.cumsum([len(p) + 1 for p in parts])
+        at, item, place = b.aligned(a)
+        doc = np.searchsorted(ends, at, side="right")
+        at = at - np.concatenate(([0], ends))[doc]
+        first, end = at - place - b.edits[item] - 1, at - place + b.chars[item] + b.edits[item] + 1
+        spans: list[list[int]] = []
+        for k in np.lexsort((first, item, doc)).tolist():
+            span = [int(doc[k]), int(item[k]), max(0, int(first[k])), int(end[k])]
+            if spans and spans[-1][:2] == span[:2] and span[2] <= spans[-1][3]:
+                spans[-1][3] = max(spans[-1][3], span[3])
+            else:
+                spans.append(span)
+        for d, i, first, end in spans:
+            text, region = b.texts[i], held[d][1][first:end]
+            if (i, region) not in known:
+                known[i, region] = best_match(text, region)
+            edits, _ = known[i, region]
+            if edits <= (1 - similarity) * len(text) + 1e-9:
+                yield (held[d][0], b.ids[i], edits, len(text), 1 - edits / len(text),
+                       len(held[d][1][:first].encode("utf-8", "surrogatepass")), region)
+
+    def work(batches):
+        b = shared.value
+        held, size = [], 0
+        for ids, texts in batches:
+            out = []
+            for i, t in zip(ids, texts):
+                t = normal(t).decode("utf-8", "surrogatepass")
+                if not t:
+                    continue
+                held.append((i, t))
+                size += len(t)
+                if size > 4 * PIECE:
+                    out += places(held, b)
+                    held, size = [], 0
+            if out:
+                yield [list(c) for c in zip(*out)]
+        if held:
+            out = list(places(held, b))
+            if out:
+                yield [list(c) for c in zip(*out)]
+
+    return map_rows(docs.select("doc_id", "text"), "doc_id bigint, item_id bigint, edits bigint, item_chars bigint, similarity double, first bigint, region string", work)
+
+
 def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Documents that hold a benchmark item: ``doc_id, item_id, edits, item_chars, similarity, first, region``.
 
     ``docs(doc_id, text)``, ``items(item_id, text)``. A document holds an item
     if some part of its text (in lower case, runs of spaces as one) is within
     (1 - similarity) x the item's characters in edits of it. Candidates come
-    from equal LSH keys of windows at all words whose first bytes are alike too;
-    each is verified by exact edit distance, so all rows are right, and recall is probabilistic: an item has a
-    key per word and repeat, of which one has to survive. Items of fewer than 8
-    bytes or of one word match nothing, nor do null and empty texts. One row
-    per document and item with the fewest edits; repeated rows count once.
+    from equal keys of windows at all characters; each is verified by exact edit
+    distance, so all rows are right, and recall is probabilistic: an item has a
+    window per character, of which one has to survive, and windows are short
+    enough for TARGET at edits spread at random. Items of fewer than 8 bytes or
+    4 characters match nothing, nor do null and empty texts. One row per
+    document and item with the fewest edits; repeated rows count once.
     ``first`` is a byte offset of the matched region in the normalised text.
+    Documents are read once for each SLICE bytes of items.
     """
-    pairs, keys = item_keys(items.select("item_id", "text"))
-    pair_map, key_map = _bit_map(pairs.select(F.col("pair").alias("h"))), _bit_map(keys.select(F.col("key").alias("h")).distinct())
-    longest = items.agg(F.max(F.octet_length(F.lower("text")))).first()[0] or 0
-    reach = int(longest * (2 - similarity)) + 16
-    parts = stage_mapped(regions(docs, pair_map, key_map, reach), "regions").withColumn("rid", F.xxhash64("region"))
-    hits = (parts.select("doc_id", "first", "rid", F.explode("hits").alias("hit"))
-            .select("doc_id", "first", "rid", F.col("hit.key").alias("key"), F.col("hit.local").alias("local"))
-            .join(keys, "key").select("doc_id", "first", "rid", "item_id", "local", "piece"))
-
-    def near(batches):
-        known: dict[tuple[bytes, bytes], bool] = {}
-        for ids, first, rid, item_ids, local, piece in batches:
-            if len(known) > 100_000:
-                known.clear()
-            out = set()
-            for row in zip(ids, first, rid, item_ids, local, piece):
-                ok = known.get(row[4:])
-                if ok is None:
-                    ok = known[row[4:]] = best_match(row[5].decode("latin-1"), row[4].decode("latin-1"))[0] <= LOCAL_EDITS * len(row[5])
-                if ok:
-                    out.add(row[:4])
-            if out:
-                yield [list(c) for c in zip(*out)]
-
-    cand = map_rows(hits, "_d bigint, _f bigint, _r bigint, item_id bigint", near).distinct()
-    both = (cand.join(parts, F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_f") == F.col("first")) & (F.col("_r") == F.col("rid")))
-            .join(items.select("item_id", F.col("text").alias("item")).distinct(), "item_id")
-            .select("doc_id", "first", "region", "item_id", "item"))
-
-    def work(batches):
-        for ids, first, region, item_ids, item in batches:
-            out = []
-            for row in zip(ids, first, region, item_ids, item):
-                text = normal(row[4]).decode("utf-8", "replace")
-                edits, _ = best_match(text, row[2])
-                if edits <= (1 - similarity) * len(text) + 1e-9:
-                    out.append((row[0], row[3], edits, len(text), 1 - edits / len(text), row[1], row[2]))
-            if out:
-                yield [list(c) for c in zip(*out)]
-
-    found = map_rows(both, "doc_id bigint, item_id bigint, edits bigint, item_chars bigint, similarity double, first bigint, region string", work)
+    rows = items.where("text IS NOT NULL").select("item_id", "text").distinct()
+    slices = max(1, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SLICE))
+    found = None
+    for s in range(slices):
+        some = sorted(((r["item_id"], r["text"]) for r in rows.where(F.pmod(F.xxhash64("text"), F.lit(slices)) == s).collect()), key=str)
+        part = _found(docs, Bench(some, similarity), similarity)
+        found = part if found is None else found.unionByName(part)
     return found.groupBy("doc_id", "item_id").agg(
         F.min(F.struct("edits", "first", "item_chars", "similarity", "region")).alias("m")).select(
         "doc_id", "item_id", "m.edits", "m.item_chars", "m.similarity", "m.first", "m.region")

@@ -344,6 +344,29 @@ def slow_match_bounded(item, text):
     return decontam.best_match(item, text)[0] <= 0.2 * len(item)
 
 
+def edited(rng, text, edits, even):
+    """``text`` with so many substitutions, deletions and insertions, at random or at even distances."""
+    places = [int((i + 0.5) * len(text) / edits) for i in range(edits)] if even else rng.sample(range(len(text)), edits)
+    out = list(text)
+    for p in places:
+        x = rng.choice("abcdefgh")
+        out[p] = rng.choice([x, "", x + out[p]])
+    return "".join(out)
+
+
+@pytest.mark.parametrize("rate, even", [(0.15, True), (0.2, False), (0.2, True)])
+def test_contaminated_recall_at_the_verified_similarity(spark, rate, even):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randint(2, 9)))
+    bench = [(i, " ".join(word() for _ in range(99))[:(24, 48, 80, 120, 300)[i % 5]].strip()) for i in range(200)]
+    docs = [(i, f"{word()} {word()} {edited(rng, t, int(rate * len(t)), even)} {word()}") for i, t in bench]
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    got = {r["doc_id"] for r in decontam.contaminated(df, it).where("doc_id = item_id").collect()}
+    for n in range(5):
+        want = [i for (i, b), (_, t) in zip(bench, docs) if i % 5 == n and slow_match_bounded(b, decontam.normal(t).decode())]
+        assert len(want) >= 30 and len(got & set(want)) >= 0.9 * len(want)
+
+
 def test_long_texts_go_piece_by_piece(spark):
     item = "a passage that the benchmark holds and that must be found at any place of a text"
     filler = "lorem ipsum dolor sit amet consectetur " * 30_000  # over one piece
