@@ -7,7 +7,8 @@ the backlog is done. A stopped run continues where the checkpoint says;
 a full reload starts over with a fresh checkpoint folder.
 
 Each micro-batch extracts the product fields and writes accepted records and
-rejects to two parquet tables partitioned by run date and source file. A
+rejects to two parquet tables partitioned by run date and source file (its name
+and a hash of its whole path, as files of several folders may bear one name). A
 micro-batch replaces the partitions of the files it holds (dynamic partition
 overwrite), so a file replayed after a failure, or by a full reload with a new
 checkpoint, adds nothing twice, whatever its page ids, and nothing that was
@@ -16,7 +17,7 @@ stored is read back. ``ingested`` reads such a table with one row per page.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -29,6 +30,11 @@ def _replace_files(df: DataFrame, path: str) -> None:
      .partitionBy("date", "source_file").parquet(path))
 
 
+def source_file() -> Column:
+    """Name of a row's file, then a hash of its whole path; sorts as the name does."""
+    return F.concat_ws("-", "_metadata.file_name", F.substring(F.sha2(F.col("_metadata.file_path"), 256), 1, 32)).alias("source_file")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
@@ -55,7 +61,7 @@ def ingest_pages(spark: SparkSession, source_dir: str, records_path: str, reject
     (checkpoints are never deleted here)."""
     stream = (spark.readStream.schema(PAGE_SCHEMA)
               .option("maxFilesPerTrigger", max_files_per_trigger)
-              .parquet(source_dir).select("*", F.col("_metadata.file_name").alias("source_file")))
+              .parquet(source_dir).select("*", source_file()))
     batches = []
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:

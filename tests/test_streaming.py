@@ -23,3 +23,17 @@ def test_ingest_once_and_resume(spark, tmp_path):
     ingest_pages(spark, src, rec, rej, str(tmp_path / "ck2"), "2024-01-01", Pg.SHOP_RULES)
     assert spark.read.parquet(rec).count() == 7
     assert spark.read.parquet(rec).where(F.col("date") == "2024-01-01").count() == 7
+
+
+def test_files_of_one_name_in_two_folders_are_both_kept(spark, tmp_path):
+    rec, rej = (str(tmp_path / n) for n in ("rec", "rej"))
+    df = spark.createDataFrame(PAGES, Pg.PAGE_SCHEMA)
+    for k, some in enumerate(("page_id <= 5", "page_id > 5")):
+        df.where(some).coalesce(1).write.parquet(str(tmp_path / f"w{k}"))
+        (tmp_path / f"in{k}").mkdir()
+        next((tmp_path / f"w{k}").glob("part-*.parquet")).rename(tmp_path / f"in{k}" / "pages.parquet")
+    for run in range(2):  # the second replays both files
+        for k in range(2):
+            ingest_pages(spark, str(tmp_path / f"in{k}"), rec, rej, str(tmp_path / f"ck{run}{k}"), "2024-01-01", Pg.SHOP_RULES)
+        assert sorted(r.page_id for r in spark.read.parquet(rec).collect()) == [1, 4, 5, 6, 7, 8, 9]
+        assert sorted(r.page_id for r in spark.read.parquet(rej).collect()) == [2, 3]
