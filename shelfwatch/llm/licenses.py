@@ -36,7 +36,58 @@ TEMPLATES = [
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
             "following conditions are met"),
     ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    # siblings of these, and the heads of whole licence texts
+    ("apache-2", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, "
+                 "AND DISTRIBUTION"),
+    ("apache-1.1", "Licensed under the Apache License, Version 1.1."),
+    ("apache-1.1", "The Apache Software License, Version 1.1"),
+    ("mpl-2", "Mozilla Public License Version 2.0"),
+    ("mpl-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+            "provided that the above copyright notice and this permission notice appear in all copies."),
+    ("isc", "Released under the ISC License."),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+                  "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+                  "commercial or non-commercial, and by any means."),
 ]
+_VERBATIM = "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."
+for _label, _name, _version, _head in [
+        ("gpl-2", "GNU General Public License", "2", "June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc."),
+        ("gpl-3", "GNU General Public License", "3", "29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc."),
+        ("lgpl-2.1", "GNU Lesser General Public License", "2.1", "February 1999 Copyright (C) 1991, 1999 Free Software Foundation, Inc."),
+        ("lgpl-3", "GNU Lesser General Public License", "3", "29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc."),
+        ("agpl-3", "GNU Affero General Public License", "3", "19 November 2007 Copyright (C) 2007 Free Software Foundation, Inc.")]:
+    TEMPLATES += [(_label, f"{_name} Version {_version}, {_head} {_VERBATIM}"),
+                  (_label, f"This program is free software; you can redistribute it and/or modify it under the terms of the {_name} as "
+                           f"published by the Free Software Foundation; either version {_version} of the License, or (at your option) "
+                           "any later version.")]
+    if _label != "gpl-3":
+        TEMPLATES.append((_label, f"This work is licensed under the {_name}, version {_version}."))
+_CC = {"by": "Attribution", "by-sa": "Attribution-ShareAlike", "by-nd": "Attribution-NoDerivatives", "by-nc": "Attribution-NonCommercial",
+       "by-nc-sa": "Attribution-NonCommercial-ShareAlike", "by-nc-nd": "Attribution-NonCommercial-NoDerivatives"}
+for _short, _name in _CC.items():
+    if _short != "by-nc":
+        TEMPLATES += [(f"cc-{_short}", f"Licensed under CC {_short.upper()} 4.0."),
+                      (f"cc-{_short}", f"This work is licensed under a Creative Commons {_name} 4.0 International License.")]
+    TEMPLATES.append((f"cc-{_short}", f"This work is licensed under a Creative Commons {_name.replace('Derivatives', 'Derivs')} 3.0 Unported License."))
+
+#: the words by which licences differ. Those that a template holds must be matched, each phrase as a whole.
+NEEDED = {
+    "mit": ["mit license"],
+    "isc": ["isc license"],
+    "apache-2": ["apache license version 2 0"],
+    "apache-1.1": ["version 1 1"],
+    "mpl-2": ["mozilla public license v 2 0", "mozilla public license version 2 0"],
+    "mpl-1.1": ["mozilla public license version 1 1"],
+    "gpl-2": ["gnu general public license", "version 2"],
+    "gpl-3": ["gnu general public license", "version 3"],
+    "lgpl-2.1": ["gnu lesser general public license", "version 2 1"],
+    "lgpl-3": ["gnu lesser general public license", "version 3"],
+    "agpl-3": ["gnu affero general public license", "version 3"],
+    "bsd": ["source and binary forms"],
+} | {f"cc-{_s}": [f"{w} {v}" for w in (f"cc {_s.replace('-', ' ')}", f"commons {_n.lower().replace('-', ' ')}",
+                                       f"commons {_n.lower().replace('-', ' ').replace('derivatives', 'derivs')}") for v in ("4 0", "3 0")]
+     for _s, _n in _CC.items()}
 
 #: a word is a run of digits, lower-case letters and bytes beyond ASCII
 _KEEP = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
@@ -64,6 +115,7 @@ class Automaton:
     def __init__(self, base=None, templates=None):
         self.base = [(words_of(p), label) for p, label in (BASE if base is None else base)]
         self.templates = [(label, words_of(t)) for label, t in (TEMPLATES if templates is None else templates)]
+        self.needed = [self._needed(label, ws) for label, ws in self.templates]
         self.vocab: dict[bytes, int] = {}
         self.states = [State()]
         strings = [w for w, _ in self.base] + [w for _, w in self.templates]
@@ -88,6 +140,13 @@ class Automaton:
         for i in sorted(range(1, len(states)), key=lambda i: states[i].length):
             states[i].base = states[i].base + states[states[i].link].base
 
+    @staticmethod
+    def _needed(label: str, words: list[bytes]) -> list[list[tuple[int, int]]]:
+        """For each distinguishing phrase of the label that the template holds, its places (first word, end)."""
+        phrases = [words_of(p) for p in NEEDED.get(label, [])]
+        places = [[(i, i + len(p)) for i in range(len(words) - len(p) + 1) if words[i:i + len(p)] == p] for p in phrases]
+        return [p for p in places if p]
+
     def _extend(self, last: int, c: int) -> int:
         s = self.states
         if c in s[last].next:
@@ -149,15 +208,18 @@ class Automaton:
 
         A match that occurs several times in a template takes the first occurrence
         behind what the chain covers. Matches come in file order, and a chain
-        ends when the next match is too far or can't follow.
+        ends when the next match is too far or can't follow. A chain must hold
+        the template's distinguishing phrases, each within one match. Of spans
+        that overlap and bear different labels the best covered stays.
         """
-        open_chains: dict[int, list[int]] = {}  # template: first word, end in file, end in template, covered
+        # template: first word, end in file, end in template, covered, matches (first word, end in template)
+        open_chains: dict[int, list] = {}
         spans = []
 
         def close(t: int) -> None:
-            first, end, _, covered = open_chains.pop(t)
+            first, end, _, covered, matched = open_chains.pop(t)
             share = covered / len(self.templates[t][1])
-            if share >= MIN_COVER:
+            if share >= MIN_COVER and all(any(s <= a and z <= e for a, z in places for s, e in matched) for places in self.needed[t]):
                 spans.append((first, end, t, share))
 
         for at, n, v in matches:
@@ -174,16 +236,22 @@ class Automaton:
                     later = [s for s in starts if s + cut >= c[2]]
                     if later and n > cut:
                         c[1], c[2], c[3] = at + n, min(later) + n, c[3] + n - cut
+                        c[4].append((min(later), min(later) + n))
                         continue
                 if c:
                     if c[3] >= MIN_COVER * len(self.templates[t][1]) or at - c[1] > MAX_GAP or n > c[3]:
                         close(t)
                     else:
                         continue
-                open_chains[t] = [at, at + n, min(starts) + n, n]
+                open_chains[t] = [at, at + n, min(starts) + n, n, [(min(starts), min(starts) + n)]]
         for t in list(open_chains):
             close(t)
-        return sorted(spans)
+        best: list[tuple[int, int, int, float]] = []
+        for span in sorted(spans, key=lambda x: (-x[3], -len(self.templates[x[2]][1]), x)):
+            label = self.templates[span[2]][0]
+            if all(span[1] <= b[0] or b[1] <= span[0] or self.templates[b[2]][0] == label for b in best):
+                best.append(span)
+        return sorted(best)
 
 
 def scan_licenses(docs: DataFrame, base=None, templates=None) -> DataFrame:
@@ -191,7 +259,8 @@ def scan_licenses(docs: DataFrame, base=None, templates=None) -> DataFrame:
 
     ``base_hits`` (first word, end, label) are all places of the base phrases.
     ``spans`` (first word, end, label, cover) are chains of long matches that
-    cover at least MIN_COVER of a template. ``score`` is the largest cover, 1
+    cover at least MIN_COVER of a template and the words that tell it from its
+    siblings (NEEDED); where labels compete the best covered wins. ``score`` is the largest cover, 1
     for a base phrase. Null and empty texts have no words, no hits and score 0.
     """
     machine = Automaton(base, templates)

@@ -225,6 +225,24 @@ def test_licence_template_is_found_with_a_word_changed(k):
         assert label in [machine.templates[t][0] for _, _, t, x in machine.scan(words)[1] if 0.7 <= x < 1]
 
 
+@pytest.mark.parametrize("text, want", [
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", {"cc-by"}),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", {"cc-by-nc-sa"}),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", {"cc-by-nc"}),
+    ("This work is licensed under a Creative Commons Attribution 9.0 International License.", set()),
+    ("This work is licensed under the GNU General Public License, version 2.", {"gpl-2"}),
+    ("This work is licensed under the GNU General Public License, version 3.", {"gpl-3"}),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", {"lgpl-3"}),
+    ("Licensed under the Apache License, Version 1.1", {"apache-1.1"}),
+    ("Licensed under the Apache License, Version 2.0.", {"apache-2"}),
+    ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+     "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", {"lgpl-2.1"}),
+])
+def test_licences_are_told_from_their_siblings(text, want):
+    machine = licenses.Automaton()
+    assert {machine.templates[t][0] for *_, t, _ in machine.scan(licenses.words_of(f"before {text} after"))[1]} == want
+
+
 def test_matching_statistics_leave_common_words_alone():
     assert licenses.Automaton().scan(licenses.words_of("the software and the work is in the public version of this"))[1] == []
 
