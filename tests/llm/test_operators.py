@@ -385,6 +385,16 @@ def test_contaminated_recall_at_the_verified_similarity(spark, rate, even):
         assert len(want) >= 30 and len(got & set(want)) >= 0.9 * len(want)
 
 
+def test_contaminated_needs_no_spaces(spark):
+    rng = random.Random(6)
+    chinese = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(60))
+    bench = [(1, chinese), (2, "https://example.org/some/long/path?with=a&query=string"), (3, "for(i=0;i<len(values);i++){total+=values[i]*weights[i];}"),
+             (4, "twoverylongwordswithout anyotherspacebetweenthem")]
+    docs = [(i, f"文 {t} 字") for i, t in bench] + [(i + 10, f"文{edited(rng, t, len(t) // 10, False)}字") for i, t in bench] + [(99, "別 nothing of them")]
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(df, it).collect()} == {(i + k, i) for i in (1, 2, 3, 4) for k in (0, 10)}
+
+
 def test_long_texts_go_piece_by_piece(spark):
     item = "a passage that the benchmark holds and that must be found at any place of a text"
     filler = "lorem ipsum dolor sit amet consectetur " * 30_000  # over one piece
