@@ -142,9 +142,10 @@ class Scorer:
     def __init__(self, model: dict[str, float], bias: float):
         self.model, self.bias, self.words = model, bias, {}
 
-    def word(self, w: str) -> float:
-        get = self.model.get
-        x = self.words[w] = sum([get(f, 0.0) for f in word_features(w)])
+    def word(self, w: str) -> tuple[float, tuple[str, ...]]:
+        """Sum of a word's weights, and the features that have one."""
+        heavy = tuple([f for f in word_features(w) if f in self.model])
+        x = self.words[w] = sum([self.model[f] for f in heavy]), heavy
         return x
 
     def score(self, text: str | None, locate: float = 0.5) -> tuple[float, list[dict]]:
@@ -152,16 +153,20 @@ class Scorer:
 
         Offsets count code points. A feature counts once in a sentence, as in training.
         """
-        words, get, heavy = self.words, self.words.get, self.model.get
+        words, get, weight = self.words, self.words.get, self.model
         total, spans = 0.0, []
         for m in _SENTENCE.finditer(text or ""):
             bag = set(_WORD.findall(m.group().lower()))
-            z = self.bias
+            z, bearing = self.bias, []
             for w in bag:
-                x = get(w)
-                z += self.word(w) if x is None else x
-            if z > -2 and len(bag) > 1:  # only here does it matter that two words may share a feature
-                z = self.bias + sum([heavy(f, 0.0) for f in {f for w in bag for f in word_features(w)}])
+                x, heavy = get(w) or self.word(w)
+                if heavy:
+                    z += x
+                    bearing.append(heavy)
+            if len(bearing) > 1:
+                features = {f for heavy in bearing for f in heavy}
+                if len(features) < sum(map(len, bearing)):  # two words share a feature
+                    z = self.bias + sum([weight[f] for f in features])
             if z > UNTRAINED:
                 total += math.log1p(math.exp(z)) if z < 30 else z
                 if z >= 0 and 1 / (1 + math.exp(-z)) >= locate:

@@ -474,3 +474,13 @@ def test_code_switched_words_are_labelled(spark):
     n = len(en.split())
     assert [(s["first"], s["end"], s["lang"]) for s in rows[1]["segments"]] == [(0, n, "en"), (n, n + len(fr.split()), "fr")]
     assert rows[2]["lang_pred"] == rows[3]["lang_pred"] == "und"
+
+
+def test_toxicity_of_a_long_text_is_the_plain_noisy_or():
+    model, bias = {"<barg": 0.6, "=zest": 1.5, "dent>": 0.2}, -6.0
+    text = "bargain bargained bargains bargainer bargaining barge. zest student president resident. none here. " * 50
+    clean = 1.0
+    for sentence in re.findall(r"[^.!?\n]+", text):
+        features = {f for w in re.findall(r"[^\W_]+", sentence.lower()) for f in toxicity.word_features(w)}
+        clean *= 1 - 1 / (1 + 2.718281828459045 ** -(bias + sum(model.get(f, 0) for f in features)))
+    assert toxicity.Scorer(model, bias).score(text)[0] == pytest.approx(1 - clean)
