@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwatch.llm import chat, curriculum, decontam, kdshards, langid, licenses, phrases, simhash, suffixes, toxicity
+from shelfwatch.llm import chat, curriculum, decontam, kdshards, langid, licenses, phrases, secret_scan, simhash, spelling, suffixes, toxicity, whitening
 from shelfwatch.llm.common import read
 
 
@@ -79,6 +79,56 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, form and root."""
+    return spelling.spelling_variants(read(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    out = secret_scan.find_secrets(read(spark, sf_dir, "documents"))
+    base = [r.kind for r in secret_scan.BASE]
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["first"].cast("string"), s["end"].cast("string"))), ",")
+    of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    return out.select("doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in base],
+                      F.sha2(joined(of(*base)), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All usable vectors on the eight largest components, whitened."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+def _secrets_sql() -> str:
+    """Positions of matches from the pieces of text between them, rule by rule."""
+    quoted = lambda p: "'" + p.replace("'", "''") + "'"
+    rules = [*secret_scan.BASE, *secret_scan.ADDED]
+    per = "\nUNION ALL\n".join(
+        f"""  SELECT rid, {k} AS k, '{r.kind}' AS kind, regexp_extract_all(t, {quoted(r.pattern)}) AS m,
+         regexp_split_to_array(t, {quoted(r.pattern)}) AS between, regexp_extract_all(t, {quoted(r.pattern)}, {r.group}) AS g, {r.least} AS least
+  FROM d""" for k, r in enumerate(rules))
+    base = ", ".join(f"'{r.kind}'" for r in secret_scan.BASE)
+    spelled = "kind || ':' || start || ':' || stop, ',' ORDER BY start, k"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+found AS (
+{per}),
+flat AS (
+  SELECT rid, k, kind, least, unnest(m) AS m, unnest(g) AS g, unnest(between[:len(m)]) AS b, unnest(range(1, len(m) + 1)) AS i
+  FROM found WHERE len(m) > 0),
+placed AS (
+  SELECT *, sum(length(b) + length(m)) OVER (PARTITION BY rid, k ORDER BY i) AS upto FROM flat),
+spans AS (
+  SELECT rid, k, kind, (upto - length(m))::BIGINT AS start, upto::BIGINT AS stop FROM placed WHERE length(g) >= least),
+per_doc AS (
+  SELECT rid, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS c, count(*) FILTER (kind = 'hex') AS h,
+         string_agg({spelled}) FILTER (kind IN ({base})) AS base, string_agg({spelled}) AS spans
+  FROM spans GROUP BY rid)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(c, 0)::BIGINT AS n_access, coalesce(h, 0)::BIGINT AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN per_doc USING (rid)"""
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_kd_shards": op2_kd_shards,
@@ -90,6 +140,9 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_language": op9_language,
     "op10_simhash": op10_simhash,
+    "op11_spelling": op11_spelling,
+    "op12_secrets": op12_secrets,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE = {
@@ -148,4 +201,35 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(chars)::BIGINT AS formatted_chars
 FROM pieces GROUP BY conv_id""",
+    "op11_spelling": r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]{7,}')) AS run
+  FROM documents),
+own AS (SELECT doc_id, run, count(*) AS k, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs GROUP BY ALL),
+summed AS (  -- CRC-32: a byte is taken in, then eight bits are shifted out
+  SELECT run, k, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length(x), 2), lambda i: list_prepend(('0x' || substr(x, i, 2))::BIGINT, [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+    lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) ELSE xor(c >> 1, 3988292384::BIGINT * (c & 1)) END), 4294967295::BIGINT) AS h
+  FROM own),
+words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, k FROM summed),
+v AS (SELECT word, sum(k)::BIGINT AS n FROM words WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+less AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+one_less AS (SELECT DISTINCT l.word AS a, v.word AS b FROM less l JOIN v ON l.rest = v.word),
+links AS (
+  SELECT a, b FROM one_less UNION ALL SELECT b, a FROM one_less
+  UNION ALL SELECT x.word, y.word FROM less x JOIN less y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word),
+near AS (
+  SELECT l.a AS word, v.word AS form, v.n AS form_n, count(*) OVER (PARTITION BY l.a) AS n_near,
+         row_number() OVER (PARTITION BY l.a ORDER BY v.n DESC, v.word) AS place
+  FROM links l JOIN v ON v.word = l.b),
+forms AS (
+  SELECT v.word, v.n, coalesce(c.n_near, 0)::BIGINT AS n_near, CASE WHEN c.form_n >= 10 * v.n THEN c.form END AS form,
+         CASE WHEN c.form_n >= 10 * v.n THEN c.form_n END AS form_n
+  FROM v LEFT JOIN near c ON c.word = v.word AND c.place = 1),
+chain AS (
+  SELECT word, word AS at, form AS next FROM forms
+  UNION ALL SELECT c.word, c.next, f.form FROM chain c JOIN forms f ON f.word = c.next)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n FROM forms f JOIN chain c ON c.word = f.word AND c.next IS NULL""",
+    "op12_secrets": _secrets_sql(),
 }

@@ -7,10 +7,13 @@ import re
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from shelfwatch.llm import chat, components, curriculum, decontam, kdshards, langid, licenses, phrases, simhash, suffixes, toxicity
+from shelfwatch.llm import (chat, components, curriculum, decontam, kdshards, langid, licenses, phrases, secret_scan, simhash, spelling,
+                            suffixes, toxicity, whitening)
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, size bigint, h bigint, shard int, slot string, key string, score string, keep_text string, _drop bigint"
 
@@ -52,6 +55,8 @@ def test_every_operator_takes_awkward_tables(spark, table):
     assert len(suffixes.repeated_spans(docs).collect()) == n
     assert len(toxicity.toxicity(docs, labels(spark)).collect()) == n
     assert len(langid.languages(docs).collect()) == n
+    assert len(secret_scan.find_secrets(docs).collect()) == n
+    assert {r["word"]: r["n"] for r in spelling.spelling_variants(docs).collect()} == slow_words([(r["doc_id"], r["text"]) for r in docs.collect()])
     assert decontam.contaminated(docs, items(spark)).count() == 0
     assert decontam.contaminated(docs, items(spark, ())).count() == 0
 
@@ -484,3 +489,177 @@ def test_toxicity_of_a_long_text_is_the_plain_noisy_or():
         features = {f for w in re.findall(r"[^\W_]+", sentence.lower()) for f in toxicity.word_features(w)}
         clean *= 1 - 1 / (1 + 2.718281828459045 ** -(bias + sum(model.get(f, 0) for f in features)))
     assert toxicity.Scorer(model, bias).score(text)[0] == pytest.approx(1 - clean)
+
+
+# --- spelling variants ---------------------------------------------------------------
+
+def slow_words(rows):
+    n = defaultdict(int)
+    for i, t in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            run = re.sub("[A-Z]", lambda m: m.group().lower(), run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            n[run[:h % len(run)] + run[h % len(run) + 1:] if h % 31 == 0 else run] += 1
+    return {w: k for w, k in n.items() if len(w) >= 7 and k >= 2}
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def slow_variants(n):
+    near = {w: [x for x in n if one_edit(w, x)] for w in n}
+    form = {}
+    for w in n:
+        best = min(near[w], key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best is not None and n[best] >= 10 * n[w] else None
+    out = {}
+    for w in n:
+        root = w
+        while form[root]:
+            root = form[root]
+        out[w] = (form[w], root, n[w], len(near[w]), n[form[w]] if form[w] else None)
+    return out
+
+
+@pytest.mark.parametrize("tile", [1024, 3])
+def test_spelling_variants_are_those_of_all_pairs(spark, monkeypatch, tile):
+    monkeypatch.setattr(spelling, "TILE", tile)
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcé") for _ in range(rng.randint(6, 9))) for _ in range(60)] + ["Kitchen", "×÷×÷×÷×", "Zürich-Genève", "z" * 3000, "z" * 3001]
+    rows = []
+    for i in range(1500):
+        w = rng.choice(words[:12] if i % 4 else words)
+        at = rng.randrange(len(w))
+        edited = rng.choice([w, w, w, w[:at] + w[at + 1:], w[:at] + "b" + w[at:], w[:at] + "a" + w[at + 1:]])
+        rows.append((rng.choice([None, 7, i]), f"{edited} {w}, {w.upper()}"))
+    rows += [(1, None), (2, ""), (3, "12 !")] + [(None, "kitchen " * 600)]
+    n = slow_words(rows)
+    got = {r["word"]: (r["form"], r["root"], r["n"], r["n_near"], r["form_n"])
+           for r in spelling.spelling_variants(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = slow_variants(n)
+    assert len(want) > 60 and any(v[0] for v in want.values())
+    assert got == want
+
+
+@pytest.mark.parametrize("groups", [2, 3, 6])
+def test_every_edit_leads_to_an_adjacent_block(groups):
+    steps = {tuple(s) for s in spelling._steps(groups)}
+    letters = [chr(c) for c in (*range(97, 123), *range(0xC0, 0x100))]
+    block = lambda w: [len(w), *[sum(c in letters[g::groups] for c in w) for g in range(groups - 1)]]
+    rng = random.Random(groups)
+    for _ in range(500):
+        w = "".join(rng.choice(letters) for _ in range(8))
+        at = rng.randrange(8)
+        x = rng.choice([w[:at] + w[at + 1:], w[:at] + rng.choice(letters) + w[at + 1:]])
+        step = tuple(a - b for a, b in zip(block(w), block(x)))
+        assert step in steps or tuple(-s for s in step) in steps
+        assert step == (0,) * groups or not (step in steps and tuple(-s for s in step) in steps)
+
+
+# --- secrets ----------------------------------------------------------------------------
+
+@pytest.mark.parametrize("pattern,gives", [
+    ("abc", {"abc"}), ("(?i)ABCd", {"abc", "bcd"}), ("ab", None), ("[0-9a-f]{32,}", None), ("ab?cde", {"abc", "bcd", "cde", "acd"}),
+    ("x+abc|y", None), ("(?:abc)*", None), ("(abc){2}x", {"abc", "bca", "cab", "bcx"}), ("^abc$", {"abc"}), ("[ab]cd", None), ("é", None), ("aé", {"a\xc3\xa9"})])
+def test_trigrams_that_a_pattern_asks_for(pattern, gives):
+    q = secret_scan.trigram_query(pattern)
+    if pattern == "[ab]cd":
+        assert q[0] == "or" and len(q[1]) == 2
+    elif gives is None:
+        assert q is None
+    else:
+        want = {ord(g[0]) << 16 | ord(g[1]) << 8 | ord(g[2]) for g in gives}
+        assert secret_scan.trigrams(q) == want
+
+
+def slow_spans(text):
+    return [(m[0], r.kind, m[1]) for r in secret_scan.BASE + secret_scan.ADDED for m in secret_scan.matches(r, text or "")]
+
+
+def test_secrets_of_the_index_are_those_of_a_full_search(spark):
+    rng = random.Random(12)
+    bits = ["password", "PASSWD", "token", "Secret", "api_key", "APIKEY", "=", ":", " ", "  ", '"', "'", "abcdefg", "abcdefgh", "xK9/+_.=-", "AKIA", "ABCDEFGHIJKL", "é", "\n",
+            "0123456789abcdef", "ghp_", "a" * 36, "xoxb-", "eyJ", ".eyJ", "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "https://", "user", "@host", "bearer ", "AIza", "sk_live_", "ſecret: "]
+    rows = [(i, "".join(rng.choice(bits) for _ in range(rng.randint(0, 25)))) for i in range(1500)]
+    rows += [(None, "token=abcdefgh"), (1, None), (1, ""), (2, "password: hunter2"), (2, "password: hunter22"), (3, "token: secret: abcdefghij"),
+             (4, "x " * 300_000 + "api_key = 'k3y-of-a-long-text'" + " y" * 300_000), (5, "ſecret=abcdefgh"), (6, "eyJabcdefgh.eyJabcdefgh.abcdefgh")]
+    got = [(r["doc_id"], [(s["first"], s["kind"], s["end"]) for s in r["spans"]])
+           for r in secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    kinds = [r.kind for r in secret_scan.BASE + secret_scan.ADDED]
+    want = [(i, sorted(slow_spans(t), key=lambda s: (s[0], kinds.index(s[1])))) for i, t in rows]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert {k for _, spans in want for _, k, _ in spans} == set(kinds)
+    assert dict(got)[3] == [] and dict(got)[5] == []
+
+
+def test_matches_satisfy_their_query():
+    rng = random.Random(1)
+    letters = "abAB01_=:. -/@"
+    for rule in secret_scan.BASE + secret_scan.ADDED:
+        q = secret_scan.trigram_query(rule.pattern)
+        index = secret_scan.Index(secret_scan.trigrams(q))
+        texts = ["".join(rng.choice(letters) for _ in range(20)) for _ in range(50)] + ["token = x", "AKIA0", "f" * 32, "Bearer " + "x" * 16, "gho_" + "a" * 36,
+                 "AIza" + "b" * 35, "eyJabcdefgh.eyJabcdefgh.abcdefgh", "-----BEGIN PRIVATE KEY-----", "xoxs-0123456789", "rk_live_" + "a" * 24, "ftp://a:b@"]
+        hold = set(index.load([t.encode() for t in texts]).rows(q).tolist())
+        hit = {i for i, t in enumerate(texts) if re.search(rule.pattern, t, re.A)}
+        assert hit and hit <= hold
+
+
+# --- whitening ----------------------------------------------------------------------------
+
+def slow_whiten(vectors, k=8):
+    x = np.floor(1024 * np.array(vectors, np.float64)).astype(np.int64) + 100000
+    z = x - x.mean(axis=0)
+    e, u = np.linalg.eigh(z.T @ z / len(x))
+    e, u = e[::-1][:k], u[:, ::-1][:, :k]
+    far = [sum((len(x) * c - s) ** 2 for c, s in zip(r, x.sum(axis=0).tolist())) for r in x.tolist()]
+    return e / (z * z).sum() * len(x), z @ u / np.sqrt(e), far
+
+
+@pytest.mark.parametrize("dims,rows,repeat", [(5, 200, 1), (48, 300, 1), (3, 7, 3)])
+def test_whitened_vectors(spark, dims, rows, repeat):
+    rng = np.random.default_rng(dims)
+    v = (rng.standard_normal((rows, dims)) @ rng.standard_normal((dims, dims))).astype(np.float32).tolist() * repeat
+    bad = [(-1, None), (-2, []), (-3, [None] * dims), (-4, [float("nan")] * dims), (-5, [float("inf")] * dims), (-6, [1.0]), (-7, [1e30] * dims)]
+    table = spark.createDataFrame([*enumerate(v), *bad], "vec_id long, embedding array<float>").withColumn("component", F.lit("x"))
+    out = whitening.whiten(table).collect()
+    share, w, far = slow_whiten(v)
+    k = min(8, dims)
+    assert len(out) == len(v) * k and {r["n"] for r in out} == {len(v)}
+    assert max(r["identity_error"] for r in out) < 1e-9
+    for c in range(k):
+        got = {r["vec_id"]: r for r in out if r["component"] == c + 1}
+        mine = np.array([got[i]["whitened"] for i in range(len(v))])
+        assert min(abs(mine - w[:, c]).max(), abs(mine + w[:, c]).max()) < 1e-8
+        assert abs(got[0]["explained"] - share[c]) < 1e-12
+        assert [got[i]["deviation"] for i in range(len(v))] == far
+
+
+def test_vectors_that_cannot_be_whitened(spark):
+    schema = "vec_id long, embedding array<float>"
+    assert whitening.whiten(spark.createDataFrame([], schema)).count() == 0
+    assert whitening.whiten(spark.createDataFrame([(None, [1.0, 2.0])] * 3, schema)).count() == 0
+    flat = whitening.whiten(spark.createDataFrame([(None, [1.0, 2.0]), (1, [1.0, 3.0]), (1, [1.0, 3.0])], schema)).collect()
+    assert [(r["vec_id"], r["component"]) for r in sorted(flat, key=str)] == [(1, 1), (1, 1), (None, 1)]
+    assert abs(sum(r["whitened"] ** 2 for r in flat) / 3 - 1) < 1e-12
+
+
+def test_components_of_close_and_equal_eigenvalues():
+    rng = np.random.default_rng(3)
+    u = np.linalg.qr(rng.standard_normal((120, 120)))[0]
+    e = np.sort(np.concatenate(([9, 9, 5, 4.99, 4.98, 4], 1 + rng.random(114))))[::-1]
+    v = u * e @ u.T
+    values, vectors = whitening.components(lambda q: v @ q, 120, 6)
+    assert abs(values - e[:6]).max() < 1e-10 and abs(v @ vectors - vectors * values).max() < 1e-9
+    assert abs(vectors.T @ vectors - np.eye(6)).max() < 1e-12
+
+
+def test_deviations_beyond_a_long_are_null():
+    x = np.array([[0], [1 << 40]], np.int64)
+    assert whitening.deviations(x, 2, [1 << 40], 0, 1 << 40) == [None, None]
+    assert whitening.deviations(np.array([[3]], np.int64), 1, [1], 3, 3) == [4]
