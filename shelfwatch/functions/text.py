@@ -7,6 +7,8 @@ RE2, so the SQL oracle can evaluate the same rules.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -113,66 +115,156 @@ def is_product_url(col) -> Column:
 
 # --- HTML -------------------------------------------------------------------
 
+def element_start(tag: str, css_class: str | None = None) -> str:
+    """Regex of the start tag ``<tag class="… css_class …">``; the class must be
+    one whole item of the class attribute (several classes allowed)."""
+    if css_class is None:
+        return rf"(?is)<{tag}(?:\s[^>]*)?>"
+    cls = css_class.replace(".", r"\.").replace("-", r"\-")
+    dq = rf'"(?:[^"]*\s)?{cls}(?:\s[^"]*)?"'
+    sq = rf"'(?:[^']*\s)?{cls}(?:\s[^']*)?'"
+    return rf"(?is)<{tag}(?:\s[^>]*)?\sclass\s*=\s*(?:{dq}|{sq})[^>]*>"
+
+
 def element_pattern(tag: str, css_class: str | None = None) -> str:
-    """Regex capturing the inner HTML of ``<tag class="… css_class …">…</tag>``.
+    """Regex capturing the inner HTML of an element up to the next closing tag
+    of its name. Valid in Java regex and RE2."""
+    return rf"{element_start(tag, css_class)}(.*?)</{tag}\s*>"
 
-    The class must be one whole item of the class attribute (several classes
-    allowed). Valid in Java regex and RE2."""
-    if css_class is None:
-        attrs = r"[^>]*"
-    else:
-        cls = css_class.replace(".", r"\.").replace("-", r"\-")
-        dq = rf'"(?:[^"]*\s)?{cls}(?:\s[^"]*)?"'
-        sq = rf"'(?:[^']*\s)?{cls}(?:\s[^']*)?'"
-        attrs = rf"[^>]*\sclass\s*=\s*(?:{dq}|{sq})[^>]*"
-    return rf"(?is)<{tag}(?:\s{attrs})?>(.*?)</{tag}\s*>" if css_class is None else \
-        rf"(?is)<{tag}{attrs}>(.*?)</{tag}\s*>"
+
+_NUM_ENTITY = r"&#(?:[0-9]+|[xX][0-9a-fA-F]+);"
+_NUM_ENTITY_BODY = r"&#([0-9]+|[xX][0-9a-fA-F]+);"
+_NAMED_ENTITY = r"&[A-Za-z][A-Za-z0-9]*;"
+_NAMED_ENTITY_BODY = r"&([A-Za-z][A-Za-z0-9]*);"
 
 
-_NUM_ENTITY = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
-_NUM_ENTITY_BODY = r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+def _decoded(c: Column, pattern: str, body: str, decode) -> Column:
+    """The text split at the entities and joined again with what ``decode`` makes of their bodies (null: as written)."""
+    parts = F.split(c, pattern, -1)
+    bodies = F.regexp_extract_all(c, F.lit(body), 1)
+    return F.array_join(F.zip_with(parts, F.transform(bodies, decode), lambda p, ch: F.concat(p, F.coalesce(ch, F.lit("")))), "")
 
 
 def decode_numeric_entities(col) -> Column:
-    """Decode ``&#NNN;`` / ``&#xHH;`` to the character (via UTF-32 bytes of
-    the code point); invalid code points stay as written. The text is split
-    at the entities and joined back with the decoded characters."""
+    """Decode ``&#NNN;`` / ``&#xHH;`` of any length to the character (via UTF-32
+    bytes of the code point); invalid code points stay as written."""
     c = _c(col)
-    parts = F.split(c, _NUM_ENTITY, -1)
-    bodies = F.regexp_extract_all(c, F.lit(_NUM_ENTITY_BODY), 1)
 
     def to_char(b):
         is_hex = F.lower(F.substring(b, 1, 1)) == "x"
-        code = F.when(is_hex, F.conv(F.substring(b, 2, 10), 16, 10)).otherwise(b).try_cast("int")
+        digits = F.regexp_replace(b, "^[xX]?0*", "")
+        # longer ones are beyond the last code point
+        code = F.when(F.length(digits) <= 7, F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits)).try_cast("int")
         valid = (code.isNotNull() & (code > 0) & (code <= 0x10FFFF)
                  & ~((code >= 0xD800) & (code <= 0xDFFF)))
         ch = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
         return F.when(valid, ch).otherwise(F.concat(F.lit("&#"), b, F.lit(";")))
 
-    joined = F.array_join(F.zip_with(parts, F.transform(bodies, to_char),
-                                     lambda p, ch: F.concat(p, F.coalesce(ch, F.lit("")))), "")
-    return F.when(F.instr(c, "&#") > 0, joined).otherwise(c)
+    return F.when(F.instr(c, "&#") > 0, _decoded(c, _NUM_ENTITY, _NUM_ENTITY_BODY, to_char)).otherwise(c)
+
+
+#: the entities that most pages use, replaced without a lookup
+_COMMON = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&euro;", "€"))
+
+
+def _named_entities() -> Column:
+    """All named character references that end in a semicolon, as one constant map."""
+    table = [f"{name[:-1]}\2{ch}" for name, ch in html5.items() if name.endswith(";") and name != "amp;"]
+    return F.str_to_map(F.lit("\1".join(table)), F.lit("\1"), F.lit("\2"))
 
 
 def decode_entities(col) -> Column:
-    """Decode the common named entities and all numeric ones; ``&amp;`` last
-    so that ``&amp;lt;`` becomes ``&lt;`` and ``&amp;#39;`` stays ``&#39;``."""
+    """Decode all named and numeric entities; ``&amp;`` last, so that
+    ``&amp;lt;`` becomes ``&lt;`` and ``&amp;#39;`` stays ``&#39;``. Names that
+    are none stay as written."""
     c = _c(col)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
-                    ("&nbsp;", "\u00a0"), ("&euro;", "€")):
+    for ent, ch in _COMMON:
         c = F.replace(c, F.lit(ent), F.lit(ch))
+    look_up = lambda b: F.coalesce(F.element_at(_named_entities(), b), F.concat(F.lit("&"), b, F.lit(";")))
+    rare = F.regexp_replace(c, "&amp;", "").rlike(_NAMED_ENTITY)
+    c = F.when(rare, _decoded(c, _NAMED_ENTITY, _NAMED_ENTITY_BODY, look_up)).otherwise(c)
     return F.replace(decode_numeric_entities(c), F.lit("&amp;"), F.lit("&"))
 
 
 def html_text(col) -> Column:
-    """Visible text of an HTML fragment: tags removed, entities decoded."""
-    return decode_entities(F.regexp_replace(_c(col), r"<[^>]*>", ""))
+    """Visible text of an HTML fragment: comments and tags removed, entities decoded."""
+    return decode_entities(F.regexp_replace(_c(col), r"(?s)<!--.*?-->|<[^>]*>", ""))
+
+
+#: tags of a chunk whose depths are added up together
+_CHUNK = 64
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` worked out once however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def running_sums(values: Column) -> Column:
+    """Running sums of an array of integers.
+
+    A higher-order function copies the array it appends to, so the sums are
+    worked out in chunks and the sums of the chunks before are added: the work
+    is near n, not n squared."""
+    def running(part: Column, start: Column) -> Column:
+        sums = F.aggregate(part, F.array(start), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+        return _let(sums, lambda s: F.slice(s, F.lit(2), F.size(s)))
+
+    zero = F.lit(0)
+    starts = F.when(F.size(values) > 0, F.sequence(F.lit(1), F.size(values), F.lit(_CHUNK))).otherwise(F.array().cast("array<int>"))
+    chunks = F.transform(starts, lambda i: F.slice(values, i, F.lit(_CHUNK)))
+
+    def add_up(c: Column) -> Column:
+        before = F.concat(F.array(zero), running(F.transform(c, lambda x: F.aggregate(x, zero, lambda acc, y: acc + y)), zero))
+        return _let(before, lambda b: F.flatten(F.transform(c, lambda x, i: running(x, F.element_at(b, i + 1)))))
+    return _let(chunks, add_up)
+
+
+def html_inner(html, tag: str, css_class: str | None = None) -> Column:
+    """Inner HTML of every ``<tag class="… css_class …">`` in document order (array<string>).
+
+    An element ends at its own closing tag: start and end tags of the same name
+    are counted, and the end is the first one behind the start at which the
+    depth is that before it. Comments and the contents of scripts and styles
+    hold no tags. An element whose end tag is missing is left out, and so are
+    void elements. All in expressions; the plain pattern serves texts in which
+    no start tag of the name follows another."""
+    raw = _c(html)
+    text = F.when(raw.rlike(r"(?i)<!--|<script|<style"),
+                  F.regexp_replace(raw, r"(?is)<!--.*?-->|(<(script|style)\b[^>]*>).*?(?=</\2\s*>)", "$1")).otherwise(raw)
+    tag_pattern = rf"(?is)<{tag}(?:\s[^>]*)?>|</{tag}\s*>"
+    start_pattern = element_start(tag, css_class)
+
+    def elements(t: Column) -> Column:
+        tags, closing, sums, between = t["tags"], t["closing"], t["sums"], t["between"]
+
+        def inner(x: Column, i: Column) -> Column:
+            # the first tag behind it at which the depth is that before the element; what lies between them
+            end = F.array_position(F.slice(sums, i + 2, F.size(sums)), F.element_at(sums, i + 1) - 1).cast("int")
+            held = F.concat(F.array_join(F.zip_with(F.slice(between, i + 2, end - 1), F.slice(tags, i + 2, end - 1), lambda b, y: F.concat(b, y)), ""),
+                            F.element_at(between, i + end + 1))
+            return F.when(F.element_at(closing, i + 1) | ~x.rlike(start_pattern), F.lit(None)).when(end > 0, held)
+        return F.filter(F.transform(tags, inner), lambda x: x.isNotNull())
+
+    def by_depth(t: Column) -> Column:
+        signs = F.transform(t["closing"], lambda e: F.when(e, F.lit(-1)).otherwise(F.lit(1)))
+        return _let(F.struct(t["tags"].alias("tags"), t["closing"].alias("closing"), running_sums(signs).alias("sums"),
+                             F.split(t["text"], tag_pattern, -1).alias("between")), elements)
+
+    def found(t: Column) -> Column:
+        follows = F.exists(F.zip_with(t["closing"], F.slice(t["closing"], F.lit(2), F.size(t["closing"])), lambda a, b: ~a & ~b), lambda x: F.coalesce(x, F.lit(False)))
+        return F.when(follows, by_depth(t)).otherwise(F.regexp_extract_all(t["text"], F.lit(element_pattern(tag, css_class)), 1))
+
+    def closings(t: Column) -> Column:
+        ends = F.transform(t["tags"], lambda y: F.startswith(y, F.lit("</")))
+        return _let(F.struct(t["text"].alias("text"), t["tags"].alias("tags"), ends.alias("closing")), found)
+
+    return _let(text, lambda x: _let(F.struct(x.alias("text"), F.regexp_extract_all(x, F.lit(tag_pattern), 0).alias("tags")), closings))
 
 
 def html_elements(html, tag: str, css_class: str | None = None) -> Column:
     """Inner text of every matching element, in document order (array<string>)."""
-    raw = F.regexp_extract_all(_c(html), F.lit(element_pattern(tag, css_class)), 1)
-    return F.transform(raw, lambda x: html_text(x))
+    return F.transform(html_inner(html, tag, css_class), lambda x: html_text(x))
 
 
 def html_first_text(html, tag: str, css_class: str | None = None) -> Column:

@@ -2,8 +2,8 @@
 column expressions (no per-row parser, no network client).
 
 A ``PageRules`` maps each product field to an HTML element (tag, optional CSS
-class, optional enclosing element). Fields are extracted with regular
-expressions in the JVM; the same patterns run in RE2.
+class, optional enclosing element). Elements are matched by their tags' depth
+in JVM expressions (``functions.text.html_inner``).
 """
 
 from __future__ import annotations
@@ -52,8 +52,7 @@ SITEMAP_LOC_PATTERN = r"(?is)<loc>\s*([^<]*?)\s*</loc>"
 
 def _scope(html: Column, rule: Rule) -> Column:
     if len(rule) > 2 and rule[2]:
-        return F.coalesce(F.get(F.regexp_extract_all(html, F.lit(tx.element_pattern(rule[2])), 1), 0),
-                          F.lit(""))
+        return F.coalesce(F.get(tx.html_inner(html, rule[2]), 0), F.lit(""))
     return html
 
 

@@ -3,13 +3,17 @@ capture run, one folder per day (``<yyyymmdd>/<yyyymmdd>_<hhmm>_prices.csv``).
 
 Columns are bound by header name, never by position: each file's own header row
 says where a column stands, so files of different layouts (the capture job's and
-the loader's) are read together. A file with rows but no header fails loudly.
-Values are converted with ``try_cast`` (ANSI-safe: a bad number becomes null, it
-does not stop the job). Files holding only a newline are tolerated.
+the loader's) are read together, however many columns they have. The headers
+are taken from the first lines of the files; then the files of each layout are
+read by a scan of their own with that layout's columns, so the body is parsed
+once and only the columns asked for. A file with rows but no header fails
+loudly. Values are converted with ``try_cast`` (ANSI-safe: a bad number becomes
+null, it does not stop the job). Files holding only a newline are tolerated.
 """
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,53 +30,110 @@ SNAPSHOT_HEADER = ["product_id", "price", "product", "brand", "unit_price", "uni
 
 # Header of the files as the loader declares them.
 LOADED_HEADER = [f.name for f in schemas.SNAPSHOT_LOADED.fields]
-MAX_COLUMNS = 32
+
+
+def file_headers(spark: SparkSession, path: str, pattern: str = "*.csv", sep: str = ";") -> DataFrame:
+    """``(file_path, names)``: the cells of the first line that isn't blank of every file under ``path``.
+
+    Every file is one task, which stops at that line, so no more than the first
+    buffers of a file are read. Files without such a line give no row."""
+    def first_lines(batches):
+        import pyarrow as pa
+        for b in batches:
+            for line, file, start in zip(*(c.to_pylist() for c in b.columns)):
+                if start != 0:
+                    return  # a later block of the file
+                line = line.lstrip("\ufeff")
+                if line.strip():
+                    names = [c.strip() for c in next(csv.reader([line], delimiter=sep))]
+                    yield pa.RecordBatch.from_pydict({"file_path": [file], "names": [names]})
+                    return
+
+    conf = spark.conf
+    apart, whole, rows = "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes", "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = {k: conf.get(k) for k in (apart, rows)}
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf.get(whole))
+    try:
+        conf.set(apart, str(size))  # a file that is opened fills a partition: no two in one task
+        conf.set(rows, "64")
+        lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path)
+                 .select("value", "_metadata.file_path", "_metadata.file_block_start"))
+        found = lines.mapInArrow(first_lines, "file_path string, names array<string>").collect()  # as many rows as files are listed
+    finally:
+        for k, v in usual.items():
+            conf.set(k, v)
+    return spark.createDataFrame([tuple(r) for r in found], "file_path string, names array<string>")
 
 
 def read_snapshots(spark: SparkSession, path: str, pattern: str = "*.csv", sep: str = ";",
                    schema: StructType = schemas.SNAPSHOT, with_source: bool = False, strip: bool = False,
                    with_capture_time: bool = False, marks: Sequence[str] = ("product_id", "price")) -> DataFrame:
     """All snapshot files under ``path`` (recursively) as one typed DataFrame
-    in ``schema``'s column order; a column that a file lacks is null. A row
-    that holds the names ``marks`` is its file's header. ``strip`` trims all
-    whitespace from text; ``with_source`` adds the file path;
-    ``with_capture_time`` adds ``capture_ts`` parsed from a
-    ``<yyyymmdd>_<hhmm>_…`` file name (null when the name does not follow it),
-    which tells two captures of a day apart."""
-    text_schema = StructType()
-    for i in range(MAX_COLUMNS):
+    in ``schema``'s column order; a column that a file lacks is null. A file's
+    first line that isn't blank is its header and must hold the names ``marks``.
+    The header may come again within a file (captures that were concatenated);
+    another header there fails the job. ``strip`` trims all whitespace from
+    text; ``with_source`` adds the file path; ``with_capture_time`` adds
+    ``capture_ts`` parsed from a ``<yyyymmdd>_<hhmm>_…`` file name (null when
+    the name does not follow it), which tells two captures of a day apart.
+
+    The driver holds what it lists anyway, the files' paths, with one header per layout."""
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for r in file_headers(spark, path, pattern, sep).collect():
+        if not set(marks) <= set(r["names"]):
+            raise ValueError(f"no header row in {r['file_path']}")
+        layouts.setdefault(tuple(r["names"]), []).append(r["file_path"])
+    parts = [_read_layout(spark, files, names, sep, schema, with_source, strip, with_capture_time, marks)
+             for names, files in sorted(layouts.items())]
+    if not parts:
+        empty = StructType(list(schema.fields))
+        for name, kind, wanted in (("source_file", "string", with_source), ("capture_ts", "timestamp", with_capture_time)):
+            empty = empty.add(name, kind) if wanted else empty
+        return spark.createDataFrame([], empty)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _read_layout(spark: SparkSession, files: list[str], names: Sequence[str], sep: str, schema: StructType, with_source: bool,
+                 strip: bool, with_capture_time: bool, marks: Sequence[str]) -> DataFrame:
+    """The files whose header is ``names``."""
+    text_schema, at = StructType(), {}
+    for i, n in enumerate(names):
+        at.setdefault(n, f"c{i}")  # the first of equal names
         text_schema = text_schema.add(f"c{i}", StringType())
     lines = (spark.read.schema(text_schema)
              .option("header", False).option("sep", sep).option("encoding", "UTF-8").option("mode", "PERMISSIVE")
-             .option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-             .csv(path)
-             .select(F.array(*text_schema.names).alias("cells"), F.col("_metadata.file_path").alias("file_path"),
-                     F.col("_metadata.file_name").alias("file_name")))
+             .csv(files))
+    first = [F.col(at[m]) for m in marks]
     is_header = F.lit(True)
+    for m, c in zip(marks, first):
+        is_header = is_header & F.coalesce(F.trim(F.regexp_replace(c, "^\ufeff", "")) == m, F.lit(False))
+    other = F.lit(True)  # every mark's cell holds a name of some column: the header of another layout
+    for c in first:
+        other = other & F.coalesce(F.trim(c).isin([*names, *schema.fieldNames()]), F.lit(False))
+    blank = F.lit(True)
     for m in marks:
-        is_header = is_header & F.coalesce(F.array_contains("cells", m), F.lit(False))
-    # one row per file: where its columns stand
-    headers = lines.where(is_header).groupBy(F.col("file_path").alias("_file")).agg(F.first("cells").alias("names"))
-    places = headers.select("_file", F.transform("names", lambda n: F.trim(n)).alias("names")).select(
-        "_file", *[F.array_position("names", f.name).cast("int").alias(f"_at{i}") for i, f in enumerate(schema.fields)])
-    rows = lines.where(~is_header & F.exists("cells", lambda c: c.isNotNull()))
-    raw = rows.join(places, F.col("file_path") == F.col("_file"), "left")
-    raw = raw.withColumn("cells", F.when(F.col("_file").isNull(), F.raise_error(
-        F.concat(F.lit("no header row in "), F.col("file_path"))).cast("array<string>")).otherwise(F.col("cells")))
+        blank = blank & F.col(at[m]).isNull()
+    if len(names) > len(marks):  # a row may lack the marks and still hold something
+        blank = blank & F.coalesce(*[F.col(c) for c in text_schema.names]).isNull()
+    rows = lines.where(~is_header & ~blank)
     out = []
-    for i, f in enumerate(schema.fields):
-        at = F.col(f"_at{i}")
-        c = F.when(at > 0, F.get("cells", at - 1))
+    for f in schema.fields:
+        c = F.col(at[f.name]) if f.name in at else F.lit(None).cast("string")
+        if f.name == marks[0]:
+            c = F.when(other, F.raise_error(F.concat(F.lit("no header row of this layout in "), F.col("_metadata.file_path"))).cast("string")).otherwise(c)
         if isinstance(f.dataType, StringType):
             out.append((trim_all(c) if strip else c).alias(f.name))
         else:
             out.append(c.try_cast(f.dataType).alias(f.name))
     if with_source:
-        out.append(F.col("file_path").alias("source_file"))
+        out.append(F.col("_metadata.file_path").alias("source_file"))
     if with_capture_time:
-        stamp = F.regexp_extract(F.col("file_name"), r"^(\d{8}_\d{4})_", 1)
+        stamp = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d{8}_\d{4})_", 1)
         out.append(F.try_to_timestamp(F.nullif(stamp, F.lit("")), F.lit("yyyyMMdd_HHmm")).alias("capture_ts"))
-    return raw.select(*out)
+    return rows.select(*out)
 
 
 def write_snapshots(df: DataFrame, path: str, folder_col=None, sep: str = ";",

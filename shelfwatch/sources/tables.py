@@ -60,23 +60,74 @@ def write_table(df: DataFrame, target: str, mode: str = "append",
     return True
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
+def _pending(target: str) -> str:
+    return f"{target.rstrip('/')}_pending"
+
+
+def _put(df: DataFrame, target: str, partition_by: Sequence[str] | None, dynamic: bool) -> None:
+    if dynamic:
+        overwrite_partitions(df, target, partition_by or [])
+    else:
+        write_table(df, target, "overwrite", partition_by, skip_empty=False)
+
+
+def recover_table(spark: SparkSession, target: str, partition_by: Sequence[str] | None = None, dynamic: bool = False) -> bool:
+    """Finish a ``replace_table`` of a path that was cut off; returns whether there was one to finish.
+
+    A replacement whose new content was complete is carried out again, whatever
+    of the target it had replaced; an incomplete one is dropped, as it had not
+    touched the target yet."""
+    pending = _pending(target)
+    if not path_exists(spark, pending):
+        return False
+    whole = path_exists(spark, f"{pending}/_SUCCESS")
+    if whole:
+        _put(spark.read.parquet(pending), target, partition_by, dynamic)
+    remove_path(spark, pending)
+    return whole
+
+
 def replace_table(df: DataFrame, target: str, partition_by: Sequence[str] | None = None,
-                  attempts: int = 3) -> str:
-    """Overwrite ``target`` with ``df`` even when ``df`` was computed from it:
-    the content is first staged in the shared checkpoint folder (one pass).
-    The staged copy no longer depends on the target, so a failed overwrite is
-    retried from it; its path is returned (it stays until the folder is
-    cleaned, as a recovery copy)."""
-    from shelfwatch.session import stage_table
-    staged = stage_table(df, "replace")
+                  attempts: int = 3, dynamic: bool = False) -> None:
+    """Overwrite ``target`` with ``df`` even when ``df`` was computed from it.
+
+    The new content of a path is first written beside it (``<target>_pending``)
+    and overwrites it from there, so a job lost between the two, or within the
+    overwrite, loses nothing: ``recover_table`` with the same arguments, which
+    also runs here first, finishes it. With ``dynamic`` only the partitions that
+    ``df`` holds are replaced. A catalog table is staged in the checkpoint folder."""
+    spark = df.sparkSession
+    if "/" not in target:
+        from shelfwatch.session import stage_table
+        staged = stage_table(df, "replace")
+    else:
+        recover_table(spark, target, partition_by, dynamic)
+        df.write.parquet(_pending(target))
+        staged = spark.read.schema(df.schema).parquet(_pending(target))
     for attempt in range(attempts):
         try:
-            write_table(staged, target, "overwrite", partition_by, skip_empty=False)
+            _put(staged, target, partition_by, dynamic)
             break
         except Exception:  # noqa: BLE001
             if attempt == attempts - 1:
                 raise
-    return staged.inputFiles()[0].rsplit("/", 1)[0] if staged.inputFiles() else ""
+    if "/" in target:
+        remove_path(spark, _pending(target))
 
 
 def backup_table(spark: SparkSession, source: str, target_base: str, day=None) -> str:

@@ -23,6 +23,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from shelfwatch.plans.capture import capture_products
 from shelfwatch.sources.pages import PAGE_SCHEMA, SHOP_RULES, PageRules
+from shelfwatch.sources.tables import path_exists
 
 
 def _replace_files(df: DataFrame, path: str) -> None:
@@ -35,11 +36,6 @@ def source_file() -> Column:
     return F.concat_ws("-", "_metadata.file_name", F.substring(F.sha2(F.col("_metadata.file_path"), 256), 1, 32)).alias("source_file")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def ingested(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Rows of a table written by ``ingest_pages``: a page id that came in
     several times on a run date counts once (the first source file by name,

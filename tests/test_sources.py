@@ -134,3 +134,57 @@ def test_catalogue_inspection(spark):
     assert "sw_probe_view" in names
     T.create_schema(spark, "sw_probe_db")
     assert "sw_probe_db" in {d.name for d in spark.catalog.listDatabases()}
+
+
+def test_forty_columns_in_headers_of_any_order(spark, tmp_path):
+    more = [f"x{i}" for i in range(38)]
+    (tmp_path / "a_prices.csv").write_text(";".join([*more, "product_id", "price", "date"]) + "\n" + ";".join(["v"] * 38 + ["7", "1.5", "2023-01-01"]) + "\n")
+    (tmp_path / "b_prices.csv").write_text(";".join(["date", *more, "price", "product_id"]) + "\n" + ";".join(["2023-01-02", *["w"] * 38, "2.5", "8"]) + "\n")
+    got = Sn.read_snapshots(spark, str(tmp_path), "*_prices.csv")
+    assert sorted((r.product_id, r.price, r.date) for r in got.collect()) == [("7", 1.5, dt.date(2023, 1, 1)), ("8", 2.5, dt.date(2023, 1, 2))]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 2 and "Join" not in plan  # a scan for each layout, each file once
+
+
+def test_headers_of_many_small_and_one_split_file(spark, tmp_path):
+    for i in range(30):
+        (tmp_path / f"{i}_prices.csv").write_text("\n\n" + HEADER + f"{i};1.0;a;b;1.0;u;[];;2023-01-01\n")
+    (tmp_path / "big_prices.csv").write_text(HEADER + "big;1.0;a;b;1.0;u;[];;2023-01-01\n" * 20000)
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+        heads = Sn.file_headers(spark, str(tmp_path), "*_prices.csv").collect()
+        assert len(heads) == 31 and {tuple(r.names) for r in heads} == {tuple(HEADER.strip().split(";"))}
+        got = Sn.read_snapshots(spark, str(tmp_path), "*_prices.csv")
+        assert got.count() == 20030 and got.select("product_id").distinct().count() == 31
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+
+
+def test_a_header_may_come_again_but_not_another_one(spark, tmp_path):
+    row = "7;1.0;a;b;1.0;u;[];;2023-01-01\n"
+    (tmp_path / "a_prices.csv").write_text(HEADER + row + HEADER + row)
+    assert Sn.read_snapshots(spark, str(tmp_path), "*_prices.csv").count() == 2
+    (tmp_path / "b_prices.csv").write_text(HEADER + row + "price;product_id;product;brand;unit_price;units;categories;discount;date\n1.0;7;a;b;1.0;u;[];;2023-01-01\n")
+    with pytest.raises(Exception, match="no header row"):
+        Sn.read_snapshots(spark, str(tmp_path), "*_prices.csv").collect()
+
+
+def test_no_files_no_rows(spark, tmp_path):
+    (tmp_path / "a_prices.csv").write_text("\n")
+    got = Sn.read_snapshots(spark, str(tmp_path), "*_prices.csv", with_source=True, with_capture_time=True)
+    assert got.count() == 0 and got.columns[-2:] == ["source_file", "capture_ts"]
+
+
+def test_a_replacement_that_was_cut_off_is_finished(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old, new = (spark.createDataFrame([(v, 1)], "v string, part int") for v in ("old", "new"))
+    T.write_table(old, path, "overwrite", partition_by=["part"])
+    new.write.parquet(path + "_pending")  # complete, but not carried out
+    os.remove(next(str(p) for p in (tmp_path / "t" / "part=1").iterdir() if p.name.endswith(".parquet")))  # the overwrite had begun
+    assert T.recover_table(spark, path, ["part"], dynamic=True) is True
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [("new", 1)] and not os.path.exists(path + "_pending")
+    old.write.parquet(path + "_pending")
+    os.remove(path + "_pending/_SUCCESS")  # its content was not complete
+    assert T.recover_table(spark, path, ["part"], dynamic=True) is False
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [("new", 1)]
