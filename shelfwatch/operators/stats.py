@@ -338,6 +338,44 @@ def density(df: DataFrame, col: str, points: int = 1000) -> DataFrame:
                        (F.col("s") / (F.col("n") * F.col("bw") * F.lit(_SQRT_2PI))).alias("density"))
 
 
+#: bins per bandwidth, and bandwidths beyond which a kernel counts as 0 (its height there is below 1e-15 of its top)
+BINS_PER_BANDWIDTH, REACH = 512, 8.5
+
+
+def density_binned(df: DataFrame, col: str, points: int = 1000) -> DataFrame:
+    """``density`` in linear time, in expressions alone: columns i, x, density.
+
+    Values are put into bins of 1/512 bandwidth by linear binning (a value
+    between two bin centres counts for each by its nearness), and every
+    occupied bin adds its kernel to the grid points within REACH bandwidths.
+    One pass over the values with map-side sums; the rest depends on occupied
+    bins and points, not on how many distinct values there are. The error is at
+    most (1/512)**2 / 8 < 5e-7 of the kernel's top, and so below 1e-6 of the
+    largest density."""
+    v = F.col(col).cast("double")
+    vals = df.select(v.alias("v")).where(F.col("v").isNotNull())
+    st = vals.agg(F.count(F.lit(1)).cast("double").alias("n"), F.stddev_samp("v").alias("sd"), F.min("v").alias("mn"), F.max("v").alias("mx"))
+    st = st.select("n", (F.col("sd") * F.pow("n", F.lit(-0.2))).alias("bw"), (F.col("mn") - (F.col("mx") - F.col("mn")) * 0.5).alias("lo"),
+                   (F.col("mx") + (F.col("mx") - F.col("mn")) * 0.5).alias("hi"))
+    st = stage_table(st, "spread")  # one row, read by both steps
+    n, bw, lo, hi = (st.select(c).scalar() for c in st.columns)
+    place = vals.select(((F.col("v") - lo) / bw * BINS_PER_BANDWIDTH).alias("p")).where(F.col("p").isNotNull())
+    low = F.floor("p")
+    halves = F.array(F.struct(low.alias("bin"), (1 - (F.col("p") - low)).alias("w")), F.struct((low + 1).alias("bin"), (F.col("p") - low).alias("w")))
+    bins = place.select(F.inline(halves)).groupBy("bin").agg(F.sum("w").alias("w"))
+    step = (hi - lo) / F.lit(float(points - 1))
+    at = bins.select((F.col("bin") / F.lit(float(BINS_PER_BANDWIDTH))).alias("u"), "w", (step / bw).alias("h"))  # in bandwidths from lo
+    first = F.greatest(F.lit(0), F.ceil((F.col("u") - REACH) / F.col("h"))).cast("int")
+    last = F.least(F.lit(points - 1), F.floor((F.col("u") + REACH) / F.col("h"))).cast("int")
+    near = at.withColumn("first", first).withColumn("last", last).where("first <= last").select(
+        "u", "w", "h", F.explode(F.sequence("first", "last")).alias("i"))
+    sums = near.groupBy("i").agg(F.sum(F.col("w") * F.exp(-0.5 * F.pow(F.col("i") * F.col("h") - F.col("u"), 2))).alias("s"))
+    grid = st.select(F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"), "n", "bw", "lo", "hi").where("bw > 0")
+    x = F.when(F.col("i") == points - 1, F.col("hi")).otherwise(F.col("i") * ((F.col("hi") - F.col("lo")) / F.lit(float(points - 1))) + F.col("lo"))
+    return grid.join(sums, "i", "left").select(
+        "i", x.alias("x"), (F.coalesce("s", F.lit(0.0)) / (F.col("n") * F.col("bw") * F.lit(_SQRT_2PI))).alias("density"))
+
+
 # --- D'Agostino–Pearson K² ---------------------------------------------------------
 
 def normality_test(df: DataFrame, col: str, digits: int | None = None) -> DataFrame:
@@ -347,8 +385,12 @@ def normality_test(df: DataFrame, col: str, digits: int | None = None) -> DataFr
     Moments come from Spark's one-pass ``skewness``/``kurtosis`` aggregates
     (population forms), so the test needs a single scan."""
     v = F.col(col).cast("double")
-    m = df.agg(F.count(v).cast("double").alias("n"), F.skewness(v).alias("g1"),
-               (F.kurtosis(v) + 3.0).alias("b2"))
+    return normality_of(df.agg(F.count(v).cast("double").alias("n"), F.skewness(v).alias("g1"),
+                               (F.kurtosis(v) + 3.0).alias("b2")), digits)
+
+
+def normality_of(m: DataFrame, digits: int | None = None) -> DataFrame:
+    """The normality test of every row of ``m(n, g1, b2)``: count, skewness and kurtosis."""
     n, g1, b2 = F.col("n"), F.col("g1"), F.col("b2")
     sqrt, log, pw = F.sqrt, F.log, F.pow
     # skewness z-score

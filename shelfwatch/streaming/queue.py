@@ -6,8 +6,9 @@ each micro-batch of the file stream is joined with the stored queue by URL, and
 what a page gives, record or reject, is stored under its queue index, in
 partitions of cut and micro-batch. Only when a micro-batch is stored its
 entries are purged: the queue's cuts that it touched are replaced by what is
-left of them. ``<base>/progress`` then holds the high-water mark, the index up
-to which all is done, and the open gaps below the largest done index.
+left of them. At the end of a run ``<base>/progress`` holds the high-water
+mark, the index up to which all is done, and the open gaps below the largest
+done index.
 
 A job lost between write and purge purges first when it comes back; a
 micro-batch that is replayed replaces its own partitions.
@@ -68,22 +69,27 @@ def records(spark: SparkSession, base: str) -> DataFrame:
 
 
 def purge(spark: SparkSession, base: str, cuts: list[int] | None = None) -> None:
-    """Remove the entries whose index is stored from the queue, of the named cuts or of all, and store the progress."""
+    """Remove the entries whose index is stored from the queue, of the named cuts or of all."""
     p = queue_paths(base)
     T.recover_table(spark, p["queue"], ["cut"], dynamic=True)
-    T.recover_table(spark, p["progress"])
-    some = F.lit(True) if cuts is None else F.col("cut").isin(cuts)
-    done = _read(spark, p["records"], RECORD).where(some).select("cut", "index").distinct()
-    here = open_entries(spark, base).where(some)
-    hit = [r[0] for r in here.join(done, ["cut", "index"], "left_semi").select("cut").distinct().collect()]
-    if hit:
-        left = stage_table(here.where(F.col("cut").isin(hit)).join(done, ["cut", "index"], "left_anti").select(*QUEUE.fieldNames()), "left")
-        T.replace_table(left.repartition("cut"), p["queue"], ["cut"], dynamic=True)
-        kept = {r[0] for r in left.select("cut").distinct().collect()}
-        for c in hit:
-            if c not in kept:  # nothing of the cut is left
-                T.remove_path(spark, f"{p['queue']}/cut={c}")
-    T.replace_table(progress_of(open_entries(spark, base), _read(spark, p["records"], RECORD)), p["progress"])
+    done = _read(spark, p["records"], RECORD).select("cut", "index").distinct()
+    here = open_entries(spark, base)
+    if cuts is None:
+        cuts = [r[0] for r in here.join(done, ["cut", "index"], "left_semi").select("cut").distinct().collect()]
+    if not cuts:
+        return
+    mine = F.col("cut").isin(cuts)
+    left = stage_table(here.where(mine).join(done.where(mine), ["cut", "index"], "left_anti").select(*QUEUE.fieldNames()), "left")
+    T.replace_table(left.repartition("cut"), p["queue"], ["cut"], dynamic=True)
+    kept = {r[0] for r in left.select("cut").distinct().collect()}
+    for c in cuts:
+        if c not in kept:  # nothing of the cut is left
+            T.remove_path(spark, f"{p['queue']}/cut={c}")
+
+
+def store_progress(spark: SparkSession, base: str) -> None:
+    p = queue_paths(base)
+    T.replace_table(progress_of(open_entries(spark, base), _read(spark, p["records"], RECORD)).coalesce(1), p["progress"])
 
 
 def progress_of(queue: DataFrame, stored: DataFrame) -> DataFrame:
@@ -141,4 +147,5 @@ def process_queue(spark: SparkSession, base: str, pages_dir: str, run_date, rule
 
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", f"{p['checkpoint']}/{turn}").trigger(availableNow=True).start())
     q.awaitTermination()
+    store_progress(spark, base)
     return len(batches)
