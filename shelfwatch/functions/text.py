@@ -138,6 +138,11 @@ _NAMED_ENTITY = r"&[A-Za-z][A-Za-z0-9]*;"
 _NAMED_ENTITY_BODY = r"&([A-Za-z][A-Za-z0-9]*);"
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` worked out once however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _decoded(c: Column, pattern: str, body: str, decode) -> Column:
     """The text split at the entities and joined again with what ``decode`` makes of their bodies (null: as written)."""
     parts = F.split(c, pattern, -1)
@@ -180,10 +185,15 @@ def decode_entities(col) -> Column:
     c = _c(col)
     for ent, ch in _COMMON:
         c = F.replace(c, F.lit(ent), F.lit(ch))
-    look_up = lambda b: F.coalesce(F.element_at(_named_entities(), b), F.concat(F.lit("&"), b, F.lit(";")))
-    rare = F.regexp_replace(c, "&amp;", "").rlike(_NAMED_ENTITY)
-    c = F.when(rare, _decoded(c, _NAMED_ENTITY, _NAMED_ENTITY_BODY, look_up)).otherwise(c)
-    return F.replace(decode_numeric_entities(c), F.lit("&amp;"), F.lit("&"))
+
+    def named(x: Column) -> Column:
+        look_up = lambda b: F.coalesce(F.element_at(_named_entities(), b), F.concat(F.lit("&"), b, F.lit(";")))
+        rare = F.regexp_replace(x, "&amp;", "").rlike(_NAMED_ENTITY)
+        return F.when(rare, _decoded(x, _NAMED_ENTITY, _NAMED_ENTITY_BODY, look_up)).otherwise(x)
+
+    def decoded(x: Column) -> Column:
+        return F.replace(_let(named(x), decode_numeric_entities), F.lit("&amp;"), F.lit("&"))
+    return _let(c, lambda x: F.when(F.instr(x, "&") > 0, decoded(x)).otherwise(x))
 
 
 def html_text(col) -> Column:
@@ -195,11 +205,6 @@ def html_text(col) -> Column:
 _CHUNK = 64
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)``, with ``value`` worked out once however often ``use`` names it."""
-    return F.get(F.transform(F.array(value), use), 0)
-
-
 def running_sums(values: Column) -> Column:
     """Running sums of an array of integers.
 
@@ -229,9 +234,9 @@ def html_inner(html, tag: str, css_class: str | None = None) -> Column:
     hold no tags. An element whose end tag is missing is left out, and so are
     void elements. All in expressions; the plain pattern serves texts in which
     no start tag of the name follows another."""
-    raw = _c(html)
-    text = F.when(raw.rlike(r"(?i)<!--|<script|<style"),
-                  F.regexp_replace(raw, r"(?is)<!--.*?-->|(<(script|style)\b[^>]*>).*?(?=</\2\s*>)", "$1")).otherwise(raw)
+    text = _let(_c(html), lambda raw: F.when(
+        raw.rlike(r"(?i)<!--|<script|<style"),
+        F.regexp_replace(raw, r"(?is)<!--.*?-->|(<(script|style)\b[^>]*>).*?(?=</\2\s*>)", "$1")).otherwise(raw))
     tag_pattern = rf"(?is)<{tag}(?:\s[^>]*)?>|</{tag}\s*>"
     start_pattern = element_start(tag, css_class)
 

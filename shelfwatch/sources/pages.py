@@ -75,20 +75,25 @@ def extract_fields(pages: DataFrame, rules: PageRules = SHOP_RULES, html_col: st
     cleaned crumb texts encoded as a list; discount: percent of the promotion
     element; date: ``run_date`` (default: today)."""
     h = F.col(html_col)
-    title = field_text(h, rules.title)
-    unit_txt = field_text(h, rules.unit_price)
-    crumbs = F.transform(field_texts(h, rules.categories), lambda x: tx.clean_text(x))
+    own = [c for c in pages.columns if c != html_col]
+    # the elements first, each found once however many fields are read from it, and all made text by one expression
+    single = ("title", "price", "unit_price", "discount")
+    inner = [tx.html_inner(_scope(h, rule), rule[0], rule[1]) for rule in [getattr(rules, n) for n in (*single, "categories")]]
+    texts = F.transform(F.concat(F.array(*[F.get(x, 0) for x in inner[:-1]]), inner[-1]), lambda x: tx.html_text(x))
+    found = pages.select(*own, texts.alias("_texts")).select(
+        *own, *[F.get("_texts", i).alias(f"_{n}") for i, n in enumerate(single)],
+        F.transform(F.slice("_texts", F.lit(len(single) + 1), F.greatest(F.size("_texts") - len(single), F.lit(0))), lambda x: tx.clean_text(x)).alias("_crumbs"))
     day = F.current_date() if run_date is None else F.lit(run_date).cast("date")
-    return pages.select(
-        *[c for c in pages.columns if c != html_col],
+    return found.select(
+        *own,
         tx.url_last_segment(url_col).alias("product_id"),
-        tx.clean_text(title).alias("product"),
-        tx.brand_token(title).alias("brand"),
-        tx.first_match_price(field_text(h, rules.price)).alias("price"),
-        F.when(F.size(crumbs) > 0, tx.encode_list(crumbs)).alias("categories"),
-        tx.first_match_price(unit_txt).alias("unit_price"),
-        tx.unit_label(unit_txt).alias("units"),
-        tx.discount_percent(field_text(h, rules.discount)).alias("discount"),
+        tx.clean_text("_title").alias("product"),
+        tx.brand_token("_title").alias("brand"),
+        tx.first_match_price("_price").alias("price"),
+        F.when(F.size("_crumbs") > 0, tx.encode_list(F.col("_crumbs"))).alias("categories"),
+        tx.first_match_price("_unit_price").alias("unit_price"),
+        tx.unit_label("_unit_price").alias("units"),
+        tx.discount_percent("_discount").alias("discount"),
         day.alias("date"),
     )
 
