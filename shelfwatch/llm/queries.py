@@ -23,9 +23,10 @@ def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text without the bytes of 400-byte strings that also start elsewhere; all copies go."""
-    out = suffixes.repeated_spans(read(spark, sf_dir, "documents"), min_len=400, keep="none")
-    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+    """Every text without the bytes of 400-byte strings that also start elsewhere; all copies go.
+    ``n_shared``: windows of 51 words that another document has too, whatever their bytes."""
+    out = suffixes.repeated_spans(read(spark, sf_dir, "documents"), min_len=400, keep="none", words=51)
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256", "n_shared")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,6 +147,27 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_suffixes": r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b, coalesce(text, '') AS t FROM documents),
+starts AS (SELECT rid, b, unnest(range(0, octet_length(b)::BIGINT - 399)) AS s FROM d WHERE octet_length(b) >= 400),
+win AS (SELECT rid, s, md5(b[s + 1:s + 400]) AS h FROM starts),
+twice AS (SELECT h FROM win GROUP BY h HAVING count(*) > 1),
+hit AS (SELECT rid, s, s - coalesce(lag(s) OVER (PARTITION BY rid ORDER BY s), -1000) > 400 AS opens FROM win JOIN twice USING (h)),
+runs AS (SELECT rid, s, sum(opens::INT) OVER (PARTITION BY rid ORDER BY s) AS k FROM hit),
+spans AS (SELECT rid, k, min(s) AS a, max(s) + 400 AS z FROM runs GROUP BY rid, k),
+cut AS (SELECT rid, a, z, coalesce(lag(z) OVER (PARTITION BY rid ORDER BY a), 0) AS p FROM spans),
+rest AS (
+  SELECT rid, count(*) AS n, sum(z - a) AS gone, max(z) AS last,
+         string_agg(hex(d.b[cut.p + 1:cut.a]), '' ORDER BY cut.a) AS front FROM cut JOIN d USING (rid) GROUP BY rid),
+words AS (SELECT rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+places AS (SELECT rid, w, unnest(range(1, len(w) - 49)) AS i FROM words WHERE len(w) >= 51),
+passages AS (SELECT DISTINCT rid, md5(array_to_string(w[i:i + 50], ' ')) AS h FROM places),
+shared AS (SELECT h FROM passages GROUP BY h HAVING count(*) > 1),
+n_shared AS (SELECT rid, count(*) AS n FROM passages JOIN shared USING (h) GROUP BY rid)
+SELECT d.doc_id, octet_length(d.b)::BIGINT AS n_bytes, coalesce(r.gone, 0)::BIGINT AS n_removed, coalesce(r.n, 0)::BIGINT AS n_spans,
+       CASE WHEN r.rid IS NULL THEN sha256(d.b) ELSE sha256(unhex(r.front || hex(d.b[r.last + 1:]))) END AS kept_sha256,
+       coalesce(s.n, 0)::BIGINT AS n_shared
+FROM d LEFT JOIN rest r USING (rid) LEFT JOIN n_shared s USING (rid)""",
     "op6_curriculum": r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,

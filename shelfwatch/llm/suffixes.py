@@ -7,9 +7,11 @@ place. Anchors that occur more than once are looked at again with what all
 windows share that hold them in their first or in their last part. Only
 suffixes around what is repeated there meet: those that start there are sorted, and the order of the suffixes that start
 one byte further left is induced from it, byte by byte, with their common
-prefixes. A window has an earlier copy (longest previous factor of min_len or
-more) if the run of suffixes that share min_len bytes with it holds an earlier
-position before or behind it in suffix order.
+prefixes. The longest previous factor of a suffix is its longest common prefix
+with the next suffix before or behind it in suffix order that starts earlier in
+the corpus (previous and next smaller position); a window has an earlier copy if
+that is min_len or more. Whole surroundings that are equal byte for byte are
+told by a hash of 128 bits, and only one of them is sorted.
 """
 
 from __future__ import annotations
@@ -116,6 +118,37 @@ def halves_of(b: bytes, at: np.ndarray, min_len: int, gram: int, hasher: Hasher)
     return out
 
 
+def _next_less(rank: np.ndarray, lcp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every place the nearest one before it that holds a smaller rank (-1: none), and the least ``lcp`` on the way.
+
+    ``lcp[i]`` belongs to places i - 1 and i. A place that doesn't hold a smaller
+    rank hands on its own answer so far, so the steps double, and all places
+    take theirs together.
+    """
+    n = len(rank)
+    at, least = np.arange(-1, n - 1), lcp.copy()
+    open_ = np.arange(n)
+    while True:
+        open_ = open_[at[open_] >= 0]
+        open_ = open_[rank[at[open_]] > rank[open_]]
+        if not len(open_):
+            return at, least
+        via = at[open_]
+        least[open_] = np.minimum(least[open_], least[via])
+        at[open_] = at[via]
+
+
+def longest_previous(rank: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    """The longest previous factor of each suffix: its longest common prefix with a suffix of smaller rank.
+
+    Suffixes stand in suffix order; ``rank`` is their order in the corpus, no
+    two alike, and ``lcp[i]`` the common prefix of i - 1 and i (0 for the first)."""
+    n = len(rank)
+    before, m = _next_less(rank, lcp)
+    behind, k = _next_less(rank[::-1], np.concatenate(([0], lcp[:0:-1])))
+    return np.maximum(np.where(before >= 0, m, 0), np.where(behind >= 0, k, 0)[::-1]) if n else np.zeros(0, np.int64)
+
+
 def repeats_in_block(group: np.ndarray, rank: np.ndarray, left: np.ndarray, texts: list[bytes], min_len: int, gram: int,
                      first_stays: bool) -> np.ndarray:
     """Which windows around anchors are repeated: (offset of the anchor in the window, member) -> bool.
@@ -139,12 +172,13 @@ def repeats_in_block(group: np.ndarray, rank: np.ndarray, left: np.ndarray, text
     for o in range(steps + 1):
         near = lcp >= min_len
         if near.any():
-            start = np.flatnonzero(~near)
-            sizes = np.diff(np.append(start, len(order)))
-            hit = np.repeat(sizes > 1, sizes)
-            if first_stays:
-                hit &= rank[order] > np.repeat(np.minimum.reduceat(rank[order], start), sizes)
-            out[o, order[hit]] = True
+            some = np.flatnonzero(near | np.append(near[1:], False))  # the others share less with their neighbours
+            place = rank[order[some]]
+            common = np.where(near[some], lcp[some], 0)  # 0 parts the runs
+            factor = longest_previous(place, common)
+            if not first_stays:  # the same with the corpus read backwards: the longest later factor
+                factor = np.maximum(factor, longest_previous(-place, common))
+            out[o, order[some[factor >= min_len]]] = True
         if o == steps:
             break
         # go one byte to the left; who can't reach min_len any more stays behind
@@ -229,9 +263,76 @@ def _find(contexts: DataFrame, min_len: int, gram: int, first_stays: bool) -> Da
     return map_rows(contexts, _PIECE_OUT, work)
 
 
+def word_hashes(b: bytes, hasher: Hasher) -> np.ndarray:
+    """A hash of every word (run of bytes other than the six spaces) of a text."""
+    a = np.frombuffer(b, np.uint8)
+    space = (a == 32) | (a >= 9) & (a <= 13)
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).astype(np.int8)))
+    if not len(edge):
+        return np.zeros(0, _U)
+    return hasher.load(a).some(edge[::2], edge[1::2])
+
+
+def _word_windows(words: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of every ``k`` words in a row."""
+    n = len(words)
+    if n < k:
+        return np.zeros(0, _U)
+    power = np.cumprod(np.concatenate(([_U(1)], np.full(n, _BASE, _U))))
+    inverse = np.cumprod(np.concatenate(([_U(1)], np.full(n, _INVERSE, _U))))
+    total = np.concatenate(([_U(0)], np.cumsum(words * power[:n])))
+    return _mix((total[k:] - total[:-k]) * inverse[:n - k + 1])
+
+
+def shared_windows(base: DataFrame, words: int) -> DataFrame:
+    """``(doc_id, th, n_shared)``: how many different windows of ``words`` words of a text another row has too.
+
+    Of every ``words`` words in a row the least hashed run of half as many is an
+    anchor; texts that share a window share its anchor, and only windows around
+    shared anchors are compared, by 64-bit hashes.
+    """
+    half = (words + 1) // 2
+
+    def anchors(batches):
+        hasher = Hasher()
+        for ids, th, texts in batches:
+            out = []
+            for i, h, t in zip(ids, th, texts):
+                runs = _word_windows(word_hashes(t.encode("utf-8", "surrogatepass"), hasher), half)
+                if len(runs) > words - half:
+                    out += [(i, h, g) for g in np.unique(runs[_anchors(runs, words - half + 1)]).view(np.int64).tolist()]
+            if out:
+                yield [list(c) for c in zip(*out)]
+
+    def windows(batches):
+        hasher = Hasher()
+        for ids, th, texts, shared in batches:
+            out = []
+            for i, h, t, gs in zip(ids, th, texts, shared):
+                seq = word_hashes(t.encode("utf-8", "surrogatepass"), hasher)
+                runs = _word_windows(seq, half)
+                at = _anchors(runs, words - half + 1)
+                at = at[np.isin(runs[at].view(np.int64), np.array(gs, np.int64))]
+                whole = _word_windows(seq, words)
+                near = np.zeros(len(whole) + 1, np.int64)  # windows that hold an anchor
+                np.add.at(near, np.maximum(at - (words - half), 0), 1)
+                np.add.at(near, np.minimum(at + 1, len(whole)), -1)
+                out += [(i, h, w) for w in np.unique(whole[np.cumsum(near[:-1]) > 0]).view(np.int64).tolist()]
+            if out:
+                yield [list(c) for c in zip(*out)]
+
+    grams = stage_mapped(map_rows(base.select("doc_id", "th", "text"), "doc_id bigint, th bigint, kg bigint", anchors), "runs")
+    often = stage_table(grams.groupBy("kg").agg(F.count("*").alias("n")).where("n > 1").select("kg"), "often")
+    mine = grams.join(often, "kg", "left_semi").groupBy("doc_id", "th").agg(F.collect_set("kg").alias("gs"))
+    found = stage_mapped(map_rows(base.join(mine, ["doc_id", "th"]).select("doc_id", "th", "text", "gs"), "doc_id bigint, th bigint, wh bigint", windows), "shared")
+    again = found.groupBy("wh").agg(F.count("*").alias("n")).where("n > 1").select("wh")
+    return found.join(again, "wh", "left_semi").groupBy("doc_id", "th").agg(F.count_distinct("wh").alias("n_shared"))
+
+
 def repeated_spans(docs: DataFrame, min_len: int = MIN_LEN, gram: int = GRAM, keep: str = "first", group: int = GROUP,
-                   with_text: bool = False) -> DataFrame:
-    """One row per document: ``doc_id, n_bytes, n_removed, spans, kept_sha256`` (and ``kept``, the bytes left).
+                   with_text: bool = False, words: int | None = None) -> DataFrame:
+    """One row per document: ``doc_id, n_bytes, n_removed, spans, kept_sha256`` (and ``kept``, the bytes left;
+    with ``words`` also ``n_shared``: different windows of so many words that another row has too).
 
     Texts are taken as UTF-8 bytes, null as empty. A byte is removed if a
     window of ``min_len`` bytes over it also starts elsewhere: with keep="first"
@@ -240,7 +341,8 @@ def repeated_spans(docs: DataFrame, min_len: int = MIN_LEN, gram: int = GRAM, ke
     all copies go. Windows are judged on the input, may overlap and don't cross
     documents. Rows equal in doc_id and text are copies of each other for
     keep="none"; for keep="first" they are one document. ``spans`` (first, end)
-    are maximal. Equality rests on 64-bit hashes for grams and 128 bits for
+    are maximal. Null and shorter texts stay whole, an empty table gives an empty
+    result, further columns are ignored. Equality rests on 64-bit hashes for grams and 128 bits for
     whole surroundings; windows are compared byte by byte in suffix order.
     """
     first_stays = keep == "first"
@@ -337,9 +439,12 @@ def repeated_spans(docs: DataFrame, min_len: int = MIN_LEN, gram: int = GRAM, ke
                                  remove), "removed").dropDuplicates(["doc_id", "th"])  # of equal rows
     all_docs = base.select("doc_id", "th", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("own_sha"),
                            *([F.col("text")] if with_text else []))
+    if words is not None:
+        all_docs = all_docs.join(shared_windows(base, words), ["doc_id", "th"], "left")
     out = all_docs.join(done, ["doc_id", "th"], "left").withColumn("doc_id", F.when(F.col("doc_id") != low, F.col("doc_id")))
     spans = F.coalesce("spans", F.array().cast("array<struct<first:bigint,end:bigint>>"))
     return out.select("doc_id", "n_bytes",
                       F.aggregate(spans, F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["first"]).alias("n_removed"),
                       spans.alias("spans"), F.coalesce("sha", "own_sha").alias("kept_sha256"),
+                      *([F.coalesce("n_shared", F.lit(0).cast("long")).alias("n_shared")] if words is not None else []),
                       *([F.coalesce("bytes_left", F.encode("text", "utf-8")).alias("kept")] if with_text else []))

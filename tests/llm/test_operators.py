@@ -491,6 +491,32 @@ def test_toxicity_of_a_long_text_is_the_plain_noisy_or():
     assert toxicity.Scorer(model, bias).score(text)[0] == pytest.approx(1 - clean)
 
 
+# --- longest previous factors -----------------------------------------------------------
+
+def test_longest_previous_factors():
+    rng = np.random.default_rng(7)
+    for n in (0, 1, 2, 5, 40, 300):
+        for _ in range(10):
+            rank, lcp = rng.permutation(n), rng.integers(0, 9, n)
+            if n:
+                lcp[0] = 0
+            want = [max([min(lcp[min(i, j) + 1:max(i, j) + 1]) for j in range(n) if rank[j] < rank[i]], default=0) for i in range(n)]
+            assert suffixes.longest_previous(rank, lcp).tolist() == want
+
+
+def test_windows_of_words_that_other_documents_have(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdef") for _ in range(3))
+    text = lambda n: [word() for _ in range(n)]
+    a, b = text(60), text(55)
+    rows = [(1, " ".join(text(100) + a + text(40))), (2, "\n".join(text(10) + a)), (3, " ".join(text(300))), (4, " ".join(b)), (4, " ".join(b)),
+            (None, " ".join(b[:50] + text(30))), (5, None), (6, ""), (7, " ".join(text(20) + a[5:56])), (8, " ".join(text(5) + ["x"] * 200))]
+    got = suffixes.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"), words=51).collect()
+    wins = [{" ".join(w[i:i + 51]) for i in range(len(w) - 50)} for w in ((t or "").split() for _, t in rows)]
+    want = sorted((str(i), sum(any(x in v for k, v in enumerate(wins) if k != j) for x in wins[j])) for j, (i, _) in enumerate(rows))
+    assert sorted((str(r["doc_id"]), r["n_shared"]) for r in got) == want and sum(n for _, n in want) > 20
+
+
 # --- spelling variants ---------------------------------------------------------------
 
 def slow_words(rows):
