@@ -12,6 +12,7 @@ which steps over one edit of any kind as a walk that falls into step again does.
 from __future__ import annotations
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +23,8 @@ REPEATS = 3
 #: recall of run windows at edits spread at random up to the verified similarity; sets how many runs an item's windows have
 TARGET = 0.95
 RUN = 4
+#: items of fewer characters leave windows too little room and are searched exactly, by pieces of which edits leave one whole
+SHORT = 12
 #: windows of one, two and three runs: places of the four-character strings that a key hashes. The last but one takes
 #: edits six characters apart, the last (two runs of six) such as are further apart
 SHAPES = (((0,),), ((0, 4), (0, 5)), ((0, 4, 8), (0, 4, 9), (0, 5, 9), (0, 5, 10), (0, 5, 11), (0, 2, 7, 9)))
@@ -222,12 +225,14 @@ class Bench:
 
     def __init__(self, rows: list[tuple[int | None, str | None]], similarity: float):
         self.ids, self.texts = [], []
+        self.short: list[tuple[int | None, str, int]] = []
         for i, t in rows:
-            b = normal(t)
-            t = b.decode("utf-8", "surrogatepass")
-            if len(b) >= CLASSES[0][0] and len(t) >= RUN:
+            t = normal(t).decode("utf-8", "surrogatepass")
+            if len(t) >= SHORT:
                 self.ids.append(i)
                 self.texts.append(t)
+            elif t:
+                self.short.append((i, t, int((1 - similarity) * len(t) + 1e-9)))
         pieces = [folded(t) for t in self.texts]
         self.chars = np.array([len(t) for t in self.texts], np.int64)
         self.start = np.cumsum([0, *(self.chars + 1)])[:-1].astype(np.int64)
@@ -406,11 +411,41 @@ def best_match(item: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def short_match(item: str, edits: int, text: str) -> tuple[int, int] | None:
+    """Fewest edits, if at most ``edits``, that turn ``item`` into a part of ``text``, and a place where it lies. Exact.
+
+    So many edits leave one of ``edits`` + 1 pieces of the item as it is."""
+    at = text.find(item)
+    if at >= 0 or not edits:
+        return (0, at) if at >= 0 else None
+    best = None
+    cuts = [len(item) * i // (edits + 1) for i in range(edits + 2)]
+    for a, z in zip(cuts, cuts[1:]):
+        at = text.find(item[a:z])
+        while at >= 0 and (best is None or best[0] > 1):
+            first = max(0, at - a - edits)
+            found, _ = best_match(item, text[first:at - a + len(item) + edits])
+            if found <= edits and (best is None or found < best[0]):
+                best = found, first
+            at = text.find(item[a:z], at + 1)
+    return best
+
+
 def _found(docs: DataFrame, bench: Bench, similarity: float) -> DataFrame:
     """All places of documents that hold an item of ``bench``."""
-    shared = docs.sparkSession.sparkContext.broadcast(bench)
+    # by value: executors need no copy of this module
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(bench))
+
+    def row(doc, item_id, text, edits, first, region):
+        return (doc[0], item_id, edits, len(text), 1 - edits / len(text), len(doc[1][:first].encode("utf-8", "surrogatepass")), region)
 
     def places(held, b):
+        for doc in held:
+            for item_id, text, most in b.short:
+                if (found := short_match(text, most, doc[1])) is not None:
+                    yield row(doc, item_id, text, *found, doc[1][found[1]:found[1] + len(text) + 2 * most])
+        if not b.texts:
+            return
         known: dict[tuple[int, str], tuple[int, int]] = {}
         parts = [folded(t) for _, t in held]
         a = np.concatenate([x for p in parts for x in (p, np.zeros(1, np.uint8))])
@@ -432,11 +467,10 @@ def _found(docs: DataFrame, bench: Bench, similarity: float) -> DataFrame:
                 known[i, region] = best_match(text, region)
             edits, _ = known[i, region]
             if edits <= (1 - similarity) * len(text) + 1e-9:
-                yield (held[d][0], b.ids[i], edits, len(text), 1 - edits / len(text),
-                       len(held[d][1][:first].encode("utf-8", "surrogatepass")), region)
+                yield row(held[d], b.ids[i], text, edits, first, region)
 
     def work(batches):
-        b = shared.value
+        b = cloudpickle.loads(shared.value)
         held, size = [], 0
         for ids, texts in batches:
             out = []

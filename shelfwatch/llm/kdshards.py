@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwatch.llm.common import before_sums
+from shelfwatch.operators.keys import with_global_rank
 from shelfwatch.session import stage_table
 
 SCALE = 1 << 30  # a dimension is scaled to so many steps; 32 hash bits below them separate equal values
@@ -13,14 +14,17 @@ BINS = 2048
 TOLERANCE = 1 / 8192  # of a node's bytes: a median found this closely is not searched further
 
 
-def _text_code(c: str) -> Column:
-    """A number that orders strings by their first seven bytes; null comes first."""
-    return F.coalesce(F.conv(F.rpad(F.hex(F.encode(F.col(c), "utf-8")), 14, "0"), 16, 10).cast("double"), F.lit(-1.0))
+def text_codes(df: DataFrame, c: str) -> DataFrame:
+    """``df`` with ``d_<c>``: the place of the text column's value among its different values; null comes first, as -1."""
+    values = with_global_rank(df.select(c).where(F.col(c).isNotNull()).distinct(), [c], "_rank")
+    return (df.join(values.withColumnRenamed(c, "_value"), F.col(c) == F.col("_value"), "left")
+            .withColumn(f"d_{c}", F.coalesce(F.col("_rank").cast("double"), F.lit(-1.0))).drop("_value", "_rank"))
 
 
+#: a dimension is a text column, ordered by its values, or an expression
 DIMENSIONS = {
-    "source": lambda: _text_code("source"),
-    "lang": lambda: _text_code("lang"),
+    "source": "source",
+    "lang": "lang",
     "size": lambda: F.log2(F.col("size").cast("double")),
 }
 
@@ -52,7 +56,9 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
     base = base.withColumn("h", F.xxhash64("doc_id", "text_crc32", "size"))
-    base = stage_table(base.select("*", *[f().alias(f"d_{n}") for n, f in dims.items()]).drop("source", "lang"), "kd")
+    for n, f in dims.items():
+        base = text_codes(base, f) if isinstance(f, str) else base.withColumn(f"d_{n}", f())
+    base = stage_table(base.drop("source", "lang"), "kd")
     edges = base.agg(F.sum("size").alias("total"), *[g(f"d_{n}").alias(f"{g.__name__}_{n}") for n in dims for g in (F.min, F.max)]).first()
     if edges["total"] is None:
         return base.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"),

@@ -57,7 +57,9 @@ def test_every_operator_takes_awkward_tables(spark, table):
     assert len(langid.languages(docs).collect()) == n
     assert len(secret_scan.find_secrets(docs).collect()) == n
     assert {r["word"]: r["n"] for r in spelling.spelling_variants(docs).collect()} == slow_words([(r["doc_id"], r["text"]) for r in docs.collect()])
-    assert decontam.contaminated(docs, items(spark)).count() == 0
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, items(spark)).collect()}
+    texts = [(r["doc_id"], " ".join((r["text"] or "").lower().split())) for r in docs.collect()]
+    assert got == {(i, k) for i, t in texts for k, item in ((None, "x"), (4, "one")) if item in t}
     assert decontam.contaminated(docs, items(spark, ())).count() == 0
 
 
@@ -491,6 +493,30 @@ def test_toxicity_of_a_long_text_is_the_plain_noisy_or():
     assert toxicity.Scorer(model, bias).score(text)[0] == pytest.approx(1 - clean)
 
 
+# --- short items, shards of sources with a common beginning ------------------------------
+
+def test_short_items_are_found_exactly(spark):
+    rng = random.Random(9)
+    words = ["x=y+z*2", "蓝鲸吃磷虾", "日本東京都", "ab", "abc d", "kitchen", "öl", "elevenchars"]
+    texts = ["so x=y+z*2 holds", "蓝鲸_磷虾", "日本X京都", "kitchn", "a b"] + ["".join(rng.choice("abcdk itxy=+z2") for _ in range(40)) for _ in range(200)]
+    got = {(r["doc_id"], r["item_id"]): r["edits"] for r in decontam.contaminated(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(words)), "item_id long, text string")).collect()}
+    want = {}
+    for i, t in enumerate(texts):
+        t = " ".join(t.lower().split())
+        for k, w in enumerate(words):
+            edits, _ = decontam.best_match(w, t)
+            if edits <= 0.2 * len(w) + 1e-9:
+                want[i, k] = edits
+    assert got == want and {(0, 0), (1, 1), (2, 2), (3, 5)} <= set(got)
+
+
+def test_sources_with_a_common_beginning_are_cut_like_others(spark):
+    rows = [(i, "x" * 50, ["wikipedia-en", "wikipedia-de"][i % 2], "l") for i in range(2000)]
+    out = kdshards.kd_shards(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string"), shards=2).collect()
+    assert {(r["shard"], r["doc_id"] % 2) for r in out} == {(0, 1), (1, 0)}
+
+
 # --- longest previous factors -----------------------------------------------------------
 
 def test_longest_previous_factors():
