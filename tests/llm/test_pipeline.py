@@ -19,7 +19,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not pre
 
 def test_all_are_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
