@@ -64,7 +64,16 @@ class Field:
 
 
 def marginals(scores: np.ndarray, first: np.ndarray, move: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Posterior of every language at every word by forward-backward.
+    """Posterior of every language at every word by forward-backward."""
+    return posteriors(scores, first, move, start)[0]
+
+
+def posteriors(scores: np.ndarray, first: np.ndarray, move: np.ndarray, start: np.ndarray,
+               pairs: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Posterior of every language at every word, and (with ``pairs``) the expected number of each move, by forward-backward.
+
+    A move's posterior is forward message x move x emission x backward message,
+    summed here over all neighbouring words of a text.
 
     ``scores`` (words, languages) of many texts in a row, ``first`` marks where
     a text begins. The row of words is cut into chunks that advance together;
@@ -92,9 +101,11 @@ def marginals(scores: np.ndarray, first: np.ndarray, move: np.ndarray, start: np
     for c in range(chunks - 1, 0, -1):
         v = step[c] @ out_of[c]
         out_of[c - 1] = v / v.sum()
-    post = np.empty_like(psi)
+    post, before, moves = np.empty_like(psi), np.empty_like(psi) if pairs else None, np.zeros((k, k))
     a = into
     for t in range(size):
+        if pairs:
+            before[:, t] = a
         a = np.where(new[:, t, None], a.sum(axis=1, keepdims=True) * start, a @ move) * psi[:, t]
         a = a / a.sum(axis=1, keepdims=True)
         post[:, t] = a
@@ -102,10 +113,28 @@ def marginals(scores: np.ndarray, first: np.ndarray, move: np.ndarray, start: np
     for t in range(size - 1, -1, -1):
         post[:, t] *= b
         later = psi[:, t] * b
+        if pairs:
+            joint = before[:, t, :, None] * move * later[:, None, :]
+            joint /= joint.sum(axis=(1, 2), keepdims=True)
+            moves += joint[~new[:, t]].sum(axis=0)
         b = np.where(new[:, t, None], (later @ start)[:, None], later @ move.T)
         b = b / b.sum(axis=1, keepdims=True)
     post = post.reshape(-1, k)[:n]
-    return post / post.sum(axis=1, keepdims=True)
+    return post / post.sum(axis=1, keepdims=True), moves
+
+
+def slopes(theta: list[np.ndarray], f: np.ndarray, at: np.ndarray, new: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
+    """Gradient of the log likelihood of the languages ``y``, per word, by feature weights, moves and starts.
+
+    Word ``at[i]`` bears feature ``f[i]``; ``new`` marks where a text begins."""
+    rows, start = theta[0], theta[2]
+    n, (m, k) = len(y), rows.shape
+    scores = np.stack([np.bincount(at, rows[f, j], n) for j in range(k)], axis=1)
+    post, moves = posteriors(scores, new, np.exp(theta[1]), np.exp(start - start.max()), pairs=True)
+    inner = ~new[1:]
+    seen = np.bincount(y[:-1][inner] * k + y[1:][inner], minlength=k * k).reshape(k, k)
+    miss = np.eye(k)[y] - post
+    return [np.stack([np.bincount(f, miss[at, j], m) for j in range(k)], axis=1) / n, (seen - moves) / n, miss[new].sum(axis=0) / n]
 
 
 def fit(texts: list[str], langs_of: list[str], rounds: int = 60, seed: int = 7) -> Field:
@@ -152,22 +181,10 @@ def fit(texts: list[str], langs_of: list[str], rounds: int = 60, seed: int = 7)
     f, at = to[f], at[to[f] >= 0]
     f = f[f >= 0]
     new, y = np.array(first), np.array(gold)
-    hot = np.eye(k)[y]
-    pairs = np.zeros((k, k))
-    inner = ~new[1:]
-    np.add.at(pairs, (y[:-1][inner], y[1:][inner]), 1)
     theta = [np.zeros((len(common), k)), np.zeros((k, k)), np.zeros(k)]
     mom, var = [np.zeros_like(t) for t in theta], [np.zeros_like(t) for t in theta]
     for r in range(1, rounds + 1):
-        scores = np.stack([np.bincount(at, theta[0][f, j], len(words)) for j in range(k)], axis=1)
-        move, start = np.exp(theta[1]), np.exp(theta[2] - theta[2].max())
-        post = marginals(scores, new, move, start)
-        # expected moves: taken as independent given the word marginals, weighted by the present moves
-        joint = post[:-1, :, None] * post[1:, None, :] * move
-        joint = (joint / joint.sum(axis=(1, 2), keepdims=True))[inner].sum(axis=0)
-        miss = hot - post
-        grads = [np.stack([np.bincount(f, miss[at, j], len(common)) for j in range(k)], axis=1) / len(words) - 1e-5 * theta[0],
-                 (pairs - joint) / len(words) - 1e-5 * theta[1], miss[new].mean(axis=0) - 1e-4 * theta[2]]
+        grads = [g - 1e-5 * t for g, t in zip(slopes(theta, f, at, new, y), theta)]
         for i, g in enumerate(grads):
             mom[i] = 0.9 * mom[i] + 0.1 * g
             var[i] = 0.99 * var[i] + 0.01 * g * g

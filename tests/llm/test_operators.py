@@ -462,6 +462,42 @@ def test_forward_backward_against_all_paths(monkeypatch):
         assert np.allclose(got[a:b], slow_marginals(scores[a:b], move, start))
 
 
+def slow_log_likelihood(theta, f, at, new, y):
+    """Of the languages ``y`` per word, over all paths of every text."""
+    n, k = len(y), theta[0].shape[1]
+    scores = np.zeros((n, k))
+    np.add.at(scores, at, theta[0][f])
+    cuts, total = [*np.flatnonzero(new), n], 0.0
+    for a, b in zip(cuts, cuts[1:]):
+        def weight(path):
+            return (theta[2][path[0]] + sum(scores[a + i, l] for i, l in enumerate(path))
+                    + sum(theta[1][i, j] for i, j in zip(path, path[1:])))
+        total += weight(y[a:b]) - np.log(sum(np.exp(weight(p)) for p in itertools.product(range(k), repeat=b - a)))
+    return total / n
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 256])
+def test_language_gradient_equals_finite_differences(monkeypatch, chunk):
+    rng = np.random.default_rng(chunk)
+    monkeypatch.setattr(langid, "CHUNK", chunk)
+    lengths = [1, 6, 2, 5]
+    n, k, m = sum(lengths), 3, 4
+    new = np.zeros(n, bool)
+    new[np.cumsum([0, *lengths])[:-1]] = True
+    at = np.repeat(np.arange(n), 2)
+    f, y = rng.integers(0, m, len(at)), rng.integers(0, k, n)
+    theta = [rng.normal(size=(m, k)), rng.normal(size=(k, k)), rng.normal(size=k)]
+    got = langid.slopes(theta, f, at, new, y)
+    for part, grad in zip(theta, got):
+        for i in np.ndindex(part.shape):
+            part[i] += 1e-5
+            up = slow_log_likelihood(theta, f, at, new, y)
+            part[i] -= 2e-5
+            down = slow_log_likelihood(theta, f, at, new, y)
+            part[i] += 1e-5
+            assert abs((up - down) / 2e-5 - grad[i]) < 1e-6
+
+
 def test_language_on_held_out_documents(spark, sf_small):
     import shelfwatch.llm.queries as Q
     sf = sf_small.replace("sf0.001", "sf0.01")
