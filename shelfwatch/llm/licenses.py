@@ -91,7 +91,7 @@ NEEDED = {
 
 #: a word is a run of digits, lower-case letters and bytes beyond ASCII
 _KEEP = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
-MIN_MATCH = 3  # words of a match that may stand in a chain
+MIN_MATCH = 3  # words of a match that may stand in a chain, where all templates are that long
 MAX_GAP = 8  # words of the file between two matches of a chain
 MIN_COVER = 0.7  # share of a template's words that makes a span
 
@@ -115,6 +115,9 @@ class Automaton:
     def __init__(self, base=None, templates=None):
         self.base = [(words_of(p), label) for p, label in (BASE if base is None else base)]
         self.templates = [(label, words_of(t)) for label, t in (TEMPLATES if templates is None else templates)]
+        # a string shorter than MIN_MATCH words is a match in itself
+        self.least_match = min([MIN_MATCH, *[len(ws) for _, ws in self.templates if ws]])
+        self.least_run = min([self.least_match, *[len(ws) for ws, _ in self.base if ws]])
         self.needed = [self._needed(label, ws) for label, ws in self.templates]
         self.vocab: dict[bytes, int] = {}
         self.states = [State()]
@@ -182,13 +185,13 @@ class Automaton:
         states = self.states
         hits, matches = [], []
         for a, b in zip(known[::2].tolist(), known[1::2].tolist()):
-            if b - a < MIN_MATCH:  # no phrase or match is that short
+            if b - a < self.least_run:  # no phrase or match is that short
                 continue
             v, n = 0, 0
             stream = ids[a:b].tolist()
             for j, c in enumerate(stream):
                 grown = c in states[v].next
-                if not grown and n >= MIN_MATCH:
+                if not grown and n >= self.least_match:
                     matches.append((a + j - n, n, v))
                 while v and c not in states[v].next:
                     v = states[v].link
@@ -199,7 +202,7 @@ class Automaton:
                     for k, t in states[v].base:
                         if k <= n:
                             hits.append((a + j + 1 - k, t))
-            if n >= MIN_MATCH:
+            if n >= self.least_match:
                 matches.append((b - n, n, v))
         return hits, self._chain(matches)
 

@@ -250,6 +250,53 @@ def test_licences_are_told_from_their_siblings(text, want):
     assert {machine.templates[t][0] for *_, t, _ in machine.scan(licenses.words_of(f"before {text} after"))[1]} == want
 
 
+def test_short_licence_phrases_and_templates():
+    machine = licenses.Automaton(base=[("apache two", "a2"), ("mit", "m")], templates=[("isc", "isc license"), ("long", "one two three four five")])
+    hits, spans = machine.scan(licenses.words_of("zz apache two zz MIT zz isc license zz"))
+    assert sorted(hits) == [(1, 0), (4, 1)]
+    assert [(a, e, machine.templates[t][0], x) for a, e, t, x in spans] == [(6, 8, "isc", 1.0)]
+    assert licenses.Automaton(base=[("mit", "m")], templates=[]).scan([b"mit", b"mit"])[0] == [(0, 0), (1, 0)]
+
+
+def test_licence_chains_against_brute_force():
+    """On a template of different words a chain is a run of file words in template order, gaps of at most MAX_GAP words between its matches."""
+    rng = random.Random(5)
+    template = [f"w{i}" for i in range(12)]
+    machine = licenses.Automaton(base=[], templates=[("t", " ".join(template))])
+    places = {w: i for i, w in enumerate(template)}
+    found = 0
+    for _ in range(500):
+        words = []
+        at = 0
+        while at < 12:  # pieces of the template in order, unknown words between them
+            n = rng.randint(2, 6)
+            words += template[at:at + n] + ["zz"] * rng.choice([0, 1, 3, 8, 9, 20])
+            at += n + rng.choice([0, 0, 1])
+        runs = []  # maximal runs of consecutive template words: first word, end, first place
+        i = 0
+        while i < len(words):
+            if words[i] not in places:
+                i += 1
+                continue
+            j = i + 1
+            while j < len(words) and places.get(words[j]) == places[words[j - 1]] + 1:
+                j += 1
+            if j - i >= licenses.MIN_MATCH:
+                runs.append((i, j))
+            i = j
+        chains = []
+        for a, b in runs:
+            if chains and a - chains[-1][-1][1] <= licenses.MAX_GAP:
+                chains[-1].append((a, b))
+            else:
+                chains.append([(a, b)])
+        want = [(c[0][0], c[-1][1], sum(b - a for a, b in c) / 12) for c in chains if sum(b - a for a, b in c) >= licenses.MIN_COVER * 12]
+        got = [(a, e, x) for a, e, _, x in machine.scan(licenses.words_of(" ".join(words)))[1]]
+        assert got == want, words
+        found += len(got)
+    assert found > 100
+
+
 def test_matching_statistics_leave_common_words_alone():
     assert licenses.Automaton().scan(licenses.words_of("the software and the work is in the public version of this"))[1] == []
 
