@@ -137,7 +137,7 @@ def slopes(theta: list[np.ndarray], f: np.ndarray, at: np.ndarray, new: np.ndarr
     return [np.stack([np.bincount(f, miss[at, j], m) for j in range(k)], axis=1) / n, (seen - moves) / n, miss[new].sum(axis=0) / n]
 
 
-def fit(texts: list[str], langs_of: list[str], rounds: int = 60, seed: int = 7) -> Field:
+def fit(texts: list[str], langs_of: list[str], rounds: int = 60, ridge: float = 1e-3, seed: int = 7) -> Field:
     """Fit on sequences put together from runs of words of documents of any language, so that moves between languages are learned."""
     langs = sorted(set(langs_of))
     docs = [(langs.index(g), ws) for t, g in zip(texts, langs_of) if (ws := words_of(t))]
@@ -184,7 +184,7 @@ def fit(texts: list[str], langs_of: list[str], rounds: int = 60, seed: int = 7)
     theta = [np.zeros((len(common), k)), np.zeros((k, k)), np.zeros(k)]
     mom, var = [np.zeros_like(t) for t in theta], [np.zeros_like(t) for t in theta]
     for r in range(1, rounds + 1):
-        grads = [g - 1e-5 * t for g, t in zip(slopes(theta, f, at, new, y), theta)]
+        grads = [g - ridge * t for g, t in zip(slopes(theta, f, at, new, y), theta)]
         for i, g in enumerate(grads):
             mom[i] = 0.9 * mom[i] + 0.1 * g
             var[i] = 0.99 * var[i] + 0.01 * g * g
