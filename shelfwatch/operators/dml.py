@@ -112,7 +112,9 @@ def insert_new(target: DataFrame, batch: DataFrame, key, id_col: str | None = No
                ts_col: str | None = "ts_load", load_ts=None) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``target``, with consecutive new
     ids after the largest id of ``target`` and a load time, in ``target``'s
-    column layout (missing columns null)."""
+    column layout (missing columns null). A null key is in no target, so rows
+    without a key are inserted whenever they come: filter them if a batch may
+    come twice."""
     new = not_in_target(batch, target, key)
     if id_col is not None:
         first = start if start is not None else last_id(target, id_col)

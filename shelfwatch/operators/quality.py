@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwatch.operators.keys import with_global_rank
+
 
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -84,10 +86,30 @@ def ids_concat(df: DataFrame, group_cols, id_col: str, out_col: str = "ids", sep
         F.concat_ws(sep, F.sort_array(coll)).alias(out_col))
 
 
-def first_value(df: DataFrame, col: str, where: Column | None = None) -> Column:
-    """Scalar lookup: largest value of ``col`` among rows matching ``where``."""
-    d = df.where(where) if where is not None else df
-    return d.select(F.max(col)).scalar()
+def id_chunks(df: DataFrame, group_cols, id_col: str, size: int = 10_000, out_col: str = "ids", sep: str = ",") -> DataFrame:
+    """``ids_concat`` cut into cells of bounded size: group, ``part`` (from 0,
+    gapless) and at most ``size`` sorted, distinct ids as one string.
+
+    All ids are numbered in one global order by group and id, and a cell holds
+    those whose number falls into one range of ``size``. So a group's ids are
+    spread over as many tasks as it has cells, and only its first and last cell
+    may be shorter. The cells of a group, joined by ``part``, are the string of
+    ``ids_concat``. Null ids are left out, null groups are a group."""
+    g = _keys(group_cols)
+    ids = df.where(F.col(id_col).isNotNull()).select(*g, F.col(id_col).cast("string").alias("_id")).distinct()
+    ranked = with_global_rank(ids, [*g, "_id"], "_rank").withColumn("_cell", F.floor((F.col("_rank") - 1) / size))
+    cells = ranked.groupBy(*g, "_cell").agg(F.concat_ws(sep, F.array_sort(F.collect_list("_id"))).alias(out_col))
+    first = ranked.groupBy(*g).agg(F.min("_cell").alias("_first")).select(*[F.col(c).alias(f"_g_{c}") for c in g], "_first")
+    same = F.lit(True)
+    for c in g:
+        same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    return cells.join(first, same).select(*g, (F.col("_cell") - F.col("_first")).alias("part"), out_col)
+
+
+def join_chunks(chunks: DataFrame, group_cols, out_col: str = "ids", sep: str = ",") -> DataFrame:
+    """The cells of ``id_chunks`` joined to one string per group, for an export that needs it whole."""
+    parts = F.array_sort(F.collect_list(F.struct("part", F.col(out_col).alias("s"))))
+    return chunks.groupBy(*_keys(group_cols)).agg(F.concat_ws(sep, F.transform(parts, lambda x: x["s"])).alias(out_col))
 
 
 def preview(df: DataFrame, n: int = 10, order_cols: Sequence[str] | None = None) -> DataFrame:

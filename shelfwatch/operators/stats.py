@@ -170,6 +170,15 @@ def outliers_above(df: DataFrame, col: str, far: float = 3.0, approx: bool = Fal
     return df.where(F.col(col) > thr).orderBy(col, *[c for c in df.columns if c != col])
 
 
+def outside_whiskers(df: DataFrame, col: str, whis: float = 1.5, approx: bool = False) -> DataFrame:
+    """Rows whose ``col`` lies beyond a box-plot whisker, with ``side`` (``below`` or ``above``), sorted by ``col``."""
+    f = staged_fences(df, col, near=whis, approx=approx)
+    lo, hi = f.select("lower_fence").scalar(), f.select("upper_fence").scalar()
+    v = F.col(col)
+    side = F.when(v < lo, F.lit("below")).when(v > hi, F.lit("above"))
+    return df.withColumn("side", side).where("side IS NOT NULL").orderBy(col, *[c for c in df.columns if c != col])
+
+
 def trimmed(df: DataFrame, col: str, far: float = 3.0, approx: bool = False,
             stage: bool = False) -> DataFrame:
     """Rows whose ``col`` is at most ``q3 + far·iqr`` (the cleaned series).

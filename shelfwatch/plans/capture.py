@@ -3,7 +3,7 @@ work queue of product URLs, as one distributed plan per step."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwatch import schemas
@@ -11,7 +11,7 @@ from shelfwatch.functions import text as tx
 from shelfwatch.operators import dml
 from shelfwatch.operators.keys import with_global_rank
 from shelfwatch.operators.quality import completeness_split
-from shelfwatch.sources.pages import SHOP_RULES, PageRules, extract_fields, page_links, sitemap_urls
+from shelfwatch.sources.pages import SHOP_RULES, PageRules, extract_fields, page_links, sitemap_file_urls, sitemap_urls
 
 # A record is stored only when all of these are present.
 REQUIRED = ["price", "product", "brand", "unit_price", "units"]
@@ -45,9 +45,14 @@ def queue_from_sitemap(sitemap: DataFrame, xml_col: str = "xml", key_col: str |
     return queue_from_links(locs, "url", ("doc", "pos"))
 
 
+def queue_from_sitemap_files(spark: SparkSession, path: str) -> DataFrame:
+    """Work queue from stored sitemap documents, whose text is split over tasks (``<loc>`` entries in document order, documents by path)."""
+    return queue_from_links(sitemap_file_urls(spark, path), "url", ("doc", "block", "row", "pos"))
+
+
 def pending(queue: DataFrame, done_upto: int | None = None) -> DataFrame:
     """Queue entries still to process: after the last flushed index."""
     return queue if done_upto is None else dml.delete_where(queue, F.col("index") <= done_upto)
 
 
-__all__ = ["capture_products", "queue_from_links", "queue_from_sitemap", "pending", "page_links", "REQUIRED"]
+__all__ = ["capture_products", "queue_from_links", "queue_from_sitemap", "queue_from_sitemap_files", "pending", "page_links", "REQUIRED"]

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwatch.functions import text as tx
@@ -104,6 +104,21 @@ def page_links(pages: DataFrame, html_col: str = "html", key_col: str = "page_id
     return pages.select(key_col, F.posexplode(links).alias("pos", "href"))
 
 
+def sitemap_file_urls(spark: SparkSession, path: str) -> DataFrame:
+    """``<loc>`` entries of stored sitemap documents of any size: doc (file),
+    block, row, pos, url; ordered by these columns they stand as in the documents.
+
+    The text source reads records that begin behind a ``<loc>``, so a document
+    is split over tasks at any place and no task holds more than a block of it
+    and one record. What stands before the first ``<loc>`` is a record too; it
+    begins with a tag and therefore holds no entry, as a cut-off last one."""
+    records = spark.read.option("lineSep", "<loc>").option("recursiveFileLookup", True).text(path).select(
+        F.col("_metadata.file_path").alias("doc"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"), F.concat(F.lit("<loc>"), "value").alias("record"))
+    locs = F.regexp_extract_all("record", F.lit(SITEMAP_LOC_PATTERN), 1)
+    return records.select("doc", "block", "row", F.posexplode(locs).alias("pos", "url"))
+
+
 def sitemap_urls(sitemap: DataFrame, xml_col: str = "xml", key_col: str | None = None) -> DataFrame:
     """``<loc>`` entries of sitemap documents: doc (``key_col`` or 0), pos, url."""
     locs = F.regexp_extract_all(F.col(xml_col), F.lit(SITEMAP_LOC_PATTERN), 1)

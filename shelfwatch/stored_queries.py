@@ -6,18 +6,22 @@ purpose and carry on, and return what is stored in the end.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from shelfwatch import schemas
 from shelfwatch.functions import text as tx
-from shelfwatch.operators import dml, stats as St, summaries as Su
+from shelfwatch.operators import dml, quality as Qy, stats as St, summaries as Su
 from shelfwatch.plans import etl, observations as O, variation_store as VS, warehouse as W
+from shelfwatch.plans.capture import queue_from_sitemap_files
 from shelfwatch.plans.variation import price_table
-from shelfwatch.queries import (LOAD_TS, OBS_COLS, OBS_SQL, ORACLE as BASE_ORACLE, RUN_DATE, SHOP_COLS, SHOP_SQL, VARIATION_SQL, _fresh, _obs, _pages,
+from shelfwatch.queries import (FENCES_SQL, LOAD_TS, OBS_COLS, OBS_SQL, ORACLE as BASE_ORACLE, RUN_DATE, SHOP_COLS, SHOP_SQL, VARIATION_SQL, _fresh, _ingested, _obs, _pages,
                                 _shop_pages, _sql_first, _trimmed, DIGITS, EXISTING_BEFORE, INCOMING_FROM)
 from shelfwatch.session import scratch_path
 from shelfwatch.sources import buckets as B, export as X, pages as Pg, snapshots as Sn, tables as T
 from shelfwatch.streaming import queue as Q
+from shelfwatch.streaming.ingest import ingest_pages
 
 
 class _Lost(Exception):
@@ -139,6 +143,35 @@ def q_backup_and_clear(spark, sf):
     return T.raw_table(spark, path).groupBy("year", loaded).agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_sitemap_files(spark, sf):
+    """The work queue of stored sitemap documents, every third entry of which is no product."""
+    k, path = F.col("p_partkey"), scratch_path(spark, "sitemap")
+    url = F.concat(F.lit("https://shop.example/"), F.when(k % 3 == 0, F.lit("help/")).otherwise(F.lit("all/p/")), k.cast("string"))
+    lines = O.read_table(spark, sf, "part").orderBy(k).select(F.concat(F.lit("<url><loc> "), url, F.lit(" </loc></url>")))
+    lines.write.text(path)
+    return queue_from_sitemap_files(spark, path)
+
+
+def q_id_chunks(spark, sf):
+    """Products seen in a year, in cells of at most 500 ids."""
+    return Qy.id_chunks(_obs(spark, sf).withColumn("year", F.year("date")), "year", "product_id", 500)
+
+
+def q_outside_whiskers(spark, sf):
+    return St.outside_whiskers(_obs(spark, sf), "price", 0.25)  # none lies beyond 0.5
+
+
+def q_ingest_latest(spark, sf):
+    """Shop pages captured twice, half of them with other prices at first: of a page the later file counts."""
+    pages = _shop_pages(spark, sf)
+    src, rec, rej = (scratch_path(spark, n) for n in ("pages-in", "records", "rejects"))
+    pages.withColumn("html", F.when(F.col("page_id") % 2 == 0, F.regexp_replace("html", "[0-9]+,[0-9]+", "1,11")).otherwise(F.col("html"))).write.parquet(f"{src}/z")
+    time.sleep(1.1)  # file times may be whole seconds
+    pages.write.parquet(f"{src}/a")
+    ingest_pages(spark, f"{src}/*", rec, rej, scratch_path(spark, "ck"), RUN_DATE, Pg.SHOP_RULES, 16, LOAD_TS)
+    return _ingested(spark, rec, rej)
+
+
 def _month(c: str = "date"):
     return F.date_format(c, "yyyy-MM").alias("month")
 
@@ -191,6 +224,10 @@ QUERIES = {
     "padded_table": q_padded_table,
     "export_read_back": q_export_read_back,
     "backup_and_clear": q_backup_and_clear,
+    "sitemap_files": q_sitemap_files,
+    "id_chunks": q_id_chunks,
+    "outside_whiskers": q_outside_whiskers,
+    "ingest_latest": q_ingest_latest,
     "quantiles_from_sketches": q_quantiles_from_sketches,
     "distinct_from_sketches": q_distinct_from_sketches,
     "normality_from_moments": q_normality_from_moments,
@@ -213,6 +250,15 @@ SELECT "index", {", ".join(f"CASE WHEN NOT open THEN {c.strip()} END AS {c.strip
     "padded_table": "WITH " + OBS_SQL + f"\nSELECT {OBS_COLS} FROM obs",
     "export_read_back": _WAREHOUSE + "\nSELECT id_producto, id_date, price, unit_price, discount, year FROM fact",
     "backup_and_clear": _WAREHOUSE + f"\nSELECT year, '{LOAD_TS:%Y-%m-%d %H:%M:%S}' AS loaded, count(*) AS n FROM fact GROUP BY year",
+    "sitemap_files": BASE_ORACLE["sitemap_queue"],
+    "id_chunks": "WITH " + OBS_SQL + """,
+d AS (SELECT DISTINCT CAST(year(date) AS INTEGER) AS year, product_id FROM obs WHERE product_id IS NOT NULL),
+r AS (SELECT *, (row_number() OVER (ORDER BY year, product_id) - 1) // 500 AS cell FROM d),
+c AS (SELECT year, cell, string_agg(product_id, ',' ORDER BY product_id) AS ids FROM r GROUP BY year, cell)
+SELECT year, CAST(cell - min(cell) OVER (PARTITION BY year) AS BIGINT) AS part, ids FROM c""",
+    "outside_whiskers": "WITH " + OBS_SQL + ",\n" + FENCES_SQL.replace("unit_price", "price").replace("1.5", "0.25") + f"""
+SELECT {OBS_COLS}, CASE WHEN price < lower_fence THEN 'below' ELSE 'above' END AS side FROM obs, f2 WHERE price < lower_fence OR price > upper_fence""",
+    "ingest_latest": BASE_ORACLE["shop_page_records"],
     "quantiles_from_sketches": "WITH " + OBS_SQL + """
 SELECT strftime(date, '%Y-%m') AS month, count(*) AS n, min(price) AS low, max(price) AS high, CAST(5 AS BIGINT) AS within FROM obs GROUP BY 1""",
     "distinct_from_sketches": "WITH " + OBS_SQL + """

@@ -12,14 +12,14 @@ and a hash of its whole path, as files of several folders may bear one name). A
 micro-batch replaces the partitions of the files it holds (dynamic partition
 overwrite), so a file replayed after a failure, or by a full reload with a new
 checkpoint, adds nothing twice, whatever its page ids, and nothing that was
-stored is read back. ``ingested`` reads such a table with one row per page.
+stored is read back. ``ingested`` reads such a table with one row per page, that of the latest file.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from shelfwatch.plans.capture import capture_products
 from shelfwatch.sources.pages import PAGE_SCHEMA, SHOP_RULES, PageRules
@@ -36,16 +36,21 @@ def source_file() -> Column:
     return F.concat_ws("-", "_metadata.file_name", F.substring(F.sha2(F.col("_metadata.file_path"), 256), 1, 32)).alias("source_file")
 
 
+def captured() -> Column:
+    """When a row's file was written."""
+    return F.col("_metadata.file_modification_time").alias("captured")
+
+
 def ingested(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Rows of a table written by ``ingest_pages``: a page id that came in
-    several times on a run date counts once (the first source file by name,
-    then the least row); rows without a page id are all kept. Empty if nothing was written."""
+    several times on a run date counts once (the file written last, of those the
+    first by name, then the least row); rows without a page id are all kept. Empty if nothing was written."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    rows = spark.read.schema(StructType([*schema.fields, StructField("source_file", StringType())])).parquet(path)
+    rows = spark.read.schema(StructType([*schema.fields, StructField("source_file", StringType()), StructField("captured", TimestampType())])).parquet(path)
     cols = schema.fieldNames()
     known = rows.where("page_id IS NOT NULL").groupBy("date", "page_id").agg(
-        F.min(F.struct("source_file", *[c for c in cols if c not in ("date", "page_id")])).alias("r"))
+        F.min(F.struct((-F.coalesce(F.unix_micros("captured"), F.lit(0))).alias("age"), "source_file", *[c for c in cols if c not in ("date", "page_id")])).alias("r"))
     return known.select("date", "page_id", "r.*").select(*cols).unionByName(rows.where("page_id IS NULL").select(*cols))
 
 
@@ -57,13 +62,13 @@ def ingest_pages(spark: SparkSession, source_dir: str, records_path: str, reject
     (checkpoints are never deleted here)."""
     stream = (spark.readStream.schema(PAGE_SCHEMA)
               .option("maxFilesPerTrigger", max_files_per_trigger)
-              .parquet(source_dir).select("*", source_file()))
+              .parquet(source_dir).select("*", source_file(), captured()))
     batches = []
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         batch.persist()  # parsed twice (records, rejects): read the files once
         try:
-            ok, bad = capture_products(batch, rules, run_date=run_date, load_ts=load_ts, keep_cols=("page_id", "source_file"))
+            ok, bad = capture_products(batch, rules, run_date=run_date, load_ts=load_ts, keep_cols=("page_id", "source_file", "captured"))
             _replace_files(ok, records_path)
             _replace_files(bad, rejects_path)
         finally:

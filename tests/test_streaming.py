@@ -1,9 +1,13 @@
 """Resumable page ingest: availableNow file stream with keyed appends."""
 
+import os
+
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
+from shelfwatch import schemas
 from shelfwatch.sources import pages as Pg
-from shelfwatch.streaming.ingest import ingest_pages
+from shelfwatch.streaming.ingest import ingest_pages, ingested
 from tests.test_pages import PAGES
 
 
@@ -37,3 +41,17 @@ def test_files_of_one_name_in_two_folders_are_both_kept(spark, tmp_path):
             ingest_pages(spark, str(tmp_path / f"in{k}"), rec, rej, str(tmp_path / f"ck{run}{k}"), "2024-01-01", Pg.SHOP_RULES)
         assert sorted(r.page_id for r in spark.read.parquet(rec).collect()) == [1, 4, 5, 6, 7, 8, 9]
         assert sorted(r.page_id for r in spark.read.parquet(rej).collect()) == [2, 3]
+
+
+def test_the_file_written_last_counts(spark, tmp_path):
+    src, rec, rej = (str(tmp_path / n) for n in ("in", "rec", "rej"))
+    df = spark.createDataFrame(PAGES, Pg.PAGE_SCHEMA).where("page_id in (1, 4)").coalesce(1)
+    for name, price, when in (("b", "1,11", 2_000), ("a", "2,22", 3_000), ("c", "3,33", 1_000)):
+        df.withColumn("html", F.regexp_replace("html", r"\d+,\d+", price)).write.parquet(str(tmp_path / f"w{name}"))
+        os.makedirs(src, exist_ok=True)
+        target = os.path.join(src, f"{name}.parquet")
+        next((tmp_path / f"w{name}").glob("part-*.parquet")).rename(target)
+        os.utime(target, (1_700_000_000 + when, 1_700_000_000 + when))
+    ingest_pages(spark, src, rec, rej, str(tmp_path / "ck"), "2024-01-01", Pg.SHOP_RULES)
+    schema = StructType([StructField("page_id", LongType()), *schemas.PRODUCT_RECORD.fields])
+    assert [(r.page_id, r.price) for r in ingested(spark, rec, schema).orderBy("page_id").collect()] == [(1, 2.22), (4, 2.22)]
