@@ -18,14 +18,23 @@ REQUIRED = ["price", "product", "brand", "unit_price", "units"]
 RECORD_COLS = [f.name for f in schemas.PRODUCT_RECORD.fields]
 
 
+def product_fields(pages: DataFrame, rules: PageRules = SHOP_RULES, run_date=None, load_ts=None) -> DataFrame:
+    """One product record per page, complete or not, with its load time; ``pages`` may be a stream."""
+    return extract_fields(pages, rules, run_date=run_date).withColumn("ts_load", dml._ts(load_ts))
+
+
+def split_records(fields: DataFrame, keep_cols=("page_id",)) -> tuple[DataFrame, DataFrame]:
+    """(records, rejects) of what ``product_fields`` returned."""
+    keep = [c for c in keep_cols if c in fields.columns]
+    ok, bad = completeness_split(fields, REQUIRED)
+    return ok.select(*keep, *RECORD_COLS), bad.select(*keep, *RECORD_COLS, "reject_reason")
+
+
 def capture_products(pages: DataFrame, rules: PageRules = SHOP_RULES, run_date=None, load_ts=None,
                      keep_cols=("page_id",)) -> tuple[DataFrame, DataFrame]:
     """(records, rejects). Records follow the product record schema (plus
     ``keep_cols``); rejects carry ``reject_reason`` (the missing fields)."""
-    fields = extract_fields(pages, rules, run_date=run_date).withColumn("ts_load", dml._ts(load_ts))
-    keep = [c for c in keep_cols if c in fields.columns]
-    ok, bad = completeness_split(fields, REQUIRED)
-    return ok.select(*keep, *RECORD_COLS), bad.select(*keep, *RECORD_COLS, "reject_reason")
+    return split_records(product_fields(pages, rules, run_date, load_ts), keep_cols)
 
 
 def queue_from_links(links: DataFrame, url_col: str = "href", order_cols=("page_id", "pos"),
@@ -55,4 +64,4 @@ def pending(queue: DataFrame, done_upto: int | None = None) -> DataFrame:
     return queue if done_upto is None else dml.delete_where(queue, F.col("index") <= done_upto)
 
 
-__all__ = ["capture_products", "queue_from_links", "queue_from_sitemap", "queue_from_sitemap_files", "pending", "page_links", "REQUIRED"]
+__all__ = ["capture_products", "product_fields", "split_records", "queue_from_links", "queue_from_sitemap", "queue_from_sitemap_files", "pending", "page_links", "REQUIRED"]

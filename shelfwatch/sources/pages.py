@@ -80,7 +80,9 @@ def extract_fields(pages: DataFrame, rules: PageRules = SHOP_RULES, html_col: st
     single = ("title", "price", "unit_price", "discount")
     inner = [tx.html_inner(_scope(h, rule), rule[0], rule[1]) for rule in [getattr(rules, n) for n in (*single, "categories")]]
     texts = F.transform(F.concat(F.array(*[F.get(x, 0) for x in inner[:-1]]), inner[-1]), lambda x: tx.html_text(x))
-    found = pages.select(*own, texts.alias("_texts")).select(
+    # an optimizer moves filters on the fields in front of a projection, with the elements searched again for each;
+    # not in front of a generator, here one of one row
+    found = pages.select(*own, F.explode(F.array(texts)).alias("_texts")).select(
         *own, *[F.get("_texts", i).alias(f"_{n}") for i, n in enumerate(single)],
         F.transform(F.slice("_texts", F.lit(len(single) + 1), F.greatest(F.size("_texts") - len(single), F.lit(0))), lambda x: tx.clean_text(x)).alias("_crumbs"))
     day = F.current_date() if run_date is None else F.lit(run_date).cast("date")

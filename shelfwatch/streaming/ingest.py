@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
-from shelfwatch.plans.capture import capture_products
+from shelfwatch.plans.capture import product_fields, split_records
 from shelfwatch.sources.pages import PAGE_SCHEMA, SHOP_RULES, PageRules
 from shelfwatch.sources.tables import path_exists
 
@@ -60,15 +60,17 @@ def ingest_pages(spark: SparkSession, source_dir: str, records_path: str, reject
     """Process every page file not yet seen by ``checkpoint_dir``; returns the
     number of micro-batches run. A full reload uses a new ``checkpoint_dir``
     (checkpoints are never deleted here)."""
-    stream = (spark.readStream.schema(PAGE_SCHEMA)
-              .option("maxFilesPerTrigger", max_files_per_trigger)
-              .parquet(source_dir).select("*", source_file(), captured()))
+    pages = (spark.readStream.schema(PAGE_SCHEMA)
+             .option("maxFilesPerTrigger", max_files_per_trigger)
+             .parquet(source_dir).select("*", source_file(), captured()))
+    # the expression of the fields is large: made once a stream, not once a batch
+    stream = product_fields(pages, rules, run_date, load_ts)
     batches = []
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        batch.persist()  # parsed twice (records, rejects): read the files once
+        batch.persist()  # written twice (records, rejects): the pages are read and parsed once
         try:
-            ok, bad = capture_products(batch, rules, run_date=run_date, load_ts=load_ts, keep_cols=("page_id", "source_file", "captured"))
+            ok, bad = split_records(batch, ("page_id", "source_file", "captured"))
             _replace_files(ok, records_path)
             _replace_files(bad, rejects_path)
         finally:

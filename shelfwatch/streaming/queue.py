@@ -24,7 +24,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from shelfwatch import schemas
 from shelfwatch.operators.keys import with_global_rank
-from shelfwatch.plans.capture import capture_products
+from shelfwatch.plans.capture import product_fields, split_records
 from shelfwatch.session import stage_table
 from shelfwatch.sources import tables as T
 from shelfwatch.sources.pages import PAGE_SCHEMA, SHOP_RULES, PageRules
@@ -134,9 +134,10 @@ def process_queue(spark: SparkSession, base: str, pages_dir: str, run_date, rule
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
         entries = open_entries(spark, base).select(F.col("url_product").alias("url"), "index", "cut")
-        hit = stage_table(batch.join(entries, "url").withColumn("taken", F.lit(turn * 1_000_000_000 + epoch).cast("bigint")), "taken")
+        taken = batch.join(entries, "url").withColumn("taken", F.lit(turn * 1_000_000_000 + epoch).cast("bigint"))
+        hit = stage_table(product_fields(taken, rules, run_date, load_ts), "taken")  # parsed once; without the pages' text
         cuts = [r[0] for r in hit.select("cut").distinct().collect()]
-        ok, bad = capture_products(hit, rules, run_date=run_date, load_ts=load_ts, keep_cols=("index", "taken", "cut", "source_file"))
+        ok, bad = split_records(hit, ("index", "taken", "cut", "source_file"))
         both = ok.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(bad)
         if cuts:
             T.overwrite_partitions(both.select(*RECORD.fieldNames()).repartition("cut"), p["records"], ["cut", "taken"])
