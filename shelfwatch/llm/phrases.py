@@ -10,18 +10,23 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwatch.llm.common import map_rows
+from shelfwatch.operators.keys import with_global_rank
 
-LEVELS = 3
-FIRST_LEVEL = 2  # phrases of lower levels (about 3 characters) are common to all texts of a language
-FEW = 6  # a text of fewer phrases on FIRST_LEVEL also shows its lower levels
-SLOTS = 64
+#: slots of the sketch for the phrases of each level, which are the weights of the levels: phrases of the
+#: lowest (about 3 characters) are common to all texts of a language
+LEVEL_SLOTS = (8, 32, 24)
+SLOTS = sum(LEVEL_SLOTS)
 SYMBOLS_AT_ONCE = 1 << 20
-MAX_BUCKETS = 4096
-ROWS_PER_BUCKET = 2000
+#: text of a bucket; more where there would be over MAX_BUCKETS buckets (760 MB of 100 TB)
+BUCKET_BYTES = 16 << 20
+MAX_BUCKETS = 1 << 17
+#: rows of a bucket, at least, that the split points are chosen from
+SAMPLE = 32
 _U = np.uint64
 _EMPTY = np.iinfo(np.uint64).max
 
@@ -75,8 +80,10 @@ def parse(x: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketches(texts: list[str]) -> np.ndarray:
-    """(texts, SLOTS) sketch: in each slot 16 bits of the least phrase name that falls into it; -1: none."""
-    out = np.full((len(texts), SLOTS), _EMPTY, _U)
+    """(texts, SLOTS) sketch: in each slot 16 bits of the least phrase name that falls into it; -1: none.
+
+    Every level has slots of its own, whatever the length of the text."""
+    out = np.full(len(texts) * SLOTS, _EMPTY, _U)
     at = 0
     while at < len(texts):
         group, n = [], 0
@@ -87,17 +94,14 @@ def sketches(texts: list[str]) -> np.ndarray:
         if len(rows):
             x = np.frombuffer("".join(group).encode("utf-32-le", "surrogatepass"), "<u4")
             starts = np.concatenate(([0], np.cumsum([len(group[i]) for i in rows])[:-1])).astype(np.int64)
-            levels = []
-            for _ in range(LEVELS):
+            first = 0
+            for slots in LEVEL_SLOTS:
                 x, starts = parse(x, starts)
-                levels.append((x, np.repeat(rows, np.diff(np.append(starts, len(x))))))
-            few = np.bincount(levels[FIRST_LEVEL - 1][1], minlength=len(group)) < FEW
-            for k, (names, doc) in enumerate(levels, 1):
-                if k < FIRST_LEVEL:
-                    names, doc = names[few[doc]], doc[few[doc]]
-                np.minimum.at(out, (doc + at, (names & _U(SLOTS - 1)).astype(np.int64)), names >> _U(6))
+                doc = np.repeat(rows, np.diff(np.append(starts, len(x)))) + at
+                np.minimum.at(out, doc * SLOTS + first + (x % _U(slots)).astype(np.int64), x >> _U(6))
+                first += slots
         at += len(group)
-    return np.where(out == _EMPTY, -1, (_mix(out) >> _U(48)).astype(np.int64))
+    return np.where(out == _EMPTY, -1, (_mix(out) >> _U(48)).astype(np.int64)).reshape(len(texts), SLOTS)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -119,34 +123,68 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return map_rows(docs.select("doc_id", "text"), "doc_id bigint, fingerprint string", work)
 
 
+def split_points(keyed: DataFrame, n: int, buckets: int) -> list[tuple[int, int]]:
+    """``buckets - 1`` pairs ``(key, h)`` of rows of ``keyed(key, h)`` that cut its ``n`` rows into near equal parts, ascending.
+
+    They are chosen from a sample by row position, of at least SAMPLE rows a
+    bucket and at most twice that (all rows, where there are not more)."""
+    if buckets == 1:
+        return []
+    one_of = max(1, n // (buckets * SAMPLE))
+    chance = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(one_of))
+    ranked = with_global_rank(keyed.select("key", "h", chance.alias("c")).where("c = 0").select("key", "h"), ["key", "h"], "r")
+    size = ranked.agg(F.max("r")).first()[0] or 0
+    step = lambda r: F.floor(r * buckets / F.lit(max(size, 1)))
+    cuts = ranked.where((F.col("r") < size) & (step(F.col("r")) > step(F.col("r") - 1))).orderBy("r").select("key", "h")
+    return [(r["key"], r["h"]) for r in cuts.collect()]  # fewer than MAX_BUCKETS
+
+
+def bucket_of(cuts: list[tuple[int, int]]):
+    """Pandas function of (key, h, salt): how many cuts lie below a row; rows that equal several cuts are spread over their buckets by the salt."""
+    keys, hashes = (np.array([c[i] for c in cuts], np.int64) for i in (0, 1))
+
+    def place(key: pd.Series, h: pd.Series, salt: pd.Series) -> pd.Series:
+        k, v, s = key.to_numpy(), h.to_numpy(), salt.to_numpy()
+        out, end = np.searchsorted(keys, k, "left"), np.searchsorted(keys, k, "right")
+        shared = np.flatnonzero(end > out)  # rows whose key is that of a cut
+        for lo in np.unique(out[shared]):
+            at = shared[out[shared] == lo]
+            inside = hashes[lo:end[at[0]]]
+            least, most = np.searchsorted(inside, v[at], "left"), np.searchsorted(inside, v[at], "right")
+            out[at] = lo + least + s[at] % np.maximum(most - least, 1)
+        return pd.Series(out.astype(np.int32))
+
+    return F.pandas_udf(place, "int")
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """Rows sorted by descending doc_id in contiguous buckets: ``bucket, ahead, doc_id, text``.
 
     Each bucket ends with a copy of the row that follows it (``ahead`` true);
     behind the last bucket that is the first row of all. So every row's
     successor is its neighbour in a partition, and a text is shuffled once.
-    Equal doc_ids are ordered by a hash of the text; a null doc_id comes last.
+    Equal doc_ids are ordered by a hash of the text and split by it; a null
+    doc_id comes last. Rows equal in both may stand in any bucket between
+    their neighbours. The number of buckets follows from the bytes of all texts.
     """
-    from pyspark.ml.feature import Bucketizer
-
     spark = docs.sparkSession
-    keyed = docs.select(F.coalesce("doc_id", F.lit(-(1 << 63))).cast("long").alias("key"), "doc_id",
-                        F.coalesce("text", F.lit("")).alias("text"))
-    keyed = keyed.withColumn("place", F.col("key").cast("double"))
-    n = keyed.count()
-    want = min(MAX_BUCKETS, max(1, n // ROWS_PER_BUCKET))
-    cuts = sorted(set(keyed.approxQuantile("place", [i / want for i in range(1, want)], 0.2 / want))) if want > 1 else []
-    split = Bucketizer(splits=[float("-inf"), *(cuts or [0.0]), float("inf")], inputCol="place", outputCol="b")
-    rows = split.transform(keyed).select((-F.col("b")).cast("int").alias("bucket"), "key", F.xxhash64("text").alias("h"), "doc_id", "text")
-    heads = rows.groupBy("bucket").agg(F.max("key").alias("key")).orderBy("bucket").collect()  # one number per bucket
-    if not heads:
-        return rows.select("bucket", F.lit(False).alias("ahead"), "doc_id", "text")
-    # the head of the next bucket goes to the end of this one
-    table = spark.createDataFrame([(a["bucket"], b["key"]) for a, b in zip(heads, [*heads[1:], heads[0]])], "to int, key long")
-    first = (rows.join(F.broadcast(table), "key")  # at most MAX_BUCKETS rows
-             .groupBy("to").agg(F.max("key").alias("key"), F.max("h").alias("h"), F.max_by(F.struct("doc_id", "text"), "h").alias("r")))
-    ends = first.select(F.col("to").alias("bucket"), "key", "h", "r.doc_id", "r.text", F.lit(True).alias("ahead"))
-    return (rows.withColumn("ahead", F.lit(False)).unionByName(ends).repartition("bucket")
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.select(F.coalesce("doc_id", F.lit(-(1 << 63))).cast("long").alias("key"), F.xxhash64(text).alias("h"), "doc_id", text.alias("text"))
+    n, size, top = keyed.agg(F.count(F.lit(1)), F.sum(F.octet_length("text")), F.max(F.struct("key", "h"))).first()
+    if not n:
+        return keyed.select(F.lit(0).alias("bucket"), F.lit(False).alias("ahead"), "doc_id", "text")
+    buckets = max(1, min(MAX_BUCKETS, size // BUCKET_BYTES, n // SAMPLE))
+    cuts = split_points(keyed, n, buckets)
+    bucket = F.lit(0)
+    if cuts:
+        bucket = bucket_of(cuts)("key", "h", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 31)))
+    rows = keyed.select(bucket.alias("bucket"), F.lit(False).alias("ahead"), "key", "h", "doc_id", "text")
+    # a cut is the greatest row of its bucket and follows the bucket above it; the greatest of all follows the lowest bucket
+    heads = spark.createDataFrame([(0, *top), *[(i + 1, *c) for i, c in enumerate(cuts)]], "to int, key long, h long")
+    found = (keyed.join(F.broadcast(heads.select("key", "h").distinct()), ["key", "h"])  # at most MAX_BUCKETS rows
+             .groupBy("key", "h").agg(F.max(F.struct("doc_id", "text")).alias("r")))
+    ends = found.join(F.broadcast(heads), ["key", "h"]).select(F.col("to").alias("bucket"), F.lit(True).alias("ahead"), "key", "h", "r.doc_id", "r.text")
+    return (rows.unionByName(ends).repartitionById(buckets, F.col("bucket"))
             .sortWithinPartitions("bucket", "ahead", F.col("key").desc(), F.col("h").desc())
             .select("bucket", "ahead", "doc_id", "text"))
 

@@ -331,6 +331,77 @@ def test_equal_substrings_share_names_at_any_offset():
     assert all(len(names[0] & o) >= 0.9 * len(names[0]) for o in names[1:])
 
 
+M64 = (1 << 64) - 1
+
+
+def slow_mix(x):
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & M64
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & M64
+    return x ^ (x >> 31)
+
+
+def slow_parse(row):
+    """Names of the phrases of one row of symbols, one symbol at a time."""
+    golden = 0x9E3779B97F4A7C15
+    symbols = [slow_mix((x + golden * len(list(run))) & M64) for x, run in itertools.groupby(row)]
+    labels = symbols
+    for _ in range(4):
+        before = [labels[0] ^ 1, *labels[:-1]]
+        places = [((a ^ b) & -(a ^ b)).bit_length() - 1 for a, b in zip(labels, before)]
+        labels = [2 * k + (a >> k & 1) for a, k in zip(labels, places)]
+    phrases_, last = [], len(symbols) - 1
+    for i, x in enumerate(symbols):
+        if i == 0 or i != last and labels[i - 1] < labels[i] > labels[i + 1]:
+            phrases_.append([])
+        phrases_[-1].append(x)
+    return [slow_mix((sum(x * pow(golden, i + 1, 1 << 64) for i, x in enumerate(p)) + len(p)) & M64) for p in phrases_]
+
+
+def test_sketches_equal_plain_parsing():
+    rng = random.Random(12)
+    texts = ["".join(rng.choice("ab cdé\n") for _ in range(rng.randrange(1, 400))) for _ in range(150)] + ["a", "aaaa", "ab", "", "x" * 500]
+    got = phrases.sketches(texts)
+    for text, sketch in zip(texts, got):
+        want, row, first = [-1] * phrases.SLOTS, [ord(c) for c in text], 0
+        for slots in phrases.LEVEL_SLOTS:
+            row = slow_parse(row) if row else []
+            for slot in {x % slots for x in row}:
+                want[first + slot] = slow_mix(min(x >> 6 for x in row if x % slots == slot)) >> 48
+            first += slots
+        assert sketch.tolist() == want
+
+
+def test_next_documents_over_many_buckets(spark, monkeypatch):
+    """Null, repeated and extreme doc_ids split over buckets; every row is followed by the next in order."""
+    monkeypatch.setattr(phrases, "BUCKET_BYTES", 60)
+    monkeypatch.setattr(phrases, "SAMPLE", 4)
+    rng = random.Random(13)
+    docs = ([(i * 7 - 900, f"text {i} {rng.random()}") for i in range(300)] + [(None, f"none {i}") for i in range(150)] + [(5, f"five {i}") for i in range(100)]
+            + [(8, "copy")] * 200 + [((1 << 63) - 1, "last"), (-(1 << 63) + 1, None), (2, "")])
+    rows = phrases.with_next(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert len({r["bucket"] for r in rows}) > 50
+    own = [(r["doc_id"], r["text"]) for r in rows if not r["ahead"]]
+    assert sorted(own, key=str) == sorted([(i, t or "") for i, t in docs], key=str)
+    following = defaultdict(list)
+    for b in {r["bucket"] for r in rows}:
+        part = [r for r in rows if r["bucket"] == b]
+        assert [r["ahead"] for r in part] == [False] * (len(part) - 1) + [True]
+        for a, c in zip(part, part[1:]):
+            following[a["doc_id"]].append(c["doc_id"])
+    # the rows of all buckets, one behind the other, are a ring in which ids fall but once
+    ring = [(i, j) for i, js in following.items() for j in js]
+    assert len(ring) == len(docs)
+    key = lambda i: -(1 << 63) if i is None else i
+    assert sum(key(i) < key(j) for i, j in ring) == 1
+    ids = sorted({key(i) for i, _ in docs}, reverse=True)
+    nexts = dict(zip(ids, ids[1:] + ids[:1]))
+    assert all(key(j) in (key(i), nexts[key(i)]) for i, j in ring)
+    assert sorted(key(i) for i, j in ring if key(i) != key(j)) == sorted(ids)
+    # of equal doc_ids every text is followed and follows once
+    five = sorted(r["text"] for r in rows if r["doc_id"] == 5 and not r["ahead"])
+    assert five == sorted(f"five {i}" for i in range(100))
+
+
 # --- repeats -------------------------------------------------------------------------------
 
 def slow_repeats(docs, length, keep):
