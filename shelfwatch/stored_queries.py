@@ -14,7 +14,7 @@ from shelfwatch import schemas
 from shelfwatch.functions import text as tx
 from shelfwatch.operators import dml, quality as Qy, stats as St, summaries as Su
 from shelfwatch.plans import etl, observations as O, variation_store as VS, warehouse as W
-from shelfwatch.plans.capture import queue_from_sitemap_files
+from shelfwatch.plans.capture import capture_products, queue_from_sitemap_files
 from shelfwatch.plans.variation import price_table
 from shelfwatch.queries import (FENCES_SQL, LOAD_TS, OBS_COLS, OBS_SQL, ORACLE as BASE_ORACLE, RUN_DATE, SHOP_COLS, SHOP_SQL, VARIATION_SQL, _fresh, _ingested, _obs, _pages,
                                 _shop_pages, _sql_first, _trimmed, DIGITS, EXISTING_BEFORE, INCOMING_FROM)
@@ -132,6 +132,15 @@ def q_export_read_back(spark, sf):
     return back.select(*[F.col(c).cast("int") for c in ("id_producto", "id_date")], number("price"), number("unit_price"), number("discount"), F.col("year").cast("int"))
 
 
+def q_records_csv(spark, sf):
+    """Captured shop records, whose lists of categories hold separators, written as ``,`` CSV with a header and read back by name."""
+    path, record = scratch_path(spark, "records-csv"), {f.name: f.dataType for f in schemas.PRODUCT_RECORD.fields if f.name != "ts_load"}
+    ok, _ = capture_products(_shop_pages(spark, sf), Pg.SHOP_RULES, run_date=RUN_DATE, load_ts=LOAD_TS)
+    X.export_csv(ok.drop("ts_load"), path, sep=",", decimal=".")
+    back = spark.read.option("header", True).csv(path)
+    return back.select(F.col("page_id").cast("bigint"), *[F.col(c).cast(t).alias(c) for c, t in record.items()])
+
+
 def q_backup_and_clear(spark, sf):
     """A fact table copied under a dated name, cleared and filled again from the copy; its load time stays."""
     path = scratch_path(spark, "fact")
@@ -223,6 +232,7 @@ QUERIES = {
     "snapshot_wide": q_snapshot_wide,
     "padded_table": q_padded_table,
     "export_read_back": q_export_read_back,
+    "records_csv": q_records_csv,
     "backup_and_clear": q_backup_and_clear,
     "sitemap_files": q_sitemap_files,
     "id_chunks": q_id_chunks,
@@ -249,6 +259,7 @@ SELECT "index", {", ".join(f"CASE WHEN NOT open THEN {c.strip()} END AS {c.strip
     "snapshot_wide": BASE_ORACLE["csv_snapshot_roundtrip"],
     "padded_table": "WITH " + OBS_SQL + f"\nSELECT {OBS_COLS} FROM obs",
     "export_read_back": _WAREHOUSE + "\nSELECT id_producto, id_date, price, unit_price, discount, year FROM fact",
+    "records_csv": "WITH " + SHOP_SQL + f"\nSELECT page_id, {SHOP_COLS.replace(', reject_reason', '')} FROM shop WHERE reject_reason IS NULL",
     "backup_and_clear": _WAREHOUSE + f"\nSELECT year, '{LOAD_TS:%Y-%m-%d %H:%M:%S}' AS loaded, count(*) AS n FROM fact GROUP BY year",
     "sitemap_files": BASE_ORACLE["sitemap_queue"],
     "id_chunks": "WITH " + OBS_SQL + """,
