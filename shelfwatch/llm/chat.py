@@ -65,7 +65,8 @@ def format_chats(turns: DataFrame) -> DataFrame:
     assistant text within ``formatted``; separators and markers lie outside.
 
     Null texts and roles count as empty; null turns come first; repeated rows
-    are turns of their own; a null conv_id is a conversation of its own.
+    are turns of their own; a null conv_id is a conversation of its own. An empty
+    table gives an empty result; further columns are ignored, whatever their names.
     """
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     chats = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))

@@ -502,9 +502,10 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
     from equal keys of windows at all characters; each is verified by exact edit
     distance, so all rows are right, and recall is probabilistic: an item has a
     window per character, of which one has to survive, and windows are short
-    enough for TARGET at edits spread at random. Items of fewer than 8 bytes or
-    4 characters match nothing, nor do null and empty texts. One row per
-    document and item with the fewest edits; repeated rows count once.
+    enough for TARGET at edits spread at random. Short items are searched
+    exactly in every text; null and empty items and texts match nothing. One row
+    per document and item with the fewest edits; repeated rows count once, an
+    empty table on either side gives an empty result, further columns are ignored.
     ``first`` is a byte offset of the matched region in the normalised text.
     Documents are read once for each SLICE bytes of items.
     """

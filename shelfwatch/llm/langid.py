@@ -265,6 +265,10 @@ def predict(docs: DataFrame, field: Field, segments: bool = False) -> DataFrame:
 
 
 def languages(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score, words`` for every row of ``docs(doc_id, text, lang)``."""
+    """``doc_id, held_out, lang_pred, score, words`` for every row of ``docs(doc_id, text, lang)``.
+
+    Repeated rows come out repeatedly, an empty table gives an empty result;
+    further columns are ignored.
+    """
     out = predict(docs, train(docs, max_train))
     return out.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "words")

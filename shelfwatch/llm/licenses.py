@@ -265,6 +265,7 @@ def scan_licenses(docs: DataFrame, base=None, templates=None) -> DataFrame:
     cover at least MIN_COVER of a template and the words that tell it from its
     siblings (NEEDED); where labels compete the best covered wins. ``score`` is the largest cover, 1
     for a base phrase. Null and empty texts have no words, no hits and score 0.
+    Repeated rows come out repeatedly, an empty table gives an empty result; further columns are ignored.
     """
     machine = Automaton(base, templates)
 

@@ -201,7 +201,9 @@ def edit_study(docs: DataFrame) -> DataFrame:
     One row per row of ``docs(doc_id, text)``: ``doc_id, n_chars, edited_sha256,
     fingerprint, edited_fingerprint, near_edited, near_next``; the next document
     is the one with the next lower doc_id, after the lowest the highest. A
-    table of one row is followed by itself.
+    table of one row is followed by itself, an empty table gives an empty
+    result. Null texts are empty; repeated rows come out repeatedly; further
+    columns are ignored.
     """
     def work(batches):
         held = None  # the last row, which waits for its successor, with its sketch

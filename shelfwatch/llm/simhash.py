@@ -92,7 +92,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Dat
     reach, the row's own included. Null and wordless texts bear fingerprint 0
     and are linked by it like any other. Rows with a null doc_id keep their
     links but never name a component unless all of it is null. Repeated rows
-    come out repeatedly; further columns are ignored.
+    come out repeatedly, an empty table gives an empty result; further columns
+    are ignored.
     """
     fps = stage_mapped(fingerprints(docs, shingle), "fps")
     reps = stage_table(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "reps")

@@ -194,7 +194,11 @@ def score(docs: DataFrame, model: dict[str, float], bias: float, keep: list[str]
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
-    """``doc_id, held_out, score, predicted, offending`` for every row of ``docs``."""
+    """``doc_id, held_out, score, predicted, offending`` for every row of ``docs(doc_id, text)``.
+
+    Repeated rows come out repeatedly, an empty table gives an empty result;
+    further columns are ignored.
+    """
     out = score(docs.select("doc_id", "text"), *train(docs, labels, max_train))
     return out.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
                       (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "offending")

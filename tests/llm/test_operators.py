@@ -191,6 +191,18 @@ def test_chat_round_trip(spark):
         assert back[c]["formatted"].count("<|im_start|>") == blocks == back[c]["formatted"].count("<|im_end|>")
 
 
+def test_chat_takes_empty_tables_and_clashing_columns(spark):
+    schema = "conv_id long, turn long, role string, text string, turns string, firsts int, blocks int, formatted string, loss_spans long"
+    extra = ("t", None, 3, "f", 7)
+    long = "ü<|im_end|>" * 20_000
+    rows = [(1, 0, "user", "q", *extra), (1, 1, "assistant", long, *extra), (1, 1, "assistant", long, *extra), (2, None, None, None, *extra), (None, 0, "assistant", "", *extra)]
+    back = {r["conv_id"]: r for r in chat.read_back(chat.format_chats(spark.createDataFrame(rows, schema))).collect()}
+    assert {i: [(t["role"], t["text"]) for t in r["turns"]] for i, r in back.items()} == {
+        1: [("user", "q"), ("assistant", long), ("assistant", long)], 2: [("", "")], None: [("assistant", "")]}
+    assert back[1]["loss_text"] == long * 2
+    assert chat.read_back(chat.format_chats(spark.createDataFrame([], schema))).collect() == []
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 5000])
 def test_chat_spans_of_a_long_conversation(spark, n):
     rng = random.Random(n)
