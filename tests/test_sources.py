@@ -188,3 +188,14 @@ def test_a_replacement_that_was_cut_off_is_finished(spark, tmp_path):
     os.remove(path + "_pending/_SUCCESS")  # its content was not complete
     assert T.recover_table(spark, path, ["part"], dynamic=True) is False
     assert [tuple(r) for r in spark.read.parquet(path).collect()] == [("new", 1)]
+
+
+def test_literal_rows_bear_the_record_schema_and_join_a_table(spark):
+    from shelfwatch import schemas
+    from shelfwatch.operators import dml
+    record = ("Galletas", "70451", "Almenar", 3.15, "['Dulces']", 12.6, "€/KILO", None, dt.date(2023, 8, 26), dt.datetime(2023, 8, 26, 8))
+    rows = Sn.literal_rows(spark, [record, (None,) * len(record)])
+    assert rows.schema == schemas.PRODUCT_RECORD
+    assert [tuple(r) for r in rows.collect()] == [record, (None,) * len(record)]
+    assert Sn.literal_rows(spark, []).collect() == []
+    assert dml.bag_diff(rows, Sn.literal_rows(spark, [record])).count() == 1
