@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from shelfwatch.plans import capture
 from shelfwatch.sources import pages as Pg
 
@@ -70,3 +72,13 @@ def test_work_queue_from_sitemap(spark):
     assert [tuple(r) for r in q] == [("740512", "https://shop.example/tonic/p/740512", 0),
                                      ("1001", "https://shop.example/agua/p/1001", 1)]
     assert capture.pending(capture.queue_from_sitemap(spark.createDataFrame([(xml,)], "xml string")), 0).count() == 1
+
+
+def test_pages_of_one_file_are_parsed_by_many_tasks(spark, tmp_path):
+    html = '<!-- <h1>no</h1> --><h1>Big Thing {0}</h1><nav><li>A</li><li>B<!-- , --></li></nav><p class="buy-box__active-price">{0},50</p>'
+    rows = [(i, f"https://shop.example/p/{i}", html.format(i)) for i in range(200)]
+    spark.createDataFrame(rows, Pg.PAGE_SCHEMA).coalesce(1).write.parquet(str(tmp_path / "in"))
+    fields = Pg.extract_fields(spark.read.parquet(str(tmp_path / "in")), Pg.GENERIC_RULES)
+    got = fields.select("page_id", "product", "brand", "price", "categories", F.spark_partition_id().alias("task")).collect()
+    assert sorted(tuple(r)[:5] for r in got) == [(i, f"Big Thing {i}", "Thing", i + 0.5, "['A', 'B']") for i in range(200)]
+    assert len({r.task for r in got}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
