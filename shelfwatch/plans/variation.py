@@ -18,12 +18,12 @@ from shelfwatch.operators.sequence import CHUNK, sequence_with_previous
 
 def price_table(fact: DataFrame, product_dim: DataFrame, date_dim: DataFrame) -> DataFrame:
     """(id_producto, product, date, unit_price): fact with both dimensions.
-    No broadcast hints: staged dimensions carry file statistics, so the
-    planner broadcasts them only under the size threshold (AQE re-checks)."""
+    The product dimension grows with the data and is joined by sorting both
+    sides, never sent through the driver; the dates (one row per day) may be."""
     prod = product_dim.select("id_producto", "product")
     dates = date_dim.select("id_date", "date")
     return (fact.select("id_producto", "id_date", "unit_price")
-            .join(prod, "id_producto").join(dates, "id_date")
+            .join(prod.hint("merge"), "id_producto").join(dates, "id_date")
             .select("id_producto", "product", "date", "unit_price"))
 
 

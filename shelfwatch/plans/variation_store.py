@@ -71,20 +71,20 @@ def add_batch(spark: SparkSession, base: str, observed: DataFrame, batch: int, b
 
     before = last.select("id_producto", F.col("num").alias("_num"), F.col("unit_price").alias("_price"), _place().alias("_place"))
     first = new.groupBy("id_producto", B.BUCKET).agg(F.min(_place()).alias("_first"))
-    late = stage_table(first.join(before, "id_producto").where(F.col("_first") < F.col("_place")).select("id_producto", B.BUCKET), "late")
+    late = stage_table(first.join(before.hint("merge"), "id_producto").where(F.col("_first") < F.col("_place")).select("id_producto", B.BUCKET), "late")
     touched = [r[0] for r in late.select(B.BUCKET).distinct().collect()]
     here = F.col(B.BUCKET).isin(touched)
 
     # products whose rows all come after their last one: numbered by themselves, then moved behind it
-    fresh = sequence_with_previous(new.join(late.select("id_producto"), "id_producto", "left_anti"), "id_producto", ORDER, "unit_price", "num", "prev")
-    fresh = fresh.join(before.drop("_place"), "id_producto", "left").select(
+    fresh = sequence_with_previous(new.join(late.select("id_producto").hint("merge"), "id_producto", "left_anti"), "id_producto", ORDER, "unit_price", "num", "prev")
+    fresh = fresh.join(before.drop("_place").hint("merge"), "id_producto", "left").select(
         *OBSERVED, (F.col("num") + F.coalesce("_num", F.lit(0))).alias("num"),
         F.when(F.col("num") == 1, F.col("_price")).otherwise(F.col("prev")).alias("prev"), B.BUCKET, F.lit(batch).alias("batch"))
     content = fresh
     if touched:
         # late products anew from all their rows, which keep their batch; the others of their buckets as they are
         old = stored.where(here)
-        ids = late.select("id_producto")
+        ids = late.select("id_producto").hint("merge")
         whole = old.join(ids, "id_producto", "left_semi").select(*OBSERVED, *PARTS).unionByName(
             new.join(ids, "id_producto", "left_semi").withColumn("batch", F.lit(batch)))
         again = sequence_with_previous(whole, "id_producto", ORDER, "unit_price", "num", "prev")
@@ -96,7 +96,7 @@ def add_batch(spark: SparkSession, base: str, observed: DataFrame, batch: int, b
 
     ends = content.groupBy("id_producto").agg(F.max(F.struct("num", *[c for c in OBSERVED if c != "id_producto"])).alias("r"))
     ends = ends.select("id_producto", "r.product", "r.date", "r.unit_price", "r.num")
-    carried = last.join(ends.select("id_producto"), "id_producto", "left_anti")
+    carried = last.join(ends.select("id_producto").hint("merge"), "id_producto", "left_anti")
     version = carried.select(*OBSERVED, "num").unionByName(ends.select(*OBSERVED, "num")).withColumn("batch", F.lit(batch))
     T.overwrite_partitions(version, last_at, ["batch"])
     done("last")

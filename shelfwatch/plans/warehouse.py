@@ -75,7 +75,7 @@ def update_product_dim(dataset: DataFrame, product_dim: DataFrame, load_ts=None,
 def changed_products(dataset: DataFrame, product_dim: DataFrame, load_ts=None) -> DataFrame:
     """Batch products already in the dimension whose attributes differ."""
     cols = ["product_id", *PRODUCT_ATTRS, "id_producto"]
-    present = latest_products(dataset).join(product_dim.select("product_id", "id_producto"),
+    present = latest_products(dataset).join(product_dim.select("product_id", "id_producto").hint("merge"),
                                             "product_id", "inner")
     return dml.changed_rows(present, product_dim, cols, load_ts=load_ts)
 
@@ -89,8 +89,9 @@ def lookup_keys(dataset: DataFrame, product_dim: DataFrame, date_dim: DataFrame)
                           ["product_id"], ["date"]).select("product_id", "id_producto")
     # No hint: the planner broadcasts the date dimension (one row per day)
     # from its size estimate; AQE re-plans with runtime sizes otherwise.
+    # The product dimension grows with the data and is not sent through the driver.
     dates = date_dim.select("date", "id_date", "year")
-    return (dataset.join(prod, "product_id", "left")
+    return (dataset.join(prod.hint("merge"), "product_id", "left")
             .join(dates, "date", "left")
             .select("price", "unit_price", "discount", "id_producto", "id_date", "year"))
 

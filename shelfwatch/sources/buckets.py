@@ -66,7 +66,7 @@ def merge_buckets(spark: SparkSession, path: str, schema: StructType, source: Da
     differs = F.col("_known").isNull()
     for c in set_cols:
         differs = differs | ~F.col(c).eqNullSafe(F.col(f"_old_{c}"))
-    touched = [r[0] for r in batch.join(old, [BUCKET, key], "left").where(differs).select(BUCKET).distinct().collect()]
+    touched = [r[0] for r in batch.join(old.hint("merge"), [BUCKET, key], "left").where(differs).select(BUCKET).distinct().collect()]
     if not touched:
         return []
     if id_col is not None and start is None:

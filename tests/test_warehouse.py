@@ -81,3 +81,19 @@ def test_unmatched_products_count_in_sums_not_in_num_products(spark, sf_small):
     tot = idx.agg(F.sum("num_products").alias("n")).first().n
     assert tot == fact.where(F.col("id_producto").isNotNull()).count() < obs.count()
     assert abs(idx.agg(F.sum("sum_price")).first()[0] - obs.agg(F.sum("price")).first()[0]) < 1e-3
+
+
+def test_products_are_not_sent_through_the_driver(spark, tmp_path):
+    part = [(i, f"red widget {i}", "b", "t", 1, 1.0) for i in range(50)]
+    line = [(i, i % 50, 1.0, 2.0, 0.0, dt.datetime(2023, 1, 1 + i % 9)) for i in range(200)]
+    spark.createDataFrame(part, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(str(tmp_path / "part.parquet"))
+    spark.createDataFrame(line, "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double, l_discount double, l_shipdate timestamp").write.parquet(str(tmp_path / "lineitem.parquet"))
+    obs = O.observations(spark, str(tmp_path))
+    wh = W.initial_load(obs, TS)
+    keyed = ("p_partkey", "product_id", "id_producto")  # the dates (one row per day) may be sent
+    for df in (obs, W.lookup_keys(obs, wh.product_dim, wh.date_dim), W.changed_products(obs, wh.product_dim, TS),
+               W.update_product_dim(obs, wh.product_dim, TS), V.price_table(wh.fact, wh.product_dim, wh.date_dim)):
+        df.collect()
+        joins = [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "BroadcastHashJoin" in x]
+        assert not [x for x in joins if any(k in x for k in keyed)]
+    assert obs.count() == wh.fact.count() == 200
