@@ -18,7 +18,7 @@ from shelfwatch.plans.capture import capture_products, queue_from_sitemap_files
 from shelfwatch.plans.variation import price_table
 from shelfwatch.queries import (FENCES_SQL, LOAD_TS, OBS_COLS, OBS_SQL, ORACLE as BASE_ORACLE, RUN_DATE, SHOP_COLS, SHOP_SQL, VARIATION_SQL, _fresh, _ingested, _obs, _pages,
                                 _shop_pages, _sql_first, _trimmed, DIGITS, EXISTING_BEFORE, INCOMING_FROM)
-from shelfwatch.session import scratch_path
+from shelfwatch.session import scratch_path, stage_table
 from shelfwatch.sources import buckets as B, export as X, pages as Pg, snapshots as Sn, tables as T
 from shelfwatch.streaming import queue as Q
 from shelfwatch.streaming.ingest import ingest_pages
@@ -57,7 +57,7 @@ def q_product_dim_buckets(spark, sf):
 
 def q_load_after_losses(spark, sf):
     """Loads of ever more years, each lost after another table was written; then all years, with the ids that were handed out."""
-    base, obs = scratch_path(spark, "wh"), _obs(spark, sf)
+    base, obs = scratch_path(spark, "wh"), stage_table(_obs(spark, sf), "obs")  # each load reads it three times
     etl.create_warehouse(spark, base, LOAD_TS)
     for until, table in ((1996, "date_dim"), (1997, "producto_dim"), (1998, "precio_dia_agg_norm_fact")):
         _losing(lambda: etl.load_dataset(spark, obs.where(F.year("date") <= until), base, LOAD_TS, on_write=_lose_at(table)))  # noqa: B023
@@ -71,7 +71,7 @@ def q_load_after_losses(spark, sf):
 def q_variation_by_batches(spark, sf):
     """Price variation kept batch by batch, with late dates in the second one, which is lost and run again."""
     wh, base = _fresh(spark, sf), scratch_path(spark, "variation")
-    rows = price_table(wh.fact, wh.product_dim, wh.date_dim)
+    rows = stage_table(price_table(wh.fact, wh.product_dim, wh.date_dim), "priced")  # read by every batch
     year, held_back = F.year("date"), (F.col("id_producto") % 9 == 0) & (F.year("date") == 1996)
     batches = [rows.where((year <= 1997) & ~held_back), rows.where(year.between(1998, 1999) | held_back), rows.where(year >= 2000)]
     VS.add_batch(spark, base, batches[0], 0, buckets=16)

@@ -137,3 +137,18 @@ def test_queue_resumes_after_a_loss(spark, tmp_path, lost):
     assert Q.open_entries(spark, base).isEmpty() and Q.records(spark, base).count() == 25
     assert [tuple(r) for r in Q.progress(spark, base).collect()] == [(24, None, None)]
     assert not [d for d in os.listdir(Q.queue_paths(base)["queue"]) if d.startswith("cut=")]
+
+
+@pytest.mark.parametrize("query", ["load_after_losses", "variation_by_batches"])
+def test_what_every_load_reads_is_worked_out_once(spark, sf_small, monkeypatch, query):
+    from shelfwatch import stored_queries as S
+    plans = []
+    if query == "load_after_losses":
+        monkeypatch.setattr(S.etl, "load_dataset", lambda spark, dataset, *a, **kw: plans.append(dataset))
+        monkeypatch.setattr(S.etl, "open_warehouse", lambda *a: W.initial_load(O.observations(spark, sf_small), TS, stage=False))
+    else:
+        monkeypatch.setattr(S.VS, "add_batch", lambda spark, base, observed, *a, **kw: plans.append(observed))
+        monkeypatch.setattr(S.VS, "read_variation", lambda *a: None)
+    S.QUERIES[query](spark, sf_small)
+    assert len(plans) == 4
+    assert not [p for p in plans if "Join" in p._jdf.queryExecution().optimizedPlan().toString()]
