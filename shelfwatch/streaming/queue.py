@@ -1,7 +1,8 @@
 """Page capture driven by the work queue: a resumable queue on storage.
 
 The queue ``(id_producto, url_product, index)`` is stored in cuts of ``cut``
-consecutive indexes (``<base>/queue/cut=<n>``). Page files arrive in a folder;
+consecutive indexes (``<base>/queue/cut=<n>``), of a multiple of that in a
+longer queue, so that it has at most ``CUTS`` folders. Page files arrive in a folder;
 each micro-batch of the file stream is joined with the stored queue by URL, and
 what a page gives, record or reject, is stored under its queue index, in
 partitions of cut and micro-batch. Only when a micro-batch is stored its
@@ -32,6 +33,8 @@ from shelfwatch.streaming.ingest import source_file
 
 #: queue entries of a cut, as many as the capture job flushes at a time
 CUT = 500
+#: cuts that a queue has at most: making, listing and replacing a folder costs the same however few rows it holds
+CUTS = 128
 QUEUE = StructType([StructField("id_producto", StringType()), StructField("url_product", StringType()),
                     StructField("index", LongType()), StructField("cut", LongType())])
 RECORD = StructType([StructField("index", LongType()), *schemas.PRODUCT_RECORD.fields, StructField("reject_reason", StringType()),
@@ -53,9 +56,13 @@ def open_entries(spark: SparkSession, base: str) -> DataFrame:
 
 
 def create_queue(queue: DataFrame, base: str, cut: int = CUT) -> None:
-    """Store a work queue ``(id_producto, url_product, index)``; its indexes start at 0."""
+    """Store a work queue ``(id_producto, url_product, index)``; its indexes start at 0.
+
+    A cut holds ``cut`` indexes, or as many times that as keep the number of cuts to ``CUTS``."""
+    top = queue.select(F.max("index").cast("bigint")).scalar()
+    width = cut * F.greatest(F.lit(1).cast("bigint"), F.ceil((top + 1) / (cut * CUTS)))
     cuts = queue.select("id_producto", "url_product", F.col("index").cast("bigint").alias("index"),
-                        F.floor(F.col("index") / cut).cast("bigint").alias("cut"))
+                        F.floor(F.col("index") / width).cast("bigint").alias("cut"))
     cuts.repartition("cut").write.partitionBy("cut").parquet(queue_paths(base)["queue"])
 
 

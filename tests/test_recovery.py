@@ -139,6 +139,19 @@ def test_queue_resumes_after_a_loss(spark, tmp_path, lost):
     assert not [d for d in os.listdir(Q.queue_paths(base)["queue"]) if d.startswith("cut=")]
 
 
+def test_a_long_queue_has_a_bounded_number_of_folders(spark, tmp_path):
+    for name, n, cut in (("long", 20_000, 10), ("short", 95, 10), ("none", 0, 10)):
+        base = str(tmp_path / name)
+        i = F.col("id").cast("string")
+        Q.create_queue(spark.range(n).select(i.alias("id_producto"), i.alias("url_product"), F.col("id").alias("index")), base, cut=cut)
+        folders = [d for d in os.listdir(Q.queue_paths(base)["queue"]) if d.startswith("cut=")]
+        assert len(folders) == {"long": 125, "short": 10, "none": 0}[name] and len(folders) <= Q.CUTS
+        entries = Q.open_entries(spark, base)
+        assert sorted(r["index"] for r in entries.select("index").collect()) == list(range(n))
+        spans = entries.groupBy("cut").agg(F.min("index").alias("lo"), F.max("index").alias("hi")).orderBy("lo").collect()
+        assert all(r.lo % cut == 0 for r in spans) and all(a.hi + 1 == b.lo for a, b in zip(spans, spans[1:]))
+
+
 @pytest.mark.parametrize("query", ["load_after_losses", "variation_by_batches"])
 def test_what_every_load_reads_is_worked_out_once(spark, sf_small, monkeypatch, query):
     from shelfwatch import stored_queries as S
