@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from shelfwatch import schemas
-from shelfwatch.functions.text import trim_all
+from shelfwatch.functions.text import trim_decoded
 
 # Header of the snapshot files as written by the capture job.
 SNAPSHOT_HEADER = ["product_id", "price", "product", "brand", "unit_price", "units", "categories",
@@ -108,8 +108,8 @@ def _read_layout(spark: SparkSession, files: list[str], names: Sequence[str], se
              .csv(files))
     first = [F.col(at[m]) for m in marks]
     is_header = F.lit(True)
-    for m, c in zip(marks, first):
-        is_header = is_header & F.coalesce(F.trim(F.regexp_replace(c, "^\ufeff", "")) == m, F.lit(False))
+    for m, c in zip(marks, first):  # a plain search first: the expression is worked out for few rows
+        is_header = is_header & F.coalesce(F.contains(c, F.lit(m)), F.lit(False)) & F.coalesce(F.trim(F.regexp_replace(c, "^\ufeff", "")) == m, F.lit(False))
     other = F.lit(True)  # every mark's cell holds a name of some column: the header of another layout
     for c in first:
         other = other & F.coalesce(F.trim(c).isin([*names, *schema.fieldNames()]), F.lit(False))
@@ -122,10 +122,10 @@ def _read_layout(spark: SparkSession, files: list[str], names: Sequence[str], se
     out = []
     for f in schema.fields:
         c = F.col(at[f.name]) if f.name in at else F.lit(None).cast("string")
-        if f.name == marks[0]:
-            c = F.when(other, F.raise_error(F.concat(F.lit("no header row of this layout in "), F.col("_metadata.file_path"))).cast("string")).otherwise(c)
+        if f.name == marks[0]:  # the file's name as a function: as a metadata column it would be copied into every row
+            c = F.when(other, F.raise_error(F.concat(F.lit("no header row of this layout in "), F.input_file_name())).cast("string")).otherwise(c)
         if isinstance(f.dataType, StringType):
-            out.append((trim_all(c) if strip else c).alias(f.name))
+            out.append((trim_decoded(c) if strip else c).alias(f.name))
         else:
             out.append(c.try_cast(f.dataType).alias(f.name))
     if with_source:

@@ -199,3 +199,16 @@ def test_literal_rows_bear_the_record_schema_and_join_a_table(spark):
     assert [tuple(r) for r in rows.collect()] == [record, (None,) * len(record)]
     assert Sn.literal_rows(spark, []).collect() == []
     assert dml.bag_diff(rows, Sn.literal_rows(spark, [record])).count() == 1
+
+
+def test_reading_snapshots_copies_no_file_name_into_rows_and_trims_as_before(spark, tmp_path):
+    from shelfwatch.functions import text as tx
+    line = "product_id;price;product;brand;unit_price;units;categories;discount;date\n"
+    (tmp_path / "20240101_0900_prices.csv").write_text(line + "1;2.5;\u00a0 a b\u2003;b ;1;u;c;;2024-01-01\n" + line + "2;1;\u3000;b;1;u\x85;c;;2024-01-01\n", encoding="utf-8")
+    got = Sn.read_snapshots(spark, str(tmp_path), strip=True)
+    assert "_metadata" not in got._jdf.queryExecution().optimizedPlan().toString() and "file_path" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.product_id, r["product"], r.brand, r.units) for r in got.collect()) == [("1", "a b", "b", "u"), ("2", "", "b", "u\x85")]
+    edges = ["", " ", "\t", "\n", "\x0b", "\r\n", "\x85", "\u00a0", "\u1680", "\u180e", "\u200a", "\u200b", "\u2028", "\u2029", "\u202f", "\u205f", "\u3000", "\x1c", "\ufeff"]
+    texts = [(f"{a}{m}{b}{c}",) for a in edges for m in ("", "x y") for b in edges for c in edges[:8]] + [(None,)]
+    both = spark.createDataFrame(texts, "t string").select("t", tx.trim_decoded("t").alias("a"), tx.trim_all("t").alias("b"))
+    assert both.where("not (a <=> b)").collect() == []
