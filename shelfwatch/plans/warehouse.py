@@ -146,7 +146,8 @@ def updated_price_index(index: DataFrame, fact: DataFrame, new_facts: DataFrame,
               .join(days, F.col("id_date").eqNullSafe(F.col("_d")), "left_semi"))
     untouched = index.join(days, index["id_date"].eqNullSafe(days["_d"]), "left_anti")
     totals = daily_totals(stored.select(*cols).unionByName(new_facts.select(*cols)))
-    return scaled_index(totals.unionByName(untouched.select(*totals.columns)), load_ts)
+    # one row per day, read for the days and for each of their bounds: summed once
+    return scaled_index(stage_table(totals.unionByName(untouched.select(*totals.columns)), "totals"), load_ts)
 
 
 def scaled_index(daily: DataFrame, load_ts=None) -> DataFrame:

@@ -5,6 +5,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from shelfwatch import schemas
 from shelfwatch.plans import etl, observations as O, variation as V, warehouse as W
 from shelfwatch.sources import snapshots as Sn
 
@@ -62,6 +63,15 @@ def test_index_of_batches_equals_the_index_of_all_facts(spark, tmp_path, sf_smal
     assert wh.index.exceptAll(want).count() == 0 and want.exceptAll(wh.index).count() == 0
 
 
+def test_days_are_summed_once_for_the_index(spark):
+    rows = [(1 + i % 3, 1 + i % 5, 1.0 + i, 2.0 + i, 0.0, 2023, TS) for i in range(40)]
+    old, new = (spark.createDataFrame(r, schemas.PRICE_FACT) for r in (rows[:25], rows[25:]))
+    got = W.updated_price_index(W.daily_price_index(old, TS), old, new, TS)
+    assert "decimal(28,10)" not in got._jdf.queryExecution().optimizedPlan().toString()  # the sums lie in a table
+    want = W.daily_price_index(old.unionByName(new), TS)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
 def test_lag_equals_self_join(spark, sf_small):
     wh = W.initial_load(O.observations(spark, sf_small), TS)
     v = V.price_variation(wh.fact, wh.product_dim, wh.date_dim, ordered=False)
