@@ -81,7 +81,8 @@ def links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
         here = (diff == F.call_function("shiftleft", F.lit(1).cast("long"), bit)) | ((diff == 0) & (bit == first))
         first_shared = first_shared | ((bit >= first) & (bit < first + n) & apart & here)
         apart = apart & (F.bit_count(diff) >= 2)
-    return a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp"))
+    # 64 rows per fingerprint, which the planner judges by the file of fingerprints: never through the driver
+    return a.join(b.hint("merge"), (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp"))
                   & (F.bit_count(x) <= max_bits) & first_shared).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
 
 
@@ -98,10 +99,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Dat
     fps = stage_mapped(fingerprints(docs, shingle), "fps")
     reps = stage_table(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "reps")
     roots = connected_components(links(reps, max_bits)).toDF("fp", "root")
-    named = reps.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    # tables of a row per fingerprint grow with the data: joined by sorting, none goes through the driver
+    named = reps.join(roots.hint("merge"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = named.join(least.hint("merge"), "root").select("fp", "component_id")
+    return fps.join(named.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:

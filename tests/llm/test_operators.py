@@ -94,6 +94,16 @@ def test_links_are_all_pairs_within_distance_once(spark, bits):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_fingerprints_and_their_variants_are_not_broadcast(spark, tmp_path):
+    path = str(tmp_path / "fps")
+    spark.range(3000).select(F.xxhash64("id").alias("fp")).write.parquet(path)  # a small file, 64 variants of every row of it
+    found = simhash.links(spark.read.parquet(path))
+    docs = spark.createDataFrame([(i, f"text {i} of words {i * i} unlike others {-i}") for i in range(20)], "doc_id long, text string")
+    for df in (found, simhash.near_duplicates(docs)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and "BroadcastExchange" not in plan
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 140)] + [(200, 200), (None, 5), (300, 301), (301, 300)]
     got = defaultdict(set)
