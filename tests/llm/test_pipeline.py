@@ -99,3 +99,9 @@ def test_keep_one_keeps_a_document_of_every_group(spark):
     kept = simhash.keep_one(docs).collect()
     groups = simhash.near_duplicates(docs).select("component_id").distinct().count()
     assert len({r["doc_id"] for r in kept}) == groups
+
+
+def test_near_dedup_sends_no_table_of_documents_through_the_driver(spark):
+    docs = spark.createDataFrame([(i, f"text {i} of words {i * i} unlike others {-i}") for i in range(20)], "doc_id long, text string")
+    plan = P.near_dedup(spark, docs, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
