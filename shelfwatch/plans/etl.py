@@ -24,7 +24,7 @@ from shelfwatch import schemas
 from shelfwatch.operators import dml
 from shelfwatch.operators.keys import advance_seq, last_id, last_seq
 from shelfwatch.plans import warehouse as W
-from shelfwatch.session import stage_table
+from shelfwatch.session import release_shuffles, staged
 from shelfwatch.sources import buckets as B
 from shelfwatch.sources import export as X
 from shelfwatch.sources import tables as T
@@ -98,14 +98,16 @@ def load_dataset(spark: SparkSession, dataset: DataFrame, base: str, load_ts=Non
     if not seq.select("table_name", "id").exceptAll(seqs().select("table_name", "id")).isEmpty():
         T.replace_table(seq, p["sequences_cfg"])
         done("sequences_cfg")
-    facts = stage_table(W.new_facts(dataset, wh.product_dim, wh.date_dim, wh.fact, load_ts), "facts")
-    wrote["producto_dia_fact"] = not facts.isEmpty()
-    if wrote["producto_dia_fact"]:
-        # the index first: if the job ends before the facts are stored, a rerun finds them new and sums their days again
-        T.replace_table(W.updated_price_index(wh.index, wh.fact, facts, load_ts), p["precio_dia_agg_norm_fact"])
-        done("precio_dia_agg_norm_fact")
-        T.write_table(facts, p["producto_dia_fact"], "append", partition_by=["year"], skip_empty=False)
-        done("producto_dia_fact")
+    release_shuffles(spark)
+    with staged(W.new_facts(dataset, wh.product_dim, wh.date_dim, wh.fact, load_ts), "facts") as facts:
+        release_shuffles(spark)
+        wrote["producto_dia_fact"] = not facts.isEmpty()
+        if wrote["producto_dia_fact"]:
+            # the index first: if the job ends before the facts are stored, a rerun finds them new and sums their days again
+            T.replace_table(W.updated_price_index(wh.index, wh.fact, facts, load_ts), p["precio_dia_agg_norm_fact"])
+            done("precio_dia_agg_norm_fact")
+            T.write_table(facts, p["producto_dia_fact"], "append", partition_by=["year"], skip_empty=False)
+            done("producto_dia_fact")
     return wrote
 
 
@@ -124,9 +126,10 @@ def run(spark: SparkSession, snapshot_dir: str, base: str, export_dir: str | Non
         load_ts=None, pattern: str = "*.csv") -> dict[str, bool]:
     """Read every snapshot under ``snapshot_dir``, load, optionally export.
     The text files are parsed once into a staged parquet table that the three
-    load steps read."""
-    dataset = stage_table(read_snapshots(spark, snapshot_dir, pattern), "snapshot")
-    wrote = load_dataset(spark, dataset, base, load_ts)
+    load steps read; it goes when they are done."""
+    with staged(read_snapshots(spark, snapshot_dir, pattern), "snapshot") as dataset:
+        wrote = load_dataset(spark, dataset, base, load_ts)
+    release_shuffles(spark)
     if export_dir:
         export_warehouse(spark, base, export_dir)
     return wrote

@@ -2,13 +2,15 @@
 
 import datetime as dt
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from shelfwatch import schemas
 from shelfwatch.plans import etl, observations as O, variation as V, variation_store as VS, warehouse as W
-from shelfwatch.sources import buckets as B, pages as Pg, tables as T
+from shelfwatch.session import ensure_checkpoint_dir, release_shuffles
+from shelfwatch.sources import buckets as B, pages as Pg, snapshots as Sn, tables as T
 from shelfwatch.streaming import queue as Q
 
 TS = dt.datetime(2024, 1, 1)
@@ -165,3 +167,31 @@ def test_what_every_load_reads_is_worked_out_once(spark, sf_small, monkeypatch,
     S.QUERIES[query](spark, sf_small)
     assert len(plans) == 4
     assert not [p for p in plans if "Join" in p._jdf.queryExecution().optimizedPlan().toString()]
+
+
+def test_a_load_leaves_nothing_staged(spark, tmp_path, sf_small):
+    scratch = ensure_checkpoint_dir(spark).removeprefix("file:")
+    kept = lambda: {f for f in os.listdir(scratch) if f.startswith(("shelfwatch-snapshot-", "shelfwatch-facts-"))}
+    before, base, snaps = kept(), str(tmp_path / "wh"), str(tmp_path / "snaps")
+    obs = O.observations(spark, sf_small).where("date < DATE'1996-01-01'")
+    Sn.write_snapshots(obs, snaps, F.date_format("date", "yyyy"))
+    etl.create_warehouse(spark, base, TS)
+    with pytest.raises(Lost):
+        etl.load_dataset(spark, obs, base, TS, on_write=lose_at(4))  # while the facts are staged
+    assert kept() == before
+    assert etl.run(spark, snaps, base, None, TS)["producto_dia_fact"]
+    assert kept() == before and etl.open_warehouse(spark, base).fact.count() == obs.count() > 0
+
+
+def test_shuffles_of_finished_writes_are_released(spark, tmp_path):
+    alive = lambda: spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses().size()
+    release_shuffles(spark)
+    before = alive()
+    for k in range(3):
+        spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().write.parquet(str(tmp_path / str(k)))
+    for _ in range(50):
+        release_shuffles(spark)
+        if alive() <= before:
+            break
+        time.sleep(0.1)
+    assert alive() <= before
